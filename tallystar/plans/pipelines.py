@@ -1,0 +1,147 @@
+"""M5 (fact build) and M6 (dimension build) as single lazy plans.
+
+Fact: keyed JSON -> trim codes -> F1/F2/F3 -> dedup on ID -> five code-list
+joins + translation lookup -> casts. One shuffle (the dedup); every code
+list is broadcast after its size check. The reference's CSV staging hop and
+five re-evaluations are gone: checks run in one pass (``quality.py``).
+
+Dimension: yearly CSVs -> one typed read per header layout -> conform ->
+union by name -> Year from the file path.
+"""
+
+from __future__ import annotations
+
+import re
+from collections.abc import Callable, Mapping, Sequence
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tallystar.functions.paths import DIR_YEAR, NAME_YEAR
+from tallystar.functions.strings import decode_map, leading_int, replace_chain, safe_int, strip_ws
+from tallystar.operators.clean import code_below, dedup_first, not_total, positive_measure, trim_columns
+from tallystar.operators.star import conform, decode, union_all
+from tallystar.plans.model import (
+    AGE_LABEL_CHAIN,
+    CODE_COLS,
+    FACT_COLS,
+    HAPPINESS_COLS,
+    HAPPINESS_LAYOUTS,
+    RAW_FIELDS,
+    SECTION_NAMES,
+    CodeBook,
+    reference_layout,
+)
+from tallystar.sources.readers import list_inputs, read_csv_typed, read_sections, with_file_year
+
+
+# ----------------------------------------------------------------- code lists
+def code_lists(sections: DataFrame, book: CodeBook) -> dict[str, DataFrame]:
+    """Five dimensions from the sectioned code list ``(section, Key, Title)``,
+    sections in the order gender, age, marital, country, period. Keys are
+    stripped (D13); English labels are looked up by code, not by row order
+    (P5)."""
+    sec = {name: sections.where(F.col("section") == i).select(strip_ws("Key").alias("Key"), "Title")
+           for i, name in enumerate(SECTION_NAMES)}
+    return {
+        "gender": sec["gender"].select(F.col("Key").alias("GeslachtCode"), F.col("Title").alias("Geslacht"),
+                                       decode_map("Key", book.gender_en).alias("Gender")),
+        "age": sec["age"].select(F.col("Key").alias("LeeftijdCode"),
+                                 replace_chain("Title", AGE_LABEL_CHAIN).alias("Age")),
+        "marital": sec["marital"].select(F.col("Key").alias("BurgerlijkeStaatCode"),
+                                         F.col("Title").alias("BurgerlijkeStaatNL"),
+                                         decode_map("Key", book.marital_en).alias("MaritalStatus")),
+        "country": sec["country"].select(F.col("Key").alias("LandCode"), F.col("Title").alias("Land")),
+        "period": sec["period"].select(F.col("Key").alias("PeriodeCode"), F.col("Title").alias("Year")),
+    }
+
+
+def read_code_lists(spark: SparkSession, path: str, book: CodeBook) -> dict[str, DataFrame]:
+    return code_lists(read_sections(spark, path), book)
+
+
+# ----------------------------------------------------------------------- fact
+def clean_records(raw: DataFrame, book: CodeBook) -> DataFrame:
+    """Trim codes, then F1 (measure), F2 (age band) and F3 (totals)."""
+    r = trim_columns(raw.select(*RAW_FIELDS), CODE_COLS)
+    keep = (positive_measure("Immigratie_1")
+            & code_below("LeeftijdOp31December", book.age_band_limit)
+            & not_total(book.totals))
+    return r.where(keep)
+
+
+def decode_records(records: DataFrame, dims: Mapping[str, DataFrame], translation: DataFrame) -> DataFrame:
+    """J1 (five code lists) and J2 (Land -> Country via the translation
+    table, joined on a column the country join brought in)."""
+    f = decode(records, dims["gender"], "Geslacht", "GeslachtCode", ["Gender"])
+    f = decode(f, dims["age"], "LeeftijdOp31December", "LeeftijdCode", ["Age"])
+    f = decode(f, dims["marital"], "BurgerlijkeStaat", "BurgerlijkeStaatCode", ["MaritalStatus"])
+    f = decode(f, dims["country"], "Geboorteland", "LandCode", ["Land"])
+    f = decode(f, dims["period"].withColumnRenamed("Year", "PeriodLabel"), "Perioden", "PeriodeCode",
+               ["PeriodLabel"])
+    tr = translation.select(strip_ws("Land_Dutch").alias("Land_Dutch"), strip_ws("Country").alias("Country"),
+                            strip_ws("SingleCountry").alias("SingleCountry"))
+    f = decode(f.withColumn("Land", strip_ws("Land")), tr, "Land", "Land_Dutch", ["Country", "SingleCountry"])
+    return f
+
+
+def build_fact(raw: DataFrame, dims: Mapping[str, DataFrame], translation: DataFrame,
+               book: CodeBook) -> DataFrame:
+    """M5: raw records (the reference's seven fields) to the fact table."""
+    clean = clean_records(raw, book)
+    order = [c for c in RAW_FIELDS if c not in book.dedup_key]
+    unique = dedup_first(clean, list(book.dedup_key), order)
+    f = decode_records(unique, dims, translation)
+    return f.select(
+        "ID", "Gender", leading_int("Age").alias("Age"), "MaritalStatus", "Country",
+        F.col("Immigratie_1").cast("int").alias("ImmigrationVolume"), "SingleCountry",
+        safe_int("PeriodLabel").alias("Year"),
+    ).select(*FACT_COLS)
+
+
+# ------------------------------------------------------------------ dimension
+def _path_year(path: str) -> int | None:
+    name = path.rstrip("/").rsplit("/", 1)[-1]
+    m = re.search(NAME_YEAR, name) or re.search(DIR_YEAR, path)
+    return int(m.group(1)) if m else None
+
+
+def files_by_layout(paths: Sequence[str], layout_for_year: Callable[[int], str]) -> dict[str, list[str]]:
+    """Group input files by header layout, chosen from the year in the path
+    as the reference does. Works on the file listing only."""
+    out: dict[str, list[str]] = {}
+    for p in paths:
+        y = _path_year(p)
+        if y is None:
+            raise ValueError(f"no year in input path {p}")
+        out.setdefault(layout_for_year(y), []).append(p)
+    return out
+
+
+def read_yearly_layouts(spark: SparkSession, files: Mapping[str, Sequence[str]]) -> dict[str, DataFrame]:
+    """One typed read per layout (header checked against the layout), with
+    ``Year`` from the path. Reading the mixed folder at once would bind every
+    file by position to the first header."""
+    return {lay: with_file_year(read_csv_typed(spark, list(paths), HAPPINESS_LAYOUTS[lay][0]))
+            for lay, paths in files.items()}
+
+
+def conform_yearly(parts: Mapping[str, DataFrame]) -> DataFrame:
+    """P7 + U1: rename each layout to the canonical columns and union."""
+    return union_all([conform(df, {**HAPPINESS_LAYOUTS[lay][1], "Year": "Year"}, HAPPINESS_COLS)
+                      for lay, df in sorted(parts.items())])
+
+
+def build_dimension(spark: SparkSession, folder: str,
+                    layout_for_year: Callable[[int], str] = reference_layout) -> DataFrame:
+    """M6: every yearly file in ``folder`` to the happiness dimension."""
+    files = files_by_layout(list_inputs_deep(spark, folder), layout_for_year)
+    return conform_yearly(read_yearly_layouts(spark, files))
+
+
+def list_inputs_deep(spark: SparkSession, folder: str) -> list[str]:
+    """Data files under ``folder``: its top-level files, or the files Spark
+    wrote under ``Year=...`` folders (hidden and marker files skipped)."""
+    df = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(folder)
+    files = df.inputFiles()
+    return sorted(files) if files else list_inputs(spark, folder)
