@@ -23,7 +23,7 @@ def _status(col: str = "failures") -> Column:
 
 
 def quality_report(df: DataFrame, measure: str, cols: Sequence[str] | None = None) -> DataFrame:
-    """Q1 + Q2 + D3 in one pass: ``(check, failures, status)`` for
+    """Q1 + Q2 + D3 in one pass: ``(check_name, failures, status)`` for
     not_empty, no_null_cells (per column, summed) and no_zero_measure."""
     cols = list(cols) if cols is not None else df.columns
     null_cells = sum((F.count_if(F.col(c).isNull()) for c in cols), F.lit(0).cast("long"))
@@ -32,8 +32,8 @@ def quality_report(df: DataFrame, measure: str, cols: Sequence[str] | None = Non
         null_cells.cast("long").alias("no_null_cells"),
         F.count_if(F.col(measure) == 0).cast("long").alias("no_zero_measure"),
     )
-    return _long(agg, ["not_empty", "no_null_cells", "no_zero_measure"], "check", "failures") \
-        .select("check", "failures", _status())
+    return _long(agg, ["not_empty", "no_null_cells", "no_zero_measure"], "check_name", "failures") \
+        .select("check_name", "failures", _status())
 
 
 def domain_report(df: DataFrame, rules: Mapping[str, Column]) -> DataFrame:
