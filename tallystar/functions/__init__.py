@@ -7,6 +7,7 @@ from tallystar.functions.strings import (  # noqa: F401
     leading_int,
     replace_chain,
     safe_int,
+    strict_int,
     strip_ws,
 )
 from tallystar.functions.paths import file_year  # noqa: F401

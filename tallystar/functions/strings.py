@@ -19,6 +19,11 @@ from pyspark.sql import functions as F
 
 # Whitespace class understood identically by Java regex and RE2.
 WS_CLASS = r"[ \t\n\r\f\x0B]"
+WS_CHARS = " \t\n\r\f\x0b"
+# Text that casts cleanly. A failing try_cast costs far more per row than
+# the pattern test, so casts are guarded by these.
+INT_TEXT = r"^\s*[+-]?\d{1,9}\s*$"
+NUM_TEXT = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 
 
 def _col(c: str | Column) -> Column:
@@ -26,7 +31,9 @@ def _col(c: str | Column) -> Column:
 
 
 def strip_ws(c: str | Column) -> Column:
-    return F.regexp_replace(_col(c), rf"^{WS_CLASS}+|{WS_CLASS}+$", "")
+    """Like Python's ``str.strip()`` for ASCII whitespace; a plain character
+    trim, no regex."""
+    return F.trim(_col(c), F.lit(WS_CHARS))
 
 
 def replace_chain(c: str | Column, steps: Iterable[tuple[str, str] | str]) -> Column:
@@ -42,12 +49,17 @@ def replace_chain(c: str | Column, steps: Iterable[tuple[str, str] | str]) -> Co
     return out
 
 
+def strict_int(c: str | Column) -> Column:
+    """Text to int only when the whole text is an integer, else NULL."""
+    return F.when(_col(c).rlike(INT_TEXT), _col(c).try_cast("int"))
+
+
 def leading_int(c: str | Column) -> Column:
-    return F.regexp_extract(_col(c), r"^\s*(\d+)", 1).try_cast("int")
+    return strict_int(F.regexp_extract(_col(c), r"^\s*(\d+)", 1))
 
 
 def safe_int(c: str | Column) -> Column:
-    return _col(c).try_cast("double").try_cast("int")
+    return F.when(_col(c).rlike(NUM_TEXT), _col(c).try_cast("double")).try_cast("int")
 
 
 def decode_map(c: str | Column, mapping: Mapping[str, str]) -> Column:

@@ -72,7 +72,7 @@ def dedup_first(df: DataFrame, keys: Sequence[str], order: Sequence[str] | None
 def key_slice(df: DataFrame, key: str, starts: Sequence[int], length: int = 5) -> DataFrame:
     """records whose numeric key lies in ``[s, s + length)`` for any
     start ``s`` (the reference's preview of a few keys at chosen offsets)."""
-    k = F.col(key).try_cast("long")
+    k = F.when(F.col(key).cast("string").rlike(r"^\s*[+-]?\d{1,18}\s*$"), F.col(key).try_cast("long"))
     cond = F.lit(False)
     for s in starts:
         cond = cond | k.between(s, s + length - 1)

@@ -19,23 +19,33 @@ from tallystar.functions.strings import strip_ws
 BROADCAST_MAX_ROWS = 2_000_000
 
 
+def is_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
+    """True if ``df`` has at most ``max_rows`` rows; reads at most
+    ``max_rows + 1`` of them."""
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
 def checked_broadcast(dim: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast hint only if ``dim`` has at most ``max_rows`` rows. The
-    probe reads at most ``max_rows + 1`` rows."""
-    small = dim.limit(max_rows + 1).count() <= max_rows
-    return F.broadcast(dim) if small else dim
+    """Broadcast hint only if ``dim`` has at most ``max_rows`` rows; else the
+    planner chooses (sort-merge, or AQE's runtime switch)."""
+    return F.broadcast(dim) if is_small(dim, max_rows) else dim
 
 
 def decode(fact: DataFrame, dim: DataFrame, fact_col: str, dim_key: str,
            keep: Sequence[str] | None = None, how: str = "inner",
-           max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+           broadcast: bool | None = None) -> DataFrame:
     """Join a code list on ``fact_col == dim_key`` and bring in the
     ``keep`` columns (default: all of the dimension's other columns).
     Inner by default, as the reference: unmatched codes drop; list them with
-    ``coverage``."""
+    ``coverage``. ``broadcast=None`` probes the dimension's size; callers that
+    already bounded it pass ``True`` (or ``False`` to leave it to the planner)."""
     keep = [c for c in dim.columns if c != dim_key] if keep is None else list(keep)
     d = dim.select(F.col(dim_key).alias("_dk"), *keep)
-    joined = fact.join(checked_broadcast(d, max_rows), fact[fact_col] == F.col("_dk"), how)
+    if broadcast is None:
+        d = checked_broadcast(d)
+    elif broadcast:
+        d = F.broadcast(d)
+    joined = fact.join(d, fact[fact_col] == F.col("_dk"), how)
     return joined.drop("_dk")
 
 

@@ -14,7 +14,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallystar.functions.paths import file_year
-from tallystar.functions.strings import decode_map, leading_int, replace_chain, safe_int, strip_ws
+from tallystar.functions.strings import (
+    decode_map,
+    leading_int,
+    replace_chain,
+    safe_int,
+    strict_int,
+    strip_ws,
+)
 from tallystar.operators import clean, profile, quality, star
 from tallystar.operators.rank import rank_within
 from tallystar.plans import bindings as B
@@ -317,7 +324,7 @@ def proj_safe_cast(spark, sf):
     li = _t(spark, sf, "lineitem").select("l_orderkey", "l_linenumber",
                                           F.col("l_quantity").cast("string").alias("qty_text"))
     return li.select("l_orderkey", "l_linenumber", "qty_text",
-                     F.col("qty_text").try_cast("int").alias("qty_direct"),
+                     strict_int("qty_text").alias("qty_direct"),
                      safe_int("qty_text").alias("qty_int"))
 
 

@@ -18,7 +18,9 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from tallystar.functions.strings import strict_int
 from tallystar.operators.rank import rank_within
+from tallystar.operators.star import is_small
 from tallystar.plans import bindings as B
 from tallystar.plans.model import (
     LAYOUT_2018_COLUMNS,
@@ -67,7 +69,7 @@ def write_keyed_json(raw: DataFrame, path: str, records_per_doc: int, n_records:
     n_docs = max(1, math.ceil(n_records / records_per_doc))
     keyed = raw.select(
         F.monotonically_increasing_id().cast("string").alias("_key"),
-        F.substring("Perioden", 1, 4).try_cast("int").alias("Year"),
+        strict_int(F.substring("Perioden", 1, 4)).alias("Year"),
         F.struct(*RAW_FIELDS).alias("_rec"),
     ).withColumn("_doc", F.pmod(F.xxhash64("_key"), F.lit(n_docs)))
     docs = keyed.groupBy("Year", "_doc").agg(
@@ -136,9 +138,11 @@ def landed_code_lists(spark: SparkSession, land: Landing) -> dict[str, DataFrame
 
 
 def landed_fact(spark: SparkSession, land: Landing) -> DataFrame:
-    """M5 over the landed files (lazy)."""
+    """M5 over the landed files (lazy). One size probe of the code-list file
+    bounds all five code lists."""
+    small = is_small(spark.read.text(land.codes))
     return build_fact(landed_raw(spark, land), landed_code_lists(spark, land),
-                      read_csv_strings(spark, land.translation), B.STANDIN_BOOK)
+                      read_csv_strings(spark, land.translation), B.STANDIN_BOOK, codes_small=small)
 
 
 def landed_dimension(spark: SparkSession, land: Landing) -> DataFrame:

@@ -70,15 +70,19 @@ def clean_records(raw: DataFrame, book: CodeBook) -> DataFrame:
     return r.where(keep)
 
 
-def decode_records(records: DataFrame, dims: Mapping[str, DataFrame], translation: DataFrame) -> DataFrame:
+def decode_records(records: DataFrame, dims: Mapping[str, DataFrame], translation: DataFrame,
+                   codes_small: bool | None = None) -> DataFrame:
     """J1 (five code lists) and J2 (Land -> Country via the translation
-    table, joined on a column the country join brought in)."""
-    f = decode(records, dims["gender"], "Geslacht", "GeslachtCode", ["Gender"])
-    f = decode(f, dims["age"], "LeeftijdOp31December", "LeeftijdCode", ["Age"])
-    f = decode(f, dims["marital"], "BurgerlijkeStaat", "BurgerlijkeStaatCode", ["MaritalStatus"])
-    f = decode(f, dims["country"], "Geboorteland", "LandCode", ["Land"])
+    table, joined on a column the country join brought in). ``codes_small``
+    is the size check of the code-list file (all five lists are sections of
+    it); ``None`` probes each list."""
+    b = codes_small
+    f = decode(records, dims["gender"], "Geslacht", "GeslachtCode", ["Gender"], broadcast=b)
+    f = decode(f, dims["age"], "LeeftijdOp31December", "LeeftijdCode", ["Age"], broadcast=b)
+    f = decode(f, dims["marital"], "BurgerlijkeStaat", "BurgerlijkeStaatCode", ["MaritalStatus"], broadcast=b)
+    f = decode(f, dims["country"], "Geboorteland", "LandCode", ["Land"], broadcast=b)
     f = decode(f, dims["period"].withColumnRenamed("Year", "PeriodLabel"), "Perioden", "PeriodeCode",
-               ["PeriodLabel"])
+               ["PeriodLabel"], broadcast=b)
     tr = translation.select(strip_ws("Land_Dutch").alias("Land_Dutch"), strip_ws("Country").alias("Country"),
                             strip_ws("SingleCountry").alias("SingleCountry"))
     f = decode(f.withColumn("Land", strip_ws("Land")), tr, "Land", "Land_Dutch", ["Country", "SingleCountry"])
@@ -86,12 +90,12 @@ def decode_records(records: DataFrame, dims: Mapping[str, DataFrame], translatio
 
 
 def build_fact(raw: DataFrame, dims: Mapping[str, DataFrame], translation: DataFrame,
-               book: CodeBook) -> DataFrame:
+               book: CodeBook, codes_small: bool | None = None) -> DataFrame:
     """M5: raw records (the reference's seven fields) to the fact table."""
     clean = clean_records(raw, book)
     order = [c for c in RAW_FIELDS if c not in book.dedup_key]
     unique = dedup_first(clean, list(book.dedup_key), order)
-    f = decode_records(unique, dims, translation)
+    f = decode_records(unique, dims, translation, codes_small)
     return f.select(
         "ID", "Gender", leading_int("Age").alias("Age"), "MaritalStatus", "Country",
         F.col("Immigratie_1").cast("int").alias("ImmigrationVolume"), "SingleCountry",
