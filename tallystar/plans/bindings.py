@@ -75,10 +75,16 @@ def english_name(c: str) -> Column:
 
 
 # ---------------------------------------------------------------- raw records
-def raw_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The reference's seven raw fields, one row per lineitem row."""
-    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey",
-                                                  "l_returnflag", "l_quantity")
+def raw_records(spark: SparkSession, sf_dir: str, with_row_key: bool = False) -> DataFrame:
+    """The reference's seven raw fields, one row per lineitem row.
+
+    ``with_row_key`` adds ``_row_key``: the lineitem file and row position,
+    unique and the same on every recomputation (unlike an id generated after
+    the joins), for use as a record key when landing."""
+    li = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_returnflag", "l_quantity",
+        F.concat_ws("-", F.xxhash64("_metadata.file_path").cast("string"),
+                    F.col("_metadata.row_index").cast("string")).alias("_row_key"))
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     p = table(spark, sf_dir, "part").select("p_partkey", "p_size")
@@ -93,6 +99,7 @@ def raw_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("c_nationkey").cast("string").alias("Geboorteland"),
         F.concat(F.year("o_orderdate").cast("string"), F.lit("JJ00")).alias("Perioden"),
         (F.nullif(F.col("l_quantity").cast("int"), F.lit(50)) - 1).alias("Immigratie_1"),
+        *(["_row_key"] if with_row_key else []),
     )
 
 

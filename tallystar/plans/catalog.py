@@ -388,6 +388,18 @@ def sink_dynamic_overwrite(spark, sf):
     return spark.read.parquet(path)
 
 
+def stream_yearly_refresh(spark, sf):
+    """K3 run as a stream over the landed yearly files, then read back."""
+    from tallystar.streaming.refresh import start_refresh
+    land = L.land_inputs(spark, sf)
+    out, ckpt = fresh_path(spark, "refresh-stream"), fresh_path(spark, "refresh-ckpt")
+    q = start_refresh(spark, land.happiness, out, ckpt, B.standin_layout, max_files_per_trigger=3)
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+    return spark.read.parquet(out)
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in [
     mart_topk_with_score, mart_profile, mart_profile_split, mart_correlation, mart_trend_pivot,
     pipeline_fact, pipeline_dimension,
@@ -401,4 +413,5 @@ QUERIES: dict[str, Query] = {f.__name__: f for f in [
     str_trim_replace, str_harmonise, proj_select_rename, proj_constant, proj_decode_map, proj_safe_cast,
     src_year_from_path, src_keyed_json, src_sectioned, src_csv_typed, src_csv_strings, conform_union,
     scan_parquet_partitioned, sink_csv_roundtrip, sink_parquet_roundtrip, sink_dynamic_overwrite,
+    stream_yearly_refresh,
 ]}

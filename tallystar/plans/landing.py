@@ -63,12 +63,13 @@ def _key(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
 def write_keyed_json(raw: DataFrame, path: str, records_per_doc: int, n_records: int) -> None:
     """One JSON document per (year, shard): ``{"value": {"<key>": record}}``.
 
-    Records are spread over shards by a hash of their unique key, so every
+    ``raw`` carries ``_row_key``, a unique key that is stable under
+    recomputation. Records are spread over shards by its hash, so every
     document holds about ``records_per_doc`` records even when one ID or one
     year holds a large share of the rows."""
     n_docs = max(1, math.ceil(n_records / records_per_doc))
     keyed = raw.select(
-        F.monotonically_increasing_id().cast("string").alias("_key"),
+        F.col("_row_key").alias("_key"),
         strict_int(F.substring("Perioden", 1, 4)).alias("Year"),
         F.struct(*RAW_FIELDS).alias("_rec"),
     ).withColumn("_doc", F.pmod(F.xxhash64("_key"), F.lit(n_docs)))
@@ -121,7 +122,7 @@ def land_inputs(spark: SparkSession, sf_dir: str) -> Landing:
     n_records = B.table(spark, sf_dir, "lineitem").count()
     land = Landing(imm=fresh_path(spark, "imm-json"), codes=fresh_path(spark, "codelist"),
                    translation=fresh_path(spark, "translation"), happiness=fresh_path(spark, "happiness"))
-    write_keyed_json(B.raw_records(spark, sf_dir), land.imm, B.RECORDS_PER_DOC, n_records)
+    write_keyed_json(B.raw_records(spark, sf_dir, with_row_key=True), land.imm, B.RECORDS_PER_DOC, n_records)
     write_code_list(B.code_sections(spark, sf_dir), spark, land.codes)
     B.translation(spark, sf_dir).write.option("header", True).mode("overwrite").csv(land.translation)
     write_happiness(B.happiness_yearly(spark, sf_dir), land.happiness, B.STANDIN_LAYOUT_SWITCH)

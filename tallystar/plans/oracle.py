@@ -317,4 +317,5 @@ FROM nation n JOIN region r ON n.n_regionkey = r.r_regionkey""",
     "sink_csv_roundtrip": W_HAPPY + f"\nSELECT {DIM_COLS} FROM happy",
     "sink_parquet_roundtrip": W_FACT + f"\nSELECT {FACT_COLS} FROM fact",
     "sink_dynamic_overwrite": W_HAPPY + f"\nSELECT {DIM_COLS} FROM happy",
+    "stream_yearly_refresh": W_HAPPY + f"\nSELECT {DIM_COLS} FROM happy",
 }
