@@ -12,6 +12,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 
 def _long(agg: DataFrame, names: Sequence[str], name_col: str, value_col: str) -> DataFrame:
@@ -66,6 +67,27 @@ def duplicate_report(df: DataFrame, keys: Sequence[str]) -> DataFrame:
         .withColumn("duplicates", F.col("rows") - F.col("distinct_keys"))
 
 
+def schema_report(df: DataFrame, contract: StructType) -> DataFrame:
+    """Q5 (types) + A6: per contract column, the type found and the nulls
+    counted in the data, in one pass. ``(column_name, expected_type,
+    data_type, nulls, status)``; a missing column has type ``missing``."""
+    found = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    present = [f.name for f in contract.fields if f.name in found]
+    counts = df.agg(*[F.count_if(F.col(c).isNull()).cast("long").alias(c) for c in present]) \
+        if present else None
+    rows = []
+    for f in contract.fields:
+        nulls = F.col(f"`{f.name}`") if f.name in found else F.lit(None).cast("long")
+        rows.append(F.struct(F.lit(f.name).alias("column_name"),
+                             F.lit(f.dataType.simpleString()).alias("expected_type"),
+                             F.lit(found.get(f.name, "missing")).alias("data_type"),
+                             nulls.alias("nulls")))
+    base = counts if counts is not None else df.sparkSession.range(1)
+    out = base.select(F.inline(F.array(*rows)))
+    ok = (F.col("expected_type") == F.col("data_type")) & F.coalesce(F.col("nulls") == 0, F.lit(False))
+    return out.withColumn("status", F.when(ok, "passed").otherwise("failed"))
+
+
 def assert_passed(report: DataFrame, status_col: str = "status") -> None:
     """D4 ``fail_on_error``: raise if any report row failed."""
     failed = report.where(F.col(status_col) != "passed").collect()

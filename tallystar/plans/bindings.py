@@ -58,7 +58,7 @@ MARITAL_PAD = "   "
 # Years from this one on are written with the newer happiness header layout.
 STANDIN_LAYOUT_SWITCH = 2000
 # Records per keyed-JSON document when landing the raw records.
-RECORDS_PER_DOC = 50_000
+RECORDS_PER_DOC = 10_000
 
 
 def standin_layout(year: int) -> str:

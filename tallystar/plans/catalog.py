@@ -30,6 +30,7 @@ from tallystar.plans import marts as M
 from tallystar.plans.model import (
     AGE_LABEL_CHAIN,
     COUNTRY_RENAMES,
+    FACT_CONTRACT,
     HAPPINESS_COLS,
     HAPPINESS_LAYOUTS,
     RAW_FIELDS,
@@ -283,6 +284,18 @@ def dq_domain_dim(spark, sf):
     return quality.domain_report(dim, {f"{c}_0_10": F.col(c).between(0, 10) for c in scores})
 
 
+def dq_schema(spark, sf):
+    fact, _ = _star(spark, sf)
+    return quality.schema_report(fact, FACT_CONTRACT)
+
+
+def dq_key_unique(spark, sf):
+    """After harmonising names, which (Country, Year) keys repeat."""
+    _, dim = _star(spark, sf)
+    h = clean.harmonise_values(dim.select("Country", "Year"), "Country", STANDIN_RENAMES)
+    return star.key_unique(h, ["Country", "Year"])
+
+
 def dq_reconcile(spark, sf):
     land = L.land_inputs(spark, sf)
     files = list_inputs_deep(spark, land.happiness)
@@ -409,7 +422,7 @@ QUERIES: dict[str, Query] = {f.__name__: f for f in [
     join_star_decode, join_two_hop, join_coverage_anti,
     profile_nulls, profile_distinct, profile_distinct_values, profile_describe, head_tail, sample_rows,
     set_except,
-    dq_report, dq_duplicates, dq_domain, dq_domain_dim, dq_reconcile,
+    dq_report, dq_duplicates, dq_domain, dq_domain_dim, dq_reconcile, dq_schema, dq_key_unique,
     str_trim_replace, str_harmonise, proj_select_rename, proj_constant, proj_decode_map, proj_safe_cast,
     src_year_from_path, src_keyed_json, src_sectioned, src_csv_typed, src_csv_strings, conform_union,
     scan_parquet_partitioned, sink_csv_roundtrip, sink_parquet_roundtrip, sink_dynamic_overwrite,

@@ -100,8 +100,9 @@ def write_code_list(sections: DataFrame, spark: SparkSession, path: str) -> None
 def write_happiness(h: DataFrame, path: str, switch_year: int) -> None:
     """Yearly CSVs (``Year=<y>/part-*.csv``): years before ``switch_year``
     with the 2018 header (with ``Overall rank``), later years with the 2020
-    header. The rank window is per year over one row per country."""
-    ranked = rank_within(h, ["Year"], "Happiness_Score", ["Country"], name="rank")
+    header. The rank window is per year over one row per country. The ranked
+    table (countries x years) is cached for the two writes."""
+    ranked = rank_within(h, ["Year"], "Happiness_Score", ["Country"], name="rank").cache()
     old = ranked.where(F.col("Year") < switch_year).select(
         *[F.col(src).alias(dst) for src, dst in zip(
             ["rank", "Country", "Happiness_Score", "GDP_Score", "Social_Score", "Health_Score",
@@ -112,6 +113,7 @@ def write_happiness(h: DataFrame, path: str, switch_year: int) -> None:
              "Freedom_Score", "Generosity_Score", "Corruption_Score"], LAYOUT_2020_COLUMNS)], "Year")
     old.write.partitionBy("Year").option("header", True).mode("overwrite").csv(path)
     new.write.partitionBy("Year").option("header", True).mode("append").csv(path)
+    ranked.unpersist()
 
 
 # ------------------------------------------------------------------ landing

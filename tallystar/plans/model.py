@@ -53,6 +53,18 @@ FACT_COLS = ["ID", "Gender", "Age", "MaritalStatus", "Country", "ImmigrationVolu
 CODE_COLS = ["Geslacht", "LeeftijdOp31December", "BurgerlijkeStaat", "Geboorteland", "Perioden"]
 SECTION_NAMES = ["gender", "age", "marital", "country", "period"]
 
+# The fact table's contract (types as documented for the output).
+FACT_CONTRACT = StructType([
+    StructField("ID", StringType()),
+    StructField("Gender", StringType()),
+    StructField("Age", IntegerType()),
+    StructField("MaritalStatus", StringType()),
+    StructField("Country", StringType()),
+    StructField("ImmigrationVolume", IntegerType()),
+    StructField("SingleCountry", StringType()),
+    StructField("Year", IntegerType()),
+])
+
 RAW_SCHEMA = StructType([
     StructField("ID", StringType()),
     StructField("Geslacht", StringType()),

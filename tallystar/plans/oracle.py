@@ -261,6 +261,25 @@ SELECT *, CASE WHEN violations = 0 THEN 'passed' ELSE 'failed' END AS status FRO
                   "Corruption_Score"]) + ") AS t(rule, violations)",
     "dq_reconcile": W_HAPPY + """
 SELECT Year, count(*) AS rows_in, count(*) AS rows_out, 'passed' AS status FROM happy GROUP BY Year""",
+    "dq_schema": W_FACT + """
+SELECT column_name, expected_type, data_type, nulls,
+       CASE WHEN expected_type = data_type AND nulls = 0 THEN 'passed' ELSE 'failed' END AS status
+FROM (VALUES
+  ('ID', 'string', 'string', (SELECT count(*) FILTER (WHERE ID IS NULL) FROM fact)),
+  ('Gender', 'string', 'string', (SELECT count(*) FILTER (WHERE Gender IS NULL) FROM fact)),
+  ('Age', 'int', 'int', (SELECT count(*) FILTER (WHERE Age IS NULL) FROM fact)),
+  ('MaritalStatus', 'string', 'string', (SELECT count(*) FILTER (WHERE MaritalStatus IS NULL) FROM fact)),
+  ('Country', 'string', 'string', (SELECT count(*) FILTER (WHERE Country IS NULL) FROM fact)),
+  ('ImmigrationVolume', 'int', 'int', (SELECT count(*) FILTER (WHERE ImmigrationVolume IS NULL) FROM fact)),
+  ('SingleCountry', 'string', 'string', (SELECT count(*) FILTER (WHERE SingleCountry IS NULL) FROM fact)),
+  ('Year', 'int', 'int', (SELECT count(*) FILTER (WHERE Year IS NULL) FROM fact))
+) AS t(column_name, expected_type, data_type, nulls)""",
+    "dq_key_unique": W_HAPPY + """
+SELECT Country, Year, count(*) AS n
+FROM (SELECT CASE WHEN Country IN ('Nation_20', 'Nation_21', 'Nation_22', 'Nation_23', 'Nation_24')
+                  THEN 'Nation_' || CAST(CAST(substr(Country, 8) AS INTEGER) - 20 AS VARCHAR)
+                  ELSE Country END AS Country, Year FROM happy)
+GROUP BY Country, Year HAVING count(*) > 1""",
     # ---- strings / scalars
     "str_trim_replace": f"""
 SELECT doc_id,
