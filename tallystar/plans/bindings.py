@@ -81,10 +81,11 @@ def raw_records(spark: SparkSession, sf_dir: str, with_row_key: bool = False) ->
     ``with_row_key`` adds ``_row_key``: the lineitem file and row position,
     unique and the same on every recomputation (unlike an id generated after
     the joins), for use as a record key when landing."""
+    row_key = F.concat_ws("-", F.xxhash64("_metadata.file_path").cast("string"),
+                          F.col("_metadata.row_index").cast("string")).alias("_row_key")
     li = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_returnflag", "l_quantity",
-        F.concat_ws("-", F.xxhash64("_metadata.file_path").cast("string"),
-                    F.col("_metadata.row_index").cast("string")).alias("_row_key"))
+        *([row_key] if with_row_key else []))
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     p = table(spark, sf_dir, "part").select("p_partkey", "p_size")
