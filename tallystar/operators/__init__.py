@@ -33,6 +33,7 @@ from tallystar.operators.star import (  # noqa: F401
     checked_broadcast,
     conform,
     coverage,
+    coverage_keys,
     decode,
     except_keys,
     key_unique,

@@ -59,6 +59,12 @@ def coverage(left: DataFrame, right: DataFrame, left_col: str, right_col: str,
     return lk.join(rk, lk[left_col] == rk["_rk"], "left_anti")
 
 
+def coverage_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """J4 on a composite key: distinct ``keys`` of ``left`` with no row in
+    ``right`` (what an inner join on ``keys`` would drop silently, D17)."""
+    return left.select(*keys).distinct().join(right.select(*keys).distinct(), list(keys), "left_anti")
+
+
 def conform(df: DataFrame, mapping: Mapping[str, str], cols: Sequence[str]) -> DataFrame:
     """Rename by ``mapping`` (source -> target) and keep ``cols`` in
     that order; unmapped source columns are dropped."""

@@ -217,6 +217,13 @@ def join_coverage_anti(spark, sf):
     return star.coverage(_t(spark, sf, "orders"), _t(spark, sf, "lineitem"), "o_orderkey", "l_orderkey")
 
 
+def join_coverage_scores(spark, sf):
+    """Countries with immigrants in a year but no score that year: the rows
+    the top-k join drops."""
+    fact, dim = _star(spark, sf)
+    return star.coverage_keys(fact, dim, ["Country", "Year"])
+
+
 # ---------------------------------------------------------------- profiles
 def profile_nulls(spark, sf):
     return profile.null_counts(_raw(spark, sf))
@@ -419,7 +426,7 @@ QUERIES: dict[str, Query] = {f.__name__: f for f in [
     agg_sum_by_key, agg_row_counts, agg_dedup, win_rank, topk,
     filt_measure, filt_code_range, filt_drop_totals, filt_conjunction, filt_partition,
     filt_key_slice, map_lookup, json_map_explode,
-    join_star_decode, join_two_hop, join_coverage_anti,
+    join_star_decode, join_two_hop, join_coverage_anti, join_coverage_scores,
     profile_nulls, profile_distinct, profile_distinct_values, profile_describe, head_tail, sample_rows,
     set_except,
     dq_report, dq_duplicates, dq_domain, dq_domain_dim, dq_reconcile, dq_schema, dq_key_unique,

@@ -201,6 +201,9 @@ JOIN region g ON n.n_regionkey = g.r_regionkey""",
     "join_coverage_anti": """
 SELECT DISTINCT o.o_orderkey FROM orders o
 WHERE NOT EXISTS (SELECT 1 FROM lineitem l WHERE l.l_orderkey = o.o_orderkey)""",
+    "join_coverage_scores": W_STAR + """
+SELECT DISTINCT f.Country, f.Year FROM fact f
+WHERE NOT EXISTS (SELECT 1 FROM happy h WHERE h.Country = f.Country AND h.Year = f.Year)""",
     # ---- profiles
     "profile_nulls": W_RAW + """
 SELECT * FROM (VALUES
