@@ -78,7 +78,8 @@ def _star(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
 
 
 def _raw(spark: SparkSession, sf: str) -> DataFrame:
-    return B.raw_records(spark, sf)
+    """Raw records (the reference's seven fields), from the landed copy."""
+    return L.landed_raw_table(spark, L.land_inputs(spark, sf))
 
 
 def _codes(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
@@ -193,12 +194,14 @@ def json_map_explode(spark, sf):
 def join_star_decode(spark, sf):
     recs = clean_records(_raw(spark, sf), B.STANDIN_BOOK)
     dims = _codes(spark, sf)
+    b = L.codes_small(spark, L.land_inputs(spark, sf))
     f = recs
-    f = star.decode(f, dims["gender"], "Geslacht", "GeslachtCode", ["Gender"])
-    f = star.decode(f, dims["age"], "LeeftijdOp31December", "LeeftijdCode", ["Age"])
-    f = star.decode(f, dims["marital"], "BurgerlijkeStaat", "BurgerlijkeStaatCode", ["MaritalStatus"])
-    f = star.decode(f, dims["country"], "Geboorteland", "LandCode", ["Land"])
-    f = star.decode(f, dims["period"], "Perioden", "PeriodeCode", ["Year"])
+    f = star.decode(f, dims["gender"], "Geslacht", "GeslachtCode", ["Gender"], broadcast=b)
+    f = star.decode(f, dims["age"], "LeeftijdOp31December", "LeeftijdCode", ["Age"], broadcast=b)
+    f = star.decode(f, dims["marital"], "BurgerlijkeStaat", "BurgerlijkeStaatCode", ["MaritalStatus"],
+                    broadcast=b)
+    f = star.decode(f, dims["country"], "Geboorteland", "LandCode", ["Land"], broadcast=b)
+    f = star.decode(f, dims["period"], "Perioden", "PeriodeCode", ["Year"], broadcast=b)
     return f.select("ID", "Gender", leading_int("Age").alias("Age"), "MaritalStatus", "Land",
                     safe_int("Year").alias("Year"), "Immigratie_1")
 
@@ -207,7 +210,8 @@ def join_two_hop(spark, sf):
     land = L.land_inputs(spark, sf)
     recs = clean.trim_columns(_raw(spark, sf).select("ID", "Geboorteland"), ["Geboorteland"])
     dims = _codes(spark, sf)
-    f = star.decode(recs, dims["country"], "Geboorteland", "LandCode", ["Land"])
+    f = star.decode(recs, dims["country"], "Geboorteland", "LandCode", ["Land"],
+                    broadcast=L.codes_small(spark, land))
     tr = read_csv_strings(spark, land.translation)
     f = star.decode(f, tr, "Land", "Land_Dutch", ["Country", "SingleCountry"])
     return f.select("ID", "Geboorteland", "Land", "Country", "SingleCountry")
