@@ -14,6 +14,7 @@ after an executor loss).
 from __future__ import annotations
 
 import math
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -119,6 +120,14 @@ def write_happiness(h: DataFrame, path: str, switch_year: int) -> None:
 
 
 # ------------------------------------------------------------------ landing
+def _run_concurrently(jobs: list) -> None:
+    """Submit independent writes as concurrent Spark jobs (one driver thread
+    each), so small jobs overlap instead of queueing behind a large one."""
+    with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
+        for f in [pool.submit(j) for j in jobs]:
+            f.result()
+
+
 def land_inputs(spark: SparkSession, sf_dir: str) -> Landing:
     key = _key(spark, sf_dir)
     if key in _LANDED:
@@ -127,13 +136,20 @@ def land_inputs(spark: SparkSession, sf_dir: str) -> Landing:
     land = Landing(raw=fresh_path(spark, "raw-records"), imm=fresh_path(spark, "imm-json"),
                    codes=fresh_path(spark, "codelist"), translation=fresh_path(spark, "translation"),
                    happiness=fresh_path(spark, "happiness"))
-    # the four-table join runs once: raw records are written as Parquet and
-    # the keyed-JSON documents are built from that copy
-    B.raw_records(spark, sf_dir, with_row_key=True).write.mode("overwrite").parquet(land.raw)
-    write_keyed_json(spark.read.parquet(land.raw), land.imm, B.RECORDS_PER_DOC, n_records)
-    write_code_list(B.code_sections(spark, sf_dir), spark, land.codes)
-    B.translation(spark, sf_dir).write.option("header", True).mode("overwrite").csv(land.translation)
-    write_happiness(B.happiness_yearly(spark, sf_dir), land.happiness, B.STANDIN_LAYOUT_SWITCH)
+
+    def records() -> None:
+        # the four-table join runs once: raw records are written as Parquet
+        # and the keyed-JSON documents are built from that copy
+        B.raw_records(spark, sf_dir, with_row_key=True).write.mode("overwrite").parquet(land.raw)
+        write_keyed_json(spark.read.parquet(land.raw), land.imm, B.RECORDS_PER_DOC, n_records)
+
+    _run_concurrently([
+        records,
+        lambda: write_code_list(B.code_sections(spark, sf_dir), spark, land.codes),
+        lambda: B.translation(spark, sf_dir).write.option("header", True).mode("overwrite")
+        .csv(land.translation),
+        lambda: write_happiness(B.happiness_yearly(spark, sf_dir), land.happiness, B.STANDIN_LAYOUT_SWITCH),
+    ])
     _LANDED[key] = land
     return land
 
@@ -182,8 +198,8 @@ def ensure_star(spark: SparkSession, sf_dir: str) -> Landing:
         F.count_if(F.col("ImmigrationVolume") == 0).alias("zero_measure"),
         sum((F.count_if(F.col(c).isNull()) for c in fact.columns), F.lit(0)).alias("null_cells"))
     fact_path, dim_path = fresh_path(spark, "fact"), fresh_path(spark, "dim")
-    write_by_year(observed, fact_path)
-    write_by_year(landed_dimension(spark, land), dim_path)
+    dim = landed_dimension(spark, land)
+    _run_concurrently([lambda: write_by_year(observed, fact_path), lambda: write_by_year(dim, dim_path)])
     land.fact, land.dim, land.checks = fact_path, dim_path, dict(obs.get)
     return land
 
