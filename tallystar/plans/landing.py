@@ -37,7 +37,7 @@ from tallystar.sources.sinks import write_by_year
 
 CODE_LIST_HEADER = "Key;Title;Description"
 CODE_LIST_PREAMBLE = [
-    "Table 03742: immigration by sex, age, marital status and country of birth",
+    "Immigration by sex, age, marital status and country of birth",
     "Code lists per dimension follow; each starts with a Key;Title header line.",
     "",
 ]

@@ -43,10 +43,10 @@ def test_decode_map_by_code(spark):
 def test_file_year_from_name_and_folder(spark, local_tmp):
     import os
     os.makedirs(f"{local_tmp}/a/Year=2019")
-    open(f"{local_tmp}/a/03742_TypedDataSet_2018.txt", "w").write("x\n")
+    open(f"{local_tmp}/a/immigration_records_2018.txt", "w").write("x\n")
     open(f"{local_tmp}/a/Year=2019/part-00000-abc.c000.txt", "w").write("y\n")
     from tallystar.sources.readers import with_file_year
-    df = with_file_year(spark.read.text([f"{local_tmp}/a/03742_TypedDataSet_2018.txt",
+    df = with_file_year(spark.read.text([f"{local_tmp}/a/immigration_records_2018.txt",
                                          f"{local_tmp}/a/Year=2019/part-00000-abc.c000.txt"]))
     got = sorted((r["value"], r["Year"]) for r in df.collect())
     assert got == [("x", 2018), ("y", 2019)]

@@ -19,7 +19,7 @@ def test_keyed_json(spark, local_tmp):
                            "BurgerlijkeStaat": "1010 ", "Geboorteland": "L1", "Perioden": "2018JJ00",
                            "Immigratie_1": 5},
                      "24": {"ID": "2", "Geslacht": "4000", "Immigratie_1": None}}}
-    path = f"{local_tmp}/03742_TypedDataSet_2018.json"
+    path = f"{local_tmp}/immigration_records_2018.json"
     open(path, "w").write(json.dumps(doc) + "\n")
     df = read_keyed_json(spark, path, RAW_SCHEMA, keep_year=True)
     rows = {r["key"]: r for r in df.collect()}
@@ -44,7 +44,7 @@ def _metadata_file(path):
 
 
 def test_sections_by_marker_and_by_ranges_agree(spark, local_tmp):
-    path = f"{local_tmp}/03742_metadata.csv"
+    path = f"{local_tmp}/code_lists.csv"
     sizes = _metadata_file(path)
     by_marker = read_sections(spark, path)
     by_range = read_section_ranges(spark, path, REFERENCE_SECTION_RANGES)
@@ -56,7 +56,7 @@ def test_sections_by_marker_and_by_ranges_agree(spark, local_tmp):
 
 
 def test_translation_csv_quoted_and_blanks(spark, local_tmp):
-    path = f"{local_tmp}/countries_translation.csv"
+    path = f"{local_tmp}/translation.csv"
     open(path, "w").write('Land_Dutch,Country\r\n"Bonaire, Sint Eustatius",Bonaire\r\nTuvalu,Tuvalu \r\n')
     rows = read_csv_strings(spark, path).collect()
     assert rows[0]["Land_Dutch"] == "Bonaire, Sint Eustatius" and rows[1]["Country"] == "Tuvalu "
