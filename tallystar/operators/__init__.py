@@ -18,6 +18,7 @@ from tallystar.operators.profile import (  # noqa: F401
     distinct_values,
     head,
     null_counts,
+    sample_by_key,
     sample_rows,
     tail,
 )

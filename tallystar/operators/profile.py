@@ -86,3 +86,17 @@ def cell(df: DataFrame, order: Sequence[str], row: int, col: str) -> DataFrame:
 def sample_rows(df: DataFrame, fraction: float, seed: int = 42) -> DataFrame:
     """Bernoulli sample per partition; no shuffle, no global sort."""
     return df.sample(fraction=fraction, seed=seed)
+
+
+# Multiplicative hash constants for ``sample_by_key``.
+KEY_HASH_PRIME = 1_000_003
+KEY_HASH_MULT = 2_654_435_761
+
+
+def sample_by_key(df: DataFrame, key: str, fraction: float, buckets: int = 10_000) -> DataFrame:
+    """O5, reproducible: keep rows whose integer key hashes into the first
+    ``fraction`` of ``buckets``. The same rows on every run and after any
+    task retry, and whole keys are kept or dropped together. The arithmetic
+    stays within 64 bits for any key."""
+    h = F.pmod(F.pmod(F.col(key), F.lit(KEY_HASH_PRIME)) * F.lit(KEY_HASH_MULT), F.lit(buckets))
+    return df.where(h < F.lit(int(round(fraction * buckets))))

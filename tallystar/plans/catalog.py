@@ -261,6 +261,20 @@ def sample_rows(spark, sf):
     return profile.sample_rows(_t(spark, sf, "orders"), SAMPLE_FRACTION, seed=42)
 
 
+def sample_rows_by_key(spark, sf):
+    return profile.sample_by_key(_t(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_totalprice"),
+                                 "o_orderkey", SAMPLE_FRACTION)
+
+
+def set_difference_both(spark, sf):
+    """U3 both ways: customers only in 1998 and only in 1999."""
+    o = _t(spark, sf, "orders")
+    a = o.where(F.year("o_orderdate") == 1998)
+    b = o.where(F.year("o_orderdate") == 1999)
+    return star.except_keys(a, b, ["o_custkey"]).withColumn("side", F.lit("only_1998")).unionByName(
+        star.except_keys(b, a, ["o_custkey"]).withColumn("side", F.lit("only_1999")))
+
+
 def set_except(spark, sf):
     o = _t(spark, sf, "orders")
     a = o.where(F.year("o_orderdate") == 1998)
@@ -432,7 +446,7 @@ QUERIES: dict[str, Query] = {f.__name__: f for f in [
     filt_key_slice, map_lookup, json_map_explode,
     join_star_decode, join_two_hop, join_coverage_anti, join_coverage_scores,
     profile_nulls, profile_distinct, profile_distinct_values, profile_describe, head_tail, sample_rows,
-    set_except,
+    sample_rows_by_key, set_except, set_difference_both,
     dq_report, dq_duplicates, dq_domain, dq_domain_dim, dq_reconcile, dq_schema, dq_key_unique,
     str_trim_replace, str_harmonise, proj_select_rename, proj_constant, proj_decode_map, proj_safe_cast,
     src_year_from_path, src_keyed_json, src_sectioned, src_csv_typed, src_csv_strings, conform_union,

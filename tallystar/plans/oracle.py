@@ -234,6 +234,17 @@ SELECT * FROM (VALUES
 SELECT * FROM (SELECT 'head' AS side, p_partkey, p_type, p_size FROM part ORDER BY p_partkey LIMIT 5)
 UNION ALL SELECT * FROM (SELECT 'tail' AS side, p_partkey, p_type, p_size FROM part ORDER BY p_partkey DESC LIMIT 5)
 UNION ALL SELECT * FROM (SELECT 'cell' AS side, p_partkey, p_type, p_size FROM part ORDER BY p_partkey LIMIT 1 OFFSET 1)""",
+    "sample_rows_by_key": """
+SELECT o_orderkey, o_custkey, o_totalprice FROM orders
+WHERE ((o_orderkey % 1000003) * 2654435761) % 10000 < 1000""",
+    "set_difference_both": """
+SELECT o_custkey, 'only_1998' AS side FROM (
+  SELECT o_custkey FROM orders WHERE year(o_orderdate) = 1998
+  EXCEPT SELECT o_custkey FROM orders WHERE year(o_orderdate) = 1999)
+UNION ALL
+SELECT o_custkey, 'only_1999' AS side FROM (
+  SELECT o_custkey FROM orders WHERE year(o_orderdate) = 1999
+  EXCEPT SELECT o_custkey FROM orders WHERE year(o_orderdate) = 1998)""",
     "set_except": """
 SELECT o_custkey FROM orders WHERE year(o_orderdate) = 1998
 EXCEPT SELECT o_custkey FROM orders WHERE year(o_orderdate) = 1999""",
