@@ -32,14 +32,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallystar.functions.strings import decode_map
-from tallystar.operators.rank import rank_within
 from tallystar.operators.star import checked_broadcast
-from tallystar.plans.model import (
-    LAYOUT_2018_COLUMNS,
-    LAYOUT_2020_COLUMNS,
-    RAW_FIELDS,
-    CodeBook,
-)
+from tallystar.plans.model import CodeBook
 
 # Stand-in codes (fixed values of the binding).
 STANDIN_GENDER = {"A": ("Mannen", "Men"), "N": ("Vrouwen", "Women"),

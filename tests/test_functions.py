@@ -1,5 +1,3 @@
-from pyspark.sql import functions as F
-
 from tallystar.functions.strings import decode_map, leading_int, replace_chain, safe_int, strict_int, strip_ws
 from tallystar.plans.model import AGE_LABEL_CHAIN
 

@@ -1,7 +1,6 @@
 import json
 
 import pytest
-from pyspark.sql import functions as F
 
 from tallystar.plans.model import HAPPINESS_LAYOUTS, RAW_SCHEMA, REFERENCE_SECTION_RANGES
 from tallystar.plans.pipelines import build_dimension, files_by_layout, read_yearly_layouts
