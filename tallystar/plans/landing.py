@@ -14,6 +14,7 @@ after an executor loss).
 from __future__ import annotations
 
 import math
+import threading
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
@@ -56,6 +57,8 @@ class Landing:
 
 
 _LANDED: dict[tuple[str, str], Landing] = {}
+# Queries may be called from several driver threads; land and build once.
+_LOCK = threading.RLock()
 
 
 def _key(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
@@ -129,6 +132,11 @@ def _run_concurrently(jobs: list) -> None:
 
 
 def land_inputs(spark: SparkSession, sf_dir: str) -> Landing:
+    with _LOCK:
+        return _land_inputs(spark, sf_dir)
+
+
+def _land_inputs(spark: SparkSession, sf_dir: str) -> Landing:
     key = _key(spark, sf_dir)
     if key in _LANDED:
         return _LANDED[key]
@@ -188,6 +196,11 @@ def landed_dimension(spark: SparkSession, land: Landing) -> DataFrame:
 def ensure_star(spark: SparkSession, sf_dir: str) -> Landing:
     """Write the fact and the dimension once; checks ride along the fact
     write through ``observe``, so they cost no extra pass."""
+    with _LOCK:
+        return _ensure_star(spark, sf_dir)
+
+
+def _ensure_star(spark: SparkSession, sf_dir: str) -> Landing:
     land = land_inputs(spark, sf_dir)
     if land.fact is not None:
         return land
