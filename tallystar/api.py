@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from tallystar.operators.star import is_small
 from tallystar.plans import marts
 from tallystar.plans.model import RAW_SCHEMA, REFERENCE_BOOK, REFERENCE_SECTION_RANGES, CodeBook, reference_layout
-from tallystar.plans.pipelines import build_dimension, build_fact, code_lists
+from tallystar.plans.star_build import build_dimension, build_fact, code_lists
 from tallystar.sources.readers import read_csv_strings, read_keyed_json, read_section_ranges, read_sections
 from tallystar.sources.sinks import write_by_year
 

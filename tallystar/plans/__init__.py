@@ -1 +1 @@
-"""Plans: model, stand-in bindings, pipelines, marts and the query catalog."""
+"""Plans: model, stand-in bindings, star builds, marts and the query catalog."""

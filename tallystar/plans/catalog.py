@@ -36,7 +36,7 @@ from tallystar.plans.model import (
     RAW_FIELDS,
     RAW_SCHEMA,
 )
-from tallystar.plans.pipelines import (
+from tallystar.plans.star_build import (
     clean_records,
     conform_yearly,
     files_by_layout,
@@ -112,11 +112,11 @@ def mart_trend_pivot(spark, sf):
     return M.trend_pivot(fact, TREND_YEARS)
 
 
-def pipeline_fact(spark, sf):
+def fact_build(spark, sf):
     return L.landed_fact(spark, L.land_inputs(spark, sf))
 
 
-def pipeline_dimension(spark, sf):
+def dimension_build(spark, sf):
     return L.landed_dimension(spark, L.land_inputs(spark, sf))
 
 
@@ -440,7 +440,7 @@ def stream_yearly_refresh(spark, sf):
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in [
     mart_topk_with_score, mart_profile, mart_profile_split, mart_correlation, mart_trend_pivot,
-    pipeline_fact, pipeline_dimension,
+    fact_build, dimension_build,
     agg_sum_by_key, agg_row_counts, agg_dedup, win_rank, topk,
     filt_measure, filt_code_range, filt_drop_totals, filt_conjunction, filt_partition,
     filt_key_slice, map_lookup, json_map_explode,

@@ -1,6 +1,6 @@
 """Land the reference-shaped inputs, then build and write the star.
 
-``land_inputs`` writes, from the test tables, the four inputs the pipelines
+``land_inputs`` writes, from the test tables, the four inputs the builds
 read: keyed-JSON record documents, the sectioned code-list file, the
 translation CSV and the yearly happiness CSVs in two header layouts (plus
 the raw records as Parquet, which the record-level queries read).
@@ -31,7 +31,7 @@ from tallystar.plans.model import (
     RAW_FIELDS,
     RAW_SCHEMA,
 )
-from tallystar.plans.pipelines import build_dimension, build_fact, read_code_lists
+from tallystar.plans.star_build import build_dimension, build_fact, read_code_lists
 from tallystar.session import fresh_path
 from tallystar.sources.readers import read_csv_strings, read_keyed_json
 from tallystar.sources.sinks import write_by_year

@@ -2,7 +2,7 @@
 
 A ``CodeBook`` holds everything that differs between inputs of the same
 shape: total codes, the age-band limit, English labels per code. The
-pipelines take a code book, so the same code runs on the published data
+builds take a code book, so the same code runs on the published data
 (``REFERENCE_BOOK``) and on the stand-in built from the test tables
 (``plans.bindings.STANDIN_BOOK``).
 """

@@ -141,8 +141,8 @@ SELECT Age, """ + ", ".join(
         f"CAST(sum(ImmigrationVolume) FILTER (WHERE Year = {y}) AS BIGINT) AS y{y}"
         for y in range(1995, 2002)) + """
 FROM fact GROUP BY Age""",
-    "pipeline_fact": W_FACT + f"\nSELECT {FACT_COLS} FROM fact",
-    "pipeline_dimension": W_HAPPY + f"\nSELECT {DIM_COLS} FROM happy",
+    "fact_build": W_FACT + f"\nSELECT {FACT_COLS} FROM fact",
+    "dimension_build": W_HAPPY + f"\nSELECT {DIM_COLS} FROM happy",
     # ---- aggregates
     "agg_sum_by_key": W_FACT + """
 SELECT Country, CAST(sum(ImmigrationVolume) AS BIGINT) AS sumImmigrationVolume FROM fact GROUP BY Country""",

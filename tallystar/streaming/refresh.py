@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tallystar.plans.model import reference_layout
-from tallystar.plans.pipelines import _path_year, conform_yearly, files_by_layout, list_inputs_deep, read_yearly_layouts
+from tallystar.plans.star_build import _path_year, conform_yearly, files_by_layout, list_inputs_deep, read_yearly_layouts
 from tallystar.sources.sinks import write_by_year
 
 

@@ -60,7 +60,7 @@ def _plan(df):
 
 def test_fact_build_plan(spark):
     from tallystar.plans.catalog import QUERIES
-    plan = _plan(QUERIES["pipeline_fact"](spark, SF))
+    plan = _plan(QUERIES["fact_build"](spark, SF))
     import re
     assert len(re.findall(r"^\(\d+\) BroadcastHashJoin", plan, re.M)) == 6
     assert len(re.findall(r"^\(\d+\) Exchange", plan, re.M)) == 1  # the dedup only

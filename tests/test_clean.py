@@ -1,11 +1,11 @@
-"""Crafted records, one per cleaning rule, through the fact pipeline with the
+"""Crafted records, one per cleaning rule, through the fact build with the
 reference's code book."""
 import pytest
 from pyspark.sql import functions as F
 
 from tallystar.operators.clean import dedup_first, drop_totals, key_slice
 from tallystar.plans.model import RAW_SCHEMA, REFERENCE_BOOK
-from tallystar.plans.pipelines import build_fact, clean_records, code_lists
+from tallystar.plans.star_build import build_fact, clean_records, code_lists
 
 BASE = ["3000", "10010", "1010   ", "L1", "2018JJ00", 7]
 

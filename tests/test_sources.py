@@ -3,7 +3,7 @@ import json
 import pytest
 
 from tallystar.plans.model import HAPPINESS_LAYOUTS, RAW_SCHEMA, REFERENCE_SECTION_RANGES
-from tallystar.plans.pipelines import build_dimension, files_by_layout, read_yearly_layouts
+from tallystar.plans.star_build import build_dimension, files_by_layout, read_yearly_layouts
 from tallystar.sources.readers import (
     list_inputs,
     read_csv_strings,
