@@ -10,4 +10,4 @@ from tallystar.functions.strings import (  # noqa: F401
     strict_int,
     strip_ws,
 )
-from tallystar.functions.paths import file_year  # noqa: F401
+from tallystar.functions.paths import file_year, in_year  # noqa: F401

@@ -4,6 +4,9 @@ The reference cuts the year out of the file name by fixed negative offsets.
 Here it is a regex over ``_metadata``: first the file name
 (``..._2018.json``), then the parent folder (``Year=2018/part-...``, the
 layout Spark itself writes).
+
+``in_year`` is the matching filter on a timestamp column, written as a range
+so it is pushed to the Parquet scan.
 """
 
 from __future__ import annotations
@@ -19,3 +22,13 @@ def file_year(name_pattern: str = NAME_YEAR, dir_pattern: str = DIR_YEAR) -> Col
     from_name = F.nullif(F.regexp_extract(F.col("_metadata.file_name"), name_pattern, 1), F.lit(""))
     from_dir = F.nullif(F.regexp_extract(F.col("_metadata.file_path"), dir_pattern, 1), F.lit(""))
     return F.coalesce(from_name, from_dir).try_cast("int")
+
+
+def in_year(ts_col: str, year: int) -> Column:
+    """``year(ts_col) == year`` for a TIMESTAMP_NTZ column, written as a
+    half-open range on the column itself, so Parquet gets it as a pushed
+    filter (row-group skipping)."""
+    c = F.col(ts_col)
+    lo = F.lit(f"{year}-01-01 00:00:00").cast("timestamp_ntz")
+    hi = F.lit(f"{year + 1}-01-01 00:00:00").cast("timestamp_ntz")
+    return (c >= lo) & (c < hi)

@@ -10,6 +10,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from tallystar.functions.strings import leading_int, strip_ws
 
@@ -71,8 +72,13 @@ def dedup_first(df: DataFrame, keys: Sequence[str], order: Sequence[str] | None
 
 def key_slice(df: DataFrame, key: str, starts: Sequence[int], length: int = 5) -> DataFrame:
     """records whose numeric key lies in ``[s, s + length)`` for any
-    start ``s`` (the reference's preview of a few keys at chosen offsets)."""
-    k = F.when(F.col(key).cast("string").rlike(r"^\s*[+-]?\d{1,18}\s*$"), F.col(key).try_cast("long"))
+    start ``s`` (the reference's preview of a few keys at chosen offsets).
+    An integral key is compared as is, so the ranges reach the Parquet scan
+    as pushed filters; a text key (the JSON map keys) is parsed first."""
+    if isinstance(df.schema[key].dataType, IntegralType):
+        k = F.col(key)
+    else:
+        k = F.when(F.col(key).rlike(r"^\s*[+-]?\d{1,18}\s*$"), F.col(key).try_cast("long"))
     cond = F.lit(False)
     for s in starts:
         cond = cond | k.between(s, s + length - 1)

@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallystar.functions.paths import file_year
+from tallystar.functions.paths import file_year, in_year
 from tallystar.functions.strings import (
     decode_map,
     leading_int,
@@ -269,16 +269,16 @@ def sample_rows_by_key(spark, sf):
 def set_difference_both(spark, sf):
     """U3 both ways: customers only in 1998 and only in 1999."""
     o = _t(spark, sf, "orders")
-    a = o.where(F.year("o_orderdate") == 1998)
-    b = o.where(F.year("o_orderdate") == 1999)
+    a = o.where(in_year("o_orderdate", 1998))
+    b = o.where(in_year("o_orderdate", 1999))
     return star.except_keys(a, b, ["o_custkey"]).withColumn("side", F.lit("only_1998")).unionByName(
         star.except_keys(b, a, ["o_custkey"]).withColumn("side", F.lit("only_1999")))
 
 
 def set_except(spark, sf):
     o = _t(spark, sf, "orders")
-    a = o.where(F.year("o_orderdate") == 1998)
-    b = o.where(F.year("o_orderdate") == 1999)
+    a = o.where(in_year("o_orderdate", 1998))
+    b = o.where(in_year("o_orderdate", 1999))
     return star.except_keys(a, b, ["o_custkey"])
 
 
