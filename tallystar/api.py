@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from tallystar.operators.star import is_small
 from tallystar.plans import marts
 from tallystar.plans.model import RAW_SCHEMA, REFERENCE_BOOK, REFERENCE_SECTION_RANGES, CodeBook, reference_layout
-from tallystar.plans.star_build import build_dimension, build_fact, code_lists
+from tallystar.plans.star_build import build_dimension, build_fact, clean_records, code_lists, decode_coverage
 from tallystar.sources.readers import read_csv_strings, read_keyed_json, read_section_ranges, read_sections
 from tallystar.sources.sinks import write_by_year
 
@@ -48,6 +48,18 @@ def read_inputs(spark: SparkSession, imm_path: str, metadata_path: str, translat
                       codes_small=small)
 
 
+def coverage(spark: SparkSession, imm_path: str, metadata_path: str, translation_path: str,
+             book: CodeBook = REFERENCE_BOOK,
+             section_ranges: Sequence[tuple[int, int]] | None = None) -> DataFrame:
+    """Codes of the cleaned records that no code list or translation
+    covers, with the rows the fact build drops because of them."""
+    sections = (read_section_ranges(spark, metadata_path, section_ranges) if section_ranges
+                else read_sections(spark, metadata_path))
+    raw = read_keyed_json(spark, imm_path, RAW_SCHEMA).drop("key")
+    return decode_coverage(clean_records(raw, book), code_lists(sections, book),
+                           read_csv_strings(spark, translation_path))
+
+
 def run_etl(spark: SparkSession, imm_path: str, metadata_path: str, translation_path: str,
             happiness_path: str, out_dir: str, book: CodeBook = REFERENCE_BOOK,
             layout_for_year: Callable[[int], str] = reference_layout,
@@ -85,5 +97,5 @@ def age_profile(spark: SparkSession, result: EtlResult, by_gender: bool = False)
     return marts.age_profile(spark.read.parquet(result.fact_path), keys)
 
 
-__all__ = ["EtlResult", "read_inputs", "run_etl", "top_countries", "age_profile",
+__all__ = ["EtlResult", "read_inputs", "coverage", "run_etl", "top_countries", "age_profile",
            "REFERENCE_SECTION_RANGES"]

@@ -39,6 +39,7 @@ from tallystar.plans.model import (
 from tallystar.plans.star_build import (
     clean_records,
     conform_yearly,
+    decode_coverage,
     files_by_layout,
     list_inputs_deep,
     read_yearly_layouts,
@@ -221,6 +222,14 @@ def join_coverage_anti(spark, sf):
     return star.coverage(_t(spark, sf, "orders"), _t(spark, sf, "lineitem"), "o_orderkey", "l_orderkey")
 
 
+def join_coverage_codes(spark, sf):
+    """D17 beside the decodes: codes of the cleaned records no code list or
+    translation covers (the stand-in covers all, so this is empty)."""
+    land = L.land_inputs(spark, sf)
+    return decode_coverage(clean_records(_raw(spark, sf), B.STANDIN_BOOK), _codes(spark, sf),
+                           read_csv_strings(spark, land.translation))
+
+
 def join_coverage_scores(spark, sf):
     """Countries with immigrants in a year but no score that year: the rows
     the top-k join drops."""
@@ -445,6 +454,7 @@ QUERIES: dict[str, Query] = {f.__name__: f for f in [
     filt_measure, filt_code_range, filt_drop_totals, filt_conjunction, filt_partition,
     filt_key_slice, map_lookup, json_map_explode,
     join_star_decode, join_two_hop, join_coverage_anti, join_coverage_scores,
+    join_coverage_codes,
     profile_nulls, profile_distinct, profile_distinct_values, profile_describe, head_tail, sample_rows,
     sample_rows_by_key, set_except, set_difference_both,
     dq_report, dq_duplicates, dq_domain, dq_domain_dim, dq_reconcile, dq_schema, dq_key_unique,

@@ -201,6 +201,23 @@ JOIN region g ON n.n_regionkey = g.r_regionkey""",
     "join_coverage_anti": """
 SELECT DISTINCT o.o_orderkey FROM orders o
 WHERE NOT EXISTS (SELECT 1 FROM lineitem l WHERE l.l_orderkey = o.o_orderkey)""",
+    "join_coverage_codes": W_CLEAN + """,
+codes AS (
+  SELECT 'gender' AS dimension, Geslacht AS code FROM clean
+  UNION ALL SELECT 'age', LeeftijdOp31December FROM clean
+  UNION ALL SELECT 'marital', BurgerlijkeStaat FROM clean
+  UNION ALL SELECT 'country', Geboorteland FROM clean
+  UNION ALL SELECT 'period', Perioden FROM clean),
+known AS (
+  SELECT 'gender' AS dimension, l_returnflag AS code FROM lineitem
+  UNION SELECT 'age', CAST(10000 + 10 * p_size AS VARCHAR) FROM part
+  UNION SELECT 'age', '10000'
+  UNION SELECT 'marital', o_orderpriority FROM orders
+  UNION SELECT 'country', CAST(n_nationkey AS VARCHAR) FROM nation
+  UNION SELECT 'period', CAST(year(o_orderdate) AS VARCHAR) || 'JJ00' FROM orders)
+SELECT c.dimension, c.code, count(*) AS rows FROM codes c
+WHERE NOT EXISTS (SELECT 1 FROM known k WHERE k.dimension = c.dimension AND k.code = c.code)
+GROUP BY c.dimension, c.code""",
     "join_coverage_scores": W_STAR + """
 SELECT DISTINCT f.Country, f.Year FROM fact f
 WHERE NOT EXISTS (SELECT 1 FROM happy h WHERE h.Country = f.Country AND h.Year = f.Year)""",

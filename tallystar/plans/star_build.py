@@ -89,6 +89,32 @@ def decode_records(records: DataFrame, dims: Mapping[str, DataFrame], translatio
     return f
 
 
+DECODES = [("gender", "Geslacht", "GeslachtCode"), ("age", "LeeftijdOp31December", "LeeftijdCode"),
+           ("marital", "BurgerlijkeStaat", "BurgerlijkeStaatCode"), ("country", "Geboorteland", "LandCode"),
+           ("period", "Perioden", "PeriodeCode")]
+
+
+def decode_coverage(records: DataFrame, dims: Mapping[str, DataFrame], translation: DataFrame) -> DataFrame:
+    """What the inner decode joins would drop, ``(dimension, code,
+    rows)``. One pass over the records: every code column is unpivoted and
+    counted per (dimension, code) with map-side combining, so the shuffle
+    carries at most one row per distinct code per task. The counts (bounded
+    by the code domains plus unknown codes) then meet the code lists; the
+    ``translation`` rows are country names that have no translation."""
+    codes = records.select(F.explode(F.array(*[
+        F.struct(F.lit(d).alias("dimension"), F.col(c).alias("code")) for d, c, _ in DECODES])).alias("x")) \
+        .select("x.*").groupBy("dimension", "code").agg(F.count(F.lit(1)).alias("rows"))
+    known = union_all([dims[d].select(F.lit(d).alias("dimension"), F.col(k).alias("code"))
+                       for d, _, k in DECODES])
+    missing = codes.join(known, ["dimension", "code"], "left_anti")
+    lands = codes.where(F.col("dimension") == "country").join(
+        dims["country"].select(F.col("LandCode").alias("code"), strip_ws("Land").alias("Land")), "code") \
+        .groupBy("Land").agg(F.sum("rows").alias("rows"))
+    untranslated = lands.join(translation.select(strip_ws("Land_Dutch").alias("Land")), "Land", "left_anti") \
+        .select(F.lit("translation").alias("dimension"), F.col("Land").alias("code"), "rows")
+    return missing.unionByName(untranslated)
+
+
 def build_fact(raw: DataFrame, dims: Mapping[str, DataFrame], translation: DataFrame,
                book: CodeBook, codes_small: bool | None = None) -> DataFrame:
     """M5: raw records (the reference's seven fields) to the fact table."""

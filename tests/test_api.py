@@ -65,3 +65,19 @@ def test_run_etl_and_questions(spark, local_tmp, tmp, ranges):
     assert top == [("Morocco", 12, 5.2), ("Syria", 4, 3.4)]
     prof = {(r["Year"], r["Age"]): r["sumImmigrationVolume"] for r in age_profile(spark, res).collect()}
     assert prof == {(2018, 2): 42, (2018, 3): 4, (2020, 105): 3}
+
+
+def test_coverage_lists_what_the_build_drops(spark, local_tmp):
+    from tallystar.api import coverage
+    _inputs(local_tmp)
+    # an unknown country code and a country without translation
+    doc = {"value": {"0": {"ID": "c1", "Geslacht": "3000", "LeeftijdOp31December": "10030",
+                           "BurgerlijkeStaat": "1010", "Geboorteland": "LX", "Perioden": "2019JJ00",
+                           "Immigratie_1": 2},
+                     "1": {"ID": "c2", "Geslacht": "3000", "LeeftijdOp31December": "10030",
+                           "BurgerlijkeStaat": "1010", "Geboorteland": "L7", "Perioden": "2019JJ00",
+                           "Immigratie_1": 2}}}
+    open(f"{local_tmp}/imm/immigration_records_2019.json", "w").write(json.dumps(doc) + "\n")
+    got = {(r["dimension"], r["code"], r["rows"]) for r in
+           coverage(spark, f"{local_tmp}/imm", f"{local_tmp}/metadata.csv", f"{local_tmp}/translation.csv").collect()}
+    assert got == {("country", "LX", 1), ("translation", "Land7", 1)}
