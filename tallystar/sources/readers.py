@@ -40,12 +40,14 @@ def with_file_year(df: DataFrame, name: str = "Year") -> DataFrame:
 
 
 def read_keyed_json(spark: SparkSession, paths: str | Sequence[str], record_schema: StructType,
-                    key_col: str = "key", keep_year: bool = False) -> DataFrame:
+                    key_col: str = "key", keep_year: bool = False, multi_line: bool = False) -> DataFrame:
     """Each JSON document is ``{"value": {"<key>": {record}, ...}}``; one
-    document per line. Returns one row per record: ``key`` plus the record
-    fields (and ``Year`` from the path when ``keep_year``)."""
+    document per line (``multi_line=True`` for pretty-printed files, one
+    document per file, which is then read by one task). Returns one row per
+    record: ``key`` plus the record fields (and ``Year`` from the path when
+    ``keep_year``)."""
     schema = StructType([StructField("value", MapType(StringType(), record_schema))])
-    raw = spark.read.schema(schema).json(_paths(paths))
+    raw = spark.read.schema(schema).option("multiLine", multi_line).json(_paths(paths))
     if keep_year:
         raw = raw.withColumn("_file_year", file_year())
     exploded = raw.select(

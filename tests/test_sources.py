@@ -83,3 +83,11 @@ def test_layout_mismatch_fails(spark, local_tmp):
     files = files_by_layout(list_inputs(spark, local_tmp), lambda y: "2018")
     with pytest.raises(Exception):
         read_yearly_layouts(spark, files)["2018"].collect()
+
+
+def test_keyed_json_pretty_printed(spark, local_tmp):
+    doc = {"value": {"7": {"ID": "9", "Geslacht": "3000", "Immigratie_1": 1}}}
+    path = f"{local_tmp}/immigration_records_2019.json"
+    open(path, "w").write(json.dumps(doc, indent=2) + "\n")
+    rows = read_keyed_json(spark, path, RAW_SCHEMA, multi_line=True).collect()
+    assert [(r["key"], r["ID"], r["Immigratie_1"]) for r in rows] == [("7", "9", 1)]
