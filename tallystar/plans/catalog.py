@@ -258,6 +258,17 @@ def profile_describe(spark, sf):
     return profile.describe(li, ["l_quantity", "l_discount", "l_tax"])
 
 
+def profile_describe_dim(spark, sf):
+    """A8 on the happiness dimension's scores, as the reference profiled them."""
+    _, dim = _star(spark, sf)
+    return profile.describe(dim, [c for c in HAPPINESS_COLS if c.endswith("_Score")])
+
+
+def profile_nulls_dim(spark, sf):
+    _, dim = _star(spark, sf)
+    return profile.null_counts(dim.select(*HAPPINESS_COLS))
+
+
 def head_tail(spark, sf):
     p = _t(spark, sf, "part").select("p_partkey", "p_type", "p_size")
     h = profile.head(p, ["p_partkey"], 5).withColumn("side", F.lit("head"))
@@ -455,7 +466,8 @@ QUERIES: dict[str, Query] = {f.__name__: f for f in [
     filt_key_slice, map_lookup, json_map_explode,
     join_star_decode, join_two_hop, join_coverage_anti, join_coverage_scores,
     join_coverage_codes,
-    profile_nulls, profile_distinct, profile_distinct_values, profile_describe, head_tail, sample_rows,
+    profile_nulls, profile_distinct, profile_distinct_values, profile_describe,
+    profile_describe_dim, profile_nulls_dim, head_tail, sample_rows,
     sample_rows_by_key, set_except, set_difference_both,
     dq_report, dq_duplicates, dq_domain, dq_domain_dim, dq_reconcile, dq_schema, dq_key_unique,
     str_trim_replace, str_harmonise, proj_select_rename, proj_constant, proj_decode_map, proj_safe_cast,

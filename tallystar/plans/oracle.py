@@ -247,6 +247,18 @@ SELECT * FROM (VALUES
        round(quantile_cont({c}, 0.25), 6) AS q25, round(quantile_cont({c}, 0.5), 6) AS q50,
        round(quantile_cont({c}, 0.75), 6) AS q75, CAST(max({c}) AS DOUBLE) AS max FROM lineitem"""
         for c in ["l_quantity", "l_discount", "l_tax"]),
+    "profile_describe_dim": W_HAPPY + "\n" + " UNION ALL ".join(
+        f"""SELECT '{c}' AS column_name, count({c}) AS n, round(avg({c}), 6) AS mean,
+       round(stddev_samp({c}), 6) AS std, CAST(min({c}) AS DOUBLE) AS min,
+       round(quantile_cont({c}, 0.25), 6) AS q25, round(quantile_cont({c}, 0.5), 6) AS q50,
+       round(quantile_cont({c}, 0.75), 6) AS q75, CAST(max({c}) AS DOUBLE) AS max FROM happy"""
+        for c in ["Happiness_Score", "GDP_Score", "Health_Score", "Freedom_Score", "Generosity_Score",
+                  "Corruption_Score"]),
+    "profile_nulls_dim": W_HAPPY + "\nSELECT * FROM (VALUES " + ", ".join(
+        f"('{c}', '{t}', (SELECT count({c}) FROM happy), (SELECT count(*) FILTER (WHERE {c} IS NULL) FROM happy))"
+        for c, t in [("Country", "string"), ("Happiness_Score", "double"), ("GDP_Score", "double"),
+                     ("Health_Score", "double"), ("Freedom_Score", "double"), ("Generosity_Score", "double"),
+                     ("Corruption_Score", "double"), ("Year", "int")]) + ") AS t(column_name, data_type, non_null, nulls)",
     "head_tail": """
 SELECT * FROM (SELECT 'head' AS side, p_partkey, p_type, p_size FROM part ORDER BY p_partkey LIMIT 5)
 UNION ALL SELECT * FROM (SELECT 'tail' AS side, p_partkey, p_type, p_size FROM part ORDER BY p_partkey DESC LIMIT 5)
