@@ -113,6 +113,21 @@ def mart_trend_pivot(spark, sf):
     return M.trend_pivot(fact, TREND_YEARS)
 
 
+def mart_topk_per_year(spark, sf):
+    fact, dim = _star(spark, sf)
+    return M.topk_per_year(fact, dim, 10)
+
+
+def mart_trend_country(spark, sf):
+    fact, _ = _star(spark, sf)
+    return M.trend_pivot(fact, TREND_YEARS, key="Country")
+
+
+def mart_trend_gender(spark, sf):
+    fact, _ = _star(spark, sf)
+    return M.trend_pivot(fact, TREND_YEARS, key="Gender")
+
+
 def fact_build(spark, sf):
     return L.landed_fact(spark, L.land_inputs(spark, sf))
 
@@ -460,6 +475,7 @@ def stream_yearly_refresh(spark, sf):
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in [
     mart_topk_with_score, mart_profile, mart_profile_split, mart_correlation, mart_trend_pivot,
+    mart_topk_per_year, mart_trend_country, mart_trend_gender,
     fact_build, dimension_build,
     agg_sum_by_key, agg_row_counts, agg_dedup, win_rank, topk,
     filt_measure, filt_code_range, filt_drop_totals, filt_conjunction, filt_partition,

@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallystar.operators.rank import rank_within
 from tallystar.operators.star import checked_broadcast
 
 VOLUME = "ImmigrationVolume"
@@ -37,6 +38,16 @@ def topk_with_score(fact: DataFrame, dim: DataFrame, year: int, k: int = 10,
             .select("Country", SUM_VOLUME, "Happiness_Score"))
 
 
+def topk_per_year(fact: DataFrame, dim: DataFrame, k: int = 10) -> DataFrame:
+    """M1 for every year at once: rank countries within each year after the
+    fact is aggregated to one row per (year, country), so each window group
+    holds at most one row per country."""
+    vol = volume_by(fact.where(F.col("SingleCountry") == "Y"), ["Year", "Country"])
+    j = vol.join(dim.select("Country", "Year", "Happiness_Score"), ["Country", "Year"])
+    ranked = rank_within(j, ["Year"], SUM_VOLUME, ["Country"], name="rank")
+    return ranked.where(F.col("rank") <= k).select("Year", "rank", "Country", SUM_VOLUME, "Happiness_Score")
+
+
 def age_profile(fact: DataFrame, keys: Sequence[str] = ("Year", "Age"),
                 singles_only: bool = False) -> DataFrame:
     """M2: volume per year and age (optionally split further, e.g. by

@@ -141,6 +141,25 @@ SELECT Age, """ + ", ".join(
         f"CAST(sum(ImmigrationVolume) FILTER (WHERE Year = {y}) AS BIGINT) AS y{y}"
         for y in range(1995, 2002)) + """
 FROM fact GROUP BY Age""",
+    "mart_topk_per_year": W_STAR + """
+SELECT Year, rank, Country, sumImmigrationVolume, Happiness_Score FROM (
+  SELECT v.Year, v.Country, v.sumImmigrationVolume, h.Happiness_Score,
+         CAST(row_number() OVER (PARTITION BY v.Year ORDER BY v.sumImmigrationVolume DESC, v.Country)
+              AS INTEGER) AS rank
+  FROM (SELECT Year, Country, CAST(sum(ImmigrationVolume) AS BIGINT) AS sumImmigrationVolume
+        FROM fact WHERE SingleCountry = 'Y' GROUP BY Year, Country) v
+  JOIN happy h ON h.Country = v.Country AND h.Year = v.Year)
+WHERE rank <= 10""",
+    "mart_trend_country": W_FACT + """
+SELECT Country, """ + ", ".join(
+        f"CAST(sum(ImmigrationVolume) FILTER (WHERE Year = {y}) AS BIGINT) AS y{y}"
+        for y in range(1995, 2002)) + """
+FROM fact GROUP BY Country""",
+    "mart_trend_gender": W_FACT + """
+SELECT Gender, """ + ", ".join(
+        f"CAST(sum(ImmigrationVolume) FILTER (WHERE Year = {y}) AS BIGINT) AS y{y}"
+        for y in range(1995, 2002)) + """
+FROM fact GROUP BY Gender""",
     "fact_build": W_FACT + f"\nSELECT {FACT_COLS} FROM fact",
     "dimension_build": W_HAPPY + f"\nSELECT {DIM_COLS} FROM happy",
     # ---- aggregates
