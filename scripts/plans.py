@@ -10,7 +10,7 @@ from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
-HEADLINE = ["fact_build", "dimension_build", "mart_topk_with_score", "mart_profile",
+HEADLINE = ["fact_build", "dimension_build", "mart_topk_with_score", "mart_topk_per_year", "mart_profile",
             "mart_trend_pivot", "mart_correlation", "filt_partition", "agg_dedup", "win_rank"]
 
 
