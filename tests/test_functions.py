@@ -48,3 +48,11 @@ def test_file_year_from_name_and_folder(spark, local_tmp):
                                          f"{local_tmp}/a/Year=2019/part-00000-abc.c000.txt"]))
     got = sorted((r["value"], r["Year"]) for r in df.collect())
     assert got == [("x", 2018), ("y", 2019)]
+
+
+def test_scratch_root_follows_session_checkpoint_dir(spark):
+    from tallystar.session import fresh_path, scratch_root
+    root = scratch_root(spark)
+    assert root == spark.sparkContext.getCheckpointDir().rstrip("/")
+    a, b = fresh_path(spark, "x"), fresh_path(spark, "x")
+    assert a.startswith(root) and a != b
