@@ -63,3 +63,14 @@ def per_text(df: DataFrame, fn: Callable[[str | None], tuple], schema: str,
                 names=[f.name for f in kept] + arrow.names)
 
     return df.mapInArrow(run, out)
+
+
+def small_enough(ids: DataFrame, most: int = 1_000_000) -> bool:
+    """True if ``ids`` has at most ``most`` rows (a bounded probe)."""
+    return ids.limit(most + 1).count() <= most
+
+
+def with_ids(df: DataFrame, ids: DataFrame, key: str, how: str = "left_semi") -> DataFrame:
+    """Semi or anti join on ``key``: a broadcast when the ids are counted to be
+    few, else a shuffled join (which AQE may split on hot keys)."""
+    return df.join(F.broadcast(ids) if small_enough(ids) else ids.hint("merge"), key, how)
