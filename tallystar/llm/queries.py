@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import near_dedup, quality_classifier
+from . import near_dedup, quality_classifier, rule_forest
 from .common import table
 
 
@@ -18,9 +18,14 @@ def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op3_rule_isolation_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rule_forest.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_minhash_near_dedup": op2_minhash_near_dedup,
+    "op3_rule_isolation_forest": op3_rule_isolation_forest,
 }
 
 SQL: dict[str, str] = {}
