@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import language_id, near_dedup, quality_classifier, rule_forest, secret_scan
+from . import language_id, near_dedup, quality_classifier, rule_forest, secret_scan, source_mixing
 from .common import table
 
 
@@ -30,12 +30,19 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(table(spark, sf_dir, "documents"))
 
 
+def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_mixing.mix(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_minhash_near_dedup": op2_minhash_near_dedup,
     "op3_rule_isolation_forest": op3_rule_isolation_forest,
     "op4_secret_scan": op4_secret_scan,
     "op5_language_id": op5_language_id,
+    "op6_source_mixing": op6_source_mixing,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op6_source_mixing": source_mixing.oracle(),
+}
