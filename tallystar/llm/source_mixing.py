@@ -26,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import small_enough
+from .common import small_enough, stored
 
 SPLIT = 16.0               # largest rate drawn at once
 TERMS = 80                 # P(Poisson(16) > 80) < 1e-27
