@@ -77,7 +77,6 @@ def rates(docs: DataFrame, weights: dict[str | None, float] | None = None, *, al
 def mix(docs: DataFrame, weights: dict[str | None, float] | None = None, *, alpha: float = ALPHA,
         seed: int = SEED, max_broadcast: int = 10_000) -> DataFrame:
     """The columns of ``docs`` with ``copy`` (from 0) and ``shuffle_key``, in global random order."""
-    from .common import stored
 
     per_source = stored(rates(docs, weights, alpha=alpha), "rates")
     rows = docs.drop("copy", "shuffle_key", "_source", "_copies")
