@@ -6,10 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import language_id, near_dedup, quality_classifier, rule_forest, secret_scan, source_mixing
+from . import language_id, near_dedup, packing, quality_classifier, rule_forest, secret_scan, source_mixing
 from .common import table
 
 
+def tokenizer() -> str:
+    """The vocabulary file that the token queries use."""
+    import public_tokenizers
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
 def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_classifier.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -34,6 +40,10 @@ def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer())
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_minhash_near_dedup": op2_minhash_near_dedup,
@@ -41,6 +51,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_secret_scan": op4_secret_scan,
     "op5_language_id": op5_language_id,
     "op6_source_mixing": op6_source_mixing,
+    "op7_best_fit_packing": op7_best_fit_packing,
 }
 
 SQL: dict[str, str] = {
