@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import language_id, near_dedup, packing, quality_classifier, rule_forest, secret_scan, source_mixing
+from . import language_id, near_dedup, packing, quality_classifier, rule_forest, secret_scan, source_mixing, token_counts
 from .common import table
 
 
@@ -44,6 +44,10 @@ def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer())
 
 
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"), tokenizer())
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_minhash_near_dedup": op2_minhash_near_dedup,
@@ -52,6 +56,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_language_id": op5_language_id,
     "op6_source_mixing": op6_source_mixing,
     "op7_best_fit_packing": op7_best_fit_packing,
+    "op8_token_counts": op8_token_counts,
 }
 
 SQL: dict[str, str] = {
