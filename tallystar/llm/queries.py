@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import language_id, near_dedup, packing, quality_classifier, rule_forest, secret_scan, source_mixing, token_counts
+from . import language_id, near_dedup, packing, quality_classifier, rule_forest, secret_scan, source_mixing, token_counts, topk_search
 from .common import table
 
 
@@ -48,6 +48,10 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), tokenizer())
 
 
+def op9_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk_search.search(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_minhash_near_dedup": op2_minhash_near_dedup,
@@ -57,8 +61,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_source_mixing": op6_source_mixing,
     "op7_best_fit_packing": op7_best_fit_packing,
     "op8_token_counts": op8_token_counts,
+    "op9_exact_topk": op9_exact_topk,
 }
 
 SQL: dict[str, str] = {
     "op6_source_mixing": source_mixing.oracle(),
+    "op9_exact_topk": topk_search.oracle(),
 }
