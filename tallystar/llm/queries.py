@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import language_id, near_dedup, packing, quality_classifier, rule_forest, secret_scan, source_mixing, token_counts, topk_search
+from . import html_extraction, language_id, near_dedup, packing, quality_classifier, rule_forest, secret_scan, source_mixing, token_counts, topk_search
 from .common import table
 
 
@@ -52,6 +52,10 @@ def op9_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk_search.search(table(spark, sf_dir, "embeddings"))
 
 
+def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extraction.extract(table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_minhash_near_dedup": op2_minhash_near_dedup,
@@ -62,6 +66,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_best_fit_packing": op7_best_fit_packing,
     "op8_token_counts": op8_token_counts,
     "op9_exact_topk": op9_exact_topk,
+    "op10_html_extraction": op10_html_extraction,
 }
 
 SQL: dict[str, str] = {
