@@ -264,6 +264,24 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
                     F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept")))
 
 
+def keep_one(docs: DataFrame) -> DataFrame:
+    """The rows and columns of ``docs`` but for near-duplicates of a smaller doc_id.
+
+    Rows that repeat a kept doc_id are reduced to the one that sorts first.
+    """
+    found = stored(near_duplicates(docs), "groups").where("doc_id IS NOT NULL")
+    per_id = found.groupBy("doc_id").agg(F.min("kept").alias("kept"), F.count("*").alias("n"))
+    gone = stored(per_id.where("NOT kept OR n > 1"), "gone")
+    key = F.col("doc_id").cast("long")
+    held = docs.withColumn("_id", key)
+    kept = with_ids(held, gone.select(F.col("doc_id").alias("_id")), "_id", "left_anti").drop("_id")
+    again = gone.where("kept").select(F.col("doc_id").alias("_id"))
+    if not again.isEmpty():
+        least = with_ids(held, again, "_id").groupBy("_id").agg(F.min(F.struct(*docs.columns)).alias("r"))
+        kept = kept.union(least.select("r.*"))
+    return kept.select(docs.columns)
+
+
 def _placed(members: DataFrame, of: DataFrame) -> DataFrame:
     """Bucket members with their component and that of the bucket's largest id."""
     def label(name: str) -> DataFrame:

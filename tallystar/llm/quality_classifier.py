@@ -214,3 +214,12 @@ def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
     model = train(docs, labels, learn_from=~held_out(F.col("doc_id")))
     slim = docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "text")
     return score_quality(slim, model)
+
+
+def keep_good(docs: DataFrame, labels: DataFrame, *, threshold: float = 0.3) -> DataFrame:
+    """The rows and columns of ``docs`` whose score reaches the threshold."""
+    model = train(docs, labels, learn_from=~held_out(F.col("doc_id")))
+    held = docs.withColumn("_whole", F.col("text"))
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    scored = per_text(held, lambda t: (shared.value.score(t),), "_score double", text="_whole")
+    return scored.where(F.col("_score") >= threshold).drop("_score").select(docs.columns)
