@@ -7,10 +7,13 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType, _parse_datatype_string
 
 from tallystar.session import fresh_path
 
 HELD_OUT_FOLDS = 5
+SLICE = 1000               # rows turned into Python values at a time
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -38,31 +41,42 @@ def sample_order(*cols: Column) -> Column:
     return F.xxhash64(*cols)
 
 
-def per_text(df: DataFrame, fn: Callable[[str | None], tuple], schema: str,
-             text: str = "text") -> DataFrame:
-    """Apply ``fn`` to each value of ``text`` and append its tuple as columns.
-
-    Arrow batches, one Python worker per task; the text column itself is not
-    returned. ``schema`` is the DDL of the appended columns.
-    """
-    from pyspark.sql.types import StructType, _parse_datatype_string
-    from pyspark.sql.pandas.types import to_arrow_schema
-
+def _appended(df: DataFrame, dropped: str | None, texts: Callable[[pa.RecordBatch], pa.Array],
+              fn: Callable[[str | None], tuple], schema: str) -> DataFrame:
     added = _parse_datatype_string(schema)
-    kept = [f for f in df.schema.fields if f.name != text]
-    out = StructType(kept + list(added.fields))
+    kept = [f for f in df.schema.fields if f.name != dropped]
     arrow = to_arrow_schema(added)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [fn(t.as_py()) for t in batch.column(text)]
-            cols = list(zip(*rows)) if rows else [()] * len(arrow)
-            made = [pa.array(c, type=f.type) for c, f in zip(cols, arrow)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(f.name) for f in kept] + made,
-                names=[f.name for f in kept] + arrow.names)
-
-    return df.mapInArrow(run, out)
+            for at in range(0, batch.num_rows, SLICE):
+                part = batch.slice(at, SLICE)
+                cols = zip(*[fn(t.as_py()) for t in texts(part)])
+                made = [pa.array(c, type=f.type) for c, f in zip(cols, arrow)]
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(f.name) for f in kept] + made, names=[f.name for f in kept] + arrow.names)
+
+    return df.mapInArrow(run, StructType(kept + list(added.fields)))
+
+
+def per_text(df: DataFrame, fn: Callable[[str | None], tuple], schema: str, text: str = "text") -> DataFrame:
+    """Replace the column ``text`` by the values that ``fn`` makes of it.
+
+    Arrow batches, one Python worker per task. ``schema`` is the DDL of the
+    made columns; the other columns are kept, and none may bear their names.
+    """
+    return _appended(df, text, lambda batch: batch.column(text), fn, schema)
+
+
+def per_row(df: DataFrame, fn: Callable[[str | None], tuple], schema: str, text: str = "text") -> DataFrame:
+    """As ``per_text``, but every column of ``df`` is kept inside one column
+    ``row``, so the made columns meet no clashing name."""
+    return _appended(df.select(as_row(df)), None, lambda batch: batch.column("row").field(text), fn, schema)
+
+
+def as_row(df: DataFrame) -> Column:
+    """All columns of ``df`` as one struct ``row``."""
+    return F.struct(*(F.col(f"`{c}`") for c in df.columns)).alias("row")
 
 
 def small_enough(ids: DataFrame, most: int = 1_000_000) -> bool:

@@ -41,7 +41,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored, with_ids
+from .common import as_row, stored, with_ids
 
 WORDS = 4
 SHARE = 80                 # 100 * intersection >= SHARE * union
@@ -272,14 +272,13 @@ def keep_one(docs: DataFrame) -> DataFrame:
     found = stored(near_duplicates(docs), "groups").where("doc_id IS NOT NULL")
     per_id = found.groupBy("doc_id").agg(F.min("kept").alias("kept"), F.count("*").alias("n"))
     gone = stored(per_id.where("NOT kept OR n > 1"), "gone")
-    key = F.col("doc_id").cast("long")
-    held = docs.withColumn("_id", key)
-    kept = with_ids(held, gone.select(F.col("doc_id").alias("_id")), "_id", "left_anti").drop("_id")
-    again = gone.where("kept").select(F.col("doc_id").alias("_id"))
+    held = docs.select(as_row(docs), F.col("doc_id").cast("long").alias("doc_id"))
+    kept = with_ids(held, gone.select("doc_id"), "doc_id", "left_anti")
+    again = gone.where("kept").select("doc_id")
     if not again.isEmpty():
-        least = with_ids(held, again, "_id").groupBy("_id").agg(F.min(F.struct(*docs.columns)).alias("r"))
-        kept = kept.union(least.select("r.*"))
-    return kept.select(docs.columns)
+        least = with_ids(held, again, "doc_id").groupBy("doc_id").agg(F.min("row").alias("row"))
+        kept = kept.union(least.select("row", "doc_id"))
+    return kept.select("row.*")
 
 
 def _placed(members: DataFrame, of: DataFrame) -> DataFrame:

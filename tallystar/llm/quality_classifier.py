@@ -35,7 +35,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import held_out, per_text, sample_order
+from .common import held_out, per_row, per_text, sample_order
 
 _LOWER = bytes(b for b in range(256) if 97 <= b <= 122 or b >= 128)
 _CLASS = bytes.maketrans(
@@ -219,7 +219,6 @@ def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
 def keep_good(docs: DataFrame, labels: DataFrame, *, threshold: float = 0.3) -> DataFrame:
     """The rows and columns of ``docs`` whose score reaches the threshold."""
     model = train(docs, labels, learn_from=~held_out(F.col("doc_id")))
-    held = docs.withColumn("_whole", F.col("text"))
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    scored = per_text(held, lambda t: (shared.value.score(t),), "_score double", text="_whole")
-    return scored.where(F.col("_score") >= threshold).drop("_score").select(docs.columns)
+    scored = per_row(docs, lambda t: (shared.value.score(t),), "score double")
+    return scored.where(F.col("score") >= threshold).select("row.*")

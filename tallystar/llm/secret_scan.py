@@ -26,7 +26,7 @@ from math import log10
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import per_text
+from .common import per_row, per_text
 
 KINDS = ("assign", "access", "hex", "guess")
 MARK = "[SECRET]"
@@ -211,10 +211,9 @@ def masked(text: str | None, threshold: float = 9.0) -> str | None:
 
 def redact(docs: DataFrame, *, threshold: float = 9.0) -> DataFrame:
     """The rows and columns of ``docs`` with secrets masked; ``n_chars`` follows the new text."""
-    held = docs.withColumn("_whole", F.col("text"))
-    made = per_text(held, lambda t: (masked(t, threshold),), "_masked string", text="_whole")
-    out = made.withColumn("text", F.col("_masked"))
-    if "n_chars" in docs.columns:
-        kind = dict(docs.dtypes)["n_chars"]
-        out = out.withColumn("n_chars", F.length("text").cast(kind))
-    return out.select(docs.columns)
+    made = per_row(docs, lambda t: (masked(t, threshold),), "masked string")
+    kinds = dict(docs.dtypes)
+    new = {"text": F.col("masked")}
+    if "n_chars" in kinds:
+        new["n_chars"] = F.length("masked").cast(kinds["n_chars"])
+    return made.select(*(new.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns))

@@ -26,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import small_enough, stored
+from .common import as_row, small_enough, stored
 
 SPLIT = 16.0               # largest rate drawn at once
 TERMS = 80                 # P(Poisson(16) > 80) < 1e-27
@@ -79,8 +79,8 @@ def mix(docs: DataFrame, weights: dict[str | None, float] | None = None, *, alph
     """The columns of ``docs`` with ``copy`` (from 0) and ``shuffle_key``, in global random order."""
 
     per_source = stored(rates(docs, weights, alpha=alpha), "rates")
-    rows = docs.drop("copy", "shuffle_key", "_source", "_copies")
-    kept = rows.columns
+    rows = docs.drop("copy", "shuffle_key")
+    rows = rows.select(as_row(rows), F.col("source").alias("source"), F.col("doc_id").alias("doc_id"))
     # counted: one row a source, each of about a kilobyte; beyond the bound AQE joins (and splits hot sources)
     side = F.broadcast(per_source) if small_enough(per_source, max_broadcast) else per_source.hint("merge")
     drawn = F.aggregate(
@@ -88,13 +88,14 @@ def mix(docs: DataFrame, weights: dict[str | None, float] | None = None, *, alph
         lambda acc, d: acc + F.size(F.filter(
             F.col("sums"), lambda s: s <= uniform(F.lit(seed), F.col("doc_id"), d))))
     copies = (rows.join(side, rows["source"].eqNullSafe(F.col("_source")))
-              .withColumn("_copies", drawn).where("_copies > 0")
-              .select(*kept, F.explode(F.sequence(F.lit(0), F.col("_copies") - 1)).alias("copy")))
+              .withColumn("copies", drawn).where("copies > 0")
+              .select("row", "doc_id", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)).alias("copy")))
     keyed = copies.withColumn("shuffle_key", uniform(F.lit(f"{seed}s"), F.col("doc_id"), F.col("copy")))
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # the key is uniform on [0, 1): its slices are even, whatever the source or the size of a group of copies
-    return (keyed.withColumn("_slice", F.floor(F.col("shuffle_key") * parts).cast("int"))
-            .repartition(parts, "_slice", "shuffle_key").sortWithinPartitions("shuffle_key").drop("_slice"))
+    return (keyed.withColumn("slice", F.floor(F.col("shuffle_key") * parts).cast("int"))
+            .repartition(parts, "slice", "shuffle_key").sortWithinPartitions("shuffle_key")
+            .select("row.*", "copy", "shuffle_key"))
 
 
 def oracle(alpha: float = ALPHA, seed: int = SEED) -> str:
