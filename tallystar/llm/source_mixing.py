@@ -92,9 +92,8 @@ def mix(docs: DataFrame, weights: dict[str | None, float] | None = None, *, alph
               .select("row", "doc_id", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)).alias("copy")))
     keyed = copies.withColumn("shuffle_key", uniform(F.lit(f"{seed}s"), F.col("doc_id"), F.col("copy")))
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    # the key is uniform on [0, 1): its slices are even, whatever the source or the size of a group of copies
-    return (keyed.withColumn("slice", F.floor(F.col("shuffle_key") * parts).cast("int"))
-            .repartition(parts, "slice", "shuffle_key").sortWithinPartitions("shuffle_key")
+    # a hashed key deals documents at random, whatever their source or group of copies
+    return (keyed.repartition(parts, "shuffle_key").sortWithinPartitions("shuffle_key")
             .select("row.*", "copy", "shuffle_key"))
 
 
