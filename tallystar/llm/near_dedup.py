@@ -8,10 +8,10 @@ where there are fewer words). Documents whose sets have Jaccard similarity of
 1. One pass over the texts writes, per row: set size, a 128-bit key of the word
    sequence, ``BANDS`` band keys and the MinHash signature (16-bit lanes).
 2. Rows with one key are copies: their smallest doc_id represents them.
-3. Candidates come from equal band keys. Rounds 1 and 2 compare each member of
-   a bucket with one hub (smallest, then largest id), which joins large groups
-   in linear work; the last round takes every pair of a bucket whose two
-   documents are still in different components. Pairs inside one component
+3. Candidates come from equal band keys. First each member of a bucket meets
+   two hubs (smallest and largest id), which joins large groups in linear work;
+   then every pair of a bucket whose two documents are still in different
+   components is taken: as rows in small buckets, inside blocks in large ones. Pairs inside one component
    need no test, so no link between components is lost and no group is
    expanded into all its pairs.
 4. Candidates are compared signature batch by batch; a pair leaves as soon as
@@ -49,6 +49,8 @@ BANDS, ROWS = 48, 6
 LANES = BANDS * ROWS
 BATCH = 32                 # signature lanes compared at a time
 MISS = 1e-9
+SMALL = 16                 # members of a bucket whose pairs are written out
+BLOCK = 1024               # members on each side of a block
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _STEP = np.uint64(0xD6E8FEB86659FD93)
@@ -58,7 +60,7 @@ _ADD = _SEEDS.integers(0, 2 ** 32, LANES, dtype=np.uint32)
 _LANE = _SEEDS.integers(0, 2 ** 63, LANES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
-def _mixed(h: np.ndarray) -> np.ndarray:
+def _avalanche(h: np.ndarray) -> np.ndarray:
     h = (h ^ (h >> np.uint64(32))) * _STEP
     h = (h ^ (h >> np.uint64(29))) * _MIX
     return h ^ (h >> np.uint64(32))
@@ -79,7 +81,7 @@ def shingle_set(words: list[bytes]) -> np.ndarray:
     acc = np.full(n - width + 1, width, dtype=np.uint64)
     for k in range(width):
         acc = acc * _MIX + h[k:n - width + 1 + k]
-    return np.unique(_mixed(acc))
+    return np.unique(_avalanche(acc))
 
 
 def signature(shingles: np.ndarray) -> np.ndarray:
@@ -94,7 +96,7 @@ def signature(shingles: np.ndarray) -> np.ndarray:
 def band_keys(sig: np.ndarray) -> np.ndarray:
     parts = (sig.astype(np.uint64) * _LANE).reshape(BANDS, ROWS)
     total = parts.sum(axis=1, dtype=np.uint64) + np.arange(1, BANDS + 1, dtype=np.uint64) * _MIX
-    return _mixed(total).view(np.int64)
+    return _avalanche(total).view(np.int64)
 
 
 @lru_cache(None)
@@ -199,61 +201,69 @@ def verify(pairs: DataFrame, docs: DataFrame) -> DataFrame:
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """(node, component) for each node of the edges (a, b), as a stored table."""
-
-    def state(df: DataFrame) -> tuple:
-        return tuple(df.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
-
-    def starred(df: DataFrame, group: str, other: str) -> DataFrame:
-        least = df.groupBy(group).agg(F.least(F.min(other), F.first(group)).alias("m"))
-        return df.join(least, group)
-
-    now = stored(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-                 .distinct(), "edges")
-    before, seen = None, state(now)
-    while seen != before and seen[0]:
-        both = now.union(now.select("b", "a"))
-        large = (starred(both, "a", "b").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-                 .distinct())
-        small = starred(large, "a", "b")
+    """(node, component) for each node of the edges (a, b), as a stored table.
+
+    Alternating large-star and small-star steps until every edge leads from a
+    node to the smallest id of its component. The least neighbour is found by a
+    map-side combined aggregate and joined back, so a node with very many
+    neighbours is split like any skewed join key.
+    """
+    def starred(df: DataFrame) -> DataFrame:
+        return df.join(df.groupBy("a").agg(F.min("b").alias("m")), "a")
+
+    now = (edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
+    while True:
+        # large star: every larger neighbour moves to the least of the node and its neighbours
+        both = starred(now.union(now.select("b", "a")))
+        large = both.where("b > a").select(F.col("b").alias("a"), F.least("a", "m").alias("b"))
+        # small star: the node and its smaller neighbours move to the least of them
+        small = starred(large)
         now = stored(small.select("a", F.col("m").alias("b"))
                      .union(small.where("b <> m").select("b", "m")).distinct(), "stars")
-        before, seen = seen, state(now)
-    roots = now.select(F.col("b").alias("node")).distinct().select("node", F.col("node").alias("component"))
-    return stored(now.select(F.col("a").alias("node"), F.col("b").alias("component")).union(roots), "components")
+        ends = now.select(F.col("a").alias("node"), F.lit(1).alias("child"), F.lit(0).alias("root")).union(
+            now.select("b", F.lit(0), F.lit(1)))
+        moving = (ends.groupBy("node").agg(F.sum("child").alias("child"), F.max("root").alias("root"))
+                  .where("child > 1 OR (child = 1 AND root = 1)"))
+        if moving.isEmpty():
+            break
+    leaves = now.select(F.col("a").alias("node"), F.col("b").alias("component"))
+    return leaves.union(now.select("b").distinct().select("b", F.col("b")))
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for each row of ``docs``."""
     prints = stored(fingerprints(docs), "prints")
     rows = prints.where("key IS NOT NULL AND doc_id IS NOT NULL")
-    reps = stored(rows.groupBy("key").agg(F.min("doc_id").alias("doc_id")), "reps")
-    buckets = stored(
-        rows.join(reps, ["key", "doc_id"], "left_semi").select("doc_id", F.explode("bands").alias("band"))
-        .distinct().groupBy("band").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"))
-        .where("lo < hi"), "buckets")
-    members = stored(
-        rows.join(reps, ["key", "doc_id"], "left_semi").select("doc_id", F.explode("bands").alias("band"))
-        .join(buckets, "band").select("band", "doc_id", "lo", "hi"), "members")
+    reps = stored(rows.groupBy("key").agg(F.min(F.struct("doc_id", "bands")).alias("r"))
+                  .select("key", "r.doc_id", "r.bands"), "reps")
+    bands = reps.select("doc_id", F.explode("bands").alias("band"))
+    # the hubs of a bucket come from a map-side combined aggregate, not from a sorted group
+    hubs = (bands.groupBy("band").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo < hi"))
+    members = stored(bands.join(hubs, "band").select("band", "doc_id", "lo", "hi"), "members")
 
     # rows that repeat a doc_id with other texts are one node
-    edges = (rows.select("key", F.col("doc_id").alias("a")).join(reps, "key")
-             .select("a", F.col("doc_id").alias("b")).groupBy("a")
-             .agg(F.min("b").alias("lo"), F.max("b").alias("hi"), F.collect_set("b").alias("all"))
-             .where("lo < hi").select(F.col("lo").alias("a"), F.explode("all").alias("b")).where("a <> b"))
-    edges = stored(edges, "links")
-
-    def test(pairs: DataFrame, known: DataFrame) -> DataFrame:
-        left = stored(prune(pairs.distinct(), prints), "candidates")
-        return stored(known.union(verify(left, docs)).distinct(), "links")
-
-    edges = test(members.where("doc_id > lo").select(F.col("lo").alias("a"), F.col("doc_id").alias("b")), edges)
-    of = components(edges)
-    placed = _placed(members, of)
-    edges = test(placed.where("c <> c_hi").select(F.col("doc_id").alias("a"), F.col("hi").alias("b")), edges)
-    of = components(edges)
-    edges = test(_across(_placed(members, of)), edges)
-    of = components(edges)
+    twice = (rows.groupBy("doc_id").agg(F.min("key").alias("k"), F.max("key").alias("l")).where("k <> l")
+             .select(F.col("doc_id").alias("a")))
+    edges = None
+    if not twice.isEmpty():
+        same = rows.select("key", F.col("doc_id").alias("a")).join(twice, "a", "left_semi").join(reps, "key")
+        edges = stored(same.select("a", F.col("doc_id").alias("b")).distinct(), "links")
+
+    def test(pairs: DataFrame, known: DataFrame | None) -> DataFrame:
+        found = verify(stored(prune(pairs.distinct(), prints), "candidates"), docs)
+        return stored(found if known is None else known.union(found), "links")
+
+    stars = members.where("doc_id > lo").select(F.col("lo").alias("a"), F.col("doc_id").alias("b")).union(
+        members.where("lo < doc_id AND doc_id < hi").select("doc_id", "hi"))
+    edges = test(stars, edges)
+    of = stored(components(edges), "components")
+    mixed = stored(_mixed(members, of), "mixed")
+    if not mixed.isEmpty():
+        rest = verify(stored(prune(small_pairs(mixed).distinct(), prints), "candidates"), docs)
+        more = stored(rest.union(large_links(mixed, prints, docs)), "links")
+        if not more.isEmpty():
+            joined = of.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b"))
+            of = stored(components(joined.union(more)), "components")
 
     named = (reps.join(of, reps.doc_id == of.node, "left")
              .select("key", F.coalesce("component", "doc_id").alias("component_id")))
@@ -277,29 +287,84 @@ def keep_one(docs: DataFrame) -> DataFrame:
     again = gone.where("kept").select("doc_id")
     if not again.isEmpty():
         least = with_ids(held, again, "doc_id").groupBy("doc_id").agg(F.min("row").alias("row"))
-        kept = kept.union(least.select("row", "doc_id"))
+        kept = kept.unionByName(least)
     return kept.select("row.*")
 
 
-def _placed(members: DataFrame, of: DataFrame) -> DataFrame:
-    """Bucket members with their component and that of the bucket's largest id."""
-    def label(name: str) -> DataFrame:
-        return of.select(F.col("node").alias(name), F.col("component").alias(f"c_{name}"))
+def _mixed(members: DataFrame, of: DataFrame) -> DataFrame:
+    """The members of buckets that hold several components, with their
+    component, the bucket's most frequent one, and the counts of members (n)
+    and of members outside that component (f)."""
+    label = of.select(F.col("node").alias("doc_id"), "component")
+    placed = stored(members.select("band", "doc_id").join(label, "doc_id", "left")
+                    .select("band", "doc_id", F.coalesce("component", "doc_id").alias("c")), "placed")
+    most = (placed.groupBy("band", "c").agg(F.count("*").alias("k"))
+            .groupBy("band").agg(F.max(F.struct("k", "c")).alias("top"), F.sum("k").alias("n"))
+            .where("top.k < n").select("band", F.col("top.c").alias("most"), "n", (F.col("n") - F.col("top.k")).alias("f")))
+    return placed.join(most, "band")
+
+
+def small_pairs(mixed: DataFrame) -> DataFrame:
+    """Every pair of two components in buckets of at most SMALL members (so
+    their number stays in proportion to the members)."""
+    small = mixed.where(F.col("n") <= SMALL)
+    few = small.where("c <> most").select("band", F.col("doc_id").alias("x"), F.col("c").alias("cx"))
+    # both outside the most frequent component: taken once, by id order
+    return (few.join(small, "band").where("cx <> c AND (c = most OR x < doc_id)")
+            .select(F.least("x", "doc_id").alias("a"), F.greatest("x", "doc_id").alias("b")))
 
-    return (members.join(label("doc_id"), "doc_id", "left").join(label("hi"), "hi", "left")
-            .select("band", "doc_id", "hi", F.coalesce("c_doc_id", "doc_id").alias("c"),
-                    F.coalesce("c_hi", "hi").alias("c_hi")))
 
+def large_links(mixed: DataFrame, prints: DataFrame, docs: DataFrame) -> DataFrame:
+    """The links between components in larger buckets, found block by block.
 
-def _across(placed: DataFrame) -> DataFrame:
-    """Every pair of one bucket in two components: the members outside the
-    bucket's most frequent component, with all members of other components."""
-    placed = stored(placed.select("band", "doc_id", "c"), "placed")
-    mixed = (placed.groupBy("band", "c").agg(F.count("*").alias("n"))
-             .groupBy("band").agg(F.max(F.struct("n", "c")).alias("top"), F.count("*").alias("parts"))
-             .where("parts > 1").select("band", F.col("top.c").alias("most")))
-    mixed = stored(placed.join(mixed, "band"), "mixed")
-    few = mixed.where("c <> most").select("band", F.col("doc_id").alias("x"), F.col("c").alias("cx"))
-    # both outside: taken once, by id order
-    return (few.join(mixed, "band").where("cx <> c AND (c = most OR x < doc_id)")
-            .select(F.least("x", "doc_id").alias("a"), F.greatest("x", "doc_id").alias("b")))
+    The members outside a bucket's most frequent component meet all members in
+    blocks of at most BLOCK by BLOCK, each its own task unit. Inside a block a
+    pair is compared only in the first band that it shares, by signature
+    batches, and confirmed on the full sets; only links leave the block.
+    """
+    big = mixed.where(F.col("n") > SMALL)
+    ids = big.select("doc_id").distinct()
+    texts = with_ids(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), ids, "doc_id")
+    content = texts.join(with_ids(prints.where("key IS NOT NULL").select("doc_id", "bands", "sig"), ids, "doc_id"), "doc_id")
+    cut = big.select("band", "doc_id", "c", (F.col("c") != F.col("most")).alias("few"),
+                     F.ceil(F.col("f") / BLOCK).alias("nf"), F.ceil(F.col("n") / BLOCK).alias("nn"))
+    place = F.xxhash64("doc_id", "band")
+    outside = (cut.where("few").withColumn("i", F.pmod(place, F.col("nf")))
+               .withColumn("j", F.explode(F.sequence(F.lit(0).cast("long"), F.col("nn") - 1))).withColumn("side", F.lit(0)))
+    every = (cut.withColumn("j", F.pmod(place, F.col("nn")))
+             .withColumn("i", F.explode(F.sequence(F.lit(0).cast("long"), F.col("nf") - 1))).withColumn("side", F.lit(1)))
+    cols = "band", "i", "j", "side", "few", "doc_id", "c"
+    rows = outside.select(*cols).union(every.select(*cols)).join(content, "doc_id")
+
+    def block(part: pa.Table) -> pa.Table:
+        a, b = _block_links(part)
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return rows.groupBy("band", "i", "j").applyInArrow(block, "a long, b long").distinct()
+
+
+def _block_links(part: pa.Table) -> tuple[list[int], list[int]]:
+    band = part.column("band")[0].as_py()
+    side, few, ids, comp = (part.column(c).to_numpy() for c in ("side", "few", "doc_id", "c"))
+    bands = np.array(part.column("bands").to_pylist(), dtype=np.int64)
+    sig = np.frombuffer(b"".join(part.column("sig").to_pylist()), dtype="<u2").reshape(-1, LANES)
+    texts = part.column("text")
+    sets: dict[int, np.ndarray] = {}
+
+    def of(row: int) -> np.ndarray:
+        if row not in sets:
+            sets[row] = shingle_set(words_of(texts[row].as_py()))
+        return sets[row]
+
+    a, b = [], []
+    members = np.flatnonzero(side == 1)
+    for x in np.flatnonzero(side == 0):
+        # pairs of two outside members: once, by id order
+        other = members[(comp[members] != comp[x]) & (~few[members] | (ids[members] > ids[x]))]
+        shared = bands[other] == bands[x]
+        other = other[bands[x][shared.argmax(axis=1)] == band]
+        other = other[survives(np.broadcast_to(sig[x], (len(other), LANES)), sig[other])]
+        for y in other:
+            if linked(of(x), of(y)):
+                a.append(min(ids[x], ids[y])), b.append(max(ids[x], ids[y]))
+    return a, b
