@@ -1,8 +1,9 @@
 """tallystar: coded-statistics star schemas on PySpark.
 
-Every public function takes DataFrames and column names and returns a lazy
-DataFrame; nothing in the library collects data to the driver or runs a
-Python UDF. See README.md for the module map.
+The operators take DataFrames and column names and return lazy DataFrames
+without Python UDFs. Only bounded facts reach the driver: file listings, CSV
+headers, the years of a table, the rows of a check report. See README.md for
+the module map.
 """
 
 __version__ = "0.1.0"

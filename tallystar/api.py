@@ -2,27 +2,46 @@
 
 ``run_etl`` does the reference's whole batch: keyed-JSON immigration files,
 the sectioned code-list file, the translation CSV and the yearly happiness
-CSVs in, the fact and the dimension out as Parquet partitioned by ``Year``,
-with the checks computed on the way. ``top_countries`` and ``age_profile``
-answer the two questions on the written star.
+CSVs in, the fact and the dimension out as Parquet partitioned by ``Year``.
+Both are first staged under the session's scratch folder with the checks
+computed on the way; only tables that pass are written to the output folder,
+so a failed check leaves an earlier star as it was. ``top_countries``,
+``age_profile``, ``score_volume_correlation`` and ``trend`` answer the
+questions on the written star.
 
 Paths may be anything Spark reads (local, HDFS, object store).
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from tallystar.operators.star import is_small
+from tallystar.operators.quality import reconcile
+from tallystar.operators.star import key_unique
 from tallystar.plans import marts
 from tallystar.plans.model import RAW_SCHEMA, REFERENCE_BOOK, REFERENCE_SECTION_RANGES, CodeBook, reference_layout
-from tallystar.plans.star_build import build_dimension, build_fact, clean_records, code_lists, decode_coverage
-from tallystar.sources.readers import read_csv_strings, read_keyed_json, read_section_ranges, read_sections
+from tallystar.plans.star_build import (
+    build_dimension,
+    build_fact,
+    clean_records,
+    code_lists,
+    decode_coverage,
+    list_inputs_deep,
+    reject_report,
+)
+from tallystar.session import fresh_path
+from tallystar.sources.readers import (
+    read_csv_strings,
+    read_keyed_json,
+    read_section_ranges,
+    read_sections,
+    with_file_year,
+)
 from tallystar.sources.sinks import write_by_year
 
 
@@ -32,6 +51,17 @@ class EtlResult:
     dim_path: str
     fact_checks: dict
     dim_rows: int
+    dim_reconcile: list[dict]
+    staged_fact: str
+    staged_dim: str
+
+
+def _parts(spark: SparkSession, imm_path: str, metadata_path: str, translation_path: str, book: CodeBook,
+           section_ranges: Sequence[tuple[int, int]] | None) -> tuple[DataFrame, dict[str, DataFrame], DataFrame]:
+    sections = (read_section_ranges(spark, metadata_path, section_ranges) if section_ranges
+                else read_sections(spark, metadata_path, count=5))
+    return (read_keyed_json(spark, imm_path, RAW_SCHEMA).drop("key"), code_lists(sections, book),
+            read_csv_strings(spark, translation_path))
 
 
 def read_inputs(spark: SparkSession, imm_path: str, metadata_path: str, translation_path: str,
@@ -40,12 +70,8 @@ def read_inputs(spark: SparkSession, imm_path: str, metadata_path: str, translat
     """The fact as a lazy plan. Sections are found by their ``Key;`` header
     line; pass ``section_ranges`` (e.g. ``REFERENCE_SECTION_RANGES``) to cut
     them by fixed (skiprows, nrows) instead."""
-    sections = (read_section_ranges(spark, metadata_path, section_ranges) if section_ranges
-                else read_sections(spark, metadata_path))
-    small = is_small(spark.read.text(metadata_path))
-    raw = read_keyed_json(spark, imm_path, RAW_SCHEMA).drop("key")
-    return build_fact(raw, code_lists(sections, book), read_csv_strings(spark, translation_path), book,
-                      codes_small=small)
+    raw, dims, translation = _parts(spark, imm_path, metadata_path, translation_path, book, section_ranges)
+    return build_fact(raw, dims, translation, book)
 
 
 def coverage(spark: SparkSession, imm_path: str, metadata_path: str, translation_path: str,
@@ -53,36 +79,68 @@ def coverage(spark: SparkSession, imm_path: str, metadata_path: str, translation
              section_ranges: Sequence[tuple[int, int]] | None = None) -> DataFrame:
     """Codes of the cleaned records that no code list or translation
     covers, with the rows the fact build drops because of them."""
-    sections = (read_section_ranges(spark, metadata_path, section_ranges) if section_ranges
-                else read_sections(spark, metadata_path))
-    raw = read_keyed_json(spark, imm_path, RAW_SCHEMA).drop("key")
-    return decode_coverage(clean_records(raw, book), code_lists(sections, book),
-                           read_csv_strings(spark, translation_path))
+    raw, dims, translation = _parts(spark, imm_path, metadata_path, translation_path, book, section_ranges)
+    return decode_coverage(clean_records(raw, book), dims, translation)
+
+
+def rejects(spark: SparkSession, imm_path: str, metadata_path: str, translation_path: str,
+            book: CodeBook = REFERENCE_BOOK,
+            section_ranges: Sequence[tuple[int, int]] | None = None) -> DataFrame:
+    """Rows in, rows dropped by each rule and each decode, rows out."""
+    raw, dims, translation = _parts(spark, imm_path, metadata_path, translation_path, book, section_ranges)
+    return reject_report(raw, dims, translation, book)
 
 
 def run_etl(spark: SparkSession, imm_path: str, metadata_path: str, translation_path: str,
             happiness_path: str, out_dir: str, book: CodeBook = REFERENCE_BOOK,
             layout_for_year: Callable[[int], str] = reference_layout,
             section_ranges: Sequence[tuple[int, int]] | None = None,
-            fail_on_error: bool = False) -> EtlResult:
-    """The whole batch. Fact checks (rows, zero measures, null cells) ride on
-    the fact write via ``observe``; both tables are written concurrently."""
+            fail_on_error: bool = False, refresh: bool = False,
+            renames: Mapping[str, str] | None = None, on_duplicate: str = "fail") -> EtlResult:
+    """The whole batch. Fact checks (rows, zero measures, null cells, repeated
+    IDs) and the rows per yearly file against the dimension are computed on the
+    staged tables; ``fail_on_error`` raises before anything is written to
+    ``out_dir``. ``refresh`` replaces only the years that the inputs hold.
+    ``renames`` and ``on_duplicate`` go to ``build_dimension``."""
     fact = read_inputs(spark, imm_path, metadata_path, translation_path, book, section_ranges)
-    dim = build_dimension(spark, happiness_path, layout_for_year)
+    dim = build_dimension(spark, happiness_path, layout_for_year, renames, on_duplicate)
     obs_f, obs_d = Observation("fact"), Observation("dim")
     fact_o = fact.observe(obs_f, F.count(F.lit(1)).alias("rows"),
                           F.count_if(F.col("ImmigrationVolume") == 0).alias("zero_measure"),
                           sum((F.count_if(F.col(c).isNull()) for c in fact.columns), F.lit(0)).alias("null_cells"))
     dim_o = dim.observe(obs_d, F.count(F.lit(1)).alias("rows"))
-    fact_path, dim_path = f"{out_dir.rstrip('/')}/fact_immigration.parquet", f"{out_dir.rstrip('/')}/happiness.parquet"
-    with ThreadPoolExecutor(max_workers=2) as pool:
-        jobs = [pool.submit(write_by_year, fact_o, fact_path), pool.submit(write_by_year, dim_o, dim_path)]
-        for j in jobs:
+    staged_f, staged_d = fresh_path(spark, "staged-fact"), fresh_path(spark, "staged-dim")
+    _both(lambda: write_by_year(fact_o, staged_f), lambda: write_by_year(dim_o, staged_d))
+
+    fact_s, dim_s = spark.read.schema(fact.schema).parquet(staged_f), spark.read.schema(dim.schema).parquet(staged_d)
+    checks = dict(obs_f.get) | {"repeated_ids": key_unique(fact_s, ["ID"]).count()}
+    # data lines of each yearly file: its rows but for the header
+    files = list_inputs_deep(spark, happiness_path)
+    counted = [r.asDict() for r in reconcile(_file_rows(spark, files), dim_s, "Year").orderBy("Year").collect()]  # one row a year
+    failed = checks["rows"] == 0 or any(checks[k] for k in ("zero_measure", "null_cells", "repeated_ids"))
+    uneven = not renames and any(r["status"] != "passed" for r in counted)
+    if fail_on_error and (failed or uneven):
+        raise AssertionError(f"checks failed, nothing written: {checks}, rows per year: {counted}")
+
+    root = out_dir.rstrip("/")
+    fact_path, dim_path = f"{root}/fact_immigration.parquet", f"{root}/happiness.parquet"
+    _both(lambda: write_by_year(fact_s, fact_path, refresh=refresh),
+          lambda: write_by_year(dim_s, dim_path, refresh=refresh))
+    return EtlResult(fact_path, dim_path, checks, obs_d.get["rows"], counted, staged_f, staged_d)
+
+
+def _file_rows(spark: SparkSession, files: Sequence[str]) -> DataFrame:
+    """One row with ``Year`` per data line of the yearly CSV files."""
+    first = {h for h in (spark.read.text(f).head() for f in files) if h}
+    text = with_file_year(spark.read.text(list(files)))
+    return text.where(~F.col("value").isin([h["value"] for h in first]) & (F.trim("value") != "")).select("Year")
+
+
+def _both(*jobs: Callable[[], None]) -> None:
+    """Run independent writes as concurrent Spark jobs."""
+    with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
+        for j in [pool.submit(job) for job in jobs]:
             j.result()
-    checks = dict(obs_f.get)
-    if fail_on_error and (checks["rows"] == 0 or checks["zero_measure"] or checks["null_cells"]):
-        raise AssertionError(f"fact checks failed: {checks}")
-    return EtlResult(fact_path, dim_path, checks, obs_d.get["rows"])
 
 
 def top_countries(spark: SparkSession, result: EtlResult, year: int, k: int = 10) -> DataFrame:
@@ -97,5 +155,16 @@ def age_profile(spark: SparkSession, result: EtlResult, by_gender: bool = False)
     return marts.age_profile(spark.read.parquet(result.fact_path), keys)
 
 
-__all__ = ["EtlResult", "read_inputs", "coverage", "run_etl", "top_countries", "age_profile",
-           "REFERENCE_SECTION_RANGES"]
+def score_volume_correlation(spark: SparkSession, result: EtlResult) -> DataFrame:
+    """M3 on the written star."""
+    return marts.score_volume_correlation(spark.read.parquet(result.fact_path), spark.read.parquet(result.dim_path))
+
+
+def trend(spark: SparkSession, result: EtlResult, years: Sequence[int] | None = None, key: str = "Age") -> DataFrame:
+    """M4 on the written star: volume per ``key``, one column per year (all years unless given)."""
+    fact = spark.read.parquet(result.fact_path)
+    return marts.trend_pivot(fact, marts.partition_years(fact) if years is None else years, key)
+
+
+__all__ = ["EtlResult", "read_inputs", "coverage", "rejects", "run_etl", "top_countries", "age_profile",
+           "score_volume_correlation", "trend", "REFERENCE_SECTION_RANGES"]

@@ -2,7 +2,6 @@
 stay inside whole-stage codegen."""
 
 from tallystar.functions.strings import (  # noqa: F401
-    WS_CLASS,
     decode_map,
     leading_int,
     replace_chain,

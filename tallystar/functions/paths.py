@@ -2,8 +2,9 @@
 
 The reference cuts the year out of the file name by fixed negative offsets.
 Here it is a regex over ``_metadata``: first the file name
-(``..._2018.json``), then the parent folder (``Year=2018/part-...``, the
-layout Spark itself writes).
+(``..._2018.json``, also compressed, ``.json.gz``), then
+the parent folder (``Year=2018/part-...``, the layout Spark itself writes). A
+path without a year is an error, never a NULL year.
 
 ``in_year`` is the matching filter on a timestamp column, written as a range
 so it is pushed to the Parquet scan.
@@ -14,14 +15,16 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-NAME_YEAR = r"(\d{4})\.[A-Za-z]+$"
+NAME_YEAR = r"(\d{4})\.[A-Za-z]+(?:\.(?:gz|bz2|zst|lz4|snappy|deflate))?$"
 DIR_YEAR = r"(\d{4})[^/\d]*/[^/]*$"
 
 
 def file_year(name_pattern: str = NAME_YEAR, dir_pattern: str = DIR_YEAR) -> Column:
     from_name = F.nullif(F.regexp_extract(F.col("_metadata.file_name"), name_pattern, 1), F.lit(""))
     from_dir = F.nullif(F.regexp_extract(F.col("_metadata.file_path"), dir_pattern, 1), F.lit(""))
-    return F.coalesce(from_name, from_dir).try_cast("int")
+    year = F.coalesce(from_name, from_dir)
+    missing = F.raise_error(F.concat(F.lit("no year in input path "), F.col("_metadata.file_path")))
+    return F.when(year.isNull(), missing.cast("int")).otherwise(year.cast("int"))
 
 
 def in_year(ts_col: str, year: int) -> Column:

@@ -19,6 +19,7 @@ from tallystar.operators.profile import (  # noqa: F401
     head,
     null_counts,
     sample_by_key,
+    sample_n,
     sample_rows,
     tail,
 )
@@ -31,7 +32,6 @@ from tallystar.operators.quality import (  # noqa: F401
 )
 from tallystar.operators.rank import rank_within  # noqa: F401
 from tallystar.operators.star import (  # noqa: F401
-    checked_broadcast,
     conform,
     coverage,
     coverage_keys,
@@ -40,4 +40,5 @@ from tallystar.operators.star import (  # noqa: F401
     key_unique,
     resolve_duplicates,
     union_all,
+    unique_rows,
 )

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegralType
 
-from tallystar.functions.strings import leading_int, strip_ws
+from tallystar.functions.strings import strict_int, strip_ws
 
 
 def trim_columns(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -30,9 +30,10 @@ def keep_positive(df: DataFrame, measure: str) -> DataFrame:
 
 
 def code_below(code: str, limit: int) -> Column:
-    """numeric value of a string code below ``limit``. A code without
-    digits gives NULL and is dropped (the reference raises on it)."""
-    return leading_int(code) < F.lit(limit)
+    """numeric value of the whole code below ``limit``. A code that is not
+    an integer gives NULL and is dropped (the reference raises on it);
+    ``star_build.reject_report`` counts those."""
+    return strict_int(strip_ws(code)) < F.lit(limit)
 
 
 def not_total(totals: Mapping[str, str]) -> Column:
@@ -50,7 +51,8 @@ def drop_totals(df: DataFrame, totals: Mapping[str, str]) -> DataFrame:
 
 def dedup_first(df: DataFrame, keys: Sequence[str], order: Sequence[str] | None = None) -> DataFrame:
     """A4, deterministic: per key keep the row that is smallest in ``order``
-    (default: all other columns, left to right).
+    (default: all other columns, left to right). In each column a value comes
+    before NULL, so a row with a code is kept rather than one without.
 
     Written as ``min(struct(...))`` per key rather than ``row_number`` over a
     window: the aggregate combines map-side, so a key with millions of copies
@@ -60,7 +62,8 @@ def dedup_first(df: DataFrame, keys: Sequence[str], order: Sequence[str] | None
     rest = [c for c in df.columns if c not in keys]
     order = list(order) if order is not None else rest
     tail = [c for c in rest if c not in order]
-    packed = F.struct(*[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)],
+    packed = F.struct(*[x for i, c in enumerate(order)
+                        for x in (F.col(c).isNull().alias(f"_n{i}"), F.col(c).alias(f"_o{i}"))],
                       *[F.col(c).alias(f"_t{i}") for i, c in enumerate(tail)])
     agg = df.groupBy(*keys).agg(F.min(packed).alias("_first"))
     return agg.select(
@@ -74,11 +77,14 @@ def key_slice(df: DataFrame, key: str, starts: Sequence[int], length: int = 5) -
     """records whose numeric key lies in ``[s, s + length)`` for any
     start ``s`` (the reference's preview of a few keys at chosen offsets).
     An integral key is compared as is, so the ranges reach the Parquet scan
-    as pushed filters; a text key (the JSON map keys) is parsed first."""
+    as pushed filters; a text key (the JSON map keys) is parsed first, whatever
+    its number of digits."""
     if isinstance(df.schema[key].dataType, IntegralType):
         k = F.col(key)
     else:
-        k = F.when(F.col(key).rlike(r"^\s*[+-]?\d{1,18}\s*$"), F.col(key).try_cast("long"))
+        digits = F.regexp_replace(strip_ws(key), r"^([+-]?)0+(?=\d)", "$1")
+        # more than 38 digits: NULL, and in no range of longs
+        k = F.when(digits.rlike(r"^[+-]?\d+$"), digits.try_cast("decimal(38,0)"))
     cond = F.lit(False)
     for s in starts:
         cond = cond | k.between(s, s + length - 1)

@@ -27,11 +27,12 @@ def null_counts(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
 
 
 def distinct_counts(df: DataFrame, cols: Sequence[str] | None = None,
-                    approx: bool = False, rsd: float = 0.01) -> DataFrame:
-    """``(column_name, n_distinct)``. ``approx=True`` uses HyperLogLog
-    (fixed memory per column), the choice for very large inputs."""
+                    exact: bool = False, rsd: float = 0.01) -> DataFrame:
+    """``(column_name, n_distinct)`` by HyperLogLog (fixed memory per
+    column, one row per task in the shuffle). ``exact=True`` counts exactly;
+    its shuffle follows the number of distinct values."""
     def nd(c: str) -> Column:
-        return F.approx_count_distinct(c, rsd) if approx else F.count_distinct(c)
+        return F.count_distinct(c) if exact else F.approx_count_distinct(c, rsd)
     rows = [F.struct(F.lit(c).alias("column_name"), nd(c).cast("long").alias("n_distinct"))
             for c in _cols(df, cols)]
     return df.agg(F.array(*rows).alias("_r")).select(F.inline("_r"))
@@ -42,12 +43,12 @@ def distinct_values(df: DataFrame, col: str) -> DataFrame:
     return df.select(col).distinct().orderBy(col)
 
 
-def describe(df: DataFrame, cols: Sequence[str], exact: bool = True,
+def describe(df: DataFrame, cols: Sequence[str], exact: bool = False,
              accuracy: int = 10000, digits: int = 6) -> DataFrame:
     """Count, mean, std (sample), min, quartiles, max per column, long
-    form. Exact quartiles keep a value->count map per column, so memory
-    follows the number of distinct values; use ``exact=False``
-    (``percentile_approx``) for high-cardinality columns at scale."""
+    form. Quartiles come from ``percentile_approx`` (bounded memory);
+    ``exact=True`` keeps a value->count map per column, so its memory follows
+    the number of distinct values."""
     qs = F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))
 
     def q(c: str) -> Column:
@@ -78,9 +79,9 @@ def tail(df: DataFrame, order: Sequence[str], n: int = 5) -> DataFrame:
     return df.orderBy(*[F.col(c).desc() for c in order]).limit(n)
 
 
-def cell(df: DataFrame, order: Sequence[str], row: int, col: str) -> DataFrame:
-    """The value at 0-based position ``row`` in ``order``."""
-    return df.orderBy(*order).offset(row).limit(1).select(col)
+def cell(df: DataFrame, order: Sequence[str], row: int, *cols: str) -> DataFrame:
+    """The values of ``cols`` at 0-based position ``row`` in ``order``."""
+    return df.orderBy(*order).offset(row).limit(1).select(*cols)
 
 
 def sample_rows(df: DataFrame, fraction: float, seed: int = 42) -> DataFrame:
@@ -88,15 +89,20 @@ def sample_rows(df: DataFrame, fraction: float, seed: int = 42) -> DataFrame:
     return df.sample(fraction=fraction, seed=seed)
 
 
-# Multiplicative hash constants for ``sample_by_key``.
-KEY_HASH_PRIME = 1_000_003
-KEY_HASH_MULT = 2_654_435_761
+def key_hash(key: str) -> Column:
+    """The first 32 bits of the md5 of the key's text, as a long: the same in
+    any engine, on every run and after any task retry."""
+    return F.conv(F.substring(F.md5(F.col(key).cast("string").cast("binary")), 1, 8), 16, 10).cast("long")
 
 
 def sample_by_key(df: DataFrame, key: str, fraction: float, buckets: int = 10_000) -> DataFrame:
-    """O5, reproducible: keep rows whose integer key hashes into the first
-    ``fraction`` of ``buckets``. The same rows on every run and after any
-    task retry, and whole keys are kept or dropped together. The arithmetic
-    stays within 64 bits for any key."""
-    h = F.pmod(F.pmod(F.col(key), F.lit(KEY_HASH_PRIME)) * F.lit(KEY_HASH_MULT), F.lit(buckets))
-    return df.where(h < F.lit(int(round(fraction * buckets))))
+    """O5, reproducible: keep rows whose key hashes into the first ``fraction``
+    of ``buckets``; whole keys are kept or dropped together. Rows without a
+    key are not sampled."""
+    return df.where(F.pmod(key_hash(key), F.lit(buckets)) < F.lit(int(round(fraction * buckets))))
+
+
+def sample_n(df: DataFrame, key: str, n: int) -> DataFrame:
+    """``n`` rows, those whose keys hash smallest (ties by key). A top-k:
+    each task sends at most ``n`` rows."""
+    return df.orderBy(key_hash(key).asc_nulls_last(), key).limit(n)

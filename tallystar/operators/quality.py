@@ -51,8 +51,10 @@ def reconcile(inputs: DataFrame, output: DataFrame, key: str) -> DataFrame:
     ``(key, rows_in, rows_out, status)``; a key missing on one side counts 0."""
     a = inputs.groupBy(key).agg(F.count(F.lit(1)).alias("rows_in"))
     b = output.groupBy(key).agg(F.count(F.lit(1)).alias("rows_out"))
-    j = a.join(b, key, "full_outer").select(
-        key, F.coalesce("rows_in", F.lit(0)).alias("rows_in"),
+    b = b.withColumnRenamed(key, "_key")
+    # null-safe: rows without a key are one group on both sides
+    j = a.join(b, F.col(key).eqNullSafe(F.col("_key")), "full_outer").select(
+        F.coalesce(key, "_key").alias(key), F.coalesce("rows_in", F.lit(0)).alias("rows_in"),
         F.coalesce("rows_out", F.lit(0)).alias("rows_out"))
     return j.withColumn("status", F.when(F.col("rows_in") == F.col("rows_out"), "passed")
                         .otherwise("failed"))
@@ -61,7 +63,7 @@ def reconcile(inputs: DataFrame, output: DataFrame, key: str) -> DataFrame:
 def duplicate_report(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """``rows``, ``distinct_keys`` and ``duplicates`` for a key that
     may be composite or nullable (counted as a struct)."""
-    k = F.struct(*keys) if len(keys) > 1 else F.col(keys[0])
+    k = F.struct(*keys)
     return df.agg(F.count(F.lit(1)).alias("rows"),
                   F.count_distinct(k).alias("distinct_keys")) \
         .withColumn("duplicates", F.col("rows") - F.col("distinct_keys"))

@@ -1,8 +1,9 @@
 """Star-schema operators.
 
-Dimensions here are code lists: their size is set by the code domain, not by
-the fact. They are broadcast only after ``checked_broadcast`` has confirmed
-the row bound; above it the join is left to the planner (sort-merge, AQE).
+Dimensions here are code lists. The planner broadcasts them by their size in
+bytes (``spark.sql.autoBroadcastJoinThreshold``, and AQE at run time);
+above that the join is shuffled and AQE splits hot keys. No job runs while a
+plan is built.
 """
 
 from __future__ import annotations
@@ -15,38 +16,38 @@ from pyspark.sql import functions as F
 
 from tallystar.functions.strings import strip_ws
 
-# Rows above which a dimension is not broadcast.
-BROADCAST_MAX_ROWS = 2_000_000
 
-
-def is_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
-    """True if ``df`` has at most ``max_rows`` rows; reads at most
-    ``max_rows + 1`` of them."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def checked_broadcast(dim: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast hint only if ``dim`` has at most ``max_rows`` rows; else the
-    planner chooses (sort-merge, or AQE's runtime switch)."""
-    return F.broadcast(dim) if is_small(dim, max_rows) else dim
+def unique_rows(dim: DataFrame, keys: Sequence[str], on_duplicate: str = "fail") -> DataFrame:
+    """``dim`` with one row per key, so a join on it cannot fan out.
+
+    Rows that repeat a key with the same values collapse. Where values differ,
+    ``on_duplicate='fail'`` raises when the plan runs, ``'first'`` keeps the
+    row that sorts first.
+    """
+    if on_duplicate not in ("fail", "first"):
+        raise ValueError(f"on_duplicate: {on_duplicate}")
+    rest = [c for c in dim.columns if c not in keys]
+    packed = F.struct(*rest) if rest else F.lit(True)
+    one = dim.groupBy(*keys).agg(F.min(packed).alias("_lo"), F.max(packed).alias("_hi"))
+    if on_duplicate == "fail":
+        text = F.concat_ws(", ", *[F.coalesce(F.col(k).cast("string"), F.lit("NULL")) for k in keys])
+        conflict = F.raise_error(F.concat(F.lit(f"conflicting rows for key ({', '.join(keys)}): "), text))
+        first = keys[0]
+        kind = dim.schema[first].dataType
+        one = one.withColumn(first, F.when(~F.col("_lo").eqNullSafe(F.col("_hi")), conflict.cast(kind))
+                             .otherwise(F.col(first)))
+    return one.select(*[F.col(c) if c in keys else F.col(f"_lo.`{c}`").alias(c) for c in dim.columns])
 
 
 def decode(fact: DataFrame, dim: DataFrame, fact_col: str, dim_key: str,
-           keep: Sequence[str] | None = None, how: str = "inner",
-           broadcast: bool | None = None) -> DataFrame:
+           keep: Sequence[str] | None = None, how: str = "inner", on_duplicate: str = "fail") -> DataFrame:
     """Join a code list on ``fact_col == dim_key`` and bring in the
     ``keep`` columns (default: all of the dimension's other columns).
     Inner by default, as the reference: unmatched codes drop; list them with
-    ``coverage``. ``broadcast=None`` probes the dimension's size; callers that
-    already bounded it pass ``True`` (or ``False`` to leave it to the planner)."""
+    ``coverage``. The dimension is made unique first (``unique_rows``)."""
     keep = [c for c in dim.columns if c != dim_key] if keep is None else list(keep)
-    d = dim.select(F.col(dim_key).alias("_dk"), *keep)
-    if broadcast is None:
-        d = checked_broadcast(d)
-    elif broadcast:
-        d = F.broadcast(d)
-    joined = fact.join(d, fact[fact_col] == F.col("_dk"), how)
-    return joined.drop("_dk")
+    d = unique_rows(dim.select(F.col(dim_key).alias("_dk"), *keep), ["_dk"], on_duplicate)
+    return fact.join(d, fact[fact_col] == F.col("_dk"), how).drop("_dk")
 
 
 def coverage(left: DataFrame, right: DataFrame, left_col: str, right_col: str,

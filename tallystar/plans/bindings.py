@@ -9,12 +9,17 @@ really removes rows):
 reference field             stand-in
 ==========================  ===============================================
 ID                          ``l_orderkey || '-' || l_linenumber``
-Geslacht (gender code)      ``l_returnflag``; ``R`` plays the total code
-LeeftijdOp31December (age)  ``10000 + 10 * p_size``; sizes 46-50 are bands
+Geslacht (gender code)      ``l_returnflag``; ``R`` plays the total code; NULL
+                            for some parts
+LeeftijdOp31December (age)  ``10000 + 10 * p_size``; sizes 46-50 are bands; for
+                            some parts padded, signed, 10-digit or malformed
 BurgerlijkeStaat (marital)  ``o_orderpriority`` + trailing blanks;
                             ``4-NOT SPECIFIED`` plays the total code
-Geboorteland (country)      ``c_nationkey``; nation -> translation (2 hops)
-Perioden                    ``year(o_orderdate) || 'JJ00'``
+Geboorteland (country)      ``c_nationkey``; nation -> translation (2 hops);
+                            an unknown code for some customers, and one nation
+                            has no translation
+Perioden                    ``year(o_orderdate) || 'JJ00'``, for some customers
+                            with a trailing no-break space
 Immigratie_1 (measure)      ``nullif(int(l_quantity), 50) - 1``: 0 and NULL
                             occur, as in the published data
 SingleCountry               ``'Y'`` unless the nation is in region 4
@@ -22,7 +27,8 @@ SingleCountry               ``'Y'`` unless the nation is in region 4
 
 The happiness dimension is one row per (supplier nation, ship year) with
 six scores made from lineitem averages by integer arithmetic, so every
-engine gets the same doubles. Code lists are the distinct codes of the
+engine gets the same doubles; one (nation, year) is missing and some cells
+are ``N/A``. Code lists are the distinct codes of the
 tables, labelled by rule. All of it grows with the tables.
 """
 
@@ -32,7 +38,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallystar.functions.strings import decode_map
-from tallystar.operators.star import checked_broadcast
 from tallystar.plans.model import CodeBook
 
 # Stand-in codes (fixed values of the binding).
@@ -51,7 +56,14 @@ STANDIN_BOOK = CodeBook(STANDIN_TOTALS, STANDIN_AGE_BAND_LIMIT,
 MARITAL_PAD = "   "
 # Years from this one on are written with the newer happiness header layout.
 STANDIN_LAYOUT_SWITCH = 2000
-# Records per keyed-JSON document when landing the raw records.
+# Rows made to fail a rule or a join (fixed values of the binding).
+UNKNOWN_COUNTRY = "99"
+UNTRANSLATED_NATION = 13
+UNSCORED = (9, 1997)       # nation, year
+NULL_SCORE_YEAR = 1998     # Corruption_Score of nations 3, 10, 17, 24
+# Records per keyed-JSON document when landing the raw records; the records of
+# SINGLE_DOC_YEAR are one document, the published shape.
+SINGLE_DOC_YEAR = 1998
 RECORDS_PER_DOC = 10_000
 
 
@@ -86,13 +98,19 @@ def raw_records(spark: SparkSession, sf_dir: str, with_row_key: bool = False) ->
     j = (li.join(o, li.l_orderkey == o.o_orderkey)
          .join(c, o.o_custkey == c.c_custkey)
          .join(p, li.l_partkey == p.p_partkey))
+    age = (F.lit(10000) + F.lit(10) * F.col("p_size")).cast("string")
+    odd = F.col("l_partkey") % 97
     return j.select(
         F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")).alias("ID"),
-        F.col("l_returnflag").alias("Geslacht"),
-        (F.lit(10000) + F.lit(10) * F.col("p_size")).cast("string").alias("LeeftijdOp31December"),
+        F.when(F.col("l_partkey") % 89 != 3, F.col("l_returnflag")).alias("Geslacht"),
+        F.when(odd == 5, F.concat(age, F.lit("abc"))).when(odd == 7, F.concat(F.lit("00000"), age))
+        .when(odd == 11, F.lit("2000000000")).when(odd == 13, F.lit("-5")).when(odd == 17, F.lit("1e5"))
+        .otherwise(age).alias("LeeftijdOp31December"),
         F.concat(F.col("o_orderpriority"), F.lit(MARITAL_PAD)).alias("BurgerlijkeStaat"),
-        F.col("c_nationkey").cast("string").alias("Geboorteland"),
-        F.concat(F.year("o_orderdate").cast("string"), F.lit("JJ00")).alias("Perioden"),
+        F.when(F.col("c_custkey") % 83 == 1, F.lit(UNKNOWN_COUNTRY))
+        .otherwise(F.col("c_nationkey").cast("string")).alias("Geboorteland"),
+        F.concat(F.year("o_orderdate").cast("string"), F.lit("JJ00"),
+                 F.when(F.col("c_custkey") % 79 == 2, F.lit("\u00a0")).otherwise(F.lit(""))).alias("Perioden"),
         (F.nullif(F.col("l_quantity").cast("int"), F.lit(50)) - 1).alias("Immigratie_1"),
         *(["_row_key"] if with_row_key else []),
     )
@@ -138,9 +156,9 @@ def code_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def translation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Land_Dutch -> Country (+ SingleCountry), from nation and region."""
-    nation = table(spark, sf_dir, "nation")
+    nation = table(spark, sf_dir, "nation").where(F.col("n_nationkey") != UNTRANSLATED_NATION)
     region = table(spark, sf_dir, "region")
-    j = nation.join(checked_broadcast(region), nation.n_regionkey == region.r_regionkey)
+    j = nation.join(region, nation.n_regionkey == region.r_regionkey)
     return j.select(F.col("n_name").alias("Land_Dutch"), english_name("n_name").alias("Country"),
                     F.when(F.col("n_regionkey") < 4, "Y").otherwise("N").alias("SingleCountry"))
 
@@ -164,10 +182,11 @@ def happiness_yearly(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     nation = table(spark, sf_dir, "nation").join(
-        checked_broadcast(table(spark, sf_dir, "region")), F.col("n_regionkey") == F.col("r_regionkey"))
+        table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
     j = pre.join(supplier, pre.l_suppkey == supplier.s_suppkey) \
-        .join(checked_broadcast(nation), F.col("s_nationkey") == F.col("n_nationkey"))
-    g = j.groupBy("n_name", "r_name", "Year").agg(
+        .join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
+    j = j.where(~((F.col("n_nationkey") == UNSCORED[0]) & (F.col("Year") == UNSCORED[1])))
+    g = j.groupBy("n_nationkey", "n_name", "r_name", "Year").agg(
         *[F.sum(c).alias(c) for c in ["n", "disc", "tax", "qty", "ret", "fin", "price"]])
 
     n = F.col("n")
@@ -181,7 +200,8 @@ def happiness_yearly(spark: SparkSession, sf_dir: str) -> DataFrame:
         _ratio(F.col("qty") * 20, n, 100.0).alias("Health_Score"),
         _ratio(F.col("ret") * 1000, n, 100.0).alias("Freedom_Score"),
         _ratio(F.col("fin") * 1000, n, 100.0).alias("Generosity_Score"),
-        _ratio(F.col("price"), n, 1_000_000.0).alias("Corruption_Score"),
+        F.when(~((F.col("n_nationkey") % 7 == 3) & (F.col("Year") == NULL_SCORE_YEAR)),
+               _ratio(F.col("price"), n, 1_000_000.0)).alias("Corruption_Score"),
     )
 
 

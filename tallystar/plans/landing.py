@@ -6,9 +6,9 @@ translation CSV and the yearly happiness CSVs in two header layouts (plus
 the raw records as Parquet, which the record-level queries read).
 ``ensure_star`` runs M5 and M6 over them and writes the fact and the
 dimension as Parquet partitioned by ``Year``. Both are written once per
-session and table folder, under the shared scratch root, and later queries
-read the written tables (partition pruning, column pruning, no recompute
-after an executor loss).
+session and state of the table folder (file names, sizes and times), under the
+shared scratch root, and later queries read the written tables (partition
+pruning, column pruning, no recompute after an executor loss).
 """
 
 from __future__ import annotations
@@ -23,7 +23,6 @@ from pyspark.sql import functions as F
 
 from tallystar.functions.strings import strict_int
 from tallystar.operators.rank import rank_within
-from tallystar.operators.star import is_small
 from tallystar.plans import bindings as B
 from tallystar.plans.model import (
     LAYOUT_2018_COLUMNS,
@@ -56,32 +55,58 @@ class Landing:
     checks: dict | None = None
 
 
-_LANDED: dict[tuple[str, str], Landing] = {}
+_LANDED: dict[tuple, Landing] = {}
 # Queries may be called from several driver threads; land and build once.
 _LOCK = threading.RLock()
 
 
-def _key(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
-    return (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+SOURCE_TABLES = ("lineitem", "orders", "customer", "part", "supplier", "nation", "region")
+
+
+def _key(spark: SparkSession, sf_dir: str) -> tuple:
+    """Application, folder, and the listing of the source tables' files: a
+    table that is written anew is landed anew."""
+    folder = sf_dir.rstrip("/")
+    listing = spark.read.format("binaryFile").load([f"{folder}/{t}.parquet" for t in SOURCE_TABLES])
+    files = sorted(tuple(map(str, r)) for r in listing.select("path", "modificationTime", "length").collect())
+    return (spark.sparkContext.applicationId, folder, tuple(files))
 
 
 # ------------------------------------------------------------------- writers
 def write_keyed_json(raw: DataFrame, path: str, records_per_doc: int, n_records: int) -> None:
-    """One JSON document per (year, shard): ``{"value": {"<key>": record}}``.
+    """JSON documents ``{"value": {"<key>": record}}``: one for the whole year
+    ``B.SINGLE_DOC_YEAR`` (the published shape), written as the file
+    ``immigration_<year>.json``, and for the other years one per shard.
 
     ``raw`` carries ``_row_key``, a unique key that is stable under
-    recomputation. Records are spread over shards by its hash, so every
-    document holds about ``records_per_doc`` records even when one ID or one
-    year holds a large share of the rows."""
+    recomputation. Records are spread over shards by its hash, so a document
+    holds at most about ``records_per_doc`` records (fewer where a year has
+    few) even when one ID holds a large share of the rows."""
     n_docs = max(1, math.ceil(n_records / records_per_doc))
     keyed = raw.select(
         F.col("_row_key").alias("_key"),
         strict_int(F.substring("Perioden", 1, 4)).alias("Year"),
         F.struct(*RAW_FIELDS).alias("_rec"),
-    ).withColumn("_doc", F.pmod(F.xxhash64("_key"), F.lit(n_docs)))
+    ).withColumn("_doc", F.when(F.col("Year") == B.SINGLE_DOC_YEAR, F.lit(0).cast("long"))
+                 .otherwise(F.pmod(F.xxhash64("_key"), F.lit(n_docs))))
     docs = keyed.groupBy("Year", "_doc").agg(
         F.map_from_entries(F.collect_list(F.struct("_key", "_rec"))).alias("value"))
     docs.select("Year", "value").write.partitionBy("Year").mode("overwrite").json(path)
+    name_single_file(keyed.sparkSession, f"{path}/Year={B.SINGLE_DOC_YEAR}",
+                     f"{path}/immigration_{B.SINGLE_DOC_YEAR}.json")
+
+
+def name_single_file(spark: SparkSession, folder: str, target: str) -> None:
+    """Give the one data file of ``folder`` the name ``target`` (as published
+    files are named by hand); a folder that is not there is left alone."""
+    jvm = spark._jvm
+    source = jvm.org.apache.hadoop.fs.Path(folder)
+    fs = source.getFileSystem(spark._jsc.hadoopConfiguration())
+    if fs.exists(source):
+        files = [f.getPath() for f in fs.listStatus(source) if not f.getPath().getName().startswith(("_", "."))]
+        if len(files) != 1 or not fs.rename(files[0], jvm.org.apache.hadoop.fs.Path(target)):
+            raise OSError(f"{folder} holds {len(files)} files, one was expected")
+        fs.delete(source, True)
 
 
 def write_code_list(sections: DataFrame, spark: SparkSession, path: str) -> None:
@@ -106,20 +131,23 @@ def write_code_list(sections: DataFrame, spark: SparkSession, path: str) -> None
 def write_happiness(h: DataFrame, path: str, switch_year: int) -> None:
     """Yearly CSVs (``Year=<y>/part-*.csv``): years before ``switch_year``
     with the 2018 header (with ``Overall rank``), later years with the 2020
-    header. The rank window is per year over one row per country. The ranked
+    header and its further columns; NULL is written as ``N/A``. The rank window is per year over one row per country. The ranked
     table (countries x years) is cached for the two writes."""
     ranked = rank_within(h, ["Year"], "Happiness_Score", ["Country"], name="rank").cache()
-    old = ranked.where(F.col("Year") < switch_year).select(
-        *[F.col(src).alias(dst) for src, dst in zip(
-            ["rank", "Country", "Happiness_Score", "GDP_Score", "Social_Score", "Health_Score",
-             "Freedom_Score", "Generosity_Score", "Corruption_Score"], LAYOUT_2018_COLUMNS)], "Year")
-    new = ranked.where(F.col("Year") >= switch_year).select(
-        *[F.col(src).alias(dst) for src, dst in zip(
-            ["Country", "Region", "Happiness_Score", "GDP_Score", "Social_Score", "Health_Score",
-             "Freedom_Score", "Generosity_Score", "Corruption_Score"], LAYOUT_2020_COLUMNS)], "Year")
-    old.write.partitionBy("Year").option("header", True).mode("overwrite").csv(path)
-    new.write.partitionBy("Year").option("header", True).mode("append").csv(path)
-    ranked.unpersist()
+    try:
+        old = ranked.where(F.col("Year") < switch_year).select(
+            *[F.col(src).alias(dst) for src, dst in zip(
+                ["rank", "Country", "Happiness_Score", "GDP_Score", "Social_Score", "Health_Score",
+                 "Freedom_Score", "Generosity_Score", "Corruption_Score"], LAYOUT_2018_COLUMNS)], "Year")
+        new = ranked.withColumns({"Error": F.col("Social_Score") / 10, "Residual": F.col("GDP_Score")}) \
+            .where(F.col("Year") >= switch_year).select(
+            *[F.col(src).alias(dst) for src, dst in zip(
+                ["Country", "Region", "Happiness_Score", "Error", "GDP_Score", "Social_Score", "Health_Score",
+                 "Freedom_Score", "Generosity_Score", "Corruption_Score", "Residual"], LAYOUT_2020_COLUMNS)], "Year")
+        for part, mode in ((old, "overwrite"), (new, "append")):
+            part.write.partitionBy("Year").option("header", True).option("nullValue", "N/A").mode(mode).csv(path)
+    finally:
+        ranked.unpersist()
 
 
 # ------------------------------------------------------------------ landing
@@ -176,16 +204,10 @@ def landed_code_lists(spark: SparkSession, land: Landing) -> dict[str, DataFrame
     return read_code_lists(spark, land.codes, B.STANDIN_BOOK)
 
 
-def codes_small(spark: SparkSession, land: Landing) -> bool:
-    """One size probe of the code-list file bounds all five code lists."""
-    return is_small(spark.read.text(land.codes))
-
-
 def landed_fact(spark: SparkSession, land: Landing) -> DataFrame:
     """M5 over the landed files (lazy)."""
-    small = codes_small(spark, land)
     return build_fact(landed_raw(spark, land), landed_code_lists(spark, land),
-                      read_csv_strings(spark, land.translation), B.STANDIN_BOOK, codes_small=small)
+                      read_csv_strings(spark, land.translation), B.STANDIN_BOOK)
 
 
 def landed_dimension(spark: SparkSession, land: Landing) -> DataFrame:

@@ -13,7 +13,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallystar.operators.rank import rank_within
-from tallystar.operators.star import checked_broadcast
 
 VOLUME = "ImmigrationVolume"
 SUM_VOLUME = "sumImmigrationVolume"
@@ -32,7 +31,7 @@ def topk_with_score(fact: DataFrame, dim: DataFrame, year: int, k: int = 10,
         cond = cond & (F.col("SingleCountry") == "Y")
     vol = volume_by(fact.where(cond), ["Country"])
     score = dim.where(F.col("Year") == year).select("Country", "Happiness_Score")
-    return (vol.join(checked_broadcast(score), "Country")
+    return (vol.join(score, "Country")
             .orderBy(F.col(SUM_VOLUME).desc(), F.col("Country"))
             .limit(k)
             .select("Country", SUM_VOLUME, "Happiness_Score"))
@@ -68,8 +67,15 @@ def score_volume_correlation(fact: DataFrame, dim: DataFrame, digits: int = 6) -
         F.count(F.lit(1)).alias("n_countries"))
 
 
+def partition_years(fact: DataFrame) -> list[int]:
+    """The years the written fact holds, from its partition column alone
+    (no data column is read); one value per year reaches the driver."""
+    return sorted(r["Year"] for r in fact.select("Year").distinct().collect() if r["Year"] is not None)
+
+
 def trend_pivot(fact: DataFrame, years: Sequence[int], key: str = "Age") -> DataFrame:
-    """M4: volume per ``key`` with one column per year (``y<year>``). The
-    years are given, so Spark does not run a distinct pass to find them."""
-    p = fact.groupBy(key).pivot("Year", list(years)).agg(F.sum(VOLUME).cast("long"))
-    return p.select(key, *[F.col(str(y)).alias(f"y{y}") for y in years])
+    """M4: volume per ``key`` with one column per year (``y<year>``). Only the
+    listed years' partitions are scanned; ``partition_years`` lists them all."""
+    chosen = list(years)
+    p = fact.where(F.col("Year").isin(chosen)).groupBy(key).pivot("Year", chosen).agg(F.sum(VOLUME).cast("long"))
+    return p.select(key, *[F.col(str(y)).alias(f"y{y}") for y in chosen])

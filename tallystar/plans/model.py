@@ -75,29 +75,30 @@ RAW_SCHEMA = StructType([
     StructField("Immigratie_1", IntegerType()),
 ])
 
-# Header layouts of the yearly happiness files, in file column order.
+# Needed columns of the yearly happiness files by layout, read by name; the
+# files hold further ones (rank, region, errors), which are ignored.
 LAYOUT_2018_COLUMNS = ["Overall rank", "Country or region", "Score", "GDP per capita",
                        "Social support", "Healthy life expectancy",
                        "Freedom to make life choices", "Generosity",
                        "Perceptions of corruption"]
 LAYOUT_2020_COLUMNS = ["Country name", "Regional indicator", "Ladder score",
+                       "Standard error of ladder score",
                        "Explained by: Log GDP per capita", "Explained by: Social support",
                        "Explained by: Healthy life expectancy",
                        "Explained by: Freedom to make life choices",
                        "Explained by: Generosity",
-                       "Explained by: Perceptions of corruption"]
+                       "Explained by: Perceptions of corruption", "Dystopia + residual"]
 
 
-def layout_schema(columns: list[str]) -> StructType:
-    text = {"Country or region", "Country name", "Regional indicator"}
-    return StructType([
-        StructField(c, StringType() if c in text else IntegerType() if c == "Overall rank"
-                    else DoubleType()) for c in columns])
+def needed_columns(mapping: dict[str, str]) -> StructType:
+    """The source columns of a layout, typed."""
+    return StructType([StructField(c, StringType() if to == "Country" else DoubleType())
+                       for c, to in mapping.items()])
 
 
 HAPPINESS_LAYOUTS = {
-    "2018": (layout_schema(LAYOUT_2018_COLUMNS), HAPPINESS_LAYOUT_2018),
-    "2020": (layout_schema(LAYOUT_2020_COLUMNS), HAPPINESS_LAYOUT_2020),
+    "2018": (needed_columns(HAPPINESS_LAYOUT_2018), HAPPINESS_LAYOUT_2018),
+    "2020": (needed_columns(HAPPINESS_LAYOUT_2020), HAPPINESS_LAYOUT_2020),
 }
 
 

@@ -7,21 +7,31 @@ decoding and the query. Column names match the Spark results.
 
 from __future__ import annotations
 
-WS = r"[ \t\n\r\f\x0B]"
+# what Python's str.strip() removes
+BLANKS = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
 
 
 def _strip(c: str) -> str:
-    return f"regexp_replace({c}, '^{WS}+|{WS}+$', '', 'g')"
+    return f"trim({c}, '{BLANKS}')"
+
+
+def _whole_int(c: str) -> str:
+    """The whole text as an INTEGER, else NULL."""
+    return f"CASE WHEN regexp_full_match(trim({c}), '[+-]?[0-9]+') THEN TRY_CAST(trim({c}) AS INTEGER) END"
 
 
 RAW = """
 raw AS (
   SELECT CAST(l.l_orderkey AS VARCHAR) || '-' || CAST(l.l_linenumber AS VARCHAR) AS ID,
-         l.l_returnflag AS Geslacht,
-         CAST(10000 + 10 * p.p_size AS VARCHAR) AS LeeftijdOp31December,
+         CASE WHEN l.l_partkey % 89 <> 3 THEN l.l_returnflag END AS Geslacht,
+         CASE l.l_partkey % 97 WHEN 5 THEN CAST(10000 + 10 * p.p_size AS VARCHAR) || 'abc'
+           WHEN 7 THEN '00000' || CAST(10000 + 10 * p.p_size AS VARCHAR) WHEN 11 THEN '2000000000'
+           WHEN 13 THEN '-5' WHEN 17 THEN '1e5'
+           ELSE CAST(10000 + 10 * p.p_size AS VARCHAR) END AS LeeftijdOp31December,
          o.o_orderpriority || '   ' AS BurgerlijkeStaat,
-         CAST(c.c_nationkey AS VARCHAR) AS Geboorteland,
-         CAST(year(o.o_orderdate) AS VARCHAR) || 'JJ00' AS Perioden,
+         CASE WHEN c.c_custkey % 83 = 1 THEN '99' ELSE CAST(c.c_nationkey AS VARCHAR) END AS Geboorteland,
+         CAST(year(o.o_orderdate) AS VARCHAR) || 'JJ00' || CASE WHEN c.c_custkey % 79 = 2 THEN chr(160) ELSE '' END
+           AS Perioden,
          CAST(NULLIF(CAST(l.l_quantity AS INTEGER), 50) - 1 AS INTEGER) AS Immigratie_1
   FROM lineitem l
   JOIN orders o ON l.l_orderkey = o.o_orderkey
@@ -37,15 +47,16 @@ trimmed AS (
 clean AS (
   SELECT * FROM trimmed
   WHERE Immigratie_1 IS NOT NULL AND Immigratie_1 > 0
-    AND TRY_CAST(regexp_extract(LeeftijdOp31December, '^\\s*(\\d+)', 1) AS INTEGER) < 10460
+    AND {_whole_int('LeeftijdOp31December')} < 10460
     AND Geslacht IS DISTINCT FROM 'R' AND LeeftijdOp31December IS DISTINCT FROM '10000'
     AND BurgerlijkeStaat IS DISTINCT FROM '4-NOT SPECIFIED' AND Geboorteland IS DISTINCT FROM 'T001175')"""
 
 DEDUP = """,
 dedup AS (
   SELECT ID, Geslacht, LeeftijdOp31December, BurgerlijkeStaat, Geboorteland, Perioden, Immigratie_1
-  FROM (SELECT *, row_number() OVER (PARTITION BY ID ORDER BY Geslacht, LeeftijdOp31December,
-               BurgerlijkeStaat, Geboorteland, Perioden, Immigratie_1) AS rn FROM clean)
+  FROM (SELECT *, row_number() OVER (PARTITION BY ID ORDER BY Geslacht NULLS LAST,
+               LeeftijdOp31December NULLS LAST, BurgerlijkeStaat NULLS LAST, Geboorteland NULLS LAST,
+               Perioden NULLS LAST, Immigratie_1 NULLS LAST) AS rn FROM clean)
   WHERE rn = 1)"""
 
 GENDER_CASE = ("CASE {c} WHEN 'A' THEN 'Men' WHEN 'N' THEN 'Women' "
@@ -55,19 +66,29 @@ MARITAL_CASE = ("CASE {c} WHEN '1-URGENT' THEN 'Unmarried' WHEN '2-HIGH' THEN 'M
                 "WHEN '5-LOW' THEN 'Divorced' END")
 ENGLISH = "upper(substr({n}, 1, 1)) || lower(substr({n}, 2))"
 
-FACT = f""",
+# the code lists of the stand-in; nation 13 has no translation
+LISTS = """,
+genders AS (SELECT DISTINCT l_returnflag AS code FROM lineitem),
+ages AS (SELECT DISTINCT CAST(10000 + 10 * p_size AS VARCHAR) AS code, p_size - 1 AS age FROM part),
+maritals AS (SELECT DISTINCT o_orderpriority AS code FROM orders),
+periods AS (SELECT DISTINCT CAST(year(o_orderdate) AS VARCHAR) || 'JJ00' AS code FROM orders),
+translated AS (SELECT n_nationkey AS key, n.* FROM nation n JOIN region ON n_regionkey = r_regionkey
+               WHERE n_nationkey <> 13)"""
+
+FACT = LISTS + f""",
 fact AS (
   SELECT d.ID,
          {GENDER_CASE.format(c='d.Geslacht')} AS Gender,
-         CAST((CAST(d.LeeftijdOp31December AS INTEGER) - 10000) // 10 - 1 AS INTEGER) AS Age,
+         CAST(a.age AS INTEGER) AS Age,
          {MARITAL_CASE.format(c='d.BurgerlijkeStaat')} AS MaritalStatus,
          {ENGLISH.format(n='n.n_name')} AS Country,
          d.Immigratie_1 AS ImmigrationVolume,
          CASE WHEN n.n_regionkey < 4 THEN 'Y' ELSE 'N' END AS SingleCountry,
          CAST(substr(d.Perioden, 1, 4) AS INTEGER) AS Year
   FROM dedup d
-  JOIN nation n ON n.n_nationkey = CAST(d.Geboorteland AS INTEGER)
-  JOIN region r ON n.n_regionkey = r.r_regionkey)"""
+  JOIN genders g ON g.code = d.Geslacht JOIN ages a ON a.code = d.LeeftijdOp31December
+  JOIN maritals m ON m.code = d.BurgerlijkeStaat JOIN periods p ON p.code = d.Perioden
+  JOIN translated n ON CAST(n.key AS VARCHAR) = d.Geboorteland)"""
 
 
 def _ratio(num: str, scale: str) -> str:
@@ -84,6 +105,7 @@ happy_agg AS (
          count(*) FILTER (WHERE l.l_linestatus = 'F') AS fin,
          sum(CAST(round(l.l_extendedprice * 100) AS BIGINT)) AS price
   FROM lineitem l JOIN supplier s ON l.l_suppkey = s.s_suppkey
+  WHERE NOT (s.s_nationkey = 9 AND year(l.l_shipdate) = 1997)
   GROUP BY 1, 2),
 happy AS (
   SELECT {ENGLISH.format(n='n.n_name')} AS Country,
@@ -92,7 +114,7 @@ happy AS (
          {_ratio('g.qty * 20', '100')} AS Health_Score,
          {_ratio('g.ret * 1000', '100')} AS Freedom_Score,
          {_ratio('g.fin * 1000', '100')} AS Generosity_Score,
-         {_ratio('g.price', '1000000')} AS Corruption_Score,
+         CASE WHEN NOT (g.nk % 7 = 3 AND g.y = 1998) THEN {_ratio('g.price', '1000000')} END AS Corruption_Score,
          g.y AS Year,
          r.r_name AS Region,
          {_ratio('g.tax * 50', '100')} AS Social_Score
@@ -183,7 +205,7 @@ SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderk
     "filt_measure": W_RAW + f"\nSELECT {RAW_COLS} FROM raw WHERE Immigratie_1 IS NOT NULL AND Immigratie_1 > 0",
     "filt_code_range": W_RAW + f"""
 SELECT {RAW_COLS} FROM raw
-WHERE TRY_CAST(regexp_extract(LeeftijdOp31December, '^\\s*(\\d+)', 1) AS INTEGER) < 10460""",
+WHERE {_whole_int('LeeftijdOp31December')} < 10460""",
     "filt_drop_totals": W_RAW + f"""
 SELECT ID, {_strip('Geslacht')} AS Geslacht, {_strip('LeeftijdOp31December')} AS LeeftijdOp31December,
        {_strip('BurgerlijkeStaat')} AS BurgerlijkeStaat, {_strip('Geboorteland')} AS Geboorteland,
@@ -196,8 +218,9 @@ WHERE {_strip('Geslacht')} IS DISTINCT FROM 'R'
     "filt_conjunction": W_FACT + f"\nSELECT {FACT_COLS} FROM fact WHERE Year = 1998 AND SingleCountry = 'Y'",
     "filt_partition": W_FACT + f"\nSELECT {FACT_COLS} FROM fact WHERE Year = 1998",
     "filt_key_slice": """
-SELECT o_orderkey, o_custkey, o_orderpriority FROM orders
-WHERE o_orderkey BETWEEN 100 AND 104 OR o_orderkey BETWEEN 300 AND 304 OR o_orderkey BETWEEN 400 AND 404""",
+SELECT o_orderkey, o_custkey, o_orderpriority, key_kind
+FROM orders, (VALUES ('number'), ('text')) AS kinds(key_kind)
+WHERE (o_orderkey BETWEEN 100 AND 104 OR o_orderkey BETWEEN 300 AND 304 OR o_orderkey BETWEEN 400 AND 404)""",
     "map_lookup": """
 SELECT event_id, CAST(json_extract(props, '$.k') AS INTEGER) AS k FROM events""",
     "json_map_explode": """
@@ -205,18 +228,18 @@ SELECT e.event_id, CAST(len(json_keys(e.props)) AS INTEGER) AS n_keys, t.key,
        CAST(json_extract(e.props, '$."' || t.key || '"') AS INTEGER) AS value
 FROM events e, unnest(json_keys(e.props)) AS t(key)""",
     # ---- joins
-    "join_star_decode": W_CLEAN + f"""
-SELECT d.ID, {GENDER_CASE.format(c='d.Geslacht')} AS Gender,
-       CAST((CAST(d.LeeftijdOp31December AS INTEGER) - 10000) // 10 - 1 AS INTEGER) AS Age,
+    "join_star_decode": W_CLEAN + LISTS + f"""
+SELECT d.ID, {GENDER_CASE.format(c='d.Geslacht')} AS Gender, CAST(a.age AS INTEGER) AS Age,
        {MARITAL_CASE.format(c='d.BurgerlijkeStaat')} AS MaritalStatus,
        n.n_name AS Land, CAST(substr(d.Perioden, 1, 4) AS INTEGER) AS Year, d.Immigratie_1
-FROM clean d JOIN nation n ON n.n_nationkey = CAST(d.Geboorteland AS INTEGER)""",
-    "join_two_hop": W_RAW + f"""
+FROM clean d JOIN nation n ON CAST(n.n_nationkey AS VARCHAR) = d.Geboorteland
+JOIN genders g ON g.code = d.Geslacht JOIN ages a ON a.code = d.LeeftijdOp31December
+JOIN maritals m ON m.code = d.BurgerlijkeStaat JOIN periods p ON p.code = d.Perioden""",
+    "join_two_hop": W_RAW + LISTS + f"""
 SELECT r.ID, {_strip('r.Geboorteland')} AS Geboorteland, n.n_name AS Land,
        {ENGLISH.format(n='n.n_name')} AS Country,
        CASE WHEN n.n_regionkey < 4 THEN 'Y' ELSE 'N' END AS SingleCountry
-FROM raw r JOIN nation n ON CAST(n.n_nationkey AS VARCHAR) = {_strip('r.Geboorteland')}
-JOIN region g ON n.n_regionkey = g.r_regionkey""",
+FROM raw r JOIN translated n ON CAST(n.key AS VARCHAR) = {_strip('r.Geboorteland')}""",
     "join_coverage_anti": """
 SELECT DISTINCT o.o_orderkey FROM orders o
 WHERE NOT EXISTS (SELECT 1 FROM lineitem l WHERE l.l_orderkey = o.o_orderkey)""",
@@ -236,7 +259,11 @@ known AS (
   UNION SELECT 'period', CAST(year(o_orderdate) AS VARCHAR) || 'JJ00' FROM orders)
 SELECT c.dimension, c.code, count(*) AS rows FROM codes c
 WHERE NOT EXISTS (SELECT 1 FROM known k WHERE k.dimension = c.dimension AND k.code = c.code)
-GROUP BY c.dimension, c.code""",
+GROUP BY c.dimension, c.code
+UNION ALL
+SELECT 'translation', n.n_name, count(*) FROM clean d JOIN nation n ON CAST(n.n_nationkey AS VARCHAR) = d.Geboorteland
+WHERE n.n_nationkey NOT IN (SELECT n_nationkey FROM nation WHERE n_nationkey <> 13)
+GROUP BY n.n_name""",
     "join_coverage_scores": W_STAR + """
 SELECT DISTINCT f.Country, f.Year FROM fact f
 WHERE NOT EXISTS (SELECT 1 FROM happy h WHERE h.Country = f.Country AND h.Year = f.Year)""",
@@ -284,7 +311,10 @@ UNION ALL SELECT * FROM (SELECT 'tail' AS side, p_partkey, p_type, p_size FROM p
 UNION ALL SELECT * FROM (SELECT 'cell' AS side, p_partkey, p_type, p_size FROM part ORDER BY p_partkey LIMIT 1 OFFSET 1)""",
     "sample_rows_by_key": """
 SELECT o_orderkey, o_custkey, o_totalprice FROM orders
-WHERE ((o_orderkey % 1000003) * 2654435761) % 10000 < 1000""",
+WHERE CAST('0x' || substr(md5(CAST(o_orderkey AS VARCHAR)), 1, 8) AS BIGINT) % 10000 < 1000""",
+    "sample_n": """
+SELECT o_orderkey, o_custkey, o_totalprice FROM orders
+ORDER BY substr(md5(CAST(o_orderkey AS VARCHAR)), 1, 8), o_orderkey LIMIT 10""",
     "set_difference_both": """
 SELECT o_custkey, 'only_1998' AS side FROM (
   SELECT o_custkey FROM orders WHERE year(o_orderdate) = 1998
@@ -321,8 +351,36 @@ SELECT *, CASE WHEN violations = 0 THEN 'passed' ELSE 'failed' END AS status FRO
         f"('{c}_0_10', (SELECT count(*) FILTER (WHERE NOT coalesce({c} BETWEEN 0 AND 10, false)) FROM happy))"
         for c in ["Happiness_Score", "GDP_Score", "Health_Score", "Freedom_Score", "Generosity_Score",
                   "Corruption_Score"]) + ") AS t(rule, violations)",
-    "dq_reconcile": W_HAPPY + """
-SELECT Year, count(*) AS rows_in, count(*) AS rows_out, 'passed' AS status FROM happy GROUP BY Year""",
+    "dq_reconcile": W_HAPPY + """,
+merged AS (
+  SELECT DISTINCT CASE WHEN Country IN ('Nation_20', 'Nation_21', 'Nation_22', 'Nation_23', 'Nation_24')
+                       THEN 'Nation_' || CAST(CAST(substr(Country, 8) AS INTEGER) - 20 AS VARCHAR)
+                       ELSE Country END AS Country, Year FROM happy)
+SELECT *, CASE WHEN rows_in = rows_out THEN 'passed' ELSE 'failed' END AS status
+FROM (SELECT Year, count(*) AS rows_in FROM happy GROUP BY Year)
+JOIN (SELECT Year, count(*) AS rows_out FROM merged GROUP BY Year) USING (Year)""",
+    "dq_rejects": W_DEDUP + LISTS + f""",
+flagged AS (
+  SELECT CASE WHEN Immigratie_1 IS NULL THEN 'measure_missing' WHEN Immigratie_1 <= 0 THEN 'measure_not_positive'
+              WHEN ({_whole_int('LeeftijdOp31December')}) IS NULL THEN 'age_code_unusable'
+              WHEN {_whole_int('LeeftijdOp31December')} >= 10460 THEN 'age_band'
+              WHEN Geslacht = 'R' THEN 'total_Geslacht' WHEN LeeftijdOp31December = '10000' THEN 'total_LeeftijdOp31December'
+              WHEN BurgerlijkeStaat = '4-NOT SPECIFIED' THEN 'total_BurgerlijkeStaat'
+              WHEN Geboorteland = 'T001175' THEN 'total_Geboorteland' END AS step FROM trimmed),
+decoded AS (
+  SELECT CASE WHEN g.code IS NULL THEN 'decode_gender' WHEN a.code IS NULL THEN 'decode_age'
+              WHEN m.code IS NULL THEN 'decode_marital' WHEN n.n_nationkey IS NULL THEN 'decode_country'
+              WHEN p.code IS NULL THEN 'decode_period' WHEN t.key IS NULL THEN 'decode_translation'
+              ELSE 'rows_out' END AS step
+  FROM dedup d LEFT JOIN genders g ON g.code = d.Geslacht LEFT JOIN ages a ON a.code = d.LeeftijdOp31December
+  LEFT JOIN maritals m ON m.code = d.BurgerlijkeStaat LEFT JOIN periods p ON p.code = d.Perioden
+  LEFT JOIN nation n ON CAST(n.n_nationkey AS VARCHAR) = d.Geboorteland
+  LEFT JOIN translated t ON t.key = n.n_nationkey)
+SELECT step, CAST(n AS BIGINT) AS rows FROM (
+  SELECT 'rows_in' AS step, count(*) AS n FROM raw
+  UNION ALL SELECT step, count(*) FROM flagged WHERE step IS NOT NULL GROUP BY step
+  UNION ALL SELECT 'duplicates', (SELECT count(*) FROM clean) - (SELECT count(*) FROM dedup)
+  UNION ALL SELECT step, count(*) FROM decoded GROUP BY step) WHERE n <> 0""",
     "dq_schema": W_FACT + """
 SELECT column_name, expected_type, data_type, nulls,
        CASE WHEN expected_type = data_type AND nulls = 0 THEN 'passed' ELSE 'failed' END AS status
@@ -361,11 +419,12 @@ SELECT ID, Geslacht AS GenderCode, LeeftijdOp31December AS AgeCode, BurgerlijkeS
     "proj_decode_map": W_RAW + f"""
 SELECT ID, Geslacht, {GENDER_CASE.format(c='Geslacht')} AS Gender,
        {MARITAL_CASE.format(c=_strip('BurgerlijkeStaat'))} AS MaritalStatus FROM raw""",
-    "proj_safe_cast": """
-SELECT l_orderkey, l_linenumber, CAST(l_quantity AS VARCHAR) AS qty_text,
-       CASE WHEN regexp_matches(CAST(l_quantity AS VARCHAR), '^\\s*[+-]?\\d+\\s*$')
-            THEN TRY_CAST(CAST(l_quantity AS VARCHAR) AS INTEGER) END AS qty_direct,
-       CAST(TRY_CAST(CAST(l_quantity AS VARCHAR) AS DOUBLE) AS INTEGER) AS qty_int FROM lineitem""",
+    "proj_safe_cast": f"""
+SELECT l_orderkey, l_linenumber, qty_text, {_whole_int('qty_text')} AS qty_direct,
+       TRY_CAST(trunc(TRY_CAST(trim(qty_text) AS DOUBLE)) AS INTEGER) AS qty_int
+FROM (SELECT l_orderkey, l_linenumber, CASE l_partkey % 11 WHEN 0 THEN '2000000000' WHEN 1 THEN '-7'
+        WHEN 2 THEN '0000000000042' WHEN 3 THEN '3000000000' WHEN 4 THEN 'x1' WHEN 5 THEN ' 12 ' WHEN 6 THEN '12.9'
+        ELSE CAST(l_quantity AS VARCHAR) END AS qty_text FROM lineitem)""",
     # ---- sources / sinks
     "src_year_from_path": W_RAW + """
 SELECT CAST(substr(Perioden, 1, 4) AS INTEGER) AS Year, count(*) AS n_records FROM raw GROUP BY 1""",
@@ -381,22 +440,18 @@ UNION ALL SELECT 2, k || '   ', CASE k WHEN '1-URGENT' THEN 'Ongehuwd' WHEN '2-H
     WHEN '5-LOW' THEN 'Gescheiden' END FROM (SELECT DISTINCT o_orderpriority AS k FROM orders)
 UNION ALL SELECT 3, CAST(n_nationkey AS VARCHAR), n_name FROM nation
 UNION ALL SELECT 4, y || 'JJ00', y FROM (SELECT DISTINCT CAST(year(o_orderdate) AS VARCHAR) AS y FROM orders)""",
-    "src_csv_typed": W_HAPPY + """
-SELECT CAST(row_number() OVER (PARTITION BY Year ORDER BY Happiness_Score DESC, Country) AS INTEGER)
-         AS Overall_rank,
-       Country AS Country_or_region, Happiness_Score AS Score, GDP_Score AS GDP_per_capita,
-       Social_Score AS Social_support, Health_Score AS Healthy_life_expectancy,
-       Freedom_Score AS Freedom_to_make_life_choices, Generosity_Score AS Generosity,
-       Corruption_Score AS Perceptions_of_corruption, Year
-FROM happy WHERE Year < 2000""",
+    "src_csv_typed": W_HAPPY + f"""
+SELECT {DIM_COLS}, CASE WHEN Year < 2000 THEN '2018' ELSE '2020' END AS layout FROM happy""",
     "src_csv_strings": f"""
 SELECT n.n_name AS Land_Dutch, {ENGLISH.format(n='n.n_name')} AS Country,
        CASE WHEN n.n_regionkey < 4 THEN 'Y' ELSE 'N' END AS SingleCountry
-FROM nation n JOIN region r ON n.n_regionkey = r.r_regionkey""",
+FROM nation n JOIN region r ON n.n_regionkey = r.r_regionkey WHERE n.n_nationkey <> 13""",
     "conform_union": W_HAPPY + f"\nSELECT {DIM_COLS} FROM happy",
     "scan_parquet_partitioned": W_FACT + f"\nSELECT {FACT_COLS} FROM fact",
     "sink_csv_roundtrip": W_HAPPY + f"\nSELECT {DIM_COLS} FROM happy",
     "sink_parquet_roundtrip": W_FACT + f"\nSELECT {FACT_COLS} FROM fact",
-    "sink_dynamic_overwrite": W_HAPPY + f"\nSELECT {DIM_COLS} FROM happy",
+    "sink_dynamic_overwrite": W_HAPPY + f"""
+SELECT {DIM_COLS.replace('Happiness_Score', 'CASE WHEN Year = 1998 THEN Happiness_Score + 1 ELSE Happiness_Score END AS Happiness_Score')}
+FROM happy""",
     "stream_yearly_refresh": W_HAPPY + f"\nSELECT {DIM_COLS} FROM happy",
 }

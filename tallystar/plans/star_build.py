@@ -1,12 +1,14 @@
 """M5 (fact build) and M6 (dimension build) as single lazy plans.
 
 Fact: keyed JSON -> trim codes -> F1/F2/F3 -> dedup on ID -> five code-list
-joins + translation lookup -> casts. One shuffle (the dedup); every code
-list is broadcast after its size check. The reference's CSV staging hop and
-five re-evaluations are gone: checks run in one pass (``quality.py``).
-
-Dimension: yearly CSVs -> one typed read per header layout -> conform ->
-union by name -> Year from the file path.
+joins + translation lookup -> casts. The records are shuffled once (the
+dedup); every code list is made unique, then broadcast by its size in bytes.
+``reject_report`` counts what each rule and each decode drops. The reference's
+CSV staging hop and five re-evaluations are gone: checks run in one pass
+(``quality.py``).
+
+Dimension: yearly CSVs -> columns by name, one read per header -> conform ->
+union by name -> Year from the file path -> optional renames.
 """
 
 from __future__ import annotations
@@ -18,9 +20,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallystar.functions.paths import DIR_YEAR, NAME_YEAR
-from tallystar.functions.strings import decode_map, leading_int, replace_chain, safe_int, strip_ws
-from tallystar.operators.clean import code_below, dedup_first, not_total, positive_measure, trim_columns
-from tallystar.operators.star import conform, decode, union_all
+from tallystar.functions.strings import decode_map, leading_int, replace_chain, safe_int, strict_int, strip_ws
+from tallystar.operators.clean import dedup_first, harmonise_values, trim_columns
+from tallystar.operators.star import conform, decode, resolve_duplicates, union_all, unique_rows
 from tallystar.plans.model import (
     AGE_LABEL_CHAIN,
     CODE_COLS,
@@ -32,7 +34,7 @@ from tallystar.plans.model import (
     CodeBook,
     reference_layout,
 )
-from tallystar.sources.readers import list_inputs, read_csv_typed, read_sections, with_file_year
+from tallystar.sources.readers import read_csv_by_name, read_sections
 
 
 # ----------------------------------------------------------------- code lists
@@ -57,36 +59,51 @@ def code_lists(sections: DataFrame, book: CodeBook) -> dict[str, DataFrame]:
 
 
 def read_code_lists(spark: SparkSession, path: str, book: CodeBook) -> dict[str, DataFrame]:
-    return code_lists(read_sections(spark, path), book)
+    return code_lists(read_sections(spark, path, count=len(SECTION_NAMES)), book)
 
 
 # ----------------------------------------------------------------------- fact
-def clean_records(raw: DataFrame, book: CodeBook) -> DataFrame:
-    """Trim codes, then F1 (measure), F2 (age band) and F3 (totals)."""
+def flag_records(raw: DataFrame, book: CodeBook) -> DataFrame:
+    """Trimmed records with ``reject``: the first cleaning rule that drops the
+    record (F1 measure, F2 age code, F3 totals), NULL where none does. A NULL
+    code passes F3, as in the reference (D14)."""
     r = trim_columns(raw.select(*RAW_FIELDS), CODE_COLS)
-    keep = (positive_measure("Immigratie_1")
-            & code_below("LeeftijdOp31December", book.age_band_limit)
-            & not_total(book.totals))
-    return r.where(keep)
+    age = strict_int("LeeftijdOp31December")
+    measure = F.col("Immigratie_1")
+    reject = (F.when(measure.isNull(), "measure_missing").when(measure <= 0, "measure_not_positive")
+              .when(age.isNull(), "age_code_unusable").when(age >= book.age_band_limit, "age_band"))
+    for c, code in book.totals.items():
+        reject = reject.when(F.col(c).eqNullSafe(F.lit(code)), f"total_{c}")
+    return r.withColumn("reject", reject)
+
+
+def clean_records(raw: DataFrame, book: CodeBook) -> DataFrame:
+    """The records that no cleaning rule drops."""
+    return flag_records(raw, book).where(F.col("reject").isNull()).drop("reject")
+
+
+def unique_records(clean: DataFrame, book: CodeBook) -> DataFrame:
+    """A4 on the record ID."""
+    return dedup_first(clean, list(book.dedup_key), [c for c in RAW_FIELDS if c not in book.dedup_key])
+
+
+def _translated(translation: DataFrame) -> DataFrame:
+    return translation.select(strip_ws("Land_Dutch").alias("Land_Dutch"), strip_ws("Country").alias("Country"),
+                              strip_ws("SingleCountry").alias("SingleCountry"))
 
 
 def decode_records(records: DataFrame, dims: Mapping[str, DataFrame], translation: DataFrame,
-                   codes_small: bool | None = None) -> DataFrame:
+                   how: str = "inner") -> DataFrame:
     """J1 (five code lists) and J2 (Land -> Country via the translation
-    table, joined on a column the country join brought in). ``codes_small``
-    is the size check of the code-list file (all five lists are sections of
-    it); ``None`` probes each list."""
-    b = codes_small
-    f = decode(records, dims["gender"], "Geslacht", "GeslachtCode", ["Gender"], broadcast=b)
-    f = decode(f, dims["age"], "LeeftijdOp31December", "LeeftijdCode", ["Age"], broadcast=b)
-    f = decode(f, dims["marital"], "BurgerlijkeStaat", "BurgerlijkeStaatCode", ["MaritalStatus"], broadcast=b)
-    f = decode(f, dims["country"], "Geboorteland", "LandCode", ["Land"], broadcast=b)
+    table, joined on a column the country join brought in). A code list or
+    translation with conflicting rows for one key is an error (D2)."""
+    f = decode(records, dims["gender"], "Geslacht", "GeslachtCode", ["Gender"], how)
+    f = decode(f, dims["age"], "LeeftijdOp31December", "LeeftijdCode", ["Age"], how)
+    f = decode(f, dims["marital"], "BurgerlijkeStaat", "BurgerlijkeStaatCode", ["MaritalStatus"], how)
+    f = decode(f, dims["country"].withColumn("Land", strip_ws("Land")), "Geboorteland", "LandCode", ["Land"], how)
     f = decode(f, dims["period"].withColumnRenamed("Year", "PeriodLabel"), "Perioden", "PeriodeCode",
-               ["PeriodLabel"], broadcast=b)
-    tr = translation.select(strip_ws("Land_Dutch").alias("Land_Dutch"), strip_ws("Country").alias("Country"),
-                            strip_ws("SingleCountry").alias("SingleCountry"))
-    f = decode(f.withColumn("Land", strip_ws("Land")), tr, "Land", "Land_Dutch", ["Country", "SingleCountry"])
-    return f
+               ["PeriodLabel"], how)
+    return decode(f, _translated(translation), "Land", "Land_Dutch", ["Country", "SingleCountry"], how)
 
 
 DECODES = [("gender", "Geslacht", "GeslachtCode"), ("age", "LeeftijdOp31December", "LeeftijdCode"),
@@ -94,34 +111,70 @@ DECODES = [("gender", "Geslacht", "GeslachtCode"), ("age", "LeeftijdOp31December
            ("period", "Perioden", "PeriodeCode")]
 
 
+def _marked(dims: Mapping[str, DataFrame], translation: DataFrame) -> tuple[dict[str, DataFrame], DataFrame]:
+    """The dimensions with a mark per row, for left joins: key and mark only
+    (the country list keeps its name, which leads to the translation)."""
+    marked = {d: dims[d].select(k, *(["Land"] if d == "country" else []), F.lit(True).alias(f"has_{d}"))
+              for d, _, k in DECODES}
+    marked["country"] = marked["country"].withColumn("Land", strip_ws("Land"))
+    return marked, _translated(translation).select("Land_Dutch", F.lit(True).alias("has_translation"))
+
+
+def reject_report(raw: DataFrame, dims: Mapping[str, DataFrame], translation: DataFrame, book: CodeBook) -> DataFrame:
+    """D17 for the whole build: ``(step, rows)`` with ``rows_in``, the records
+    each cleaning rule drops, ``duplicates``, the records each decode drops
+    (the first decode that misses), and ``rows_out``. The steps between sum to
+    ``rows_in - rows_out``."""
+    flagged = flag_records(raw, book)
+    unique = unique_records(flagged.where(F.col("reject").isNull()).drop("reject"), book)
+    marked, known = _marked(dims, translation)
+    f = unique
+    for d, c, k in DECODES:
+        f = decode(f, marked[d], c, k, None, "left")
+    f = decode(f, known, "Land", "Land_Dutch", ["has_translation"], "left")
+    step = F.lit(None).cast("string")
+    for d in [*[d for d, _, _ in DECODES], "translation"]:
+        step = F.coalesce(step, F.when(F.col(f"has_{d}").isNull(), f"decode_{d}"))
+    one = F.lit(1).alias("n")
+    counts = [flagged.select(F.lit("rows_in").alias("step"), one),
+              flagged.select(F.coalesce("reject", F.lit("duplicates")).alias("step"), one),
+              f.select(F.coalesce(step, F.lit("rows_out")).alias("step"), one),
+              f.select(F.lit("duplicates").alias("step"), F.lit(-1).alias("n"))]
+    # each part is counted before the union, so only a few rows are shuffled
+    summed = [c.groupBy("step").agg(F.sum("n").alias("n")) for c in counts]
+    return union_all(summed).groupBy("step").agg(F.sum("n").cast("long").alias("rows")).where(F.col("rows") != 0)
+
+
 def decode_coverage(records: DataFrame, dims: Mapping[str, DataFrame], translation: DataFrame) -> DataFrame:
-    """What the inner decode joins would drop, ``(dimension, code,
-    rows)``. One pass over the records: every code column is unpivoted and
-    counted per (dimension, code) with map-side combining, so the shuffle
-    carries at most one row per distinct code per task. The counts (bounded
-    by the code domains plus unknown codes) then meet the code lists; the
-    ``translation`` rows are country names that have no translation."""
+    """Codes the inner decode joins would drop, ``(dimension, code,
+    rows)``; the ``translation`` rows are country names without translation.
+
+    One scan: every code column is unpivoted and counted per (dimension,
+    code) with map-side combining, so the shuffle carries at most one row per
+    distinct code per task. The counts then meet the code lists and the
+    translation by left joins (a null test after the join, so neither join is
+    pushed below the count)."""
     codes = records.select(F.explode(F.array(*[
         F.struct(F.lit(d).alias("dimension"), F.col(c).alias("code")) for d, c, _ in DECODES])).alias("x")) \
         .select("x.*").groupBy("dimension", "code").agg(F.count(F.lit(1)).alias("rows"))
-    known = union_all([dims[d].select(F.lit(d).alias("dimension"), F.col(k).alias("code"))
-                       for d, _, k in DECODES])
-    missing = codes.join(known, ["dimension", "code"], "left_anti")
-    lands = codes.where(F.col("dimension") == "country").join(
-        dims["country"].select(F.col("LandCode").alias("code"), strip_ws("Land").alias("Land")), "code") \
-        .groupBy("Land").agg(F.sum("rows").alias("rows"))
-    untranslated = lands.join(translation.select(strip_ws("Land_Dutch").alias("Land")), "Land", "left_anti") \
-        .select(F.lit("translation").alias("dimension"), F.col("Land").alias("code"), "rows")
-    return missing.unionByName(untranslated)
+    known = union_all([dims[d].select(F.lit(d).alias("_dim"), F.col(k).alias("_code"), *(
+        [strip_ws("Land").alias("Land")] if d == "country" else [F.lit(None).cast("string").alias("Land")]))
+        for d, _, k in DECODES])
+    known = unique_rows(known, ["_dim", "_code"])
+    lands = unique_rows(_translated(translation).select("Land_Dutch", F.lit(True).alias("_translated")), ["Land_Dutch"])
+    j = (codes.join(known, (F.col("dimension") == F.col("_dim")) & (F.col("code") == F.col("_code")), "left")
+         .join(lands, F.col("Land") == F.col("Land_Dutch"), "left"))
+    unknown, untranslated = F.col("_dim").isNull(), (F.col("dimension") == "country") & F.col("_translated").isNull()
+    return (j.where(unknown | untranslated)
+            .select(F.when(unknown, F.col("dimension")).otherwise(F.lit("translation")).alias("dimension"),
+                    F.when(unknown, F.col("code")).otherwise(F.col("Land")).alias("code"), "rows")
+            .groupBy("dimension", "code").agg(F.sum("rows").alias("rows")))
 
 
 def build_fact(raw: DataFrame, dims: Mapping[str, DataFrame], translation: DataFrame,
-               book: CodeBook, codes_small: bool | None = None) -> DataFrame:
+               book: CodeBook) -> DataFrame:
     """M5: raw records (the reference's seven fields) to the fact table."""
-    clean = clean_records(raw, book)
-    order = [c for c in RAW_FIELDS if c not in book.dedup_key]
-    unique = dedup_first(clean, list(book.dedup_key), order)
-    f = decode_records(unique, dims, translation, codes_small)
+    f = decode_records(unique_records(clean_records(raw, book), book), dims, translation)
     return f.select(
         "ID", "Gender", leading_int("Age").alias("Age"), "MaritalStatus", "Country",
         F.col("Immigratie_1").cast("int").alias("ImmigrationVolume"), "SingleCountry",
@@ -149,11 +202,8 @@ def files_by_layout(paths: Sequence[str], layout_for_year: Callable[[int], str])
 
 
 def read_yearly_layouts(spark: SparkSession, files: Mapping[str, Sequence[str]]) -> dict[str, DataFrame]:
-    """One typed read per layout (header checked against the layout), with
-    ``Year`` from the path. Reading the mixed folder at once would bind every
-    file by position to the first header."""
-    return {lay: with_file_year(read_csv_typed(spark, list(paths), HAPPINESS_LAYOUTS[lay][0]))
-            for lay, paths in files.items()}
+    """The needed columns of each layout by name, with ``Year`` from the path."""
+    return {lay: read_csv_by_name(spark, list(paths), HAPPINESS_LAYOUTS[lay][0]) for lay, paths in files.items()}
 
 
 def conform_yearly(parts: Mapping[str, DataFrame]) -> DataFrame:
@@ -163,15 +213,32 @@ def conform_yearly(parts: Mapping[str, DataFrame]) -> DataFrame:
 
 
 def build_dimension(spark: SparkSession, folder: str,
-                    layout_for_year: Callable[[int], str] = reference_layout) -> DataFrame:
-    """M6: every yearly file in ``folder`` to the happiness dimension."""
+                    layout_for_year: Callable[[int], str] = reference_layout,
+                    renames: Mapping[str, str] | None = None, on_duplicate: str = "fail") -> DataFrame:
+    """M6: every yearly file in ``folder`` to the happiness dimension.
+
+    ``renames`` harmonises country names (X7). A country that then has several
+    rows in a year is an error, or is resolved by ``on_duplicate``: ``'mean'``
+    of the scores, or the ``'first'`` row (D2)."""
     files = files_by_layout(list_inputs_deep(spark, folder), layout_for_year)
-    return conform_yearly(read_yearly_layouts(spark, files))
+    if not files:
+        raise ValueError(f"no input files in {folder}")
+    dim = conform_yearly(read_yearly_layouts(spark, files))
+    if renames:
+        dim = harmonise_values(dim, "Country", renames)
+    return one_per_country(dim, on_duplicate)
+
+
+def one_per_country(dim: DataFrame, on_duplicate: str = "fail") -> DataFrame:
+    """D2 on (Country, Year)."""
+    keys = ["Country", "Year"]
+    if on_duplicate == "mean":
+        scores = [c for c in HAPPINESS_COLS if c not in keys]
+        return resolve_duplicates(dim, keys, scores).select(*HAPPINESS_COLS)
+    return unique_rows(dim, keys, on_duplicate).select(*HAPPINESS_COLS)
 
 
 def list_inputs_deep(spark: SparkSession, folder: str) -> list[str]:
-    """Data files under ``folder``: its top-level files, or the files Spark
-    wrote under ``Year=...`` folders (hidden and marker files skipped)."""
-    df = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(folder)
-    files = df.inputFiles()
-    return sorted(files) if files else list_inputs(spark, folder)
+    """Data files in ``folder`` and under its ``Year=...`` folders, whatever
+    their extension (hidden and marker files skipped)."""
+    return sorted(spark.read.format("binaryFile").load(folder).inputFiles())

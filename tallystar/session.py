@@ -13,6 +13,10 @@ import uuid
 from pyspark.sql import SparkSession
 
 
+# Scratch folders made for local sessions, by application.
+_LOCAL_ROOTS: dict[str, str] = {}
+
+
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
                 app_name: str = "tallystar") -> SparkSession:
     builder = (
@@ -45,9 +49,10 @@ def scratch_root(spark: SparkSession) -> str:
         return root.rstrip("/")
     if not sc.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a shared folder (e.g. on the object store)")
-    root = tempfile.mkdtemp(prefix="tallystar-")
-    sc.setCheckpointDir(root)
-    return (sc.getCheckpointDir() or root).rstrip("/")
+    # kept here: the caller's checkpoint dir stays as it is
+    if sc.applicationId not in _LOCAL_ROOTS:
+        _LOCAL_ROOTS[sc.applicationId] = tempfile.mkdtemp(prefix="tallystar-")
+    return _LOCAL_ROOTS[sc.applicationId]
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:

@@ -2,8 +2,9 @@
 
 from tallystar.sources.readers import (  # noqa: F401
     list_inputs,
+    read_csv_by_name,
+    read_csv_exact,
     read_csv_strings,
-    read_csv_typed,
     read_keyed_json,
     read_parquet,
     read_section_ranges,

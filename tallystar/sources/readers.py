@@ -3,25 +3,33 @@
 S1 ``list_inputs``      top-level files of a folder (metadata only).
 S2 ``read_keyed_json``  JSON whose records are the values of a map under
                         ``value``; read with an explicit schema (inference
-                        would make one struct field per key) and exploded.
+                        would make one struct field per key) and exploded. A
+                        broken document or a value of another type is an
+                        error.
 S3 ``with_file_year``   year column from the file path.
 S4 ``read_sections``    one text file holding several ``Key;Title`` tables;
                         sections are found by their header line, inside the
                         row, so no window or single-task pass is needed.
-S6 ``read_csv_typed``   header CSV with an explicit schema and ``N/A`` nulls.
-S7 ``read_csv_strings`` header CSV, every column a string.
+S6 ``read_csv_by_name`` header CSV, the needed columns by name, typed, with
+                        ``N/A`` nulls.
+S7 ``read_csv_strings`` header CSV, every column a string;
+   ``read_csv_exact``   reads what ``sinks.write_csv`` wrote.
 S8 ``read_parquet``     Parquet with partition discovery.
 """
 
 from __future__ import annotations
 
+import csv
+import re
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import MapType, StringType, StructField, StructType
 
 from tallystar.functions.paths import file_year
+from tallystar.functions.strings import NUM_TEXT, strip_ws
+from tallystar.sources.sinks import CSV_EXACT
 
 
 def _paths(p: str | Sequence[str]) -> list[str]:
@@ -40,39 +48,57 @@ def with_file_year(df: DataFrame, name: str = "Year") -> DataFrame:
 
 
 def read_keyed_json(spark: SparkSession, paths: str | Sequence[str], record_schema: StructType,
-                    key_col: str = "key", keep_year: bool = False, multi_line: bool = False) -> DataFrame:
+                    key_col: str = "key", keep_year: bool = False, multi_line: bool = False,
+                    spread: bool = False) -> DataFrame:
     """Each JSON document is ``{"value": {"<key>": {record}, ...}}``; one
     document per line (``multi_line=True`` for pretty-printed files, one
-    document per file, which is then read by one task). Returns one row per
-    record: ``key`` plus the record fields (and ``Year`` from the path when
-    ``keep_year``)."""
+    document per file). Returns one row per record: ``key`` plus the record
+    fields (and ``Year`` from the path when ``keep_year``). Folders are read
+    with all their subfolders.
+
+    A document that does not parse, or a value that does not fit its field
+    (``5.0`` or ``"5"`` for an int), fails the read; nothing is dropped.
+
+    A document is one row of text, so one task parses it, and it must stay
+    below 2 GB (a larger one fails the read): write larger inputs as several
+    documents. ``spread=True`` rebalances the records after the parse, for
+    readers that do not shuffle them anyway (the fact build does, on ID)."""
     schema = StructType([StructField("value", MapType(StringType(), record_schema))])
-    raw = spark.read.schema(schema).option("multiLine", multi_line).json(_paths(paths))
+    raw = (spark.read.schema(schema).option("multiLine", multi_line).option("mode", "FAILFAST")
+           .option("recursiveFileLookup", True).json(_paths(paths)))
     if keep_year:
         raw = raw.withColumn("_file_year", file_year())
     exploded = raw.select(
         *([F.col("_file_year").alias("Year")] if keep_year else []),
         F.explode("value").alias(key_col, "_rec"),
     )
-    return exploded.select(
+    records = exploded.select(
         key_col, *[F.col(f"_rec.{f.name}").alias(f.name) for f in record_schema.fields],
         *(["Year"] if keep_year else []),
     )
+    return records.hint("rebalance") if spread else records
 
 
-def read_sections(spark: SparkSession, path: str | Sequence[str], marker: str = "Key;",
-                  sep: str = ";", names: Sequence[str] = ("Key", "Title")) -> DataFrame:
+def read_sections(spark: SparkSession, path: str | Sequence[str], marker: str = "Key",
+                  sep: str = ";", names: Sequence[str] = ("Key", "Title"),
+                  count: int | None = None) -> DataFrame:
     """Split a multi-table text file into ``(section, line_no, *names)``.
 
-    A section starts at a line beginning with ``marker``; the lines before the
-    first marker (preamble) are dropped, as are blank lines. ``section`` is
-    0-based in file order. Only the first ``len(names)`` fields of each line
-    are kept (S5, positional pick).
+    A section starts at a header line whose first field is ``marker``, quoted
+    or not; the lines before the first header (preamble) are dropped, as are
+    blank lines. ``section`` is 0-based in file order. Only the first
+    ``len(names)`` fields of each line are kept (S5, positional pick). A file
+    without a section, or with another number of them than ``count``, is an
+    error.
     """
+    head = rf'"?{re.escape(marker)}"?{re.escape(sep)}'
     text = spark.read.text(_paths(path), wholetext=True)
     # split before every header line; keep only the parts that are sections
-    parts = F.filter(F.split("value", rf"\r?\n(?={marker})"),
-                     lambda p: F.startswith(p, F.lit(marker)))
+    found = F.filter(F.split("value", rf"\r?\n(?={head})"), lambda p: p.rlike(rf"^\uFEFF?{head}"))
+    wrong = F.size(found) == 0 if count is None else F.size(found) != count
+    parts = F.when(wrong, F.raise_error(F.concat(
+        F.lit("sections found: "), F.size(found).cast("string"), F.lit(f", expected {count or 'one or more'} in "),
+        F.col("_metadata.file_path"))).cast("array<string>")).otherwise(found)
     sections = text.select(F.posexplode(parts).alias("section", "part"))
     lines = sections.select(
         "section", F.posexplode(F.split("part", r"\r?\n")).alias("line_no", "line")
@@ -103,18 +129,52 @@ def read_section_ranges(spark: SparkSession, path: str, ranges: Sequence[tuple[i
     )
 
 
-def read_csv_typed(spark: SparkSession, paths: str | Sequence[str], schema: StructType,
-                   null_value: str = "N/A", check_header: bool = True) -> DataFrame:
-    """``check_header`` makes Spark compare the header to the schema names,
-    so a file with another layout fails instead of binding by position."""
-    return (
-        spark.read.schema(schema)
-        .option("header", True)
-        .option("nullValue", null_value)
-        .option("enforceSchema", not check_header)
-        .option("mode", "FAILFAST")
-        .csv(_paths(paths))
-    )
+def csv_header(spark: SparkSession, path: str) -> list[str]:
+    """The column names of one CSV file (its first line)."""
+    first = spark.read.text(path).head()
+    return next(csv.reader([first["value"].lstrip("\ufeff")])) if first else []
+
+
+def read_csv_by_name(spark: SparkSession, paths: str | Sequence[str], columns: StructType,
+                     null_value: str = "N/A") -> DataFrame:
+    """The ``columns`` of header CSV files by name, and ``Year`` from the path.
+
+    Files may hold them in any order and hold further columns. Files with one
+    header are read together. A file that lacks a column, and a text that does
+    not fit its column's type, are errors; ``null_value`` and empty fields are
+    NULL."""
+    by_header: dict[tuple[str, ...], list[str]] = {}
+    for p in _paths(paths):
+        header = csv_header(spark, p)
+        missing = [c for c in columns.fieldNames() if c not in header]
+        if missing:
+            raise ValueError(f"{p} lacks the columns {missing}")
+        by_header.setdefault(tuple(header), []).append(p)
+
+    def typed(field: StructField) -> Column:
+        text = strip_ws(f"`{field.name}`")
+        value = F.when((text != null_value) & (text != ""), text if field.dataType != StringType() else F.col(f"`{field.name}`"))
+        if field.dataType != StringType():
+            bad = F.raise_error(F.concat(F.lit(f"{field.name}: not a number: "), value)).cast(field.dataType)
+            value = F.when(value.isNull(), F.lit(None)).when(value.rlike(NUM_TEXT), value.try_cast(field.dataType)).otherwise(bad)
+        return value.alias(field.name)
+
+    parts = []
+    for header, files in sorted(by_header.items()):
+        # positions only carry the file's own header; a repeated name is read at its first place
+        names = [h if header.index(h) == i else f"_{i}" for i, h in enumerate(header)]
+        schema = StructType([StructField(n, StringType()) for n in names])
+        raw = spark.read.schema(schema).option("header", True).option("mode", "FAILFAST").csv(files)
+        parts.append(with_file_year(raw).select(*[typed(f) for f in columns.fields], "Year"))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def read_csv_exact(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """Read back what ``sinks.write_csv`` wrote, value for value."""
+    return spark.read.schema(schema).options(**CSV_EXACT, emptyValue="", multiLine=True, mode="FAILFAST").csv(path)
 
 
 def read_csv_strings(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:

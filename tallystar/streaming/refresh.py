@@ -46,7 +46,6 @@ def start_refresh(spark: SparkSession, landing_dir: str, out_path: str, checkpoi
     """Start the refresh stream. ``once=True`` processes what has landed and
     stops (``availableNow``), the mode for a yearly schedule."""
     stream = (spark.readStream.format("text")
-              .option("pathGlobFilter", "*.csv")
               .option("maxFilesPerTrigger", max_files_per_trigger)
               .load(landing_dir)
               .select(F.col("_metadata.file_path").alias("file_path")))

@@ -25,8 +25,8 @@ def con():
 
 
 def _names():
-    from __spark_entry__ import queries
-    return sorted(queries())
+    from tallystar.plans.catalog import QUERIES
+    return sorted(QUERIES)
 
 
 @pytest.mark.parametrize("name", _names())
@@ -63,7 +63,9 @@ def test_fact_build_plan(spark):
     plan = _plan(QUERIES["fact_build"](spark, SF))
     import re
     assert len(re.findall(r"^\(\d+\) BroadcastHashJoin", plan, re.M)) == 6
-    assert len(re.findall(r"^\(\d+\) Exchange", plan, re.M)) == 1  # the dedup only
+    # the records' dedup, and one for each of the six dimensions made unique
+    exchanges = re.findall(r"^\(\d+\) Exchange\s*\nInput.*?\nArguments: hashpartitioning\((\w+)", plan, re.M)
+    assert exchanges.count("ID") == 1 and len(exchanges) == 7
     assert "Window" not in plan  # dedup is an aggregate, not a window
 
 

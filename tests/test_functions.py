@@ -52,7 +52,9 @@ def test_file_year_from_name_and_folder(spark, local_tmp):
 
 def test_scratch_root_follows_session_checkpoint_dir(spark):
     from tallystar.session import fresh_path, scratch_root
+    before = spark.sparkContext.getCheckpointDir()
     root = scratch_root(spark)
-    assert root == spark.sparkContext.getCheckpointDir().rstrip("/")
+    assert spark.sparkContext.getCheckpointDir() == before  # the caller's setting stays
+    assert root == (before or root).rstrip("/")
     a, b = fresh_path(spark, "x"), fresh_path(spark, "x")
     assert a.startswith(root) and a != b

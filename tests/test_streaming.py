@@ -2,11 +2,11 @@
 files arrive in several runs is written whole, other years stay."""
 import os
 
-from tallystar.plans.model import HAPPINESS_LAYOUTS
+from tallystar.plans.model import LAYOUT_2018_COLUMNS, LAYOUT_2020_COLUMNS
 from tallystar.streaming.refresh import start_refresh
 
-OLD = ",".join(HAPPINESS_LAYOUTS["2018"][0].fieldNames())
-NEW = ",".join(HAPPINESS_LAYOUTS["2020"][0].fieldNames())
+OLD = ",".join(LAYOUT_2018_COLUMNS)
+NEW = ",".join([c for c in LAYOUT_2020_COLUMNS if "error" not in c and "residual" not in c])
 
 
 def _run(spark, landing, out, ckpt):
