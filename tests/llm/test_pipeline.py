@@ -1,6 +1,8 @@
 import importlib
 import random
 
+import pytest
+
 import corpus_pipeline as cp
 from tallystar.llm import near_dedup, secret_scan
 
@@ -70,3 +72,25 @@ def test_keep_one_agrees_with_the_operator(docs):
     d = docs(rows)
     kept = {r["doc_id"] for r in near_dedup.near_duplicates(d).collect() if r["kept"]}
     assert {r["doc_id"] for r in near_dedup.keep_one(d).collect()} == kept == {0, 1, 2, 3}
+
+
+@pytest.mark.parametrize("stage", [f for _, f in cp.STAGES], ids=[n for n, _ in cp.STAGES])
+def test_every_stage_takes_odd_rows_and_empty_tables(spark, tmp, docs, labels, stage):
+    labels([(i, i % 2, 0) for i in range(20)] + [(None, 1, 0), (3, None, None)]).write.parquet(f"{tmp}/labels.parquet")
+    rows = [(i, f"some words for text number {i} and a few more of them {i * 7}", "en", "s", 5) for i in range(20)]
+    rows += [(50, None, None, None, None), (51, "", "en", "", 0), (52, "long word " * 30_000, "en", "s", 9), (53, " \n\t", "xx", "s", 3),
+             (None, "no id at all here", "en", "s", 3), (54, "twice the same row here", "en", "s", 3), (54, "twice the same row here", "en", "s", 3)]
+    extra = ", score double, kept boolean, copy int, rate double, piece int, row string"
+    d = docs([(*r, 0.5, False, 7, 1.5, 2, "r") for r in rows], extra)
+    out = stage(spark, d, tmp)
+    got = out.collect()
+    empty = stage(spark, docs([], extra), tmp)
+    assert empty.count() == 0 and empty.columns == out.columns
+    if stage is not cp.best_fit_packing:
+        assert out.columns == cp.COLUMNS
+        assert {r["doc_id"] for r in got} <= {r[0] for r in rows}
+    if stage is cp.near_duplicates:
+        assert sum(r["doc_id"] == 54 for r in got) == 1 and sum(r["doc_id"] is None for r in got) == 1
+        assert {50, 51, 52, 53} <= {r["doc_id"] for r in got}
+    if stage in (cp.secrets, cp.best_fit_packing):
+        assert len({r["doc_id"] for r in got}) == len({r[0] for r in rows})
