@@ -28,6 +28,9 @@ from tallystar.plans.model import reference_layout
 from tallystar.plans.star_build import _path_year, conform_yearly, files_by_layout, list_inputs_deep, read_yearly_layouts
 from tallystar.sources.sinks import write_by_year
 
+# The columns of Spark's binary file source.
+FILE_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
+
 
 def refresh_years(spark: SparkSession, landing_dir: str, out_path: str, new_files: list[str],
                   layout_for_year: Callable[[int], str] = reference_layout) -> None:
@@ -45,10 +48,11 @@ def start_refresh(spark: SparkSession, landing_dir: str, out_path: str, checkpoi
                   max_files_per_trigger: int = 100, once: bool = True) -> StreamingQuery:
     """Start the refresh stream. ``once=True`` processes what has landed and
     stops (``availableNow``), the mode for a yearly schedule."""
-    stream = (spark.readStream.format("text")
+    # only the listing is read: the content column is pruned
+    stream = (spark.readStream.format("binaryFile").schema(FILE_SCHEMA)
               .option("maxFilesPerTrigger", max_files_per_trigger)
               .load(landing_dir)
-              .select(F.col("_metadata.file_path").alias("file_path")))
+              .select(F.col("path").alias("file_path")))
 
     def batch(df: DataFrame, epoch_id: int) -> None:
         new_files = sorted(r["file_path"] for r in df.select("file_path").distinct().collect())
