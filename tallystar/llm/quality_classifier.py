@@ -27,7 +27,7 @@ from __future__ import annotations
 import math
 import re
 import zlib
-from collections import Counter
+from collections.abc import Iterable
 from dataclasses import dataclass, field
 from operator import eq
 
@@ -134,33 +134,41 @@ def _platt(margins: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     return max(float(a), 1e-3), float(b)
 
 
-def fit(sample: list[tuple[list[bytes], int]], *, min_count: int = 3, smoothing: float = 1.0,
+def fit(sample: Iterable[tuple[Iterable[bytes], int]], *, min_count: int = 3, smoothing: float = 1.0,
         cost: float = 1.0, epochs: int = 15, seed: int = 7, folds: int = 4) -> NbSvm:
-    """Fit on (n-grams, 0/1) rows."""
-    y = np.array([1.0 if label else -1.0 for _, label in sample])
+    """Fit on (n-grams, 0/1) rows; each n-gram is held once, rows as numbers."""
+    index: dict[bytes, int] = {}
+    coded, signs = [], []
+    for found, label in sample:
+        coded.append(np.array(sorted({index.setdefault(g, len(index)) for g in found}), dtype=np.int32))
+        signs.append(1.0 if label else -1.0)
+    y, names = np.array(signs), list(index)
+    del index
     n_pos, n_neg = int((y > 0).sum()), int((y < 0).sum())
     if not n_pos or not n_neg:
         share = (n_pos + 1) / (len(y) + 2)
         return NbSvm(offset=math.log(share / (1 - share)), slope=0.0)
 
-    def learn(part: np.ndarray) -> NbSvm:
-        pos, neg = Counter(), Counter()
-        for i in part:
-            (pos if y[i] > 0 else neg).update(sample[i][0])
-        vocab = sorted(g for g in pos.keys() | neg.keys() if pos[g] + neg[g] >= min_count)
-        index = {g: k for k, g in enumerate(vocab)}
-        p = np.array([pos[g] + smoothing for g in vocab]) if vocab else np.zeros(0)
-        q = np.array([neg[g] + smoothing for g in vocab]) if vocab else np.zeros(0)
+    def counts(rows: np.ndarray) -> np.ndarray:
+        out = np.zeros(len(names))
+        for i in rows:
+            out[coded[i]] += 1
+        return out
+
+    def learn(part: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
+        """(weight times ratio, ratio², bias); ratio² is 0 for n-grams left out."""
+        p, q = counts(part[y[part] > 0]), counts(part[y[part] < 0])
         a, b = max(1, int((y[part] > 0).sum())), max(1, int((y[part] < 0).sum()))
-        ratio = np.log((p / (a + 2 * smoothing)) / (q / (b + 2 * smoothing)))
+        ratio = np.log(((p + smoothing) / (a + 2 * smoothing)) / ((q + smoothing) / (b + 2 * smoothing)))
+        ratio[p + q < min_count] = 0.0
         rows = []
         for i in part:
-            idx = np.array(sorted(index[g] for g in sample[i][0] if g in index), dtype=np.int64)
+            idx = coded[i][ratio[coded[i]] != 0]
             v = ratio[idx]
             size = math.sqrt(float(v @ v))
             rows.append((idx, v / size if size else v))
-        w, bias = _dual_descent(rows, y[part], len(vocab), cost, epochs, seed)
-        return NbSvm({g: (float(w[k] * ratio[k]), float(ratio[k] ** 2)) for g, k in index.items()}, bias)
+        w, bias = _dual_descent(rows, y[part], len(names), cost, epochs, seed)
+        return w * ratio, ratio ** 2, bias
 
     every = np.arange(len(y))
     fold = np.random.default_rng(seed).permutation(len(y)) % folds
@@ -168,11 +176,13 @@ def fit(sample: list[tuple[list[bytes], int]], *, min_count: int = 3, smoothing:
     for f in range(folds):
         part = every[fold != f]
         if (y[part] > 0).any() and (y[part] < 0).any():
-            m = learn(part)
-            cross[fold == f] = [m.margin(set(sample[i][0])) for i in every[fold == f]]
-    model = learn(every)
-    model.slope, model.offset = _platt(cross, y)
-    return model
+            weight, square, bias = learn(part)
+            for i in every[fold == f]:
+                size = float(square[coded[i]].sum())
+                cross[i] = bias + (float(weight[coded[i]].sum()) / math.sqrt(size) if size else 0.0)
+    weight, square, bias = learn(every)
+    slope, offset = _platt(cross, y)
+    return NbSvm({names[k]: (float(weight[k]), float(square[k])) for k in np.flatnonzero(square)}, bias, slope, offset)
 
 
 def train(docs: DataFrame, labels: DataFrame, *, label: str = "quality", learn_from: Column | None = None,
@@ -190,12 +200,10 @@ def train(docs: DataFrame, labels: DataFrame, *, label: str = "quality", learn_f
     chosen = rows.join(F.broadcast(ids), "doc_id").select("doc_id", "label", "text")
     got = per_text(chosen, lambda t: (sorted(grams(t), key=lambda g: (g[0] > 4, zlib.crc32(g)))[:max_grams],),
                    "grams array<binary>")
-    first: dict = {}
-    for r in got.collect():  # bounded by max_train rows; copies of one id: the first in gram order
-        key = (r["grams"], r["label"])
-        if r["doc_id"] not in first or key < first[r["doc_id"]]:
-            first[r["doc_id"]] = key
-    return fit([([bytes(g) for g in first[k][0]], first[k][1]) for k in sorted(first)])
+    # bounded by max_train rows; copies of one id: the first in gram order
+    table = (got.groupBy("doc_id").agg(F.min(F.struct("label", "grams")).alias("r")).orderBy("doc_id")
+             .select("r.label", "r.grams").toArrow())
+    return fit((found.as_py(), label.as_py()) for label, found in zip(table.column("label"), table.column("grams")))
 
 
 def score_quality(docs: DataFrame, model: NbSvm, *, threshold: float = 0.3) -> DataFrame:
