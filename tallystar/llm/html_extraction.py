@@ -37,7 +37,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import per_text, sample_order
+from .common import bounded_sample, per_text
 
 # fixed values: block-level elements of HTML, void elements, elements whose content is not text
 BLOCK_TAGS = frozenset(
@@ -321,8 +321,9 @@ def train(pages: DataFrame, *, max_pages: int = 400, max_blocks: int = 200) -> F
             blocks, y = [blocks[i] for i in picked], [y[i] for i in picked]
         return ([sorted(f) for f in page_features(blocks)], [sorted(f) for f in page_features(blocks, blind=True)], y)
 
-    sample = (pages.where("html IS NOT NULL AND html <> ''").select("page_id", "html")
-              .orderBy(sample_order("page_id"), "page_id", F.xxhash64("html")).limit(max_pages))
+    filled = pages.where("html IS NOT NULL AND html <> ''").select("page_id", "html")
+    ids = bounded_sample(filled.select("page_id").distinct(), max_pages, "page_id")
+    sample = filled.join(F.broadcast(ids), "page_id")  # at most max_pages ids
     rows = per_text(sample, code, "named array<array<string>>, plain array<array<string>>, y array<int>", text="html")
     learned = _example_pages() * 3
     for r in sorted((r for r in rows.collect() if r["y"]), key=lambda r: (r["page_id"], r["named"])):

@@ -34,7 +34,11 @@ FILTERS = 8                # of each width
 DIM = 6
 UNKNOWN = "und"
 _SPAN = max(WIDTHS)
-_LETTER = re.compile(r"[^\W\d_]")
+_ASCII_LETTER = re.compile(r"[A-Za-z]")
+
+
+def has_letter(text: str | None) -> bool:
+    return bool(text) and (bool(_ASCII_LETTER.search(text)) or any(map(str.isalpha, text)))
 
 
 def windows_of(data: bytes) -> tuple[np.ndarray, np.ndarray]:
@@ -143,9 +147,13 @@ def train(docs: DataFrame, *, learn_from: Column | None = None, per_lang: int =
     rows = docs.where("lang IS NOT NULL AND text IS NOT NULL")
     if learn_from is not None:
         rows = rows.where(learn_from)
-    order = Window.partitionBy("lang").orderBy(sample_order("doc_id"), "doc_id")
-    # row_number <= k limits each language map-side before the exchange
-    ids = (rows.select("doc_id", "lang").withColumn("r", F.row_number().over(order)).where(F.col("r") <= per_lang)
+    key = sample_order("doc_id")
+    order = Window.partitionBy("lang").orderBy(key, "doc_id")
+    # the hash below which about 4 per_lang rows of a language fall keeps each window small; one row a language
+    share = rows.groupBy("lang").agg(F.least(F.lit(4.0 * per_lang) / F.count("*"), F.lit(1.0)).alias("share"))
+    near = (rows.select("doc_id", "lang").join(share, "lang")
+            .where(key.cast("double") <= F.lit(-2.0 ** 63) + F.lit(2.0 ** 64) * F.col("share")))
+    ids = (near.withColumn("r", F.row_number().over(order)).where(F.col("r") <= per_lang)
            .select("doc_id", "lang").distinct())
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -153,7 +161,7 @@ def train(docs: DataFrame, *, learn_from: Column | None = None, per_lang: int =
             lang, data = [], []
             for name, text in zip(batch.column("lang"), batch.column("text")):
                 text = text.as_py()
-                if _LETTER.search(text):
+                if has_letter(text):
                     wins, _ = windows_of(text.encode("utf-8", "surrogatepass"))
                     for k in sorted({int(i) for i in np.linspace(0, len(wins) - 1, min(windows, len(wins)))}):
                         lang.append(name.as_py()), data.append(wins[k].tobytes())
@@ -179,7 +187,7 @@ def predict_texts(net: ByteCnn | None, texts: list[str | None]) -> list[tuple[st
         return out
     held, size, owner = [], [], []
     for k, text in enumerate(texts):
-        if text and _LETTER.search(text):
+        if has_letter(text):
             wins, sizes = windows_of(text.encode("utf-8", "surrogatepass"))
             held.append(wins), size.append(sizes), owner.append(np.full(len(wins), k))
     if not held:

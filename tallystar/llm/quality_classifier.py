@@ -35,7 +35,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import held_out, per_row, per_text, sample_order
+from .common import bounded_sample, held_out, per_row, per_text
 
 _LOWER = bytes(b for b in range(256) if 97 <= b <= 122 or b >= 128)
 _CLASS = bytes.maketrans(
@@ -194,8 +194,7 @@ def train(docs: DataFrame, labels: DataFrame, *, label: str = "quality", learn_f
     rows = docs.select("doc_id", "text")
     if learn_from is not None:
         rows = rows.where(learn_from)
-    ids = (rows.select("doc_id").join(good, "doc_id").distinct()
-           .orderBy(sample_order("doc_id"), "doc_id").limit(max_train))
+    ids = bounded_sample(rows.select("doc_id").join(good, "doc_id").distinct(), max_train, "doc_id")
     # at most max_train ids and labels: a proven bound for the broadcast
     chosen = rows.join(F.broadcast(ids), "doc_id").select("doc_id", "label", "text")
     got = per_text(chosen, lambda t: (sorted(grams(t), key=lambda g: (g[0] > 4, zlib.crc32(g)))[:max_grams],),

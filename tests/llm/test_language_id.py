@@ -35,7 +35,7 @@ def test_held_out_languages_do_not_move_a_prediction(docs):
 
 def test_edges(docs):
     rows = [(i, t, lang, "s", 0) for i, t, lang in corpus(60)]
-    odd = [(901, None, "en", None, None), (902, "", None, None, None), (903, "12 34 !!", "de", None, None),
+    odd = [(901, None, "en", None, None), (902, "", None, None, None), (903, "12 34 !! ²", "de", None, None),
            (904, "und " * 100_000, None, None, None), (905, "the", None, None, None), (905, "the", None, None, None)]
     got = {}
     for r in li.identify(docs(rows + odd)).collect():
