@@ -57,18 +57,17 @@ def rates(docs: DataFrame, weights: dict[str | None, float] | None = None, *, al
     if weights is not None and any(w is not None and w < 0 for w in weights.values()):
         raise ValueError("weights must not be negative")
     size = (docs.groupBy(F.col("source").alias("_source"))
-            .agg(F.sum(F.greatest(F.coalesce(F.length("text"), F.lit(0)), F.lit(1))).alias("size"),
-                 F.count("*").alias("n")))
+            .agg(F.sum(F.greatest(F.coalesce(F.length("text"), F.lit(0)), F.lit(1))).alias("size")))
     if weights is None:
         size = size.withColumn("weight", F.pow(F.col("size").cast("double"), F.lit(alpha)))
     else:
         given = docs.sparkSession.createDataFrame(
             [(k, float(w)) for k, w in weights.items() if w], "_key string, weight double")
         size = size.join(given, F.col("_source").cast("string").eqNullSafe(F.col("_key"))).drop("_key")
-    total = size.agg(F.sum("size").alias("all_size"), F.sum("weight").alias("all_weight"))
-    # one row of totals; sources that get no weight share in nothing
-    rate = (F.col("weight") / F.col("all_weight")) * F.col("all_size") / F.col("size")
-    return (size.join(F.broadcast(total)).withColumn("rate", rate)
+    size = stored(size, "source_sizes")
+    total = size.agg(F.sum("size").alias("size"), F.sum("weight").alias("weight")).first()  # two numbers
+    rate = (F.col("weight") / F.lit(total["weight"])) * F.lit(total["size"]) / F.col("size")
+    return (size.withColumn("rate", rate)
             .withColumn("draws", F.greatest(F.ceil(F.col("rate") / SPLIT), F.lit(1)).cast("int"))
             .withColumn("sums", distribution(F.col("rate") / F.col("draws")))
             .select("_source", "rate", "draws", "sums"))
