@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
 from . import html_extraction, language_id, near_dedup, packing, quality_classifier, rule_forest, secret_scan, source_mixing, token_counts, topk_search
 from .common import table
+from .shipping import ship_package
 
 
 def tokenizer() -> str:
@@ -56,17 +58,25 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extraction.extract(table(spark, sf_dir, "pages"))
 
 
+def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    @wraps(query)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship_package(spark)
+        return query(spark, sf_dir)
+    return run
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op1_quality_classifier": op1_quality_classifier,
-    "op2_minhash_near_dedup": op2_minhash_near_dedup,
-    "op3_rule_isolation_forest": op3_rule_isolation_forest,
-    "op4_secret_scan": op4_secret_scan,
-    "op5_language_id": op5_language_id,
-    "op6_source_mixing": op6_source_mixing,
-    "op7_best_fit_packing": op7_best_fit_packing,
-    "op8_token_counts": op8_token_counts,
-    "op9_exact_topk": op9_exact_topk,
-    "op10_html_extraction": op10_html_extraction,
+    "op1_quality_classifier": _shipped(op1_quality_classifier),
+    "op2_minhash_near_dedup": _shipped(op2_minhash_near_dedup),
+    "op3_rule_isolation_forest": _shipped(op3_rule_isolation_forest),
+    "op4_secret_scan": _shipped(op4_secret_scan),
+    "op5_language_id": _shipped(op5_language_id),
+    "op6_source_mixing": _shipped(op6_source_mixing),
+    "op7_best_fit_packing": _shipped(op7_best_fit_packing),
+    "op8_token_counts": _shipped(op8_token_counts),
+    "op9_exact_topk": _shipped(op9_exact_topk),
+    "op10_html_extraction": _shipped(op10_html_extraction),
 }
 
 SQL: dict[str, str] = {

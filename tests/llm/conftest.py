@@ -1,5 +1,13 @@
 import pytest
 
+from tallystar.llm.shipping import ship_package
+
+
+@pytest.fixture(scope="session", autouse=True)
+def shipped(spark):
+    ship_package(spark)
+
+
 DOC = "doc_id long, text string, lang string, source string, n_chars long"
 
 
