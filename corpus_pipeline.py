@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tallystar.llm import near_dedup, packing, quality_classifier, secret_scan, source_mixing
 from tallystar.llm.common import stored, table
 from tallystar.llm.queries import tokenizer
+from tallystar.llm.shipping import ship_package
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -56,6 +57,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship_package(spark)
     docs = table(spark, sf_dir, "documents")
     for _, stage in STAGES:
         docs = stored(stage(spark, docs, sf_dir), "stage")
