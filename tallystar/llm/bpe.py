@@ -14,7 +14,7 @@ from __future__ import annotations
 
 import json
 from array import array
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 # fixed value: the split of byte-level BPE pre-tokenization
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -31,13 +31,17 @@ class Encoder:
     """Ids of texts for one vocabulary file (its JSON text)."""
 
     def __init__(self, source: str):
-        from tokenizers import Tokenizer
-
-        self.library = Tokenizer.from_str(source)
+        self.source = source
         spec = json.loads(source)
         self.special = [t["content"] for t in spec.get("added_tokens") or []]
         self.core = self._core(spec)
 
+    @cached_property
+    def library(self):
+        """The tokenizers library's own encoder; built when first needed, as it takes memory in every worker."""
+        from tokenizers import Tokenizer
+        return Tokenizer.from_str(self.source)
+
     @staticmethod
     def _core(spec: dict):
         model, pre = spec["model"], spec.get("pre_tokenizer") or {}
