@@ -61,9 +61,9 @@ UNKNOWN_COUNTRY = "99"
 UNTRANSLATED_NATION = 13
 UNSCORED = (9, 1997)       # nation, year
 NULL_SCORE_YEAR = 1998     # Corruption_Score of nations 3, 10, 17, 24
-# Records per keyed-JSON document when landing the raw records; the records of
-# SINGLE_DOC_YEAR are one document, the published shape.
-SINGLE_DOC_YEAR = 1998
+# Records per keyed-JSON document when landing the raw records; the files of
+# FILE_NAMED_YEAR have the year in their names, as the published ones do.
+FILE_NAMED_YEAR = 1998
 RECORDS_PER_DOC = 10_000
 
 

@@ -74,38 +74,40 @@ def _key(spark: SparkSession, sf_dir: str) -> tuple:
 
 # ------------------------------------------------------------------- writers
 def write_keyed_json(raw: DataFrame, path: str, records_per_doc: int, n_records: int) -> None:
-    """JSON documents ``{"value": {"<key>": record}}``: one for the whole year
-    ``B.SINGLE_DOC_YEAR`` (the published shape), written as the file
-    ``immigration_<year>.json``, and for the other years one per shard.
+    """JSON documents ``{"value": {"<key>": record}}``, one per year and shard
+    and line. The files of the year ``B.FILE_NAMED_YEAR`` carry the year in
+    their names, those of the other years in their folder's.
 
     ``raw`` carries ``_row_key``, a unique key that is stable under
     recomputation. Records are spread over shards by its hash, so a document
     holds at most about ``records_per_doc`` records (fewer where a year has
-    few) even when one ID holds a large share of the rows."""
+    few) even when one ID or one year holds a large share of the rows."""
     n_docs = max(1, math.ceil(n_records / records_per_doc))
     keyed = raw.select(
         F.col("_row_key").alias("_key"),
         strict_int(F.substring("Perioden", 1, 4)).alias("Year"),
         F.struct(*RAW_FIELDS).alias("_rec"),
-    ).withColumn("_doc", F.when(F.col("Year") == B.SINGLE_DOC_YEAR, F.lit(0).cast("long"))
-                 .otherwise(F.pmod(F.xxhash64("_key"), F.lit(n_docs))))
+    ).withColumn("_doc", F.pmod(F.xxhash64("_key"), F.lit(n_docs)))
     docs = keyed.groupBy("Year", "_doc").agg(
         F.map_from_entries(F.collect_list(F.struct("_key", "_rec"))).alias("value"))
     docs.select("Year", "value").write.partitionBy("Year").mode("overwrite").json(path)
-    name_single_file(keyed.sparkSession, f"{path}/Year={B.SINGLE_DOC_YEAR}",
-                     f"{path}/immigration_{B.SINGLE_DOC_YEAR}.json")
+    name_files(keyed.sparkSession, f"{path}/Year={B.FILE_NAMED_YEAR}", path, B.FILE_NAMED_YEAR)
 
 
-def name_single_file(spark: SparkSession, folder: str, target: str) -> None:
-    """Give the one data file of ``folder`` the name ``target`` (as published
-    files are named by hand); a folder that is not there is left alone."""
+def name_files(spark: SparkSession, folder: str, target: str, year: int) -> None:
+    """Move the data files of ``folder`` to ``target`` as
+    ``immigration_<year>.json``, ``immigration_1_<year>.json`` and so on (as
+    published files are named by hand); a folder that is not there is left
+    alone. Each file is as its task wrote it, so no task writes a whole year."""
     jvm = spark._jvm
     source = jvm.org.apache.hadoop.fs.Path(folder)
     fs = source.getFileSystem(spark._jsc.hadoopConfiguration())
     if fs.exists(source):
         files = [f.getPath() for f in fs.listStatus(source) if not f.getPath().getName().startswith(("_", "."))]
-        if len(files) != 1 or not fs.rename(files[0], jvm.org.apache.hadoop.fs.Path(target)):
-            raise OSError(f"{folder} holds {len(files)} files, one was expected")
+        for k, file in enumerate(files):
+            name = f"immigration_{k}_{year}.json" if k else f"immigration_{year}.json"
+            if not fs.rename(file, jvm.org.apache.hadoop.fs.Path(f"{target}/{name}")):
+                raise OSError(f"{file.toString()} could not be renamed to {name}")
         fs.delete(source, True)
 
 

@@ -1,7 +1,10 @@
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
+from tallystar.plans import bindings as B
+from tallystar.plans.landing import write_keyed_json
 from tallystar.plans.model import LAYOUT_2018_COLUMNS, LAYOUT_2020_COLUMNS, RAW_SCHEMA, REFERENCE_SECTION_RANGES
 from tallystar.plans.star_build import build_dimension, files_by_layout, read_yearly_layouts
 from tallystar.sources.readers import (
@@ -91,3 +94,30 @@ def test_keyed_json_pretty_printed(spark, local_tmp):
     open(path, "w").write(json.dumps(doc, indent=2) + "\n")
     rows = read_keyed_json(spark, path, RAW_SCHEMA, multi_line=True).collect()
     assert [(r["key"], r["ID"], r["Immigratie_1"]) for r in rows] == [("7", "9", 1)]
+
+
+def test_landed_documents_are_bounded_in_every_year(spark, tmp):
+    year = B.FILE_NAMED_YEAR
+    raw = spark.range(3000).select(
+        F.col("id").cast("string").alias("_row_key"),
+        *[(F.when(F.col("id") < 2600, f"{year}JJ00").otherwise("2001JJ00") if f.name == "Perioden"
+           else F.col("id").cast(f.dataType)).alias(f.name) for f in RAW_SCHEMA.fields])
+    write_keyed_json(raw, tmp, 100, 3000)
+    back = read_keyed_json(spark, tmp, RAW_SCHEMA, keep_year=True)
+    assert {r["Year"]: r["count"] for r in back.groupBy("Year").count().collect()} == {year: 2600, 2001: 400}
+    assert back.select("key").distinct().count() == 3000
+    files = spark.read.text(tmp, recursiveFileLookup=True).select(
+        F.col("_metadata.file_name").alias("file"),
+        F.size(F.from_json("value", "value map<string, struct<ID: string>>").getField("value")).alias("records"))
+    named = files.where(F.col("file").rlike(rf"^immigration_(\d+_)?{year}\.json$")).collect()
+    assert sum(r["records"] for r in named) == 2600 and len(named) == 30
+    assert f"immigration_{year}.json" in {r["file"] for r in named}
+    assert max(r["records"] for r in files.collect()) < 200
+
+
+def test_one_document_for_a_whole_year(spark, local_tmp):
+    doc = {"value": {str(k): {"ID": str(k % 7), "Immigratie_1": k} for k in range(5000)}}
+    open(f"{local_tmp}/immigration_2019.json", "w").write(json.dumps(doc) + "\n")
+    df = read_keyed_json(spark, local_tmp, RAW_SCHEMA, keep_year=True)
+    assert sorted((int(r["key"]), r["ID"], r["Immigratie_1"], r["Year"]) for r in df.collect()) == [
+        (k, str(k % 7), k, 2019) for k in range(5000)]
