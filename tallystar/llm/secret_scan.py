@@ -6,7 +6,7 @@ runs. Beside them, every value in a credential context (a name such as
 programming into the cheapest sequence of dictionary words, dates, repeats,
 keyboard walks, unknown words and brute-force characters. A value whose
 cheapest guess cost (log10 of guesses) reaches ``threshold`` is reported as
-kind ``guess`` unless it overlaps a pattern's span; placeholders and prose
+kind ``guess`` unless a pattern's span holds it whole; placeholders and prose
 stay below.
 
 Offsets are code points, ends exclusive. Spans are ordered by start, then by
@@ -164,7 +164,7 @@ def guess_spans(text: str, base: list[tuple[str, int, int]], threshold: float) -
         start, end = m.span(group)
         if group == 3:  # closing punctuation of a sentence is not part of a bare value
             end = start + len(m[3].rstrip(".,;:!?)]}"))
-        if end - start < ASSIGN_LEAST or any(s < end and start < e for _, s, e in base):
+        if end - start < ASSIGN_LEAST or any(s <= start and end <= e for _, s, e in base):
             continue
         if guess_cost(text[start:end]) >= threshold:
             out.append(("guess", start, end))

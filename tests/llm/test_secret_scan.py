@@ -76,3 +76,18 @@ def test_edges_and_redaction(docs):
     r = out.first()
     assert r["text"] == "say [SECRET] now" and r["n_chars"] == len(r["text"]) and r["masked"] == "m"
     assert ss.redact(docs([(7, None)])).first()["text"] is None
+
+
+def test_value_that_goes_on_after_a_base_span_is_masked_whole(docs):
+    rows = [
+        ("password: Tr0ub4dor&3xKq9!vL end", "[SECRET] end"),
+        ('secret = "correct horse Battery9!" end', '[SECRET]" end'),
+        ("token='abcdef12 kW#9 zpQ' end", "[SECRET]' end"),
+        ("pwd: Kx!9#" + "0123456789abcdef" * 2 + "#vQ7 end", "pwd: [SECRET] end"),
+        ("password=abcdef12gh end", "[SECRET] end"),
+    ]
+    got = ss.redact(docs([(k, text) for k, (text, _) in enumerate(rows)])).collect()
+    assert [r["text"] for r in sorted(got, key=lambda r: r["doc_id"])] == [want for _, want in rows]
+    for text, _ in rows:
+        base, every = ss.find_secrets(text)
+        assert base == brute(text) and [s for s in every if s[0] != "guess"] == base
