@@ -4,7 +4,8 @@ Patterns find assignments to credential names, access-key ids and long hex
 runs. Beside them, every value in a credential context (a name such as
 ``pwd``, ``passphrase``, ``auth key``, then a separator) is cut by dynamic
 programming into the cheapest sequence of dictionary words, dates, repeats,
-keyboard walks, unknown words and brute-force characters. A value whose
+keyboard walks, unknown words and brute-force characters; a run of letters is
+an unknown word only if its letter pairs are those of words. A value whose
 cheapest guess cost (log10 of guesses) reaches ``threshold`` is reported as
 kind ``guess`` unless a pattern's span holds it whole; placeholders and prose
 stay below.
@@ -21,6 +22,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import unicodedata
 from math import log10
 
 from pyspark.sql import DataFrame
@@ -67,6 +69,20 @@ _DATE = re.compile(r"(?:(?:19|20)\d\d(?:[-/._]?(?:0[1-9]|1[0-2])(?:[-/._]?(?:0[1
                    r"|(?:0?[1-9]|[12]\d|3[01])[-/._]?(?:0?[1-9]|1[0-2])[-/._]?(?:19|20)\d\d)(?!\d)")
 _REPEAT = re.compile(r"(.{1,8}?)\1+", re.S)
 _WORDLIKE = re.compile(r"[^\W\d_]+")
+# fixed values: -2 log10 of the chance of a letter after another, from word lists in English, German, French and
+# Spanish; rows: the start of a word, then a to z; columns: a to z, then its end
+_PAIRS = (
+    "232223343543333253233345647", "732255443542327352223465452", "254415542352543452342555354", "263626612633661663423666563",
+    "256416662664552563352566562", "443334443553325452234453642", "266623461663652663442666563", "264615543643534462342666651",
+    "255415552552432552434555452", "332323356643312443226375734", "144414444444442444442444443", "255525353553541453323545452",
+    "254414462652552565322456352", "236515462655252265343646663", "253224253555533456323356541", "533365453753214352232445552",
+    "254524543652662261433566563", "444444444444444444440444444", "244414452644332564323547542", "363525442755553356223657451",
+    "265515542775553572333657432", "333523443562325362226354543", "255515552555552554554555553", "144414432444432443443444443",
+    "353424342554555255415555452", "344434443444323344223444441", "254515552554453555532535332",
+)
+_LETTERS = "abcdefghijklmnopqrstuvwxyz "
+_PAIR_COST = {a + b: int(d) / 2 for a, row in zip(" " + _LETTERS, _PAIRS) for b, d in zip(_LETTERS, row)}
+_PLAIN_LETTERS = str.maketrans({"æ": "ae", "œ": "oe", "ø": "o"})
 _JOIN = log10(2)           # each further piece doubles the guesses
 
 
@@ -78,6 +94,16 @@ def _char_cost(c: str) -> float:
     return log10(33) if c.isascii() else 2.0
 
 
+def word_like(run: str) -> bool:
+    """Whether a run of letters is likelier as a word, by its letter pairs, than as letters drawn evenly.
+
+    Accents are left off; a letter that is none of a to z then is in no word."""
+    plain = unicodedata.normalize("NFD", run.casefold().translate(_PLAIN_LETTERS))
+    plain = "".join(c for c in plain if not unicodedata.combining(c))
+    pairs = [_PAIR_COST.get(a + b) for a, b in zip(" " + plain, plain + " ")]
+    return None not in pairs and sum(pairs) <= len(plain) * log10(26)
+
+
 def _walks(value: str) -> dict[int, int]:
     """Start -> end of maximal runs of three or more neighbouring keys."""
     out, at = {}, 0
@@ -134,7 +160,8 @@ def guess_cost(value: str) -> float:
         if i in wordlike:
             end = wordlike[i]
             part = value[i:end]
-            if part.islower() or part.isupper() or part.istitle():  # an unknown word of some dictionary
+            # an unknown word of some dictionary; other runs are brute force
+            if (part.islower() or part.isupper() or part.istitle()) and word_like(part):
                 reach(i, end, min(sum(map(_char_cost, part)), 5.3 + 0.2 * max(0, end - i - 12)))
     return best[n]
 

@@ -91,3 +91,18 @@ def test_value_that_goes_on_after_a_base_span_is_masked_whole(docs):
     for text, _ in rows:
         base, every = ss.find_secrets(text)
         assert base == brute(text) and [s for s in every if s[0] != "guess"] == base
+
+
+def test_random_letters_are_no_unknown_word():
+    for text, value in (("pwd: qzxkvjwpbnmtrhgd", "qzxkvjwpbnmtrhgd"), ("bearer: JBSWYEHPKPXPBBFQ", "JBSWYEHPKPXPBBFQ"),
+                        ("passphrase: qzxkvjwpbnmt742", "qzxkvjwpbnmt742"), ("auth: Xkqvzjwpdf", "Xkqvzjwpdf")):
+        at = text.index(value)
+        assert ss.find_secrets(text)[1] == [("guess", at, at + len(value))], text
+    rng = random.Random(4)
+    for n in (10, 12, 16, 24, 30):  # planted; shorter ones fall to the threshold by a walk or a short word
+        for case in (str.lower, str.upper, str.title):
+            planted = [case("".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(n))) for _ in range(300)]
+            assert sum(bool(ss.find_secrets(f"pwd: {v} end")[1]) for v in planted) >= 295, n
+    for word in ("gardening", "Forgotten", "required", "INSTRUCTIONS", "vergessen", "Einstellungen", "contraseña",
+                 "développement"):
+        assert ss.find_secrets(f"pwd: {word} end")[1] == [], word
