@@ -37,7 +37,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_sample, per_text
+from .common import bounded_sample, per_text, stored
 
 # fixed values: block-level elements of HTML, void elements, elements whose content is not text
 BLOCK_TAGS = frozenset(
@@ -310,6 +310,10 @@ def train(pages: DataFrame, *, max_pages: int = 400, max_blocks: int = 200) -> F
     A page longer than ``max_blocks`` blocks is learned from in that many evenly
     spread neighbours-keeping stretches; decoding always sees whole pages.
     """
+    def usable(html: str | None) -> tuple:
+        y = marked_labels(leaf_blocks(html))
+        return (any(y) and not all(y),)
+
     def code(html: str | None) -> tuple:
         blocks = leaf_blocks(html)
         y = marked_labels(blocks)
@@ -321,8 +325,11 @@ def train(pages: DataFrame, *, max_pages: int = 400, max_blocks: int = 200) -> F
             blocks, y = [blocks[i] for i in picked], [y[i] for i in picked]
         return ([sorted(f) for f in page_features(blocks)], [sorted(f) for f in page_features(blocks, blind=True)], y)
 
-    filled = pages.where("html IS NOT NULL AND html <> ''").select("page_id", "html")
-    ids = bounded_sample(filled.select("page_id").distinct(), max_pages, "page_id")
+    # a block inside an article needs its tag; written once, as the sample reads the ids several times
+    filled = pages.where(F.col("html").rlike("(?i)<(?:" + "|".join(sorted(ARTICLE)) + ")")).select("page_id", "html")
+    labelled = stored(per_text(filled, usable, "usable boolean", text="html").where("usable").select("page_id").distinct(),
+                      "labelled_pages")
+    ids = bounded_sample(labelled, max_pages, "page_id")
     sample = filled.join(F.broadcast(ids), "page_id")  # at most max_pages ids
     rows = per_text(sample, code, "named array<array<string>>, plain array<array<string>>, y array<int>", text="html")
     learned = _example_pages() * 3

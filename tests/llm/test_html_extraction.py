@@ -68,3 +68,14 @@ def test_viterbi_is_the_best_path(seed):
     best = max(product((0, 1), repeat=7), key=value)
     assert math.isclose(value(model.decode(page_)), value(best))
     assert model.decode([]) == []
+
+
+def test_sample_is_drawn_from_pages_with_labels(spark, monkeypatch):
+    marked = "<body><nav>Menu</nav><article><p>Rain all week.</p></article></body>"
+    rows = [(k, "u", marked if k % 20 == 0 else "<body><!-- <main> --><p>Rain all week.</p></body>") for k in range(400)]
+    learned = []
+    fit = hx.fit
+    monkeypatch.setattr(hx, "fit", lambda pages: (learned.extend(pages), fit(pages))[1])
+    hx.train(spark.createDataFrame(rows, "page_id long, url string, html string"), max_pages=15)
+    named = [y for features, y in learned if y == [0, 1] and any("named in:article" in x for x in features)]
+    assert len(named) == 15
