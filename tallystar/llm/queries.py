@@ -7,7 +7,7 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import html_extraction, language_id, near_dedup, packing, quality_classifier, rule_forest, secret_scan, source_mixing, token_counts, topk_search
+from . import html_extraction, language_id, near_dedup, packing, periodic_runs, quality_classifier, rule_forest, secret_scan, source_mixing, token_counts, topk_search
 from .common import table
 from .shipping import ship_package
 
@@ -58,6 +58,10 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extraction.extract(table(spark, sf_dir, "pages"))
 
 
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.digest(table(spark, sf_dir, "documents"))
+
+
 def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     @wraps(query)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -77,6 +81,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_counts": _shipped(op8_token_counts),
     "op9_exact_topk": _shipped(op9_exact_topk),
     "op10_html_extraction": _shipped(op10_html_extraction),
+    "op12_periodic_runs": _shipped(op12_periodic_runs),
 }
 
 SQL: dict[str, str] = {
