@@ -7,7 +7,7 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import html_extraction, language_id, near_dedup, packing, periodic_runs, quality_classifier, rule_forest, secret_scan, source_mixing, token_counts, topk_search
+from . import html_extraction, language_id, near_dedup, packing, periodic_runs, quality_classifier, rule_forest, secret_scan, source_mixing, spot_signatures, token_counts, topk_search
 from .common import table
 from .shipping import ship_package
 
@@ -62,6 +62,10 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic_runs.digest(table(spark, sf_dir, "documents"))
 
 
+def op13_spot_signatures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spot_signatures.digest(table(spark, sf_dir, "documents"))
+
+
 def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     @wraps(query)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -82,9 +86,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_exact_topk": _shipped(op9_exact_topk),
     "op10_html_extraction": _shipped(op10_html_extraction),
     "op12_periodic_runs": _shipped(op12_periodic_runs),
+    "op13_spot_signatures": op13_spot_signatures,
 }
 
 SQL: dict[str, str] = {
     "op6_source_mixing": source_mixing.oracle(),
     "op9_exact_topk": topk_search.oracle(),
+    "op13_spot_signatures": spot_signatures.oracle(),
 }
