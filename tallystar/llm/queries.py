@@ -7,7 +7,7 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import html_extraction, language_id, near_dedup, packing, periodic_runs, quality_classifier, rule_forest, secret_scan, source_mixing, spot_signatures, token_counts, topk_search
+from . import html_extraction, language_id, near_dedup, packing, periodic_runs, quality_classifier, rule_forest, secret_scan, source_mixing, spelling_variants, spot_signatures, token_counts, topk_search
 from .common import table
 from .shipping import ship_package
 
@@ -58,6 +58,10 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extraction.extract(table(spark, sf_dir, "pages"))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants.variants(table(spark, sf_dir, "documents"))
+
+
 def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic_runs.digest(table(spark, sf_dir, "documents"))
 
@@ -85,6 +89,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_counts": _shipped(op8_token_counts),
     "op9_exact_topk": _shipped(op9_exact_topk),
     "op10_html_extraction": _shipped(op10_html_extraction),
+    "op11_spelling_variants": _shipped(op11_spelling_variants),
     "op12_periodic_runs": _shipped(op12_periodic_runs),
     "op13_spot_signatures": op13_spot_signatures,
 }
@@ -92,5 +97,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 SQL: dict[str, str] = {
     "op6_source_mixing": source_mixing.oracle(),
     "op9_exact_topk": topk_search.oracle(),
+    "op11_spelling_variants": spelling_variants.oracle(),
     "op13_spot_signatures": spot_signatures.oracle(),
 }

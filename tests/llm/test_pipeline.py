@@ -61,7 +61,7 @@ def test_run_returns_the_last_stage(spark, tmp):
 def test_registered_queries():
     entry = importlib.import_module("__spark_entry__")
     names = entry.queries()
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(k.startswith(f"op{n}_") for k in names) == 1
     assert names["pipeline"] is cp.run
     assert set(entry.oracle_sql()) <= set(names)
