@@ -35,6 +35,7 @@ from tallystar.plans.star_build import (
     reject_report,
 )
 from tallystar.session import fresh_path
+from tallystar.sources.json_ranges import read_keyed_json_ranges
 from tallystar.sources.readers import (
     read_csv_strings,
     read_keyed_json,
@@ -56,11 +57,22 @@ class EtlResult:
     staged_dim: str
 
 
+def read_records(spark: SparkSession, imm_path: str) -> DataFrame:
+    """The records of the keyed-JSON files. Where a file is larger than what one task
+    should read (``spark.sql.files.maxPartitionBytes``), all are read by byte ranges, so a
+    year published as one document is read by many tasks."""
+    sizes = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(imm_path)
+    largest = sizes.agg(F.max("length")).first()[0] or 0
+    most = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+    read = read_keyed_json_ranges if largest > most else read_keyed_json
+    return read(spark, imm_path, RAW_SCHEMA).drop("key")
+
+
 def _parts(spark: SparkSession, imm_path: str, metadata_path: str, translation_path: str, book: CodeBook,
            section_ranges: Sequence[tuple[int, int]] | None) -> tuple[DataFrame, dict[str, DataFrame], DataFrame]:
     sections = (read_section_ranges(spark, metadata_path, section_ranges) if section_ranges
                 else read_sections(spark, metadata_path, count=5))
-    return (read_keyed_json(spark, imm_path, RAW_SCHEMA).drop("key"), code_lists(sections, book),
+    return (read_records(spark, imm_path), code_lists(sections, book),
             read_csv_strings(spark, translation_path))
 
 

@@ -19,11 +19,13 @@ NAME_YEAR = r"(\d{4})\.[A-Za-z]+(?:\.(?:gz|bz2|zst|lz4|snappy|deflate))?$"
 DIR_YEAR = r"(\d{4})[^/\d]*/[^/]*$"
 
 
-def file_year(name_pattern: str = NAME_YEAR, dir_pattern: str = DIR_YEAR) -> Column:
-    from_name = F.nullif(F.regexp_extract(F.col("_metadata.file_name"), name_pattern, 1), F.lit(""))
-    from_dir = F.nullif(F.regexp_extract(F.col("_metadata.file_path"), dir_pattern, 1), F.lit(""))
+def file_year(name_pattern: str = NAME_YEAR, dir_pattern: str = DIR_YEAR, path: Column | None = None) -> Column:
+    """The year in the path of the row's file, or in the column ``path``."""
+    path = F.col("_metadata.file_path") if path is None else path
+    from_name = F.nullif(F.regexp_extract(path, name_pattern, 1), F.lit(""))
+    from_dir = F.nullif(F.regexp_extract(path, dir_pattern, 1), F.lit(""))
     year = F.coalesce(from_name, from_dir)
-    missing = F.raise_error(F.concat(F.lit("no year in input path "), F.col("_metadata.file_path")))
+    missing = F.raise_error(F.concat(F.lit("no year in input path "), path))
     return F.when(year.isNull(), missing.cast("int")).otherwise(year.cast("int"))
 
 

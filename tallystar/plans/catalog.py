@@ -46,6 +46,7 @@ from tallystar.plans.star_build import (
     reject_report,
 )
 from tallystar.session import fresh_path
+from tallystar.sources.json_ranges import read_keyed_json_ranges
 from tallystar.sources.readers import (
     csv_header,
     read_csv_exact,
@@ -434,6 +435,11 @@ def src_keyed_json(spark, sf):
     return L.landed_raw(spark, L.land_inputs(spark, sf))
 
 
+def src_keyed_json_ranges(spark, sf):
+    """S2 by byte ranges: as many tasks as splits, however large a document is."""
+    return read_keyed_json_ranges(spark, L.land_inputs(spark, sf).imm, RAW_SCHEMA).drop("key")
+
+
 def src_sectioned(spark, sf):
     land = L.land_inputs(spark, sf)
     return read_sections(spark, land.codes).select("section", "Key", "Title")
@@ -513,7 +519,7 @@ QUERIES: dict[str, Query] = {f.__name__: f for f in [
     dq_report, dq_duplicates, dq_domain, dq_domain_dim, dq_reconcile, dq_rejects, dq_schema,
     dq_key_unique,
     str_trim_replace, str_harmonise, proj_select_rename, proj_constant, proj_decode_map, proj_safe_cast,
-    src_year_from_path, src_keyed_json, src_sectioned, src_csv_typed, src_csv_strings, conform_union,
+    src_year_from_path, src_keyed_json, src_keyed_json_ranges, src_sectioned, src_csv_typed, src_csv_strings, conform_union,
     scan_parquet_partitioned, sink_csv_roundtrip, sink_parquet_roundtrip, sink_dynamic_overwrite,
     stream_yearly_refresh,
 ]}

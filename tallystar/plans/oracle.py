@@ -429,6 +429,7 @@ FROM (SELECT l_orderkey, l_linenumber, CASE l_partkey % 11 WHEN 0 THEN '20000000
     "src_year_from_path": W_RAW + """
 SELECT CAST(substr(Perioden, 1, 4) AS INTEGER) AS Year, count(*) AS n_records FROM raw GROUP BY 1""",
     "src_keyed_json": W_RAW + f"\nSELECT {RAW_COLS} FROM raw",
+    "src_keyed_json_ranges": W_RAW + f"\nSELECT {RAW_COLS} FROM raw",
     "src_sectioned": f"""
 SELECT 0 AS section, Key, {GENDER_CASE.replace("'Men'", "'Mannen'").replace("'Women'", "'Vrouwen'")
                            .replace("'Total men and women'", "'Totaal mannen en vrouwen'").format(c='Key')} AS Title

@@ -56,21 +56,23 @@ def read_keyed_json(spark: SparkSession, paths: str | Sequence[str], record_sche
     fields (and ``Year`` from the path when ``keep_year``). Folders are read
     with all their subfolders.
 
-    A document that does not parse, or a value that does not fit its field
-    (``5.0`` or ``"5"`` for an int), fails the read; nothing is dropped.
+    A document that does not parse or has no ``value``, and a value that does
+    not fit its field (``5.0`` or ``"5"`` for an int), fail the read; nothing is dropped.
 
     A document is one row of text, so one task parses it, and it must stay
-    below 2 GB (a larger one fails the read): write larger inputs as several
-    documents. ``spread=True`` rebalances the records after the parse, for
+    below 2 GB (a larger one fails the read): ``json_ranges.read_keyed_json_ranges``
+    reads larger ones. ``spread=True`` rebalances the records after the parse, for
     readers that do not shuffle them anyway (the fact build does, on ID)."""
     schema = StructType([StructField("value", MapType(StringType(), record_schema))])
     raw = (spark.read.schema(schema).option("multiLine", multi_line).option("mode", "FAILFAST")
            .option("recursiveFileLookup", True).json(_paths(paths)))
     if keep_year:
         raw = raw.withColumn("_file_year", file_year())
+    lost = F.raise_error(F.concat(F.lit("a document has no object 'value': "), F.col("_metadata.file_path")))
+    value = F.when(F.col("value").isNull(), lost.cast(schema["value"].dataType)).otherwise(F.col("value"))
     exploded = raw.select(
         *([F.col("_file_year").alias("Year")] if keep_year else []),
-        F.explode("value").alias(key_col, "_rec"),
+        F.explode(value).alias(key_col, "_rec"),
     )
     records = exploded.select(
         key_col, *[F.col(f"_rec.{f.name}").alias(f.name) for f in record_schema.fields],
