@@ -3,9 +3,10 @@
 ``run_etl`` does the reference's whole batch: keyed-JSON immigration files,
 the sectioned code-list file, the translation CSV and the yearly happiness
 CSVs in, the fact and the dimension out as Parquet partitioned by ``Year``.
-Both are first staged under the session's scratch folder with the checks
-computed on the way; only tables that pass are written to the output folder,
-so a failed check leaves an earlier star as it was. ``top_countries``,
+Both, and the records that the fact drops, are written as one version of the
+output folder, with the checks computed on the way; the version becomes
+visible as a whole, and only if the checks pass, so a failed check or a run
+that dies leaves an earlier star as it was. ``top_countries``,
 ``age_profile``, ``score_volume_correlation`` and ``trend`` answer the
 questions on the written star.
 
@@ -20,41 +21,77 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tallystar.operators.quality import reconcile
 from tallystar.operators.star import key_unique
 from tallystar.plans import marts
-from tallystar.plans.model import RAW_SCHEMA, REFERENCE_BOOK, REFERENCE_SECTION_RANGES, CodeBook, reference_layout
+from tallystar.plans.checks import dimension_rules, fact_metrics, fact_rules, observed, rule_metrics, type_breaches
+from tallystar.plans.model import (
+    FACT_COLS,
+    FACT_CONTRACT,
+    RAW_SCHEMA,
+    REFERENCE_BOOK,
+    REFERENCE_SECTION_RANGES,
+    CodeBook,
+    reference_layout,
+)
 from tallystar.plans.star_build import (
+    FACT_STEP,
     build_dimension,
     build_fact,
     clean_records,
     code_lists,
+    conform_yearly,
     decode_coverage,
+    files_by_layout,
+    flagged_build,
     list_inputs_deep,
+    read_yearly_layouts,
+    reject_counts,
     reject_report,
 )
-from tallystar.session import fresh_path
 from tallystar.sources.json_ranges import read_keyed_json_ranges
 from tallystar.sources.readers import (
     read_csv_strings,
     read_keyed_json,
     read_section_ranges,
     read_sections,
-    with_file_year,
 )
 from tallystar.sources.sinks import write_by_year
+from tallystar.sources.versions import (
+    commit,
+    new_version,
+    read_table,
+    version_folder,
+    written_steps,
+    written_years,
+)
 
 
 @dataclass
 class EtlResult:
+    """``fact_path`` and ``dim_path`` hold what this run wrote; ``fact`` and
+    ``dimension`` read the whole version that it made."""
+    out_dir: str
+    version: int
     fact_path: str
     dim_path: str
     fact_checks: dict
+    rule_checks: dict[str, int]
     dim_rows: int
     dim_reconcile: list[dict]
-    staged_fact: str
-    staged_dim: str
+    rejects: dict[str, int]
+
+    def fact(self, spark: SparkSession) -> DataFrame:
+        return read_table(spark, self.out_dir, "fact", self.version)
+
+    def dimension(self, spark: SparkSession) -> DataFrame:
+        return read_table(spark, self.out_dir, "dimension", self.version)
+
+    def rejected(self, spark: SparkSession) -> DataFrame:
+        """The dropped records of the version, with the ``step`` that drops them."""
+        return read_table(spark, self.out_dir, "rejects", self.version)
 
 
 def read_records(spark: SparkSession, imm_path: str) -> DataFrame:
@@ -109,43 +146,51 @@ def run_etl(spark: SparkSession, imm_path: str, metadata_path: str, translation_
             section_ranges: Sequence[tuple[int, int]] | None = None,
             fail_on_error: bool = False, refresh: bool = False,
             renames: Mapping[str, str] | None = None, on_duplicate: str = "fail") -> EtlResult:
-    """The whole batch. Fact checks (rows, zero measures, null cells, repeated
-    IDs) and the rows per yearly file against the dimension are computed on the
-    staged tables; ``fail_on_error`` raises before anything is written to
-    ``out_dir``. ``refresh`` replaces only the years that the inputs hold.
-    ``renames`` and ``on_duplicate`` go to ``build_dimension``."""
-    fact = read_inputs(spark, imm_path, metadata_path, translation_path, book, section_ranges)
+    """The whole batch, as one version of fact, dimension and rejects in ``out_dir``.
+
+    The fact and the records it drops come from one plan and one write. Row
+    counts, zero measures, null cells and the accepted values of every column
+    are observed on the writes; repeated IDs and the records per yearly file
+    against the dimension are counted after. ``fail_on_error`` raises if a
+    check fails, before the version becomes visible (``sources.versions``).
+    ``refresh`` replaces only the years that the inputs hold. ``renames`` and
+    ``on_duplicate`` go to ``build_dimension``."""
+    root, version = out_dir.rstrip("/"), new_version()
+    raw, dims, translation = _parts(spark, imm_path, metadata_path, translation_path, book, section_ranges)
+    build = flagged_build(raw, dims, translation, book)
     dim = build_dimension(spark, happiness_path, layout_for_year, renames, on_duplicate)
+    if wrong := type_breaches(build, FACT_CONTRACT):
+        raise AssertionError(f"columns of other types than documented: {wrong}")
+    is_fact, rules, dim_rules = F.col("step") == FACT_STEP, fact_rules(book), dimension_rules()
     obs_f, obs_d = Observation("fact"), Observation("dim")
-    fact_o = fact.observe(obs_f, F.count(F.lit(1)).alias("rows"),
-                          F.count_if(F.col("ImmigrationVolume") == 0).alias("zero_measure"),
-                          sum((F.count_if(F.col(c).isNull()) for c in fact.columns), F.lit(0)).alias("null_cells"))
-    dim_o = dim.observe(obs_d, F.count(F.lit(1)).alias("rows"))
-    staged_f, staged_d = fresh_path(spark, "staged-fact"), fresh_path(spark, "staged-dim")
-    _both(lambda: write_by_year(fact_o, staged_f), lambda: write_by_year(dim_o, staged_d))
-
-    fact_s, dim_s = spark.read.schema(fact.schema).parquet(staged_f), spark.read.schema(dim.schema).parquet(staged_d)
-    checks = dict(obs_f.get) | {"repeated_ids": key_unique(fact_s, ["ID"]).count()}
-    # data lines of each yearly file: its rows but for the header
-    files = list_inputs_deep(spark, happiness_path)
-    counted = [r.asDict() for r in reconcile(_file_rows(spark, files), dim_s, "Year").orderBy("Year").collect()]  # one row a year
-    failed = checks["rows"] == 0 or any(checks[k] for k in ("zero_measure", "null_cells", "repeated_ids"))
+    on_fact = [*fact_metrics(is_fact), *rule_metrics(rules, is_fact)]
+    on_dim = [F.count(F.lit(1)).alias("rows"), *rule_metrics(dim_rules)]
+    build_o, dim_o = build.observe(obs_f, *on_fact), dim.observe(obs_d, *on_dim)
+    build_path, dim_path = version_folder(root, "build", version), version_folder(root, "happiness", version)
+    _both(lambda: write_by_year(build_o, build_path, above=["step"]), lambda: write_by_year(dim_o, dim_path))
+
+    written, dim_s = spark.read.schema(build.schema).parquet(build_path), spark.read.schema(dim.schema).parquet(dim_path)
+    seen, seen_d = observed(obs_f, on_fact, written), observed(obs_d, on_dim, dim_s)
+    checks = {k: seen[k] for k in ("rows", "zero_measure", "null_cells")}
+    checks["repeated_ids"] = key_unique(written.where(is_fact).select("ID"), ["ID"]).count()
+    broken = {k: seen[k] for k in rules} | {k: seen_d[k] for k in dim_rules}
+    # one row a year; the records of the files are read as the dimension reads them
+    records = conform_yearly(read_yearly_layouts(spark, files_by_layout(list_inputs_deep(spark, happiness_path), layout_for_year)))
+    counted = [r.asDict() for r in reconcile(records, dim_s, "Year").orderBy("Year").collect()]
+    failed = checks["rows"] == 0 or any(checks[k] for k in ("zero_measure", "null_cells", "repeated_ids")) or any(broken.values())
     uneven = not renames and any(r["status"] != "passed" for r in counted)
     if fail_on_error and (failed or uneven):
-        raise AssertionError(f"checks failed, nothing written: {checks}, rows per year: {counted}")
-
-    root = out_dir.rstrip("/")
-    fact_path, dim_path = f"{root}/fact_immigration.parquet", f"{root}/happiness.parquet"
-    _both(lambda: write_by_year(fact_s, fact_path, refresh=refresh),
-          lambda: write_by_year(dim_s, dim_path, refresh=refresh))
-    return EtlResult(fact_path, dim_path, checks, obs_d.get["rows"], counted, staged_f, staged_d)
-
+        raise AssertionError(f"checks failed, nothing published: {checks}, {broken}, rows per year: {counted}")
 
-def _file_rows(spark: SparkSession, files: Sequence[str]) -> DataFrame:
-    """One row with ``Year`` per data line of the yearly CSV files."""
-    first = {h for h in (spark.read.text(f).head() for f in files) if h}
-    text = with_file_year(spark.read.text(list(files)))
-    return text.where(~F.col("value").isin([h["value"] for h in first]) & (F.trim("value") != "")).select("Year")
+    counts = {r["step"]: r["rows"] for r in reject_counts(written).collect()}  # one row a step
+    steps = written_steps(spark, build_path)
+    dropped = [f"{build_path}/{s}" for s in steps if s != f"step={FACT_STEP}"]
+    years = {y for s in steps for y in written_years(spark, root, f"{build_path}/{s}")}
+    made = commit(spark, root, {"fact": [f"{build_path}/step={FACT_STEP}"], "rejects": dropped, "dimension": [dim_path]},
+                  {"fact": StructType([build.schema[c] for c in FACT_COLS]), "dimension": dim.schema,
+                   "rejects": StructType([build.schema[c] for c in ("step", "copies", "record", "Year")])},
+                  refresh, {"fact": years, "rejects": years})
+    return EtlResult(root, made["number"], f"{build_path}/step={FACT_STEP}", dim_path, checks, broken, seen_d["rows"], counted, counts)
 
 
 def _both(*jobs: Callable[[], None]) -> None:
@@ -157,24 +202,23 @@ def _both(*jobs: Callable[[], None]) -> None:
 
 def top_countries(spark: SparkSession, result: EtlResult, year: int, k: int = 10) -> DataFrame:
     """M1 on the written star."""
-    return marts.topk_with_score(spark.read.parquet(result.fact_path), spark.read.parquet(result.dim_path),
-                                 year, k)
+    return marts.topk_with_score(result.fact(spark), result.dimension(spark), year, k)
 
 
 def age_profile(spark: SparkSession, result: EtlResult, by_gender: bool = False) -> DataFrame:
     """M2 on the written star: volume per year and age (and gender)."""
     keys = ("Year", "Gender", "Age") if by_gender else ("Year", "Age")
-    return marts.age_profile(spark.read.parquet(result.fact_path), keys)
+    return marts.age_profile(result.fact(spark), keys)
 
 
 def score_volume_correlation(spark: SparkSession, result: EtlResult) -> DataFrame:
     """M3 on the written star."""
-    return marts.score_volume_correlation(spark.read.parquet(result.fact_path), spark.read.parquet(result.dim_path))
+    return marts.score_volume_correlation(result.fact(spark), result.dimension(spark))
 
 
 def trend(spark: SparkSession, result: EtlResult, years: Sequence[int] | None = None, key: str = "Age") -> DataFrame:
     """M4 on the written star: volume per ``key``, one column per year (all years unless given)."""
-    fact = spark.read.parquet(result.fact_path)
+    fact = result.fact(spark)
     return marts.trend_pivot(fact, marts.partition_years(fact) if years is None else years, key)
 
 

@@ -49,10 +49,12 @@ def drop_totals(df: DataFrame, totals: Mapping[str, str]) -> DataFrame:
     return df.where(not_total(totals))
 
 
-def dedup_first(df: DataFrame, keys: Sequence[str], order: Sequence[str] | None = None) -> DataFrame:
+def dedup_first(df: DataFrame, keys: Sequence[str], order: Sequence[str] | None = None,
+                copies: str | None = None) -> DataFrame:
     """A4, deterministic: per key keep the row that is smallest in ``order``
     (default: all other columns, left to right). In each column a value comes
-    before NULL, so a row with a code is kept rather than one without.
+    before NULL, so a row with a code is kept rather than one without. ``copies``
+    names a further column with the number of rows of the key.
 
     Written as ``min(struct(...))`` per key rather than ``row_number`` over a
     window: the aggregate combines map-side, so a key with millions of copies
@@ -65,12 +67,14 @@ def dedup_first(df: DataFrame, keys: Sequence[str], order: Sequence[str] | None
     packed = F.struct(*[x for i, c in enumerate(order)
                         for x in (F.col(c).isNull().alias(f"_n{i}"), F.col(c).alias(f"_o{i}"))],
                       *[F.col(c).alias(f"_t{i}") for i, c in enumerate(tail)])
-    agg = df.groupBy(*keys).agg(F.min(packed).alias("_first"))
+    counted = [F.count(F.lit(1)).alias(copies)] if copies else []
+    agg = df.groupBy(*keys).agg(F.min(packed).alias("_first"), *counted)
     return agg.select(
         *keys,
         *[F.col(f"_first._o{i}").alias(c) for i, c in enumerate(order)],
         *[F.col(f"_first._t{i}").alias(c) for i, c in enumerate(tail)],
-    ).select(*df.columns)
+        *([copies] if copies else []),
+    ).select(*df.columns, *([copies] if copies else []))
 
 
 def key_slice(df: DataFrame, key: str, starts: Sequence[int], length: int = 5) -> DataFrame:
@@ -82,9 +86,13 @@ def key_slice(df: DataFrame, key: str, starts: Sequence[int], length: int = 5) -
     if isinstance(df.schema[key].dataType, IntegralType):
         k = F.col(key)
     else:
-        digits = F.regexp_replace(strip_ws(key), r"^([+-]?)0+(?=\d)", "$1")
-        # more than 38 digits: NULL, and in no range of longs
-        k = F.when(digits.rlike(r"^[+-]?\d+$"), digits.try_cast("decimal(38,0)"))
+        text = strip_ws(key)
+        bare = F.ltrim(F.when(text.startswith("+") | text.startswith("-"), F.substring(text, 2, 2 ** 31 - 1)).otherwise(text), F.lit("0"))
+        zero = (bare == "") & text.endswith("0")
+        # what is no digit becomes a blank, and longer keys than 18 digits are in no range of longs
+        whole = (F.length(bare) <= 18) & (F.translate(bare, "0123456789", "") == "") & (bare != "")
+        number = F.when(whole, bare.cast("long")).when(zero, 0)
+        k = F.when(text.startswith("-"), -number).otherwise(number)
     cond = F.lit(False)
     for s in starts:
         cond = cond | k.between(s, s + length - 1)

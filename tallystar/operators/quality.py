@@ -37,11 +37,18 @@ def quality_report(df: DataFrame, measure: str, cols: Sequence[str] | None = Non
         .select("check_name", "failures", _status())
 
 
+def rule_metrics(rules: Mapping[str, Column], where: Column | None = None) -> list[Column]:
+    """Each rule as an aggregate that counts its violations (NULL counts as one) among
+    the rows of ``where``: for ``domain_report``, or observed on a write, where
+    they cost no pass of their own."""
+    rows = F.lit(True) if where is None else where
+    return [F.count_if(rows & ~F.coalesce(cond, F.lit(False))).cast("long").alias(name) for name, cond in rules.items()]
+
+
 def domain_report(df: DataFrame, rules: Mapping[str, Column]) -> DataFrame:
     """Q4: each rule is a condition every row must meet; a NULL result counts
     as a violation. One pass for all rules. ``(rule, violations, status)``."""
-    agg = df.agg(*[F.count_if(~F.coalesce(cond, F.lit(False))).cast("long").alias(name)
-                   for name, cond in rules.items()])
+    agg = df.agg(*rule_metrics(rules))
     return _long(agg, list(rules), "rule", "violations") \
         .select("rule", "violations", _status("violations"))
 

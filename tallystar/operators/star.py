@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallystar.functions.strings import strip_ws
+from tallystar.operators.clean import dedup_first
 
 
 def unique_rows(dim: DataFrame, keys: Sequence[str], on_duplicate: str = "fail") -> DataFrame:
@@ -22,20 +23,20 @@ def unique_rows(dim: DataFrame, keys: Sequence[str], on_duplicate: str = "fail")
 
     Rows that repeat a key with the same values collapse. Where values differ,
     ``on_duplicate='fail'`` raises when the plan runs, ``'first'`` keeps the
-    row that sorts first.
+    row that sorts first, in each column a value before NULL.
     """
     if on_duplicate not in ("fail", "first"):
         raise ValueError(f"on_duplicate: {on_duplicate}")
+    if on_duplicate == "first":
+        return dedup_first(dim, keys)
     rest = [c for c in dim.columns if c not in keys]
     packed = F.struct(*rest) if rest else F.lit(True)
     one = dim.groupBy(*keys).agg(F.min(packed).alias("_lo"), F.max(packed).alias("_hi"))
-    if on_duplicate == "fail":
-        text = F.concat_ws(", ", *[F.coalesce(F.col(k).cast("string"), F.lit("NULL")) for k in keys])
-        conflict = F.raise_error(F.concat(F.lit(f"conflicting rows for key ({', '.join(keys)}): "), text))
-        first = keys[0]
-        kind = dim.schema[first].dataType
-        one = one.withColumn(first, F.when(~F.col("_lo").eqNullSafe(F.col("_hi")), conflict.cast(kind))
-                             .otherwise(F.col(first)))
+    text = F.concat_ws(", ", *[F.coalesce(F.col(k).cast("string"), F.lit("NULL")) for k in keys])
+    conflict = F.raise_error(F.concat(F.lit(f"conflicting rows for key ({', '.join(keys)}): "), text))
+    first = keys[0]
+    one = one.withColumn(first, F.when(~F.col("_lo").eqNullSafe(F.col("_hi")), conflict.cast(dim.schema[first].dataType))
+                         .otherwise(F.col(first)))
     return one.select(*[F.col(c) if c in keys else F.col(f"_lo.`{c}`").alias(c) for c in dim.columns])
 
 
@@ -96,5 +97,4 @@ def resolve_duplicates(df: DataFrame, keys: Sequence[str], values: Sequence[str]
     if how == "mean":
         return df.groupBy(*keys).agg(*[F.avg(v).alias(v) for v in values],
                                      F.count(F.lit(1)).alias("n_merged"))
-    from tallystar.operators.clean import dedup_first
     return dedup_first(df.select(*keys, *values), keys)

@@ -43,12 +43,11 @@ from tallystar.plans.star_build import (
     list_inputs_deep,
     one_per_country,
     read_yearly_layouts,
-    reject_report,
+    reject_counts,
 )
 from tallystar.session import fresh_path
 from tallystar.sources.json_ranges import read_keyed_json_ranges
 from tallystar.sources.readers import (
-    csv_header,
     read_csv_exact,
     read_csv_strings,
     read_keyed_json,
@@ -132,7 +131,8 @@ def mart_trend_gender(spark, sf):
 
 
 def fact_build(spark, sf):
-    return L.landed_fact(spark, L.land_inputs(spark, sf))
+    """M5: the fact's part of the one written build (``dq_rejects`` counts the rest)."""
+    return L.star_tables(spark, sf)[0]
 
 
 def dimension_build(spark, sf):
@@ -367,22 +367,17 @@ def dq_key_unique(spark, sf):
 
 
 def dq_reconcile(spark, sf):
-    """Rows per year in the files against the dimension after harmonising
+    """Records per year in the files against the dimension after harmonising
     names (merged spellings make the years differ)."""
     land = L.land_inputs(spark, sf)
-    files = list_inputs_deep(spark, land.happiness)
-    # rows in: the data lines of every file, header and blank lines excluded
-    headers = {",".join(csv_header(spark, f)) for f in files}
-    text = with_file_year(spark.read.text(files))
-    rows_in = text.where(~F.col("value").isin(sorted(headers)) & (F.trim("value") != ""))
-    dim = clean.harmonise_values(L.landed_dimension(spark, land), "Country", STANDIN_RENAMES)
-    return quality.reconcile(rows_in, one_per_country(dim, "mean"), "Year")
+    records = conform_yearly(read_yearly_layouts(spark, files_by_layout(list_inputs_deep(spark, land.happiness), B.standin_layout)))
+    dim = clean.harmonise_values(records, "Country", STANDIN_RENAMES)
+    return quality.reconcile(records, one_per_country(dim, "mean"), "Year")
 
 
 def dq_rejects(spark, sf):
-    land = L.land_inputs(spark, sf)
-    return reject_report(L.landed_raw(spark, land), _codes(spark, sf), read_csv_strings(spark, land.translation),
-                         B.STANDIN_BOOK)
+    """What the one written build kept and dropped, by step."""
+    return reject_counts(L.built(spark, sf))
 
 
 # ------------------------------------------------------- strings / scalars

@@ -4,8 +4,8 @@
 read: keyed-JSON record documents, the sectioned code-list file, the
 translation CSV and the yearly happiness CSVs in two header layouts (plus
 the raw records as Parquet, which the record-level queries read).
-``ensure_star`` runs M5 and M6 over them and writes the fact and the
-dimension as Parquet partitioned by ``Year``. Both are written once per
+``ensure_star`` runs M5 and M6 over them and writes the flagged build (fact and
+rejects, by step) and the dimension as Parquet partitioned by ``Year``. Both are written once per
 session and state of the table folder (file names, sizes and times), under the
 shared scratch root, and later queries read the written tables (partition
 pruning, column pruning, no recompute after an executor loss).
@@ -24,13 +24,15 @@ from pyspark.sql import functions as F
 from tallystar.functions.strings import strict_int
 from tallystar.operators.rank import rank_within
 from tallystar.plans import bindings as B
+from tallystar.plans.checks import fact_metrics, observed
 from tallystar.plans.model import (
+    FACT_COLS,
     LAYOUT_2018_COLUMNS,
     LAYOUT_2020_COLUMNS,
     RAW_FIELDS,
     RAW_SCHEMA,
 )
-from tallystar.plans.star_build import build_dimension, build_fact, read_code_lists
+from tallystar.plans.star_build import FACT_STEP, build_dimension, build_fact, flagged_build, read_code_lists
 from tallystar.session import fresh_path
 from tallystar.sources.readers import read_csv_strings, read_keyed_json
 from tallystar.sources.sinks import write_by_year
@@ -50,7 +52,7 @@ class Landing:
     codes: str
     translation: str
     happiness: str
-    fact: str | None = None
+    build: str | None = None
     dim: str | None = None
     checks: dict | None = None
 
@@ -226,21 +228,25 @@ def ensure_star(spark: SparkSession, sf_dir: str) -> Landing:
 
 def _ensure_star(spark: SparkSession, sf_dir: str) -> Landing:
     land = land_inputs(spark, sf_dir)
-    if land.fact is not None:
+    if land.build is not None:
         return land
-    fact = landed_fact(spark, land)
-    obs = Observation("fact_checks")
-    observed = fact.observe(
-        obs, F.count(F.lit(1)).alias("rows"),
-        F.count_if(F.col("ImmigrationVolume") == 0).alias("zero_measure"),
-        sum((F.count_if(F.col(c).isNull()) for c in fact.columns), F.lit(0)).alias("null_cells"))
-    fact_path, dim_path = fresh_path(spark, "fact"), fresh_path(spark, "dim")
+    build = flagged_build(landed_raw(spark, land), landed_code_lists(spark, land),
+                          read_csv_strings(spark, land.translation), B.STANDIN_BOOK)
+    obs, metrics = Observation("fact_checks"), fact_metrics(F.col("step") == FACT_STEP)
+    watched = build.observe(obs, *metrics)
+    build_path, dim_path = fresh_path(spark, "build"), fresh_path(spark, "dim")
     dim = landed_dimension(spark, land)
-    _run_concurrently([lambda: write_by_year(observed, fact_path), lambda: write_by_year(dim, dim_path)])
-    land.fact, land.dim, land.checks = fact_path, dim_path, dict(obs.get)
+    _run_concurrently([lambda: write_by_year(watched, build_path, above=["step"]), lambda: write_by_year(dim, dim_path)])
+    land.build, land.dim, land.checks = build_path, dim_path, observed(obs, metrics, spark.read.schema(build.schema).parquet(build_path))
     return land
 
 
+def built(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The written build: the fact's rows and the rejects, by ``step``."""
+    return spark.read.parquet(ensure_star(spark, sf_dir).build)
+
+
 def star_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     land = ensure_star(spark, sf_dir)
-    return spark.read.parquet(land.fact), spark.read.parquet(land.dim)
+    fact = spark.read.option("basePath", land.build).parquet(f"{land.build}/step={FACT_STEP}")
+    return fact.select(*FACT_COLS), spark.read.parquet(land.dim)

@@ -3,7 +3,8 @@
 Fact: keyed JSON -> trim codes -> F1/F2/F3 -> dedup on ID -> five code-list
 joins + translation lookup -> casts. The records are shuffled once (the
 dedup); every code list is made unique, then broadcast by its size in bytes.
-``reject_report`` counts what each rule and each decode drops. The reference's
+``flagged_build`` is the same with left joins: the fact and what each rule and
+each decode drops, in one pass; ``reject_counts`` counts it. The reference's
 CSV staging hop and five re-evaluations are gone: checks run in one pass
 (``quality.py``).
 
@@ -16,7 +17,7 @@ from __future__ import annotations
 import re
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallystar.functions.paths import DIR_YEAR, NAME_YEAR
@@ -34,7 +35,7 @@ from tallystar.plans.model import (
     CodeBook,
     reference_layout,
 )
-from tallystar.sources.readers import read_csv_by_name, read_sections
+from tallystar.sources.readers import list_inputs, read_csv_by_name, read_sections
 
 
 # ----------------------------------------------------------------- code lists
@@ -111,38 +112,54 @@ DECODES = [("gender", "Geslacht", "GeslachtCode"), ("age", "LeeftijdOp31December
            ("period", "Perioden", "PeriodeCode")]
 
 
-def _marked(dims: Mapping[str, DataFrame], translation: DataFrame) -> tuple[dict[str, DataFrame], DataFrame]:
-    """The dimensions with a mark per row, for left joins: key and mark only
-    (the country list keeps its name, which leads to the translation)."""
-    marked = {d: dims[d].select(k, *(["Land"] if d == "country" else []), F.lit(True).alias(f"has_{d}"))
-              for d, _, k in DECODES}
-    marked["country"] = marked["country"].withColumn("Land", strip_ws("Land"))
-    return marked, _translated(translation).select("Land_Dutch", F.lit(True).alias("has_translation"))
+FACT_STEP = "fact"
+RECORD = "record"
+
+
+def flagged_build(raw: DataFrame, dims: Mapping[str, DataFrame], translation: DataFrame, book: CodeBook) -> DataFrame:
+    """M5, F2 and D17 as one plan: the fact's columns, ``step``, ``copies`` and ``record``.
+
+    ``step`` is ``fact`` for the fact's rows, else what drops the row: a
+    cleaning rule, or the first decode that misses. Records are made unique by
+    ID within the rule that drops them (none, for the fact's), in one shuffle;
+    ``copies`` says how many there were. ``record`` holds the trimmed input
+    fields of dropped rows. The decodes are left joins, so one pass gives the
+    fact, the rejects and all counts."""
+    unique = dedup_first(flag_records(raw, book), ["reject", *book.dedup_key],
+                         [c for c in RAW_FIELDS if c not in book.dedup_key], copies="copies")
+    marked = {d: dims[d].withColumn(f"has_{d}", F.lit(True)) for d, _, _ in DECODES}
+    f = decode(unique, marked["gender"], "Geslacht", "GeslachtCode", ["Gender", "has_gender"], "left")
+    f = decode(f, marked["age"], "LeeftijdOp31December", "LeeftijdCode", ["Age", "has_age"], "left")
+    f = decode(f, marked["marital"], "BurgerlijkeStaat", "BurgerlijkeStaatCode", ["MaritalStatus", "has_marital"], "left")
+    f = decode(f, marked["country"].withColumn("Land", strip_ws("Land")), "Geboorteland", "LandCode", ["Land", "has_country"], "left")
+    f = decode(f, marked["period"].withColumnRenamed("Year", "PeriodLabel"), "Perioden", "PeriodeCode",
+               ["PeriodLabel", "has_period"], "left")
+    f = decode(f, _translated(translation).withColumn("has_translation", F.lit(True)), "Land", "Land_Dutch",
+               ["Country", "SingleCountry", "has_translation"], "left")
+    step = F.col("reject")
+    for d in [*[d for d, _, _ in DECODES], "translation"]:
+        step = F.coalesce(step, F.when(F.col(f"has_{d}").isNull(), f"decode_{d}"))
+    f = f.withColumn("step", F.coalesce(step, F.lit(FACT_STEP)))
+    return f.select(*_fact_columns(), "copies", F.when(F.col("step") != FACT_STEP, F.struct(*RAW_FIELDS)).alias(RECORD), "step")
+
+
+def reject_counts(flagged: DataFrame) -> DataFrame:
+    """``(step, rows)`` of a flagged build (planned or read back): ``rows_in``, the records
+    each cleaning rule drops, ``duplicates``, the records each decode drops,
+    and ``rows_out``. The steps between sum to ``rows_in - rows_out``."""
+    per_step = flagged.groupBy("step").agg(F.sum("copies").alias("all"), F.count(F.lit(1)).alias("kept"))
+    by_rule = ~(F.col("step").startswith("decode_") | (F.col("step") == FACT_STEP))
+    name = F.when(F.col("step") == FACT_STEP, "rows_out").otherwise(F.col("step"))
+    lines = F.array(*[F.struct(n.alias("step"), v.cast("long").alias("n")) for n, v in (
+        (F.lit("rows_in"), F.col("all")), (name, F.when(by_rule, F.col("all")).otherwise(F.col("kept"))),
+        (F.lit("duplicates"), F.when(by_rule, 0).otherwise(F.col("all") - F.col("kept"))))])
+    return (per_step.select(F.explode(lines).alias("x")).groupBy("x.step")
+            .agg(F.sum("x.n").cast("long").alias("rows")).where(F.col("rows") != 0))
 
 
 def reject_report(raw: DataFrame, dims: Mapping[str, DataFrame], translation: DataFrame, book: CodeBook) -> DataFrame:
-    """D17 for the whole build: ``(step, rows)`` with ``rows_in``, the records
-    each cleaning rule drops, ``duplicates``, the records each decode drops
-    (the first decode that misses), and ``rows_out``. The steps between sum to
-    ``rows_in - rows_out``."""
-    flagged = flag_records(raw, book)
-    unique = unique_records(flagged.where(F.col("reject").isNull()).drop("reject"), book)
-    marked, known = _marked(dims, translation)
-    f = unique
-    for d, c, k in DECODES:
-        f = decode(f, marked[d], c, k, None, "left")
-    f = decode(f, known, "Land", "Land_Dutch", ["has_translation"], "left")
-    step = F.lit(None).cast("string")
-    for d in [*[d for d, _, _ in DECODES], "translation"]:
-        step = F.coalesce(step, F.when(F.col(f"has_{d}").isNull(), f"decode_{d}"))
-    one = F.lit(1).alias("n")
-    counts = [flagged.select(F.lit("rows_in").alias("step"), one),
-              flagged.select(F.coalesce("reject", F.lit("duplicates")).alias("step"), one),
-              f.select(F.coalesce(step, F.lit("rows_out")).alias("step"), one),
-              f.select(F.lit("duplicates").alias("step"), F.lit(-1).alias("n"))]
-    # each part is counted before the union, so only a few rows are shuffled
-    summed = [c.groupBy("step").agg(F.sum("n").alias("n")) for c in counts]
-    return union_all(summed).groupBy("step").agg(F.sum("n").cast("long").alias("rows")).where(F.col("rows") != 0)
+    """D17 for the whole build: the ``reject_counts`` of its one plan."""
+    return reject_counts(flagged_build(raw, dims, translation, book))
 
 
 def decode_coverage(records: DataFrame, dims: Mapping[str, DataFrame], translation: DataFrame) -> DataFrame:
@@ -174,12 +191,12 @@ def decode_coverage(records: DataFrame, dims: Mapping[str, DataFrame], translati
 def build_fact(raw: DataFrame, dims: Mapping[str, DataFrame], translation: DataFrame,
                book: CodeBook) -> DataFrame:
     """M5: raw records (the reference's seven fields) to the fact table."""
-    f = decode_records(unique_records(clean_records(raw, book), book), dims, translation)
-    return f.select(
-        "ID", "Gender", leading_int("Age").alias("Age"), "MaritalStatus", "Country",
-        F.col("Immigratie_1").cast("int").alias("ImmigrationVolume"), "SingleCountry",
-        safe_int("PeriodLabel").alias("Year"),
-    ).select(*FACT_COLS)
+    return decode_records(unique_records(clean_records(raw, book), book), dims, translation).select(*_fact_columns())
+
+
+def _fact_columns() -> list[Column]:
+    made = {"Age": leading_int("Age"), "ImmigrationVolume": F.col("Immigratie_1").cast("int"), "Year": safe_int("PeriodLabel")}
+    return [made.get(c, F.col(c)).alias(c) for c in FACT_COLS]
 
 
 # ------------------------------------------------------------------ dimension
@@ -215,15 +232,23 @@ def conform_yearly(parts: Mapping[str, DataFrame]) -> DataFrame:
 def build_dimension(spark: SparkSession, folder: str,
                     layout_for_year: Callable[[int], str] = reference_layout,
                     renames: Mapping[str, str] | None = None, on_duplicate: str = "fail") -> DataFrame:
-    """M6: every yearly file in ``folder`` to the happiness dimension.
+    """M6: every yearly file in ``folder`` to the happiness dimension
+    (``dimension_of``)."""
+    files = list_inputs_deep(spark, folder)
+    if not files:
+        raise ValueError(f"no input files in {folder}")
+    return dimension_of(spark, files, layout_for_year, renames, on_duplicate)
+
+
+def dimension_of(spark: SparkSession, files: Sequence[str],
+                 layout_for_year: Callable[[int], str] = reference_layout,
+                 renames: Mapping[str, str] | None = None, on_duplicate: str = "fail") -> DataFrame:
+    """The yearly ``files`` as rows of the dimension.
 
     ``renames`` harmonises country names (X7). A country that then has several
     rows in a year is an error, or is resolved by ``on_duplicate``: ``'mean'``
     of the scores, or the ``'first'`` row (D2)."""
-    files = files_by_layout(list_inputs_deep(spark, folder), layout_for_year)
-    if not files:
-        raise ValueError(f"no input files in {folder}")
-    dim = conform_yearly(read_yearly_layouts(spark, files))
+    dim = conform_yearly(read_yearly_layouts(spark, files_by_layout(files, layout_for_year)))
     if renames:
         dim = harmonise_values(dim, "Country", renames)
     return one_per_country(dim, on_duplicate)
@@ -241,4 +266,4 @@ def one_per_country(dim: DataFrame, on_duplicate: str = "fail") -> DataFrame:
 def list_inputs_deep(spark: SparkSession, folder: str) -> list[str]:
     """Data files in ``folder`` and under its ``Year=...`` folders, whatever
     their extension (hidden and marker files skipped)."""
-    return sorted(spark.read.format("binaryFile").load(folder).inputFiles())
+    return list_inputs(spark, folder)

@@ -22,6 +22,7 @@ from __future__ import annotations
 import csv
 import re
 from collections.abc import Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -40,7 +41,7 @@ def list_inputs(spark: SparkSession, path: str) -> list[str]:
     """Files directly under ``path`` (no recursion), sorted. Only the file
     listing reaches the driver."""
     df = spark.read.format("binaryFile").option("recursiveFileLookup", "false").load(path)
-    return sorted(df.inputFiles())
+    return sorted(map(unquote, df.inputFiles()))
 
 
 def with_file_year(df: DataFrame, name: str = "Year") -> DataFrame:
@@ -131,10 +132,26 @@ def read_section_ranges(spark: SparkSession, path: str, ranges: Sequence[tuple[i
     )
 
 
-def csv_header(spark: SparkSession, path: str) -> list[str]:
-    """The column names of one CSV file (its first line)."""
-    first = spark.read.text(path).head()
-    return next(csv.reader([first["value"].lstrip("\ufeff")])) if first else []
+def _plain(path: str) -> str:
+    """A path as Spark reports it and as callers give it, in one spelling."""
+    return re.sub(r"^file:/+", "/", unquote(path))
+
+
+def csv_headers(spark: SparkSession, paths: Sequence[str]) -> dict[tuple[str, ...], list[str]]:
+    """CSV files by their column names (their first lines); one job for all files.
+
+    Only the first split of a file is read, and one line a file leaves a task."""
+    if not paths:
+        return {}
+    first = (spark.read.text(list(paths)).where(F.col("_metadata.file_block_start") == 0)
+             .select(F.col("_metadata.file_path").alias("file"), "value", F.monotonically_increasing_id().alias("at"))
+             .groupBy("file").agg(F.min_by("value", "at").alias("line")))
+    lines = {_plain(r["file"]): r["line"] for r in first.collect()}  # one row a file
+    out: dict[tuple[str, ...], list[str]] = {}
+    for p in paths:
+        line = lines.get(_plain(p), "")  # an empty file has none
+        out.setdefault(tuple(next(csv.reader([line.lstrip("\ufeff")]), ())), []).append(p)
+    return out
 
 
 def read_csv_by_name(spark: SparkSession, paths: str | Sequence[str], columns: StructType,
@@ -144,14 +161,12 @@ def read_csv_by_name(spark: SparkSession, paths: str | Sequence[str], columns: S
     Files may hold them in any order and hold further columns. Files with one
     header are read together. A file that lacks a column, and a text that does
     not fit its column's type, are errors; ``null_value`` and empty fields are
-    NULL."""
-    by_header: dict[tuple[str, ...], list[str]] = {}
-    for p in _paths(paths):
-        header = csv_header(spark, p)
+    NULL. Quoted cells may hold line ends; a file is one task, as yearly files are small."""
+    by_header = csv_headers(spark, _paths(paths))
+    for header, files in by_header.items():
         missing = [c for c in columns.fieldNames() if c not in header]
         if missing:
-            raise ValueError(f"{p} lacks the columns {missing}")
-        by_header.setdefault(tuple(header), []).append(p)
+            raise ValueError(f"{files[0]} lacks the columns {missing}")
 
     def typed(field: StructField) -> Column:
         text = strip_ws(f"`{field.name}`")
@@ -166,7 +181,7 @@ def read_csv_by_name(spark: SparkSession, paths: str | Sequence[str], columns: S
         # positions only carry the file's own header; a repeated name is read at its first place
         names = [h if header.index(h) == i else f"_{i}" for i, h in enumerate(header)]
         schema = StructType([StructField(n, StringType()) for n in names])
-        raw = spark.read.schema(schema).option("header", True).option("mode", "FAILFAST").csv(files)
+        raw = spark.read.schema(schema).options(header=True, mode="FAILFAST", multiLine=True, escape='"').csv(files)
         parts.append(with_file_year(raw).select(*[typed(f) for f in columns.fields], "Year"))
     out = parts[0]
     for p in parts[1:]:

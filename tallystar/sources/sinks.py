@@ -14,6 +14,8 @@ size: a year that holds a third of all rows is still written by many tasks.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -27,8 +29,11 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.options(**CSV_EXACT, emptyValue='""').mode(mode).csv(path)
 
 
-def write_by_year(df: DataFrame, path: str, year_col: str = "Year", refresh: bool = False) -> None:
-    writer = (df.hint("rebalance", F.col(year_col)).write.partitionBy(year_col).mode("overwrite")
+def write_by_year(df: DataFrame, path: str, year_col: str = "Year", refresh: bool = False,
+                  above: Sequence[str] = ()) -> None:
+    """``above``: columns whose folders come before those of the year."""
+    cols = [*above, year_col]
+    writer = (df.hint("rebalance", *[F.col(c) for c in cols]).write.partitionBy(*cols).mode("overwrite")
               .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE))
     if refresh:
         writer = writer.option("partitionOverwriteMode", "dynamic")

@@ -9,8 +9,8 @@ neither skips nor repeats a file. Each micro-batch:
    ``maxFilesPerTrigger``),
 2. re-reads *all* landed files of the years those files belong to, so a year
    whose files arrive in several batches is still written whole,
-3. conforms the header layouts and writes with dynamic partition overwrite,
-   replacing exactly those years.
+3. builds the dimension's rows (renames, one row per country and year) and
+   writes with dynamic partition overwrite, replacing exactly those years.
 
 Re-running a batch writes the same years with the same rows, so the sink is
 idempotent. There is no state beyond the file log.
@@ -18,14 +18,14 @@ idempotent. There is no state beyond the file log.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tallystar.plans.model import reference_layout
-from tallystar.plans.star_build import _path_year, conform_yearly, files_by_layout, list_inputs_deep, read_yearly_layouts
+from tallystar.plans.star_build import _path_year, dimension_of, list_inputs_deep
 from tallystar.sources.sinks import write_by_year
 
 # The columns of Spark's binary file source.
@@ -33,19 +33,21 @@ FILE_SCHEMA = "path string, modificationTime timestamp, length long, content bin
 
 
 def refresh_years(spark: SparkSession, landing_dir: str, out_path: str, new_files: list[str],
-                  layout_for_year: Callable[[int], str] = reference_layout) -> None:
-    """Rewrite the years of ``new_files`` from every landed file of those years."""
+                  layout_for_year: Callable[[int], str] = reference_layout,
+                  renames: Mapping[str, str] | None = None, on_duplicate: str = "fail") -> None:
+    """Rewrite the years of ``new_files`` from every landed file of those years,
+    by the rules of ``build_dimension``."""
     years = {_path_year(f) for f in new_files}
     files = [f for f in list_inputs_deep(spark, landing_dir) if _path_year(f) in years]
     if not files:
         return
-    dim = conform_yearly(read_yearly_layouts(spark, files_by_layout(files, layout_for_year)))
-    write_by_year(dim, out_path, refresh=True)
+    write_by_year(dimension_of(spark, files, layout_for_year, renames, on_duplicate), out_path, refresh=True)
 
 
 def start_refresh(spark: SparkSession, landing_dir: str, out_path: str, checkpoint: str,
                   layout_for_year: Callable[[int], str] = reference_layout,
-                  max_files_per_trigger: int = 100, once: bool = True) -> StreamingQuery:
+                  max_files_per_trigger: int = 100, once: bool = True,
+                  renames: Mapping[str, str] | None = None, on_duplicate: str = "fail") -> StreamingQuery:
     """Start the refresh stream. ``once=True`` processes what has landed and
     stops (``availableNow``), the mode for a yearly schedule."""
     # only the listing is read: the content column is pruned
@@ -57,7 +59,7 @@ def start_refresh(spark: SparkSession, landing_dir: str, out_path: str, checkpoi
     def batch(df: DataFrame, epoch_id: int) -> None:
         new_files = sorted(r["file_path"] for r in df.select("file_path").distinct().collect())
         if new_files:
-            refresh_years(df.sparkSession, landing_dir, out_path, new_files, layout_for_year)
+            refresh_years(df.sparkSession, landing_dir, out_path, new_files, layout_for_year, renames, on_duplicate)
 
     writer = stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if once else writer.trigger(processingTime="1 hour")
