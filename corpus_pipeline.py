@@ -40,8 +40,9 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of every document and their places in the packed sequences."""
-    return packing.pack(docs, tokenizer())
+    """The pieces of every document with their token ids and their places in the packed
+    sequences (``packing.sequences`` puts them together)."""
+    return packing.pack(docs, tokenizer(), with_ids=True)
 
 
 STAGES = [

@@ -5,16 +5,19 @@ Documents are tokenized, ended by ``eos`` and cut into pieces of at most
 (at most ``capacity`` numbers, whatever the corpus):
 
 1. Configuration LP: fewest sequences whose contents cover every length's
-   count. Solved by multiplicative weights: each step prices the lengths, finds
-   the best-priced configuration by knapsack dynamic programming, adds it, and
-   lowers the prices of lengths ahead of the others.
-2. Rounding: amounts are rounded down (and to what the counts allow); what is
-   left is packed best-fit decreasing on the histogram.
+   count. Solved by multiplicative weights: lengths have prices; knapsack
+   dynamic programming finds the best-priced configuration of what is left,
+   again and again until every count is covered; lengths that were packed with
+   waste get dearer by a factor, and the next round begins.
+2. Rounding: a round takes each configuration a whole number of times, as
+   often as the counts allow, so every round is a rounded solution; the one with
+   the fewest sequences is the plan. Prices also give a lower bound (LP
+   duality), and a plan that meets it ends the rounds.
 
 Pieces then take the plan's slots: each piece is ranked among those of its
 length by a two-level count (hash bucket, then row number inside it), so no
 task holds all pieces of one length, and looks its slot up in the broadcast
-plan (bounded by capacity and steps).
+plan (at most ``capacity`` configurations).
 
 Defined cases: a null or empty text is the piece [eos]. Longer documents are
 cut into ``capacity`` pieces; a shorter one comes first. Repeated rows are
@@ -23,6 +26,7 @@ packed each. Extra columns are not read. An empty table gives an empty result.
 
 from __future__ import annotations
 
+import math
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -37,9 +41,9 @@ from .common import stored
 
 CAPACITY = 1024
 EOS = 2
-STEPS = 300                # multiplicative-weight steps
-STEP = 0.25                # largest share of a length's count covered by one step
-RATE = 2.0                 # how fast the price of a covered length falls
+STEPS = 3                  # multiplicative-weight rounds after the first ones, unless the bound is met before
+RATE = 1.0                 # how fast the price of a length packed with waste rises
+LEANS = (0.6, 1.0, 0.3, 3.0)  # how much more than in proportion long pieces are worth in the first rounds
 
 
 def pieces(docs: DataFrame, tokenizer_path: str, *, capacity: int = CAPACITY, eos: int = EOS,
@@ -73,51 +77,82 @@ def pieces(docs: DataFrame, tokenizer_path: str, *, capacity: int = CAPACITY, eo
         run, f"doc_id {kind}, piece int, start long, length long, ids_crc32 long" + ", ids binary" * with_ids)
 
 
-def _best_configuration(lengths: np.ndarray, price: np.ndarray, capacity: int) -> np.ndarray:
-    """Unbounded knapsack: how often each length is taken in the best-priced sequence."""
-    usable = np.searchsorted(lengths, np.arange(capacity + 1), side="right")
+def best_configuration(lengths: np.ndarray, price: np.ndarray, most: np.ndarray, capacity: int) -> tuple[np.ndarray, float]:
+    """Knapsack by dynamic programming: how often each length is taken in the best-priced
+    sequence, at most ``most`` times, and its value.
+
+    A length that may be taken m times becomes the bundles of 1, 2, 4, ... that
+    add up to m; each bundle is taken or not, for every room at once."""
+    most = np.minimum(most, capacity // lengths)
+    bundles: list[tuple[int, int]] = []
+    for i in np.flatnonzero(most > 0).tolist():
+        m, k = int(most[i]), 1
+        while m > 0:
+            bundles.append((i, min(k, m)))
+            m -= k
+            k *= 2
     best = np.zeros(capacity + 1)
-    took = np.full(capacity + 1, -1, dtype=np.int64)
-    for room in range(int(lengths[0]), capacity + 1):
-        k = usable[room]
-        value = best[room - lengths[:k]] + price[:k]
-        i = int(value.argmax())
-        if value[i] > best[room - 1]:
-            best[room], took[room] = value[i], i
-        else:
-            best[room] = best[room - 1]
-    counts = np.zeros(len(lengths), dtype=np.int64)
-    room = capacity
-    while room > 0:
-        i = took[room]
-        if i < 0:
-            room -= 1
-        else:
-            counts[i] += 1
-            room -= int(lengths[i])
-    return counts
-
-
-def solve_lp(lengths: np.ndarray, demand: np.ndarray, capacity: int, steps: int = STEPS) -> list[tuple[np.ndarray, float]]:
-    """Approximate fractional cover: (configuration, amount) pairs."""
-    covered = np.zeros(len(lengths))
-    chosen: dict[bytes, list] = {}
-    size = lengths / capacity
-    for _ in range(steps):
-        open_ = covered < 1
-        if not open_.any():
-            break
-        # weights start at the volume prices; lengths that are ahead get cheap, covered ones are worth nothing
-        price = np.where(open_, size * np.exp(-RATE * (covered - covered[open_].min())), 0.0)
-        counts = _best_configuration(lengths, price, capacity)
+    taken = np.zeros((len(bundles), capacity + 1), dtype=bool)
+    sizes = [int(lengths[i]) * k for i, k in bundles]
+    for row, (i, k), size in zip(taken, bundles, sizes):
+        value = best[:capacity + 1 - size] + price[i] * k
+        np.greater(value, best[size:], out=row[size:])
+        np.maximum(value, best[size:], out=best[size:])
+    counts, room = np.zeros(len(lengths), dtype=np.int64), capacity
+    for k in range(len(bundles) - 1, -1, -1):
+        if taken[k, room]:
+            counts[bundles[k][0]] += bundles[k][1]
+            room -= sizes[k]
+    return counts, float(best[capacity])
+
+
+def lp_bound(lengths: np.ndarray, demand: np.ndarray, price: np.ndarray, capacity: int) -> float:
+    """A lower bound of the configuration LP: prices under which no sequence is worth more than 1."""
+    _, worth = best_configuration(lengths, price, np.full(len(lengths), capacity), capacity)
+    return float(demand @ price) / worth
+
+
+def cover(lengths: np.ndarray, demand: np.ndarray, price: np.ndarray, capacity: int) -> list[tuple[np.ndarray, int]]:
+    """Whole amounts of configurations that cover ``demand`` exactly: again and again the
+    best-priced one of what is left, as often as that allows. Each uses up a length at least."""
+    out, left = [], demand.copy()
+    while left.any():
+        counts, _ = best_configuration(lengths, price, left, capacity)
         used = np.flatnonzero(counts)
-        if not len(used):
+        times = int((left[used] // counts[used]).min())
+        left[used] -= times * counts[used]
+        out.append((counts, times))
+    return out
+
+
+def solve(lengths: np.ndarray, demand: np.ndarray, capacity: int, steps: int = STEPS) -> tuple[list[tuple[np.ndarray, int]], float]:
+    """The configurations and their amounts, and the best lower bound found.
+
+    Every round covers all counts under the round's prices, so the mean of the
+    rounds is a solution of the LP, and each of them a rounded one; the best is
+    kept. Between rounds the price of a length is multiplied by exp(RATE x the
+    mean empty share of the sequences that hold it): what was packed with waste
+    is packed earlier. Prices begin above proportion to length, by several powers
+    (``LEANS``), so that long pieces go first; ``steps`` more follow from the best. Ends when the bound is met."""
+    size = lengths / capacity
+    bound = max(lp_bound(lengths, demand, p, capacity) for p in (size, (size > 1 / 2) + 0.0, (size > 1 / 2) + (size > 1 / 3) + 0.0) if p.any())
+    best: tuple[int, list, np.ndarray] | None = None
+    for k in range(len(LEANS) + steps):
+        price = size ** (1 + LEANS[k]) if k < len(LEANS) else best[2]
+        made = cover(lengths, demand, price, capacity)
+        waste = np.zeros(len(lengths))
+        for counts, times in made:
+            waste += counts * (times * (1 - float(counts @ lengths) / capacity))
+        dearer = price * np.exp(RATE * waste / demand)
+        total = sum(t for _, t in made)
+        if best is None or total < best[0]:
+            best = total, made, dearer
+        elif k >= len(LEANS):
+            best = *best[:2], dearer
+        bound = max(bound, lp_bound(lengths, demand, price, capacity))
+        if best[0] <= math.ceil(bound - 1e-6):
             break
-        amount = STEP * float((demand[used] / counts[used]).min())
-        covered[used] += amount * counts[used] / demand[used]
-        entry = chosen.setdefault(counts.tobytes(), [counts, 0.0])
-        entry[1] += amount
-    return [(c, x) for c, x in chosen.values()]
+    return best[1], bound
 
 
 def plan(histogram: dict[int, int], capacity: int = CAPACITY, steps: int = STEPS) -> list[tuple[list[tuple[int, int]], int]]:
@@ -129,35 +164,24 @@ def plan(histogram: dict[int, int], capacity: int = CAPACITY, steps: int = STEPS
     if not left:
         return out
     lengths = np.array(sorted(left), dtype=np.int64)
-    remain = np.array([left[int(n)] for n in lengths], dtype=np.int64)
-    columns = solve_lp(lengths, remain.copy(), capacity, steps)
-    # fullest first, then most used
-    columns.sort(key=lambda c: (-int(c[0] @ lengths), -c[1]))
-    for counts, amount in columns:
-        if int(counts @ lengths) < capacity:  # only sequences without waste; the rest packs better below
-            break
-        used = np.flatnonzero(counts)
-        times = min(int(amount + 1e-9), int((remain[used] // counts[used]).min()))
-        if times > 0:
-            remain[used] -= times * counts[used]
-            out.append(([(int(lengths[i]), int(counts[i])) for i in used[::-1]], times))
-    while remain.any():  # best-fit decreasing on counts; each pattern uses up some length
-        room, pattern = capacity, {}
-        while True:
-            fits = np.flatnonzero((remain > 0) & (lengths <= room))
-            fits = [i for i in fits[::-1] if remain[i] > pattern.get(i, 0)]
-            if not fits:
-                break
-            i = int(fits[0])
-            pattern[i] = pattern.get(i, 0) + 1
-            room -= int(lengths[i])
-        times = int(min(remain[i] // c for i, c in pattern.items()))
-        for i, c in pattern.items():
-            remain[i] -= times * c
-        out.append(([(int(lengths[i]), c) for i, c in sorted(pattern.items(), reverse=True)], times))
+    made, _ = solve(lengths, np.array([left[int(n)] for n in lengths], dtype=np.int64), capacity, steps)
+    for counts, times in made:
+        out.append(([(int(lengths[i]), int(counts[i])) for i in np.flatnonzero(counts)[::-1]], times))
     return out
 
 
+def summary(histogram: dict[int, int], capacity: int = CAPACITY) -> dict[str, float]:
+    """How good the plan is: its sequences, those made by the program (all but pieces that
+    are full by themselves), and the lower bound."""
+    made = plan(histogram, capacity)
+    left = {n: c for n, c in histogram.items() if c > 0 and n < capacity}
+    lengths = np.array(sorted(left), dtype=np.int64)
+    bound = solve(lengths, np.array([left[int(n)] for n in lengths], dtype=np.int64), capacity)[1] if left else 0.0
+    alone = histogram.get(capacity, 0)
+    total = sum(t for _, t in made)
+    return {"sequences": total, "from_program": total - alone, "bound": bound + alone}
+
+
 @dataclass
 class Slots:
     """For each length: first rank, first sequence, how many in one sequence, offset there."""
@@ -219,3 +243,11 @@ def pack(docs: DataFrame, tokenizer_path: str, *, capacity: int = CAPACITY, eos:
 
     schema = cut.schema.add("sequence_id", "long").add("offset", "long")
     return ranked.select(*names, "_rank").mapInArrow(run, schema)
+
+
+def sequences(packed: DataFrame) -> DataFrame:
+    """sequence_id, length and ids (little-endian unsigned 32-bit) of each sequence of a
+    ``pack(..., with_ids=True)``; a sequence's pieces, at most ``capacity``, meet in one group."""
+    parts = F.array_sort(F.collect_list(F.struct("offset", "ids")))
+    return packed.groupBy("sequence_id").agg(F.sum("length").alias("length"), parts.alias("p")).select(
+        "sequence_id", "length", F.aggregate("p", F.lit(b""), lambda all_, x: F.concat(all_, x["ids"])).alias("ids"))
