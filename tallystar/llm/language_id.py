@@ -142,17 +142,25 @@ def fit(windows: np.ndarray, target: np.ndarray, langs: list[str], *, epochs: in
     return ByteCnn(langs, **p)
 
 
-def train(docs: DataFrame, *, learn_from: Column | None = None, per_lang: int = 400, windows: int = 4) -> ByteCnn | None:
-    """Fit on a bounded, reproducible sample of the labelled rows; None without any."""
+def train(docs: DataFrame, *, learn_from: Column | None = None, per_lang: int = 400, windows: int = 4,
+          max_langs: int = 200) -> ByteCnn | None:
+    """Fit on a bounded, reproducible sample of the labelled rows; None without any.
+
+    The sample has at most ``per_lang`` texts of each of the ``max_langs`` most
+    frequent languages, and ``windows`` evenly spaced windows of a text."""
     rows = docs.where("lang IS NOT NULL AND text IS NOT NULL")
     if learn_from is not None:
         rows = rows.where(learn_from)
     key = sample_order("doc_id")
     order = Window.partitionBy("lang").orderBy(key, "doc_id")
-    # the hash below which about 4 per_lang rows of a language fall keeps each window small; one row a language
-    share = rows.groupBy("lang").agg(F.least(F.lit(4.0 * per_lang) / F.count("*"), F.lit(1.0)).alias("share"))
-    near = (rows.select("doc_id", "lang").join(share, "lang")
-            .where(key.cast("double") <= F.lit(-2.0 ** 63) + F.lit(2.0 ** 64) * F.col("share")))
+    # the hash below which about 4 per_lang rows of a language fall, as a constant per
+    # language: each task drops the others before any row is sent to its language's window
+    sizes = rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(max_langs).collect()
+    if not sizes:
+        return None
+    least = F.create_map(*[F.lit(x) for r in sizes for x in (
+        r["lang"], -2.0 ** 63 + 2.0 ** 64 * min(1.0, 4.0 * per_lang / r["n"]))])
+    near = rows.select("doc_id", "lang").where(key.cast("double") <= F.try_element_at(least, "lang"))
     ids = (near.withColumn("r", F.row_number().over(order)).where(F.col("r") <= per_lang)
            .select("doc_id", "lang").distinct())
 

@@ -11,11 +11,17 @@ The frequent runs are found over all texts: each task keeps a bounded counter
 runs as one row; those summaries are merged in a tree of ``FAN`` branches. The
 table only saves time: counts do not depend on it.
 
+What is kept is bounded in bytes, too: runs longer than ``LONGEST`` characters
+(sentences of scripts without spaces, data in one piece) are neither counted
+nor remembered but encoded where they stand, and a summary or table ends at
+``TABLE_BYTES`` of text. So a merge holds at most ``FAN * TABLE_BYTES``, and
+counters and caches at most ``LONGEST`` characters an entry.
+
 Defined cases: a null or empty text has 0 bytes and 0 tokens. Texts with white
 space that does not split this way are encoded whole; special strings in a text
 count as the vocabulary's library counts them. A sentencepiece ``.model`` or a
 vocabulary that is not byte-level BPE is counted by its library on whole texts.
-Repeated rows are counted each; extra columns are not read.
+Repeated rows are counted each; extra columns are not read; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -39,6 +45,8 @@ TOP = 32_768               # runs in a summary and in the table
 COUNTER = 200_000          # entries a task counts at a time
 CACHE = 200_000            # runs a worker remembers
 FAN = 32
+LONGEST = 64               # characters of a run that is counted or remembered
+TABLE_BYTES = 1 << 20      # bytes of the runs in a summary or the table
 _SUMMARY = "task long, runs string, counts binary"
 
 
@@ -50,6 +58,16 @@ def _most(counts: Counter, k: int) -> list[tuple[str, int]]:
     return sorted(counts.items(), key=lambda x: (-x[1], x[0]))[:k]
 
 
+def _table(counts: Counter, k: int) -> list[tuple[str, int]]:
+    """The ``k`` most frequent, or as many as ``TABLE_BYTES`` hold."""
+    most, held = _most(counts, k), 0
+    for n, (run, _) in enumerate(most):
+        held += len(run.encode("utf-8", "surrogatepass")) + 1
+        if held > TABLE_BYTES:
+            return most[:n]
+    return most
+
+
 def _read(runs: str, sizes: bytes) -> dict[str, int]:
     return dict(zip(runs.split(" "), np.frombuffer(sizes, dtype="<i8").tolist())) if sizes else {}
 
@@ -65,10 +83,10 @@ def frequent_runs(docs: DataFrame, *, top: int = TOP) -> list[str]:
         counts: Counter = Counter()
         for batch in batches:
             for text in batch.column("text"):
-                counts.update((text.as_py() or "").split(" ")[1:])
+                counts.update([w for w in (text.as_py() or "").split(" ")[1:] if len(w) <= LONGEST])
                 if len(counts) > COUNTER:
                     counts = Counter(dict(_most(counts, COUNTER // 2)))
-        runs, sizes = _packed(_most(Counter({w: n for w, n in counts.items() if splits(w)}), top))
+        runs, sizes = _packed(_table(Counter({w: n for w, n in counts.items() if splits(w)}), top))
         context = TaskContext.get()
         yield pa.RecordBatch.from_arrays(
             [pa.array([context.partitionId() if context else 0], pa.int64()), pa.array([runs], pa.string()),
@@ -78,7 +96,7 @@ def frequent_runs(docs: DataFrame, *, top: int = TOP) -> list[str]:
         counts: Counter = Counter()  # of at most FAN summaries of ``top`` runs
         for runs, sizes in zip(summaries["runs"], summaries["counts"]):
             counts.update(_read(runs, sizes))
-        runs, sizes = _packed(_most(counts, top))
+        runs, sizes = _packed(_table(counts, top))
         return pd.DataFrame({"task": [int(key[0])], "runs": [runs], "counts": [sizes]})
 
     level = stored(docs.select("text").mapInArrow(summarize, _SUMMARY), "runs")
@@ -90,7 +108,7 @@ def frequent_runs(docs: DataFrame, *, top: int = TOP) -> list[str]:
     total: Counter = Counter()
     for r in level.collect():  # one row of at most ``top`` runs (none for an empty table)
         total.update(_read(r["runs"], r["counts"]))
-    return [w for w, _ in _most(total, top)]
+    return [w for w, _ in _table(total, top)]
 
 
 class Counts:
@@ -117,6 +135,9 @@ class Counts:
                     if n is None:
                         if not splits(run):
                             return self.encode.count(text)
+                        if len(run) > LONGEST:
+                            found[k] = self.encode.count(" " + run)
+                            continue
                         if len(self.cache) >= CACHE:
                             self.cache.clear()
                         n = self.cache[run] = self.encode.count(" " + run)

@@ -66,3 +66,13 @@ def test_forward_matches_plain_convolution():
             w = net.conv[:width * li.DIM, k * li.FILTERS + f]
             best = max(float(x[p:p + width].ravel() @ w) for p in range(li.WINDOW - li._SPAN + 1))
             assert abs(max(best + net.conv_b[k * li.FILTERS + f], 0) - hidden[0, k * li.FILTERS + f]) < 1e-3
+
+
+def test_a_hot_language_and_the_bound_on_languages(docs):
+    rows = [(i, t, lang, "s", 1) for i, t, lang in corpus(90)]
+    rows += [(1000 + i, f"thing with and the {i} ought", "en", "s", 1) for i in range(1500)]
+    net = li.train(docs(rows), per_lang=20)
+    assert net.langs == ["de", "en", "fr"]
+    assert li.train(docs(rows), per_lang=20, max_langs=1).langs == ["en"]
+    got = {r["doc_id"]: r["lang_pred"] for r in li.predict(docs(rows), net).collect()}
+    assert sum(got[r[0]] == r[2] for r in rows) / len(rows) > 0.95

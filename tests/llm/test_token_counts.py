@@ -44,3 +44,28 @@ def test_edges_and_other_vocabularies(docs):
     word = public_tokenizers.path("word_bpe_49k.json")
     want = len(Tokenizer.from_file(word).encode("Hello there world", add_special_tokens=False).ids)
     assert tc.count_tokens(d, word).first()["n_tokens"] == want
+
+
+def test_long_runs_are_neither_counted_nor_remembered(docs, monkeypatch):
+    rng = random.Random(6)
+    long = ["".join(rng.choice("字語文道理水") for _ in range(500)) for _ in range(30)]
+    rows = [(i, f"start {long[i % 30]} the end {long[(i + 1) % 30]} the x" + "y" * 70) for i in range(90)] + [(200, long[0]), (201, " " + long[1])]
+    runs = tc.frequent_runs(docs(rows).repartition(4))
+    assert {"the", "end"} == set(runs)
+    lib = Tokenizer.from_file(PATH)
+    got = {r["doc_id"]: r["n_tokens"] for r in tc.count_tokens(docs(rows), PATH).collect()}
+    assert got == {i: len(lib.encode(t, add_special_tokens=False).ids) for i, t in rows}
+    counts = tc.Counts(tc.encoder(tc.read_vocabulary(PATH)), "", b"")
+    for _, t in rows:
+        counts.of(t)
+    assert set(counts.cache) == {"the", "end"}
+
+
+def test_tables_end_at_their_bytes(docs, monkeypatch):
+    monkeypatch.setattr(tc, "TABLE_BYTES", 100)
+    rows = [(i, " ".join(["x", *(f"wörd{k}" for k in range(i % 40))])) for i in range(200)]
+    runs = tc.frequent_runs(docs(rows).repartition(6))
+    assert 0 < sum(len(r.encode()) + 1 for r in runs) <= 100 and runs[0] == "wörd0"
+    lib = Tokenizer.from_file(PATH)
+    got = {r["doc_id"]: r["n_tokens"] for r in tc.count_tokens(docs(rows), PATH).collect()}
+    assert got == {i: len(lib.encode(t, add_special_tokens=False).ids) for i, t in rows}
