@@ -11,6 +11,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType, _parse_datatype_string
 
 from tallystar.session import fresh_path
+from tallystar.shipping import ship_package
 
 HELD_OUT_FOLDS = 5
 SLICE = 256                # rows turned into Python values at a time
@@ -31,6 +32,12 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def shipped(df: DataFrame) -> DataFrame:
+    """``df``, whose session's workers can import this package."""
+    ship_package(df.sparkSession)
+    return df
+
+
 def held_out(doc_id: Column) -> Column:
     """True for the evaluation fold: crc32 of the id's text modulo 5 is 0."""
     return F.coalesce(F.crc32(doc_id.cast("string")) % HELD_OUT_FOLDS == 0, F.lit(False))
@@ -71,7 +78,7 @@ def _appended(df: DataFrame, dropped: str | None, texts: Callable[[pa.RecordBatc
                 yield pa.RecordBatch.from_arrays(
                     [part.column(f.name) for f in kept] + made, names=[f.name for f in kept] + arrow.names)
 
-    return df.mapInArrow(run, StructType(kept + list(added.fields)))
+    return shipped(df).mapInArrow(run, StructType(kept + list(added.fields)))
 
 
 def per_text(df: DataFrame, fn: Callable[[str | None], tuple], schema: str, text: str = "text") -> DataFrame:

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import held_out, sample_order
+from .common import held_out, sample_order, shipped
 
 WINDOW = 256
 WIDTHS = (2, 3, 4)
@@ -177,7 +177,7 @@ def train(docs: DataFrame, *, learn_from: Column | None = None, per_lang: int =
                                              names=["lang", "bytes"])
 
     # at most per_lang ids a language reach the broadcast
-    got = (rows.join(F.broadcast(ids), ["doc_id", "lang"]).select("lang", "text")
+    got = (shipped(rows).join(F.broadcast(ids), ["doc_id", "lang"]).select("lang", "text")
            .mapInArrow(cut, "lang string, bytes binary").orderBy("lang", "bytes").toArrow())
     if not got.num_rows:
         return None
@@ -228,7 +228,7 @@ def predict(docs: DataFrame, net: ByteCnn | None) -> DataFrame:
                     names=["doc_id", "held_out", "lang_pred", "score"])
 
     kind = dict(docs.dtypes)["doc_id"]
-    return (docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "text")
+    return (shipped(docs).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "text")
             .mapInArrow(run, f"doc_id {kind}, held_out boolean, lang_pred string, score double"))
 
 

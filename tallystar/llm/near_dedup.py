@@ -41,7 +41,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_row, stored, with_ids
+from .common import as_row, shipped, stored, with_ids
 
 WORDS = 4
 SHARE = 80                 # 100 * intersection >= SHARE * union
@@ -157,7 +157,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
                      pa.array(bands, pa.list_(pa.int64())), pa.array(sig, pa.binary())],
                     names=["doc_id", "n_shingles", "key", "bands", "sig"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
+    return shipped(docs).select(F.col("doc_id").cast("long"), "text").mapInArrow(
         run, "doc_id long, n_shingles long, key binary, bands array<long>, sig binary")
 
 

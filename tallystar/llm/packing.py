@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .bpe import encoder, read_vocabulary
-from .common import stored
+from .common import shipped, stored
 
 CAPACITY = 1024
 EOS = 2
@@ -73,7 +73,7 @@ def pieces(docs: DataFrame, tokenizer_path: str, *, capacity: int = CAPACITY, eo
                         *(pa.array(x, pa.int64()) for x in (start, length, crc))]
                 yield pa.RecordBatch.from_arrays(cols + [pa.array(held, pa.binary())] * with_ids, names=names)
 
-    return docs.select("doc_id", "text").mapInArrow(
+    return shipped(docs).select("doc_id", "text").mapInArrow(
         run, f"doc_id {kind}, piece int, start long, length long, ids_crc32 long" + ", ids binary" * with_ids)
 
 

@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType, _parse_datatype_string
 
-from .common import as_row
+from .common import as_row, shipped
 
 WORD = re.compile("[^\x20\x09-\x0D]+")
 LEAST = 12                  # words of the shortest run
@@ -291,7 +291,7 @@ def detect(df: DataFrame, text: str = "text") -> DataFrame:
                           for k, c in enumerate(cols)]
                 yield pa.RecordBatch.from_arrays([batch.column("row").slice(lo, hi - lo), *arrays], names=["row", *made.names])
 
-    return rows.mapInArrow(run, StructType(list(rows.schema.fields) + list(made.fields)))
+    return shipped(rows).mapInArrow(run, StructType(list(rows.schema.fields) + list(made.fields)))
 
 
 # ------------------------------------------------------------- of the contract

@@ -42,10 +42,13 @@ ASSIGN_LEAST, ACCESS_LEAST = 6, 20
 _ASSIGN_HINTS = ("passw", "secret", "token", "api")
 
 _CONTEXT = re.compile(
-    r"""(?<![a-z0-9])(?:pass(?:word|wd|phrase|code)?|pwd|secret|token|(?:api|access|auth|private|client)[ _-]?(?:key|token|secret)"""
-    r"""|credentials?|auth|bearer)["']?[\x20\t]*(?::=|=>|[:=]|\x20is\x20)[\x20\t]*(?:bearer\x20+)?"""
+    r"""(?<![a-z0-9])(?:pass(?:word|wd|phrase|code|wort)?|pwd|kennwort|geheimnis|mot[ _-]de[ _-]passe|mdp|contrase(?:[nñÑ]|ny)a|clave"""
+    r"""|cl(?:e|é|É)(?:[ _-](?:api|secr[eèÈ]te|priv(?:e|é|É)e))?|schl(?:ü|Ü|ue)ssel|secret|token"""
+    r"""|(?:api|access|auth|private|client|encryption|signing|session|master|storage|account|service|admin|root|db|database|user)"""
+    r"""[ _-]?(?:key|token|secret|password|passwd|pwd)|credentials?|auth|bearer)["']?[\x20\t]*(?::=|=>|[:=]|\x20is\x20)[\x20\t]*(?:bearer\x20+)?"""
     r"""(?:"([^"\n]{6,})"|'([^'\n]{6,})'|([^\s"'<>|]{6,}))""", re.I | re.A)
-_CONTEXT_HINTS = ("pass", "pwd", "secret", "token", "key", "credential", "auth", "bearer")
+_CONTEXT_HINTS = ("pass", "pwd", "secret", "token", "key", "credential", "auth", "bearer", "kennwort", "geheimnis", "mdp",
+                  "contrase", "clave", "cle", "clé", "schl")
 
 # fixed values: common words of passwords, most frequent first, and keyboard rows
 COMMON = (
@@ -66,8 +69,7 @@ _LONGEST = max(map(len, COMMON))
 _LEET = str.maketrans("0134578@$!", "oieastbasi")
 _PLACE = {c: (y, x) for y, row in enumerate(_ROWS) for x, c in enumerate(row)}
 _DATE = re.compile(r"(?:(?:19|20)\d\d(?:[-/._]?(?:0[1-9]|1[0-2])(?:[-/._]?(?:0[1-9]|[12]\d|3[01]))?)?"
-                   r"|(?:0?[1-9]|[12]\d|3[01])[-/._]?(?:0?[1-9]|1[0-2])[-/._]?(?:19|20)\d\d)(?!\d)")
-_REPEAT = re.compile(r"(.{1,8}?)\1+", re.S)
+                   r"|(?:0?[1-9]|[12]\d|3[01])[-/._]?(?:0?[1-9]|1[0-2])[-/._]?(?:19|20)\d\d)")
 _WORDLIKE = re.compile(r"[^\W\d_]+")
 # fixed values: -2 log10 of the chance of a letter after another, from word lists in English, German, French and
 # Spanish; rows: the start of a word, then a to z; columns: a to z, then its end
@@ -83,6 +85,8 @@ _PAIRS = (
 _LETTERS = "abcdefghijklmnopqrstuvwxyz "
 _PAIR_COST = {a + b: int(d) / 2 for a, row in zip(" " + _LETTERS, _PAIRS) for b, d in zip(_LETTERS, row)}
 _PLAIN_LETTERS = str.maketrans({"æ": "ae", "œ": "oe", "ø": "o"})
+_LONGEST_UNIT, _LONGEST_DATE = 8, 10
+INFINITE = float("inf")
 _JOIN = log10(2)           # each further piece doubles the guesses
 
 
@@ -104,65 +108,98 @@ def word_like(run: str) -> bool:
     return None not in pairs and sum(pairs) <= len(plain) * log10(26)
 
 
-def _walks(value: str) -> dict[int, int]:
-    """Start -> end of maximal runs of three or more neighbouring keys."""
-    out, at = {}, 0
-    while at < len(value):
-        end = at
-        while end + 1 < len(value):
-            a, b = _PLACE.get(value[end]), _PLACE.get(value[end + 1])
-            if not a or not b or abs(a[0] - b[0]) > 1 or abs(a[1] - b[1]) > 1 or a == b:
-                break
-            end += 1
-        if end - at >= 2:
-            out[at] = end + 1
-        at = max(end, at + 1)
-    return out
+def _neighbours(a: str, b: str) -> bool:
+    """Whether two keys touch on the keyboard."""
+    p, q = _PLACE.get(a), _PLACE.get(b)
+    return bool(p and q and p != q) and abs(p[0] - q[0]) <= 1 and abs(p[1] - q[1]) <= 1
+
+
+def _word_cost(part: str, low: str, plain: str) -> float:
+    """A common word, by rank; letters written as digits or signs, and capitals, cost extra."""
+    rank, extra = _RANK.get(low), 0.0
+    if rank is None:
+        rank, extra = _RANK.get(plain), _JOIN
+    if rank is None:
+        return INFINITE
+    upper = sum(c.isupper() for c in part)
+    return log10(rank) + extra + (_JOIN * min(upper, len(part) - upper + 1) if upper else 0.0)
+
+
+def _unknown_cost(part: str) -> float:
+    """A run of letters in one case as a word of some dictionary; other runs are brute force."""
+    if not (part.islower() or part.isupper() or part.istitle()) or not word_like(part):
+        return INFINITE
+    return min(sum(map(_char_cost, part)), 5.3 + 0.2 * max(0, len(part) - 12))
 
 
 def guess_cost(value: str) -> float:
-    """log10 of the guesses that the cheapest segmentation needs."""
+    """log10 of the guesses that the cheapest segmentation needs.
+
+    Every kind of piece is tried at every start and end that it can have: brute
+    force, common words, dates, keyboard walks (three keys or more), repeats
+    (two times or more of a unit of up to eight characters), and maximal runs of
+    letters as unknown words. Walks are carried on key by key, as each further one
+    adds the same. Of the starts of repeats of one unit that end at one place, those
+    are dropped that cost no less than an earlier one: it stays cheaper, as the
+    cost of k times grows by the ratio of k only. So the time is in proportion to the length."""
     n, low = len(value), value.lower()
     if len(low) != n:  # a lower case of other length: compare as it is
         low = value
     plain = low.translate(_LEET)
-    walks = _walks(low)
-    best = [0.0] + [float("inf")] * n
-
-    def reach(start: int, end: int, cost: float) -> None:
-        total = best[start] + cost + (_JOIN if start else 0.0)
-        if total < best[end]:
-            best[end] = total
-
-    dates = {m.start(): m.end() for m in _DATE.finditer(value)}
-    runs = {m.start(): m for m in _REPEAT.finditer(low)}
-    wordlike = {m.start(): m.end() for m in _WORDLIKE.finditer(value)}
-    for i in range(n):
-        if best[i] + _char_cost(value[i]) < best[i + 1]:  # brute force goes on from any piece
-            best[i + 1] = best[i] + _char_cost(value[i])
-        for length in range(2, min(_LONGEST, n - i) + 1):
-            part = low[i:i + length]
-            rank, extra = _RANK.get(part), 0.0
-            if rank is None:
-                rank, extra = _RANK.get(plain[i:i + length]), _JOIN
-            if rank:
-                upper = sum(c.isupper() for c in value[i:i + length])
-                reach(i, i + length, log10(rank) + extra + (_JOIN * min(upper, length - upper + 1) if upper else 0))
-        if i in dates:
-            reach(i, dates[i], log10(366 * 120))
-        if i in runs:
-            unit = runs[i][1]
-            cost = min(sum(map(_char_cost, unit)), log10(_RANK[unit]) if unit in _RANK else 99.0)
-            reach(i, runs[i].end(), cost + log10(len(runs[i][0]) // len(unit)))
-        if i in walks:
-            length = walks[i] - i
-            reach(i, walks[i], log10(len(_PLACE)) + 0.4 * (length - 1))
-        if i in wordlike:
-            end = wordlike[i]
-            part = value[i:end]
-            # an unknown word of some dictionary; other runs are brute force
-            if (part.islower() or part.isupper() or part.istitle()) and word_like(part):
-                reach(i, end, min(sum(map(_char_cost, part)), 5.3 + 0.2 * max(0, end - i - 12)))
+    single = [_char_cost(c) for c in value]
+    unit_single = [_char_cost(c) for c in low]
+    words_end = {m.end(): m.start() for m in _WORDLIKE.finditer(value)}
+    best = [0.0] + [INFINITE] * n
+    walk, steps = INFINITE, 0                     # the cheapest walk to here, and how many neighbours in a row
+    same = [0] * (_LONGEST_UNIT + 1)              # by unit length: how long the text has equalled itself that far back
+    starts: list[list[list[int]]] = [[[] for _ in range(u)] for u in range(_LONGEST_UNIT + 1)]
+
+    def opened(i: int) -> float:
+        return best[i] + (_JOIN if i else 0.0)
+
+    for j in range(1, n + 1):
+        least = best[j - 1] + single[j - 1]       # brute force goes on from any piece
+        for i in range(max(0, j - _LONGEST), j - 1):
+            cost = opened(i) + _word_cost(value[i:j], low[i:j], plain[i:j])
+            least = min(least, cost)
+        if value[j - 1].isdigit():
+            for i in range(max(0, j - _LONGEST_DATE), j - 3):
+                if value[i].isdigit() and _DATE.fullmatch(value, i, j):
+                    least = min(least, opened(i) + log10(366 * 120))
+        steps = steps + 1 if j > 1 and _neighbours(low[j - 2], low[j - 1]) else 0
+        walk = INFINITE if steps < 2 else min(walk + 0.4, opened(j - 3) + log10(len(_PLACE)) + 0.8)
+        least = min(least, walk)
+        for u in range(1, min(_LONGEST_UNIT, j - 1) + 1):
+            same[u] = same[u] + 1 if low[j - 1] == low[j - 1 - u] else 0
+            if same[u] < u:
+                continue
+            unit, first = low[j - u:j], j - u - same[u]
+            each = min(sum(unit_single[j - u:j]), log10(_RANK[unit]) if unit in _RANK else INFINITE)
+            kept: list[int] = []
+            cheapest = INFINITE
+            held = starts[u][j % u]
+            for i in held:
+                if i < first:
+                    continue
+                if i > j - 2 * u:
+                    kept.append(i)
+                    continue
+                cost = opened(i) + log10((j - i) // u)
+                if cost < cheapest:
+                    cheapest = cost
+                    kept.append(i)
+            starts[u][j % u] = kept
+            least = min(least, cheapest + each)
+        if j in words_end:
+            least = min(least, opened(words_end[j]) + _unknown_cost(value[words_end[j]:j]))
+        best[j] = least
+        for u in range(1, _LONGEST_UNIT + 1):
+            if j == 1:
+                starts[u][0].append(0)
+            place = starts[u][j % u]
+            if same[u] < u:  # no earlier start reaches beyond here
+                place[:] = [i for i in place if i > j - 2 * u]
+            place.append(j)
     return best[n]
 
 

@@ -1,37 +1,5 @@
-"""Send this package to Python workers that cannot import it.
+"""Sending the package to Python workers: see ``tallystar.shipping``."""
 
-Workers import the modules that hold the operators' functions. Where the
-package is installed, on PYTHONPATH, in the working folder or given by
---py-files, they can; a session that was started elsewhere gets a copy of the
-source files by ``addPyFile`` (some 200 kB, once a session).
-"""
+from tallystar.shipping import reachable, ship_package
 
-from __future__ import annotations
-
-import os
-import tempfile
-import zipfile
-from pathlib import Path
-
-from pyspark.sql import SparkSession
-
-_SENT: set[str] = set()
-
-
-def reachable(home: Path) -> bool:
-    """True if workers started from this environment find ``home``."""
-    on_path = [p for p in os.environ.get("PYTHONPATH", "").split(os.pathsep) if p]
-    return any(Path(p).resolve() == home for p in [*on_path, os.getcwd()])
-
-
-def ship_package(spark: SparkSession) -> None:
-    package = Path(__file__).resolve().parents[1]
-    home, context = package.parent, spark.sparkContext
-    if context.applicationId in _SENT or not package.is_dir() or reachable(home):
-        return
-    target = Path(tempfile.mkdtemp(prefix="tallystar-")) / "tallystar_source.zip"
-    with zipfile.ZipFile(target, "w") as z:  # the driver serves it to the executors
-        for f in sorted(package.rglob("*.py")):
-            z.write(f, f.relative_to(home))
-    context.addPyFile(str(target))
-    _SENT.add(context.applicationId)
+__all__ = ["reachable", "ship_package"]

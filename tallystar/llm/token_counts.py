@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bpe import Encoder, encoder, read_vocabulary
-from .common import per_text, stored
+from .common import per_text, shipped, stored
 
 LIMIT = 1024
 TOP = 32_768               # runs in a summary and in the table
@@ -99,7 +99,7 @@ def frequent_runs(docs: DataFrame, *, top: int = TOP) -> list[str]:
         runs, sizes = _packed(_table(counts, top))
         return pd.DataFrame({"task": [int(key[0])], "runs": [runs], "counts": [sizes]})
 
-    level = stored(docs.select("text").mapInArrow(summarize, _SUMMARY), "runs")
+    level = stored(shipped(docs).select("text").mapInArrow(summarize, _SUMMARY), "runs")
     while (last := level.agg(F.max("task")).first()[0] or 0) > 0:
         grouped = level.withColumn("task", F.floor(F.col("task") / FAN).cast("long")).groupBy("task")
         level = stored(grouped.applyInPandas(merge, _SUMMARY), "runs")

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import shipped, stored
 
 K = 20
 SCALE = 64
@@ -74,7 +74,7 @@ def blocks(rows: DataFrame, size: int, name: str) -> DataFrame:
 
     dealt = (rows.join(F.broadcast(many), "dim")
              .withColumn("block", F.pmod(F.xxhash64("vec_id"), F.col("n_blocks").cast("long"))))
-    return stored(dealt.groupBy("dim", "block").applyInArrow(
+    return stored(shipped(dealt).groupBy("dim", "block").applyInArrow(
         matrix, "dim int, block long, ids binary, data binary, kind string, n_blocks int"), name)
 
 

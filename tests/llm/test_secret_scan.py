@@ -106,3 +106,77 @@ def test_random_letters_are_no_unknown_word():
     for word in ("gardening", "Forgotten", "required", "INSTRUCTIONS", "vergessen", "Einstellungen", "contraseña",
                  "développement"):
         assert ss.find_secrets(f"pwd: {word} end")[1] == [], word
+
+
+def cheapest(value):
+    """The cheapest segmentation by its definition: every piece, every kind, every cut."""
+    import math
+    n, low = len(value), value.lower()
+    low = low if len(low) == n else value
+    runs = {m.span() for m in re.finditer(r"[^\W\d_]+", value)}
+
+    def piece(i, j):
+        part, lowered = value[i:j], low[i:j]
+        costs = [sum(map(ss._char_cost, part))]
+        if 2 <= j - i <= ss._LONGEST:
+            for text, extra in ((lowered, 0.0), (lowered.translate(ss._LEET), math.log10(2))):
+                if text in ss._RANK:
+                    upper = sum(c.isupper() for c in part)
+                    costs.append(math.log10(ss._RANK[text]) + extra + (math.log10(2) * min(upper, j - i - upper + 1) if upper else 0))
+                    break
+        if j - i >= 4 and ss._DATE.fullmatch(part):
+            costs.append(math.log10(366 * 120))
+        if j - i >= 3 and all(ss._neighbours(a, b) for a, b in zip(lowered, lowered[1:])):
+            costs.append(math.log10(len(ss._PLACE)) + 0.4 * (j - i - 1))
+        for u in range(1, 9):
+            k = (j - i) // u
+            if k >= 2 and lowered == lowered[:u] * k:
+                unit = lowered[:u]
+                costs.append(min(sum(map(ss._char_cost, unit)), math.log10(ss._RANK[unit]) if unit in ss._RANK else 99) + math.log10(k))
+        if (i, j) in runs:
+            costs.append(ss._unknown_cost(part))
+        return costs
+
+    best = [0.0] + [math.inf] * n
+    for j in range(1, n + 1):
+        for i in range(j):
+            brute_force, *others = piece(i, j)
+            best[j] = min([best[j], best[i] + brute_force] + [best[i] + c + (math.log10(2) if i else 0) for c in others])
+    return best[n]
+
+
+def test_guess_cost_equals_brute_force_on_random_values():
+    rng = random.Random(21)
+    parts = ["a", "b", "ab", "xyq", "g", "9", "19", "1990", "2001-05-17", "0512", "qwe", "asdf", "Pass", "w0rd", "love", "Zx", "ß", "İ", "!", "-", "monkey", "0000", "É"]
+    for k in range(10_000):
+        kind = rng.random()
+        if kind < 0.5:
+            value = "".join(rng.choice(parts) for _ in range(rng.randint(1, 5)))
+        elif kind < 0.8:
+            unit = "".join(rng.choice("abcxyz12!") for _ in range(rng.randint(1, 4)))
+            value = "".join(rng.choice("ab1q") for _ in range(rng.randint(0, 3))) + unit * rng.randint(1, 6) + rng.choice(["", "9", unit[:1], "ab"])
+        else:
+            value = "".join(rng.choice("aab12!Qwe") for _ in range(rng.randint(1, 14)))
+        value = value[:22]
+        assert abs(ss.guess_cost(value) - cheapest(value)) < 1e-9, value
+
+
+def test_weak_values_that_begin_inside_a_longer_match():
+    assert ss.guess_cost("xxyqgxyqgxyqgxyqg9") < 9.01 and ss.guess_cost("ababcabcabcabcabc") < 4.5
+    assert ss.guess_cost("a" * 100_000) < 7 and ss.guess_cost("ab1!" * 20_000) < 11
+
+
+def test_planted_values_in_four_languages():
+    names = ["password", "Passwort", "Kennwort", "mot de passe", "MDP", "contraseña", "clave", "clé secrète", "Schlüssel",
+             "encryption_key", "signing key", "db-password", "API_TOKEN", "passphrase"]
+    rng = random.Random(5)
+    found = clean = 0
+    for k in range(700):
+        value = "".join(rng.choice("abcdefghijkmnpqrstuvwxyzABCDEFGHJKLMNPQRSTUVWXYZ23456789!#%&*") for _ in range(12))
+        text = f"Voilà, hier y aquí: {names[k % len(names)]} = {value} und so weiter"
+        at = text.index(value)
+        found += any(s <= at and at + len(value.rstrip(".,;:!?")) <= e for _, s, e in ss.find_secrets(text)[1])
+        word = rng.choice(["gardening", "wichtig", "importante", "changeme", "2001-05-17", "qwertyuiop", "aaaaaaaa", "nouvelle"])
+        clean += bool([s for s in ss.find_secrets(f"{names[k % len(names)]}: {word} x")[1] if s[0] == "guess"])
+    assert found == 700 and clean == 0
+    assert ss.find_secrets("Passwort: Xk9!vQz2Lp")[1] and ss.find_secrets("encryption_key = Zx81!kfPq0")[1]
