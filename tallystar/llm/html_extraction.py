@@ -16,7 +16,9 @@ features. Every page is decoded whole.
 
 Text: character references are decoded, white space inside a block becomes one
 space, blocks are trimmed and joined in page order by two line feeds. ``br`` is
-white space; other inline tags join. Scripts, styles, comments and markup go.
+white space; other inline tags join. Scripts, styles, comments and markup go, and what
+browsers never show (``template``, frames); formulas, listings, graphics' labels
+and embedded objects' texts are text like any other.
 
 Defined cases: a null or empty page, or one without text, gives the empty
 string. An unclosed script, style or comment runs to the end of the page, an
@@ -45,7 +47,8 @@ BLOCK_TAGS = frozenset(
     "figure footer form frameset h1 h2 h3 h4 h5 h6 head header hgroup hr html label legend li main menu nav noscript "
     "ol optgroup option p pre search section select summary table tbody td textarea tfoot th thead title tr ul".split())
 VOID_TAGS = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW_TAGS = frozenset("script style iframe object svg template math canvas noembed noframes xmp".split())
+RAW_TAGS = frozenset("script style iframe template noframes".split())
+LITERAL_TAGS = frozenset(("xmp",))  # their content is text as it stands, tags and references too
 # an opening tag on the left ends an open element of those on the right
 IMPLIED_ENDS = {
     **{t: ("p",) for t in ("address article aside blockquote center details dialog dir div dl fieldset figcaption "
@@ -148,6 +151,13 @@ def leaf_blocks(html: str | None) -> list[Block]:
                 end = re.compile(rf"</{name}\b[^>]*>", re.I).search(html, at)
                 at = end.end() if end else len(html)
             continue
+        if name in LITERAL_TAGS:
+            end = re.compile(rf"</{name}\b[^>]*>", re.I).search(html, at)
+            flush()
+            runs.append(html[at:end.start() if end else len(html)])
+            flush()
+            at = end.end() if end else len(html)
+            continue
         if name == "br":
             runs.append(" ")
             continue

@@ -11,8 +11,8 @@ equals the one before it, and when a line equals an earlier one.
 
 The model is fitted on at most ``max_train`` labelled rows per call, taken in
 a reproducible pseudo-random order; every other row is only scored. The
-sample's n-grams, not its texts, reach the driver; at most ``max_grams`` of
-one text take part in training (scoring uses them all).
+sample's n-grams, not its texts, reach the driver: of every text, all that
+``min_count`` texts of the sample share.
 
 Defined cases: a null or empty text, or one with none of the learned n-grams,
 has margin equal to the bias. Rows with a null or conflicting label are not
@@ -26,7 +26,6 @@ from __future__ import annotations
 
 import math
 import re
-import zlib
 from collections.abc import Iterable
 from dataclasses import dataclass, field
 from operator import eq
@@ -35,7 +34,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_sample, held_out, per_row, per_text
+from .common import bounded_sample, held_out, per_row, per_text, stored
 
 _LOWER = bytes(b for b in range(256) if 97 <= b <= 122 or b >= 128)
 _CLASS = bytes.maketrans(
@@ -186,8 +185,12 @@ def fit(sample: Iterable[tuple[Iterable[bytes], int]], *, min_count: int = 3, sm
 
 
 def train(docs: DataFrame, labels: DataFrame, *, label: str = "quality", learn_from: Column | None = None,
-          max_train: int = 4000, max_grams: int = 2000) -> NbSvm:
-    """Fit on a bounded, reproducible sample of the labelled rows of ``docs``."""
+          max_train: int = 4000, min_count: int = 3) -> NbSvm:
+    """Fit on a bounded, reproducible sample of the labelled rows of ``docs``.
+
+    A text of the sample keeps every n-gram that ``min_count`` texts of the sample
+    hold, however long it is; the others have no say in the fit and are dropped
+    before anything reaches the driver."""
     good = (labels.where(F.col(label).isin(0, 1)).groupBy("doc_id")
             .agg(F.min(label).alias("lo"), F.max(label).alias("hi")).where("lo = hi")
             .select("doc_id", F.col("lo").cast("int").alias("label")))
@@ -197,17 +200,22 @@ def train(docs: DataFrame, labels: DataFrame, *, label: str = "quality", learn_f
     ids = bounded_sample(rows.select("doc_id").join(good, "doc_id").distinct(), max_train, "doc_id")
     # at most max_train ids and labels: a proven bound for the broadcast
     chosen = rows.join(F.broadcast(ids), "doc_id").select("doc_id", "label", "text")
-    got = per_text(chosen, lambda t: (sorted(grams(t), key=lambda g: (g[0] > 4, zlib.crc32(g)))[:max_grams],),
-                   "grams array<binary>")
-    # bounded by max_train rows; copies of one id: the first in gram order
-    table = (got.groupBy("doc_id").agg(F.min(F.struct("label", "grams")).alias("r")).orderBy("doc_id")
-             .select("r.label", "r.grams").toArrow())
-    return fit((found.as_py(), label.as_py()) for label, found in zip(table.column("label"), table.column("grams")))
+    # copies of one id: the first in gram order
+    got = stored(per_text(chosen, lambda t: (sorted(grams(t)),), "grams array<binary>")
+                 .groupBy("doc_id").agg(F.min(F.struct("label", "grams")).alias("r")).select("doc_id", "r.label", "r.grams"), "grams")
+    each = got.select("doc_id", F.explode("grams").alias("gram"))
+    common = each.groupBy("gram").agg(F.count("*").alias("n")).where(F.col("n") >= min_count).select("gram")
+    held = each.join(common, "gram").groupBy("doc_id").agg(F.sort_array(F.collect_list("gram")).alias("grams"))
+    # max_train rows of n-grams that at least min_count of them share
+    table = (got.select("doc_id", "label").join(held, "doc_id", "left").orderBy("doc_id")
+             .select("label", F.coalesce("grams", F.array().cast("array<binary>")).alias("grams")).toArrow())
+    rows = ((found.as_py(), label.as_py()) for label, found in zip(table.column("label"), table.column("grams")))
+    return fit(rows, min_count=min_count)
 
 
 def score_quality(docs: DataFrame, model: NbSvm, *, threshold: float = 0.3) -> DataFrame:
     """Append ``score`` and ``predicted`` (1 if score >= threshold) to the other columns than text."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by max_train * max_grams n-grams
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # n-grams that min_count of max_train texts share
 
     def one(text: str | None) -> tuple:
         s = shared.value.score(text)

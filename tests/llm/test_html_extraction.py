@@ -79,3 +79,11 @@ def test_sample_is_drawn_from_pages_with_labels(spark, monkeypatch):
     hx.train(spark.createDataFrame(rows, "page_id long, url string, html string"), max_pages=15)
     named = [y for features, y in learned if y == [0, 1] and any("named in:article" in x for x in features)]
     assert len(named) == 15
+
+
+def test_formulas_listings_and_objects_are_text():
+    blocks = hx.leaf_blocks("<article><p>Let <math><mi>x</mi>=<mn>3</mn></math> be the root</p><xmp>if a &lt; b: <p>print</p></xmp>"
+                            "<object data='f'>a chart of rain</object><svg><text>axis</text></svg><canvas>drawn</canvas>"
+                            "<noembed>clip</noembed><template><p>never shown</p></template><iframe>nor this</iframe></article>")
+    assert [b.text for b in blocks] == ["Let x=3 be the root", "if a &lt; b: <p>print</p>", "a chart of rainaxisdrawnclip"]
+    assert hx.leaf_blocks("a<xmp>open <b>")[1].text == "open <b>"

@@ -68,3 +68,15 @@ def test_empty_tables_one_class_and_extra_columns(spark, docs, labels):
 def test_dual_descent_separates():
     model = qc.fit([([b"good", b"x"], 1)] * 20 + [([b"bad", b"x"], 0)] * 20)
     assert model.score("good x") > 0.9 > 0.1 > model.score("bad x")
+
+
+def test_long_texts_keep_all_their_shared_grams(docs, labels):
+    rng = random.Random(2)
+    long = " ".join(f"rare{k}" for k in range(6000))
+    rows = [(i, prose(rng, 20), 1) for i in range(40)] + [(100 + i, long + f" only{i}", 0) for i in range(4)]
+    model = qc.train(docs([r[:2] for r in rows]), labels([(i, q, 0) for i, _, q in rows]))
+    assert all(f"rare{k}".encode() in model.weight for k in range(6000))
+    assert not any(g.startswith(b"only") for g in model.weight)
+    whole = qc.fit([(qc.grams(t), q) for _, t, q in sorted(rows)])
+    assert model.weight.keys() == whole.weight.keys()
+    assert all(abs(model.score(t) - whole.score(t)) < 1e-6 for _, t, _ in rows)
