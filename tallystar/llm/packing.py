@@ -57,8 +57,8 @@ def pieces(docs: DataFrame, tokenizer_path: str, *, capacity: int = CAPACITY, eo
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(source.value).ids
         for batch in batches:
-            for at in range(0, batch.num_rows, 1000):
-                part = batch.slice(at, 1000)
+            for at in range(0, batch.num_rows, 250):
+                part = batch.slice(at, 250)
                 owner, piece, start, length, crc, held = [], [], [], [], [], []
                 for row, text in enumerate(part.column("text")):
                     ids = encode(text.as_py() or "") + end
@@ -219,7 +219,11 @@ def pack(docs: DataFrame, tokenizer_path: str, *, capacity: int = CAPACITY, eos:
          with_ids: bool = False) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32, sequence_id, offset (and ids) of each piece."""
     spark = docs.sparkSession
-    cut = stored(pieces(docs, tokenizer_path, capacity=capacity, eos=eos, with_ids=with_ids), "pieces")
+    made = pieces(docs, tokenizer_path, capacity=capacity, eos=eos, with_ids=with_ids)
+    if with_ids:  # a number for each written piece: only numbers are ranked and placed, the ids join them after
+        made = made.withColumn("_uid", F.monotonically_increasing_id())
+    whole = stored(made, "pieces")
+    cut = whole.drop("ids")
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     keyed = cut.withColumn("_bucket", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(buckets)))
     counts = stored(keyed.groupBy("length", "_bucket").agg(F.count("*").alias("n")), "piece_counts")
@@ -242,7 +246,8 @@ def pack(docs: DataFrame, tokenizer_path: str, *, capacity: int = CAPACITY, eos:
                 names=[*names, "sequence_id", "offset"])
 
     schema = cut.schema.add("sequence_id", "long").add("offset", "long")
-    return ranked.select(*names, "_rank").mapInArrow(run, schema)
+    placed = ranked.select(*names, "_rank").mapInArrow(run, schema)
+    return placed.join(whole.select("_uid", "ids"), "_uid").drop("_uid") if with_ids else placed
 
 
 def sequences(packed: DataFrame) -> DataFrame:
