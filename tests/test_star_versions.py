@@ -53,9 +53,11 @@ def test_catalog_reads_one_build(spark):
     from tallystar.plans import catalog, landing
     sf = "/root/testdata/sf0.001"
     land = landing.ensure_star(spark, sf)
-    for query in (catalog.fact_build, catalog.dq_rejects):
-        files = query(spark, sf).inputFiles()
+    fact = landing.star_tables(spark, sf)[0]
+    for df in (fact, catalog.dq_rejects(spark, sf)):
+        files = df.inputFiles()
         assert files and all(Path(land.build).name in f for f in files)
+    assert rows(fact) == rows(catalog.fact_build(spark, sf))
 
 
 # ------------------------------------------------------------------- rules
