@@ -11,6 +11,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallystar.operators.quantiles import exact_quantiles
+
 
 def _cols(df: DataFrame, cols: Sequence[str] | None) -> list[str]:
     return list(cols) if cols is not None else df.columns
@@ -46,14 +48,16 @@ def distinct_values(df: DataFrame, col: str) -> DataFrame:
 def describe(df: DataFrame, cols: Sequence[str], exact: bool = False,
              accuracy: int = 10000, digits: int = 6) -> DataFrame:
     """Count, mean, std (sample), min, quartiles, max per column, long
-    form. Quartiles come from ``percentile_approx`` (bounded memory);
-    ``exact=True`` keeps a value->count map per column, so its memory follows
-    the number of distinct values."""
-    qs = F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))
+    form. Quartiles come from ``percentile_approx`` (bounded memory).
+    ``exact=True`` selects them in a few passes of bounded memory
+    (``quantiles.exact_quantiles``), which run when this is called."""
+    probs = [0.25, 0.5, 0.75]
+    found = exact_quantiles(df, cols, probs) if exact else {}
 
     def q(c: str) -> Column:
-        v = F.col(c).cast("double")
-        return F.percentile(v, qs) if exact else F.percentile_approx(v, qs, accuracy).cast("array<double>")
+        if exact:
+            return F.array(*[F.lit(x).cast("double") for x in found[c]])
+        return F.percentile_approx(F.col(c).cast("double"), F.array(*map(F.lit, probs)), accuracy).cast("array<double>")
 
     rows = []
     for c in cols:

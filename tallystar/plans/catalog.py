@@ -278,6 +278,15 @@ def profile_describe(spark, sf):
     return profile.describe(li, ["l_quantity", "l_discount", "l_tax"], exact=True)
 
 
+def profile_describe_distinct(spark, sf):
+    """A8 on doubles that are nearly all distinct: exact quartiles keep no value map."""
+    li = _t(spark, sf, "lineitem")
+    price = F.col("l_extendedprice")
+    return profile.describe(li.select((price / (F.col("l_orderkey") * 8 + F.col("l_linenumber"))).alias("price_per_key"),
+                                      (F.col("l_partkey") / price).alias("part_per_price")),
+                            ["price_per_key", "part_per_price"], exact=True)
+
+
 def profile_describe_dim(spark, sf):
     """A8 on the happiness dimension's scores, as the reference profiled them."""
     _, dim = _star(spark, sf)
@@ -509,7 +518,7 @@ QUERIES: dict[str, Query] = {f.__name__: f for f in [
     join_star_decode, join_two_hop, join_coverage_anti, join_coverage_scores,
     join_coverage_codes,
     profile_nulls, profile_distinct, profile_distinct_values, profile_describe,
-    profile_describe_dim, profile_nulls_dim, head_tail, sample_rows,
+    profile_describe_distinct, profile_describe_dim, profile_nulls_dim, head_tail, sample_rows,
     sample_rows_by_key, sample_n, set_except, set_difference_both,
     dq_report, dq_duplicates, dq_domain, dq_domain_dim, dq_reconcile, dq_rejects, dq_schema,
     dq_key_unique,

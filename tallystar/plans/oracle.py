@@ -293,6 +293,12 @@ SELECT * FROM (VALUES
        round(quantile_cont({c}, 0.25), 6) AS q25, round(quantile_cont({c}, 0.5), 6) AS q50,
        round(quantile_cont({c}, 0.75), 6) AS q75, CAST(max({c}) AS DOUBLE) AS max FROM lineitem"""
         for c in ["l_quantity", "l_discount", "l_tax"]),
+    "profile_describe_distinct": " UNION ALL ".join(
+        f"""SELECT '{c}' AS column_name, count(v) AS n, round(avg(v), 6) AS mean, round(stddev_samp(v), 6) AS std,
+       min(v) AS min, round(quantile_cont(v, 0.25), 6) AS q25, round(quantile_cont(v, 0.5), 6) AS q50,
+       round(quantile_cont(v, 0.75), 6) AS q75, max(v) AS max FROM (SELECT {e} AS v FROM lineitem)"""
+        for c, e in [("price_per_key", "l_extendedprice / (l_orderkey * 8 + l_linenumber)"),
+                     ("part_per_price", "l_partkey / l_extendedprice")]),
     "profile_describe_dim": W_HAPPY + "\n" + " UNION ALL ".join(
         f"""SELECT '{c}' AS column_name, count({c}) AS n, round(avg({c}), 6) AS mean,
        round(stddev_samp({c}), 6) AS std, CAST(min({c}) AS DOUBLE) AS min,

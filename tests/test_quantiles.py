@@ -1,0 +1,69 @@
+"""Exact quantiles against sorting, on columns that are hard for equal cells."""
+import math
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from tallystar.operators.profile import describe
+from tallystar.operators.quantiles import exact_quantiles
+
+PROBS = [0.0, 0.1, 0.25, 0.5, 0.75, 0.999, 1.0]
+
+
+def expected(values):
+    v = sorted(x for x in values if x is not None)
+    out = []
+    for p in PROBS:
+        h = p * (len(v) - 1)
+        a, b = v[math.floor(h)], v[math.ceil(h)]
+        out.append(a if a == b or h == math.floor(h) else a + (b - a) * (h - math.floor(h)))
+    return out
+
+
+rng = random.Random(5)
+COLUMNS = {
+    "distinct": [rng.gauss(0, 1) for _ in range(3000)],
+    "magnitudes": [rng.choice([-1, 1]) * 10.0 ** rng.uniform(-300, 300) for _ in range(3000)],
+    "widest": [-1.7e308, 1.7e308, 0.0, 5e-324, 1e-323] * 600,
+    "hot": [1.5 if rng.random() < 0.4 else rng.random() for _ in range(3000)],
+    "neighbours": [float(np.nextafter(1.0, 2.0)) if i % 3 else 1.0 for i in range(3000)],
+    "infinite": [[-math.inf, math.inf, rng.random()][i % 3] for i in range(3000)],
+    "one": [7.0] + [None] * 2999,
+}
+
+
+@pytest.mark.parametrize("bins", [16, 1024])
+def test_equals_sorting(spark, bins):
+    names = list(COLUMNS) if bins > 16 else ["distinct", "neighbours"]
+    df = spark.createDataFrame(list(zip(*[COLUMNS[c] for c in names])), ", ".join(f"{c} double" for c in names))
+    got = exact_quantiles(df, names, PROBS, bins=bins)
+    assert got == {c: expected(COLUMNS[c]) for c in names}
+
+
+def test_nan_sorts_last_and_empty_has_none(spark):
+    df = spark.createDataFrame([(1.0, None), (math.nan, None), (2.0, None)], "x double, y double")
+    got = exact_quantiles(df, ["x", "y"], [0.0, 0.5, 1.0])
+    assert got["x"][:2] == [1.0, 2.0] and math.isnan(got["x"][2]) and got["y"] == [None] * 3
+    assert exact_quantiles(df.where("x < 0"), ["x"], [0.5]) == {"x": [None]}
+    assert exact_quantiles(df, [], [0.5]) == {}
+    with pytest.raises(ValueError):
+        exact_quantiles(df, ["x"], [0.5], bins=1)
+
+
+def test_exact_describe_has_no_value_map(spark):
+    df = spark.range(20000).select((F.col("id") * 0.37 % 1.0).alias("x"), F.lit(None).cast("double").alias("y"))
+    d = describe(df, ["x", "y"], exact=True)
+    assert "percentile(" not in d._jdf.queryExecution().toString()
+    want = df.select(F.percentile("x", F.array(*map(F.lit, (0.25, 0.5, 0.75))))).first()[0]
+    x, y = d.collect()
+    assert [x["q25"], x["q50"], x["q75"]] == pytest.approx(want, abs=1e-6)
+    assert (y["n"], y["q50"], y["max"]) == (0, None, None)
+
+
+def test_default_describe_is_within_its_rank_error(spark):
+    values = [rng.expovariate(1) for _ in range(40000)]
+    d = describe(spark.createDataFrame([(x,) for x in values], "x double").repartition(16), ["x"], accuracy=500).first()
+    at = np.searchsorted(np.sort(values), [d["q25"], d["q50"], d["q75"]])
+    assert np.abs(at / len(values) - [0.25, 0.5, 0.75]).max() <= 1 / 500 + 1e-3
