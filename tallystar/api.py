@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tallystar.operators.quality import reconcile
+from tallystar.operators.sketches import merged_counts, year_sketches
 from tallystar.operators.star import key_unique
 from tallystar.plans import marts
 from tallystar.plans.checks import dimension_rules, fact_metrics, fact_rules, observed, rule_metrics, type_breaches
@@ -89,6 +90,10 @@ class EtlResult:
     def dimension(self, spark: SparkSession) -> DataFrame:
         return read_table(spark, self.out_dir, "dimension", self.version)
 
+    def distinct_counts(self, spark: SparkSession) -> DataFrame:
+        """A7 over the whole version's fact, from the stored sketches of its years."""
+        return merged_counts(read_table(spark, self.out_dir, "sketches", self.version))
+
     def rejected(self, spark: SparkSession) -> DataFrame:
         """The dropped records of the version, with the ``step`` that drops them."""
         return read_table(spark, self.out_dir, "rejects", self.version)
@@ -153,6 +158,8 @@ def run_etl(spark: SparkSession, imm_path: str, metadata_path: str, translation_
     are observed on the writes; repeated IDs and the records per yearly file
     against the dimension are counted after. ``fail_on_error`` raises if a
     check fails, before the version becomes visible (``sources.versions``).
+    One distinct-value sketch a year and column of the fact is stored beside
+    them (``EtlResult.distinct_counts``).
     ``refresh`` replaces only the years that the inputs hold. ``renames`` and
     ``on_duplicate`` go to ``build_dimension``."""
     root, version = out_dir.rstrip("/"), new_version()
@@ -183,13 +190,16 @@ def run_etl(spark: SparkSession, imm_path: str, metadata_path: str, translation_
         raise AssertionError(f"checks failed, nothing published: {checks}, {broken}, rows per year: {counted}")
 
     counts = {r["step"]: r["rows"] for r in reject_counts(written).collect()}  # one row a step
+    sketched, sketch_path = year_sketches(written.where(is_fact).select(*FACT_COLS), FACT_COLS), version_folder(root, "sketches", version)
+    write_by_year(sketched, sketch_path)
     steps = written_steps(spark, build_path)
     dropped = [f"{build_path}/{s}" for s in steps if s != f"step={FACT_STEP}"]
     years = {y for s in steps for y in written_years(spark, root, f"{build_path}/{s}")}
-    made = commit(spark, root, {"fact": [f"{build_path}/step={FACT_STEP}"], "rejects": dropped, "dimension": [dim_path]},
+    made = commit(spark, root, {"fact": [f"{build_path}/step={FACT_STEP}"], "rejects": dropped, "dimension": [dim_path], "sketches": [sketch_path]},
                   {"fact": StructType([build.schema[c] for c in FACT_COLS]), "dimension": dim.schema,
-                   "rejects": StructType([build.schema[c] for c in ("step", "copies", "record", "Year")])},
-                  refresh, {"fact": years, "rejects": years})
+                   "rejects": StructType([build.schema[c] for c in ("step", "copies", "record", "Year")]),
+                   "sketches": sketched.schema},
+                  refresh, {"fact": years, "rejects": years, "sketches": years})
     return EtlResult(root, made["number"], f"{build_path}/step={FACT_STEP}", dim_path, checks, broken, seen_d["rows"], counted, counts)
 
 

@@ -22,7 +22,8 @@ from tallystar.functions.strings import (
     strict_int,
     strip_ws,
 )
-from tallystar.operators import clean, profile, quality, star
+from tallystar.operators import clean, profile, quality, sketches, star
+from tallystar.operators.names import suggest_renames
 from tallystar.operators.rank import rank_within
 from tallystar.plans import bindings as B
 from tallystar.plans import landing as L
@@ -257,6 +258,13 @@ def join_coverage_scores(spark, sf):
     return star.coverage_keys(fact, dim, ["Country", "Year"])
 
 
+def join_rename_suggestions(spark, sf):
+    """Countries of the dimension that no row of the translation names alike,
+    with the three most similar names there."""
+    _, dim = _star(spark, sf)
+    return suggest_renames(dim, read_csv_strings(spark, L.land_inputs(spark, sf).translation), "Country", "Land_Dutch")
+
+
 # ---------------------------------------------------------------- profiles
 def profile_nulls(spark, sf):
     return profile.null_counts(_raw(spark, sf))
@@ -268,6 +276,15 @@ def profile_distinct(spark, sf):
                                         "l_linestatus", "l_quantity"], exact=True)
 
 
+def profile_distinct_sketched(spark, sf):
+    """A7 by one stored sketch a year and column, merged at read. Below some hundred
+    distinct values, as here, the estimate is the count."""
+    fact, _ = _star(spark, sf)
+    path = fresh_path(spark, "sketches")
+    write_by_year(sketches.year_sketches(fact, ["Gender", "Age", "MaritalStatus", "Country", "SingleCountry"]), path)
+    return sketches.merged_counts(spark.read.parquet(path))
+
+
 def profile_distinct_values(spark, sf):
     fact, _ = _star(spark, sf)
     return profile.distinct_values(fact, "Country")
@@ -516,8 +533,8 @@ QUERIES: dict[str, Query] = {f.__name__: f for f in [
     filt_measure, filt_code_range, filt_drop_totals, filt_conjunction, filt_partition,
     filt_key_slice, map_lookup, json_map_explode,
     join_star_decode, join_two_hop, join_coverage_anti, join_coverage_scores,
-    join_coverage_codes,
-    profile_nulls, profile_distinct, profile_distinct_values, profile_describe,
+    join_coverage_codes, join_rename_suggestions,
+    profile_nulls, profile_distinct, profile_distinct_sketched, profile_distinct_values, profile_describe,
     profile_describe_distinct, profile_describe_dim, profile_nulls_dim, head_tail, sample_rows,
     sample_rows_by_key, sample_n, set_except, set_difference_both,
     dq_report, dq_duplicates, dq_domain, dq_domain_dim, dq_reconcile, dq_rejects, dq_schema,

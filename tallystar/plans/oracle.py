@@ -7,6 +7,8 @@ decoding and the query. Column names match the Spark results.
 
 from __future__ import annotations
 
+from tallystar.operators.names import EDITS, SHARE
+
 # what Python's str.strip() removes
 BLANKS = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
 
@@ -267,6 +269,22 @@ GROUP BY n.n_name""",
     "join_coverage_scores": W_STAR + """
 SELECT DISTINCT f.Country, f.Year FROM fact f
 WHERE NOT EXISTS (SELECT 1 FROM happy h WHERE h.Country = f.Country AND h.Year = f.Year)""",
+    "join_rename_suggestions": W_HAPPY + f""",
+spelled AS (
+  SELECT side, name, trim(regexp_replace(lower(replace(name, '&', ' and ')), '[^\\p{{L}}\\p{{N}}]+', ' ', 'g')) AS plain FROM (
+    SELECT DISTINCT 'a' AS side, Country AS name FROM happy
+    UNION ALL SELECT DISTINCT 'b', n_name FROM nation JOIN region ON n_regionkey = r_regionkey WHERE n_nationkey <> 13)),
+named AS (SELECT *, list_distinct(string_split(plain, ' ')) AS words FROM spelled WHERE plain <> ''),
+counted AS (SELECT *, list_sum(list_transform(words, lambda w: length(w))) AS letters FROM named),
+pairs AS (
+  SELECT a.name, b.name AS suggestion, levenshtein(a.plain, b.plain) AS edits, greatest(length(a.plain), length(b.plain)) AS longer,
+         coalesce(list_sum(list_transform(list_intersect(a.words, b.words), lambda w: length(w))), 0) * 1000
+           // least(a.letters, b.letters) AS common
+  FROM counted a JOIN counted b ON a.side = 'a' AND b.side = 'b'
+  WHERE a.name NOT IN (SELECT name FROM counted WHERE side = 'b')),
+scored AS (SELECT *, greatest(common, (longer - edits) * 1000 // longer) AS score FROM pairs WHERE common >= {SHARE} OR edits <= {EDITS}),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY name ORDER BY score DESC, edits, suggestion) AS rank FROM scored)
+SELECT name, CAST(rank AS INT) AS rank, suggestion, CAST(score AS INT) AS score, CAST(edits AS INT) AS edits FROM ranked WHERE rank <= 3""",
     # ---- profiles
     "profile_nulls": W_RAW + """
 SELECT * FROM (VALUES
@@ -286,6 +304,9 @@ SELECT * FROM (VALUES
         f"('{c}', (SELECT count(DISTINCT {c}) FROM lineitem))"
         for c in ["l_orderkey", "l_partkey", "l_suppkey", "l_returnflag", "l_linestatus", "l_quantity"]
     ) + ") AS t(column_name, n_distinct)",
+    "profile_distinct_sketched": W_FACT + "\n" + " UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, count(*) AS rows, count(*) - count({c}) AS nulls, count(DISTINCT {c}) AS n_distinct FROM fact"
+        for c in ["Gender", "Age", "MaritalStatus", "Country", "SingleCountry"]),
     "profile_distinct_values": W_FACT + "\nSELECT DISTINCT Country FROM fact ORDER BY Country",
     "profile_describe": " UNION ALL ".join(
         f"""SELECT '{c}' AS column_name, count({c}) AS n, round(avg({c}), 6) AS mean,
