@@ -46,6 +46,7 @@ from tallystar.plans.star_build import (
     conform_yearly,
     decode_coverage,
     files_by_layout,
+    file_counts,
     flagged_build,
     list_inputs_deep,
     read_yearly_layouts,
@@ -83,6 +84,7 @@ class EtlResult:
     dim_rows: int
     dim_reconcile: list[dict]
     rejects: dict[str, int]
+    file_report: DataFrame | None = None
 
     def fact(self, spark: SparkSession) -> DataFrame:
         return read_table(spark, self.out_dir, "fact", self.version)
@@ -99,22 +101,25 @@ class EtlResult:
         return read_table(spark, self.out_dir, "rejects", self.version)
 
 
-def read_records(spark: SparkSession, imm_path: str) -> DataFrame:
+def read_records(spark: SparkSession, imm_path: str, keep_file: bool = False) -> DataFrame:
     """The records of the keyed-JSON files. Where a file is larger than what one task
     should read (``spark.sql.files.maxPartitionBytes``), all are read by byte ranges, so a
     year published as one document is read by many tasks."""
-    sizes = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(imm_path)
-    largest = sizes.agg(F.max("length")).first()[0] or 0
+    largest = _files(spark, imm_path).agg(F.max("length")).first()[0] or 0
     most = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
     read = read_keyed_json_ranges if largest > most else read_keyed_json
-    return read(spark, imm_path, RAW_SCHEMA).drop("key")
+    return read(spark, imm_path, RAW_SCHEMA, keep_file=keep_file).drop("key")
+
+
+def _files(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
 
 
 def _parts(spark: SparkSession, imm_path: str, metadata_path: str, translation_path: str, book: CodeBook,
-           section_ranges: Sequence[tuple[int, int]] | None) -> tuple[DataFrame, dict[str, DataFrame], DataFrame]:
+           section_ranges: Sequence[tuple[int, int]] | None, keep_file: bool = False) -> tuple[DataFrame, dict[str, DataFrame], DataFrame]:
     sections = (read_section_ranges(spark, metadata_path, section_ranges) if section_ranges
                 else read_sections(spark, metadata_path, count=5))
-    return (read_records(spark, imm_path), code_lists(sections, book),
+    return (read_records(spark, imm_path, keep_file), code_lists(sections, book),
             read_csv_strings(spark, translation_path))
 
 
@@ -150,7 +155,7 @@ def run_etl(spark: SparkSession, imm_path: str, metadata_path: str, translation_
             layout_for_year: Callable[[int], str] = reference_layout,
             section_ranges: Sequence[tuple[int, int]] | None = None,
             fail_on_error: bool = False, refresh: bool = False,
-            renames: Mapping[str, str] | None = None, on_duplicate: str = "fail") -> EtlResult:
+            renames: Mapping[str, str] | None = None, on_duplicate: str = "fail", per_file: bool = False) -> EtlResult:
     """The whole batch, as one version of fact, dimension and rejects in ``out_dir``.
 
     The fact and the records it drops come from one plan and one write. Row
@@ -161,9 +166,11 @@ def run_etl(spark: SparkSession, imm_path: str, metadata_path: str, translation_
     One distinct-value sketch a year and column of the fact is stored beside
     them (``EtlResult.distinct_counts``).
     ``refresh`` replaces only the years that the inputs hold. ``renames`` and
-    ``on_duplicate`` go to ``build_dimension``."""
+    ``on_duplicate`` go to ``build_dimension``. ``per_file`` carries the file of every
+    record through the build; ``EtlResult.file_report`` then has rows in, rejected,
+    duplicates and rows out of each file, and a file that holds no record is a failed check."""
     root, version = out_dir.rstrip("/"), new_version()
-    raw, dims, translation = _parts(spark, imm_path, metadata_path, translation_path, book, section_ranges)
+    raw, dims, translation = _parts(spark, imm_path, metadata_path, translation_path, book, section_ranges, per_file)
     build = flagged_build(raw, dims, translation, book)
     dim = build_dimension(spark, happiness_path, layout_for_year, renames, on_duplicate)
     if wrong := type_breaches(build, FACT_CONTRACT):
@@ -184,10 +191,12 @@ def run_etl(spark: SparkSession, imm_path: str, metadata_path: str, translation_
     # one row a year; the records of the files are read as the dimension reads them
     records = conform_yearly(read_yearly_layouts(spark, files_by_layout(list_inputs_deep(spark, happiness_path), layout_for_year)))
     counted = [r.asDict() for r in reconcile(records, dim_s, "Year").orderBy("Year").collect()]
-    failed = checks["rows"] == 0 or any(checks[k] for k in ("zero_measure", "null_cells", "repeated_ids")) or any(broken.values())
+    report = file_counts(written, _files(spark, imm_path).select(F.col("_metadata.file_path").alias("file"))) if per_file else None
+    bad_files = [r.asDict() for r in report.where("status <> 'passed'").orderBy("file").limit(20).collect()] if per_file else []
+    failed = bad_files or checks["rows"] == 0 or any(checks[k] for k in ("zero_measure", "null_cells", "repeated_ids")) or any(broken.values())
     uneven = not renames and any(r["status"] != "passed" for r in counted)
     if fail_on_error and (failed or uneven):
-        raise AssertionError(f"checks failed, nothing published: {checks}, {broken}, rows per year: {counted}")
+        raise AssertionError(f"checks failed, nothing published: {checks}, {broken}, rows per year: {counted}, files: {bad_files}")
 
     counts = {r["step"]: r["rows"] for r in reject_counts(written).collect()}  # one row a step
     sketched, sketch_path = year_sketches(written.where(is_fact).select(*FACT_COLS), FACT_COLS), version_folder(root, "sketches", version)
@@ -200,7 +209,7 @@ def run_etl(spark: SparkSession, imm_path: str, metadata_path: str, translation_
                    "rejects": StructType([build.schema[c] for c in ("step", "copies", "record", "Year")]),
                    "sketches": sketched.schema},
                   refresh, {"fact": years, "rejects": years, "sketches": years})
-    return EtlResult(root, made["number"], f"{build_path}/step={FACT_STEP}", dim_path, checks, broken, seen_d["rows"], counted, counts)
+    return EtlResult(root, made["number"], f"{build_path}/step={FACT_STEP}", dim_path, checks, broken, seen_d["rows"], counted, counts, report)
 
 
 def _both(*jobs: Callable[[], None]) -> None:

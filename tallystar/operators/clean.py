@@ -50,11 +50,12 @@ def drop_totals(df: DataFrame, totals: Mapping[str, str]) -> DataFrame:
 
 
 def dedup_first(df: DataFrame, keys: Sequence[str], order: Sequence[str] | None = None,
-                copies: str | None = None) -> DataFrame:
+                copies: str | None = None, also: Sequence[Column] = ()) -> DataFrame:
     """A4, deterministic: per key keep the row that is smallest in ``order``
     (default: all other columns, left to right). In each column a value comes
     before NULL, so a row with a code is kept rather than one without. ``copies``
-    names a further column with the number of rows of the key.
+    names a further column with the number of rows of the key, ``also`` further
+    named aggregates over them; columns of neither ``keys`` nor ``order`` are then dropped.
 
     Written as ``min(struct(...))`` per key rather than ``row_number`` over a
     window: the aggregate combines map-side, so a key with millions of copies
@@ -63,18 +64,19 @@ def dedup_first(df: DataFrame, keys: Sequence[str], order: Sequence[str] | None
     """
     rest = [c for c in df.columns if c not in keys]
     order = list(order) if order is not None else rest
-    tail = [c for c in rest if c not in order]
+    tail = [c for c in rest if c not in order] if not also else []
     packed = F.struct(*[x for i, c in enumerate(order)
                         for x in (F.col(c).isNull().alias(f"_n{i}"), F.col(c).alias(f"_o{i}"))],
                       *[F.col(c).alias(f"_t{i}") for i, c in enumerate(tail)])
     counted = [F.count(F.lit(1)).alias(copies)] if copies else []
-    agg = df.groupBy(*keys).agg(F.min(packed).alias("_first"), *counted)
+    made = [c for c in df.groupBy(*keys).agg(*also).columns if c not in keys] if also else []
+    agg = df.groupBy(*keys).agg(F.min(packed).alias("_first"), *counted, *also)
     return agg.select(
         *keys,
         *[F.col(f"_first._o{i}").alias(c) for i, c in enumerate(order)],
         *[F.col(f"_first._t{i}").alias(c) for i, c in enumerate(tail)],
-        *([copies] if copies else []),
-    ).select(*df.columns, *([copies] if copies else []))
+        *([copies] if copies else []), *made,
+    ).select(*[c for c in df.columns if c in keys or c in order or c in tail], *([copies] if copies else []), *made)
 
 
 def key_slice(df: DataFrame, key: str, starts: Sequence[int], length: int = 5) -> DataFrame:

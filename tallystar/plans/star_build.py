@@ -64,11 +64,14 @@ def read_code_lists(spark: SparkSession, path: str, book: CodeBook) -> dict[str,
 
 
 # ----------------------------------------------------------------------- fact
+FILE = "file"
+
+
 def flag_records(raw: DataFrame, book: CodeBook) -> DataFrame:
     """Trimmed records with ``reject``: the first cleaning rule that drops the
     record (F1 measure, F2 age code, F3 totals), NULL where none does. A NULL
     code passes F3, as in the reference (D14)."""
-    r = trim_columns(raw.select(*RAW_FIELDS), CODE_COLS)
+    r = trim_columns(raw.select(*RAW_FIELDS, *([FILE] if FILE in raw.columns else [])), CODE_COLS)
     age = strict_int("LeeftijdOp31December")
     measure = F.col("Immigratie_1")
     reject = (F.when(measure.isNull(), "measure_missing").when(measure <= 0, "measure_not_positive")
@@ -124,9 +127,21 @@ def flagged_build(raw: DataFrame, dims: Mapping[str, DataFrame], translation: Da
     ID within the rule that drops them (none, for the fact's), in one shuffle;
     ``copies`` says how many there were. ``record`` holds the trimmed input
     fields of dropped rows. The decodes are left joins, so one pass gives the
-    fact, the rejects and all counts."""
-    unique = dedup_first(flag_records(raw, book), ["reject", *book.dedup_key],
-                         [c for c in RAW_FIELDS if c not in book.dedup_key], copies="copies")
+    fact, the rejects and all counts.
+
+    Where ``raw`` has a column ``file``, so has the build, with ``files``: how
+    many records of the ID each file holds (at most one entry a file), for
+    ``file_counts``. They are counted by ID and file first, so a second shuffle
+    carries one row of each."""
+    keys, fields = ["reject", *book.dedup_key], [c for c in RAW_FIELDS if c not in book.dedup_key]
+    flagged = flag_records(raw, book)
+    by_file = FILE in flagged.columns
+    if by_file:
+        per_file = dedup_first(flagged, [*keys, FILE], fields, copies="n")
+        unique = dedup_first(per_file, keys, [*fields, FILE], also=[
+            F.sum("n").alias("copies"), F.collect_list(F.struct(FILE, "n")).alias("files")])
+    else:
+        unique = dedup_first(flagged, keys, fields, copies="copies")
     marked = {d: dims[d].withColumn(f"has_{d}", F.lit(True)) for d, _, _ in DECODES}
     f = decode(unique, marked["gender"], "Geslacht", "GeslachtCode", ["Gender", "has_gender"], "left")
     f = decode(f, marked["age"], "LeeftijdOp31December", "LeeftijdCode", ["Age", "has_age"], "left")
@@ -140,7 +155,8 @@ def flagged_build(raw: DataFrame, dims: Mapping[str, DataFrame], translation: Da
     for d in [*[d for d, _, _ in DECODES], "translation"]:
         step = F.coalesce(step, F.when(F.col(f"has_{d}").isNull(), f"decode_{d}"))
     f = f.withColumn("step", F.coalesce(step, F.lit(FACT_STEP)))
-    return f.select(*_fact_columns(), "copies", F.when(F.col("step") != FACT_STEP, F.struct(*RAW_FIELDS)).alias(RECORD), "step")
+    return f.select(*_fact_columns(), "copies", F.when(F.col("step") != FACT_STEP, F.struct(*RAW_FIELDS)).alias(RECORD),
+                    *([FILE, "files"] if by_file else []), "step")
 
 
 def reject_counts(flagged: DataFrame) -> DataFrame:
@@ -157,6 +173,27 @@ def reject_counts(flagged: DataFrame) -> DataFrame:
             .agg(F.sum("x.n").cast("long").alias("rows")).where(F.col("rows") != 0))
 
 
+def file_counts(flagged: DataFrame, files: DataFrame) -> DataFrame:
+    """Q3 for the fact: ``(file, rows_in, rejected, duplicates, rows_out, status)`` of a flagged
+    build with files, one row for each ``file`` of ``files`` and of the build.
+
+    A record that several files hold counts as out of the file whose row is kept
+    (ties: the first path), and as a duplicate elsewhere. A file without a
+    record, or whose rows do not add up, has status ``failed``."""
+    each = flagged.select("step", F.col(FILE).alias("kept_from"), F.inline("files"))
+    kept = (F.col(FILE) == F.col("kept_from")).cast("long")
+    by_rule = ~(F.col("step").startswith("decode_") | (F.col("step") == FACT_STEP))
+    out = F.when(F.col("step") == FACT_STEP, kept).otherwise(0)
+    rejected = F.when(by_rule, F.col("n")).when(F.col("step") != FACT_STEP, kept).otherwise(0)
+    counted = each.groupBy(FILE).agg(F.sum("n").alias("rows_in"), F.sum(rejected).alias("rejected"),
+                                     F.sum(F.when(by_rule, 0).otherwise(F.col("n") - kept)).alias("duplicates"),
+                                     F.sum(out).alias("rows_out"))
+    numbers = [F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("rows_in", "rejected", "duplicates", "rows_out")]
+    adds_up = (F.col("rows_in") > 0) & (F.col("rows_in") == F.col("rejected") + F.col("duplicates") + F.col("rows_out"))
+    return (files.select(FILE).distinct().join(counted, FILE, "full_outer").select(FILE, *numbers)
+            .withColumn("status", F.when(adds_up, "passed").otherwise("failed")))
+
+
 def reject_report(raw: DataFrame, dims: Mapping[str, DataFrame], translation: DataFrame, book: CodeBook) -> DataFrame:
     """D17 for the whole build: the ``reject_counts`` of its one plan."""
     return reject_counts(flagged_build(raw, dims, translation, book))

@@ -277,7 +277,7 @@ def _batch(file: str, block: int, made: list[tuple[str, str]]) -> pa.RecordBatch
 
 
 def read_keyed_json_ranges(spark: SparkSession, paths: str | Sequence[str], record_schema: StructType,
-                           key_col: str = "key", keep_year: bool = False) -> DataFrame:
+                           key_col: str = "key", keep_year: bool = False, keep_file: bool = False) -> DataFrame:
     """As ``read_keyed_json``, whatever the size of a document and its line ends: a file is
     read by as many tasks as it has splits. One job that scans the files runs before the plan is returned."""
     ship_package(spark)
@@ -300,6 +300,7 @@ def read_keyed_json_ranges(spark: SparkSession, paths: str | Sequence[str], reco
     parsed = F.from_json(F.concat(F.lit("{"), "text", F.lit("}")),
                          MapType(StringType(), record_schema), {"mode": "FAILFAST"})
     year = [file_year(path=F.col("file")).alias("Year")] if keep_year else []
-    exploded = whole.select(*year, F.explode(parsed).alias(key_col, "_rec"))
+    file = ["file"] if keep_file else []
+    exploded = whole.select(*year, *file, F.explode(parsed).alias(key_col, "_rec"))
     return exploded.select(key_col, *[F.col(f"_rec.`{f.name}`").alias(f.name) for f in record_schema.fields],
-                           *(["Year"] if keep_year else []))
+                           *(["Year"] if keep_year else []), *file)

@@ -50,11 +50,11 @@ def with_file_year(df: DataFrame, name: str = "Year") -> DataFrame:
 
 def read_keyed_json(spark: SparkSession, paths: str | Sequence[str], record_schema: StructType,
                     key_col: str = "key", keep_year: bool = False, multi_line: bool = False,
-                    spread: bool = False) -> DataFrame:
+                    spread: bool = False, keep_file: bool = False) -> DataFrame:
     """Each JSON document is ``{"value": {"<key>": {record}, ...}}``; one
     document per line (``multi_line=True`` for pretty-printed files, one
     document per file). Returns one row per record: ``key`` plus the record
-    fields (and ``Year`` from the path when ``keep_year``). Folders are read
+    fields (and ``Year`` from the path when ``keep_year``, ``file``, the path, when ``keep_file``). Folders are read
     with all their subfolders.
 
     A document that does not parse or has no ``value``, and a value that does
@@ -73,11 +73,12 @@ def read_keyed_json(spark: SparkSession, paths: str | Sequence[str], record_sche
     value = F.when(F.col("value").isNull(), lost.cast(schema["value"].dataType)).otherwise(F.col("value"))
     exploded = raw.select(
         *([F.col("_file_year").alias("Year")] if keep_year else []),
+        *([F.col("_metadata.file_path").alias("file")] if keep_file else []),
         F.explode(value).alias(key_col, "_rec"),
     )
     records = exploded.select(
         key_col, *[F.col(f"_rec.{f.name}").alias(f.name) for f in record_schema.fields],
-        *(["Year"] if keep_year else []),
+        *(["Year"] if keep_year else []), *(["file"] if keep_file else []),
     )
     return records.hint("rebalance") if spread else records
 

@@ -1,0 +1,47 @@
+"""Q3 for the fact: rows in, rejected, duplicates and rows out of every input file."""
+import json
+from pathlib import Path
+
+import pytest
+
+from tallystar.plans.model import RAW_SCHEMA
+from tallystar.sources.json_ranges import read_keyed_json_ranges
+from tallystar.sources.readers import read_keyed_json
+from test_api import _inputs
+from test_lossless import run
+
+FIELDS = ["ID", "Geslacht", "LeeftijdOp31December", "BurgerlijkeStaat", "Geboorteland", "Perioden", "Immigratie_1"]
+
+
+def test_every_file_is_reconciled(spark, local_tmp, tmp):
+    _inputs(local_tmp)
+    again = [("a1", "3000", "10030", "1010    ", "L1", "2018JJ00", 5),      # as in the first file
+             ("a1", "3000", "10030", "1010    ", "L1", "2018JJ00", 5),      # and once more
+             ("a7", "3000", "10030", "1010    ", "L1", "2018JJ00", None),   # dropped in both
+             ("c1", "3000", "10030", "1010    ", "L1", "2018JJ00", 2),
+             ("c2", "3000", "10030", "1010    ", "no", "2018JJ00", 2),      # no such country
+             ("c2", "3000", "10030", "1010    ", "no", "2018JJ00", 2)]
+    doc = {"value": {str(i): dict(zip(FIELDS, r)) for i, r in enumerate(again)}}
+    with open(f"{local_tmp}/imm/later part_2018.json", "w") as f:
+        f.write(json.dumps(doc) + "\n")
+    res = run(spark, local_tmp, tmp, per_file=True, fail_on_error=True)
+    got = {r["file"].rsplit("/", 1)[1].replace("%20", " "): tuple(r)[1:] for r in res.file_report.collect()}
+    assert got == {"immigration_records_2018.json": (7, 3, 0, 4, "passed"), "immigration_records_2020.json": (1, 0, 0, 1, "passed"),
+                   "later part_2018.json": (6, 2, 3, 1, "passed")}
+    plain = run(spark, local_tmp, tmp + "-plain")
+    assert plain.rejects == res.rejects and plain.file_report is None
+    assert sorted(res.fact(spark).collect()) == sorted(plain.fact(spark).collect())
+    assert sum(r[0] for r in got.values()) == res.rejects["rows_in"]
+
+    with open(f"{local_tmp}/imm/none_2020.json", "w") as f:
+        f.write('{"value": {}}\n')
+    with pytest.raises(AssertionError, match="none_2020.json"):
+        run(spark, local_tmp, tmp, per_file=True, fail_on_error=True)
+
+
+def test_both_readers_name_the_file_alike(spark, local_tmp):
+    _inputs(local_tmp)
+    Path(f"{local_tmp}/imm/immigration_records_2020.json").rename(f"{local_tmp}/imm/records of 2020.json")
+    pairs = [sorted((r["file"], r["ID"]) for r in read(spark, f"{local_tmp}/imm", RAW_SCHEMA, keep_file=True).collect())
+             for read in (read_keyed_json, read_keyed_json_ranges)]
+    assert pairs[0] == pairs[1] and len({f for f, _ in pairs[0]}) == 2
