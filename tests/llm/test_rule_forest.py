@@ -3,6 +3,7 @@ import re
 from collections import Counter
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from tallystar.llm import rule_forest as rf
 
@@ -128,3 +129,31 @@ def test_an_extreme_document_changes_no_other_verdict(docs, labels):
             assert marked.pop(9000) is False and sum(marked[i] != plain[i] for i in plain) <= len(plain) // 100
         caught = [plain[i] for i, _, q in rows if not q]
         assert sum(caught) <= 2
+
+
+def test_every_tree_draws_from_all_rows(spark):
+    n = 5000
+    rows = spark.range(n).select(F.col("id").alias("doc_id"),
+                                 F.array(*[F.col("id").cast("double")] * len(rf.FEATURES)).alias("features"))
+    drawn = rf.subsamples(rows, trees=100, size=256)
+    assert len(drawn) == 100 and all(len(x) == len(set(x[:, 0])) == 256 for x in drawn)
+    assert len({v for x in drawn for v in x[:, 0]}) > 0.98 * n  # 25,600 draws miss 0.5 % of the rows
+    again = rf.subsamples(rows.repartition(7), trees=100, size=256)
+    assert all((a == b).all() for a, b in zip(drawn, again))
+    few = rf.subsamples(rows.limit(40), trees=3, size=256)
+    assert [len(x) for x in few] == [40] * 3
+    # copies of one row hash alike: still as many rows a tree as asked for
+    copies = rows.where("doc_id < 300").union(rows.where("doc_id = 7").crossJoin(spark.range(4000)).drop("id"))
+    assert all(len(x) == 256 for x in rf.subsamples(copies, trees=3, size=256))
+
+
+def test_the_threshold_reads_every_labelled_row(spark):
+    rng = np.random.default_rng(8)
+    for n in (1, 2, 3, 700, 25_000):  # the last beyond the 20,000 rows once read
+        scores, good = np.round(rng.beta(2, 5, 2 * n), 3 if n < 1000 else 9), np.arange(2 * n) % 2 == 0
+        scores[~good] += 0.4
+        df = spark.createDataFrame([(int(g), float(s)) for g, s in zip(good, scores)], "q int, anomaly double")
+        for keep in (0.5, 0.995, 1.0):
+            assert rf.threshold(df, keep) == rf.calibrate(scores, good, keep)
+    for q in (0, 1):
+        assert rf.threshold(df.where(F.col("q") == q), 0.995) == np.inf
