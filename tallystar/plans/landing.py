@@ -75,39 +75,61 @@ def _key(spark: SparkSession, sf_dir: str) -> tuple:
 
 
 # ------------------------------------------------------------------- writers
-def write_keyed_json(raw: DataFrame, path: str, records_per_doc: int, n_records: int) -> None:
-    """JSON documents ``{"value": {"<key>": record}}``, one per year and shard
-    and line. The files of the year ``B.FILE_NAMED_YEAR`` carry the year in
-    their names, those of the other years in their folder's.
+# Files are kept small: Spark counts 4 MB for opening each when it packs files into tasks, so
+# a task's rows stay bounded however well they compress.
+DOCS_PER_TASK = 16
+RECORDS_PER_FILE = 200_000
+
+
+def keyed_documents(raw: DataFrame, records_per_doc: int, n_records: int) -> DataFrame:
+    """(Year, value): JSON documents ``{"value": {"<key>": record}}``, one per year and shard.
 
     ``raw`` carries ``_row_key``, a unique key that is stable under
     recomputation. Records are spread over shards by its hash, so a document
     holds at most about ``records_per_doc`` records (fewer where a year has
-    few) even when one ID or one year holds a large share of the rows."""
+    few) even when one ID or one year holds a large share of the rows.
+
+    The records are shuffled as they are and collected behind the shuffle, by as many
+    tasks as keep ``DOCS_PER_TASK`` shards each. Collecting before it would save
+    nothing, as no records combine, and sort a task's whole input, beyond memory
+    where that is large."""
     n_docs = max(1, math.ceil(n_records / records_per_doc))
     keyed = raw.select(
         F.col("_row_key").alias("_key"),
         strict_int(F.substring("Perioden", 1, 4)).alias("Year"),
         F.struct(*RAW_FIELDS).alias("_rec"),
     ).withColumn("_doc", F.pmod(F.xxhash64("_key"), F.lit(n_docs)))
-    docs = keyed.groupBy("Year", "_doc").agg(
+    tasks = max(math.ceil(n_docs / DOCS_PER_TASK), min(n_docs, raw.sparkSession.sparkContext.defaultParallelism))
+    docs = keyed.repartition(tasks, "Year", "_doc").groupBy("Year", "_doc").agg(
         F.map_from_entries(F.collect_list(F.struct("_key", "_rec"))).alias("value"))
-    docs.select("Year", "value").write.partitionBy("Year").mode("overwrite").json(path)
-    name_files(keyed.sparkSession, f"{path}/Year={B.FILE_NAMED_YEAR}", path, B.FILE_NAMED_YEAR)
+    return docs.select("Year", "value")
+
+
+def write_keyed_json(raw: DataFrame, path: str, records_per_doc: int, n_records: int,
+                     compression: str | None = None) -> None:
+    """The ``keyed_documents`` of ``raw``, one a line. The files of the year
+    ``B.FILE_NAMED_YEAR`` carry the year in their names, those of the other
+    years in their folder's. A file of a ``compression`` that Spark cannot split
+    is read by one task; it holds a year's documents of one writing task."""
+    keyed_documents(raw, records_per_doc, n_records).write.partitionBy("Year").mode("overwrite").json(
+        path, compression=compression)
+    name_files(raw.sparkSession, f"{path}/Year={B.FILE_NAMED_YEAR}", path, B.FILE_NAMED_YEAR)
 
 
 def name_files(spark: SparkSession, folder: str, target: str, year: int) -> None:
     """Move the data files of ``folder`` to ``target`` as
     ``immigration_<year>.json``, ``immigration_1_<year>.json`` and so on (as
     published files are named by hand); a folder that is not there is left
-    alone. Each file is as its task wrote it, so no task writes a whole year."""
+    alone. The ending that tells a compression stays. Each file is as its task
+    wrote it, so no task writes a whole year."""
     jvm = spark._jvm
     source = jvm.org.apache.hadoop.fs.Path(folder)
     fs = source.getFileSystem(spark._jsc.hadoopConfiguration())
     if fs.exists(source):
         files = [f.getPath() for f in fs.listStatus(source) if not f.getPath().getName().startswith(("_", "."))]
         for k, file in enumerate(files):
-            name = f"immigration_{k}_{year}.json" if k else f"immigration_{year}.json"
+            ending = ".json" + file.getName().partition(".json")[2]
+            name = f"immigration_{k}_{year}{ending}" if k else f"immigration_{year}{ending}"
             if not fs.rename(file, jvm.org.apache.hadoop.fs.Path(f"{target}/{name}")):
                 raise OSError(f"{file.toString()} could not be renamed to {name}")
         fs.delete(source, True)
@@ -180,8 +202,10 @@ def _land_inputs(spark: SparkSession, sf_dir: str) -> Landing:
     def records() -> None:
         # the four-table join runs once: raw records are written as Parquet
         # and the keyed-JSON documents are built from that copy
-        B.raw_records(spark, sf_dir, with_row_key=True).write.mode("overwrite").parquet(land.raw)
-        write_keyed_json(spark.read.parquet(land.raw), land.imm, B.RECORDS_PER_DOC, n_records)
+        (B.raw_records(spark, sf_dir, with_row_key=True).write.option("maxRecordsPerFile", RECORDS_PER_FILE)
+         .mode("overwrite").parquet(land.raw))
+        write_keyed_json(spark.read.parquet(land.raw), land.imm, B.RECORDS_PER_DOC, n_records,
+                         compression="gzip")
 
     _run_concurrently([
         records,

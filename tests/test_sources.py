@@ -4,9 +4,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallystar.plans import bindings as B
-from tallystar.plans.landing import write_keyed_json
+from tallystar.plans.landing import keyed_documents, write_keyed_json
 from tallystar.plans.model import LAYOUT_2018_COLUMNS, LAYOUT_2020_COLUMNS, RAW_SCHEMA, REFERENCE_SECTION_RANGES
 from tallystar.plans.star_build import build_dimension, files_by_layout, read_yearly_layouts
+from tallystar.sources.json_ranges import read_keyed_json_ranges
 from tallystar.sources.readers import (
     list_inputs,
     read_csv_strings,
@@ -115,6 +116,29 @@ def test_landed_documents_are_bounded_in_every_year(spark, tmp):
     assert max(r["records"] for r in files.collect()) < 200
 
 
+def test_records_are_collected_behind_their_one_shuffle(spark):
+    raw = spark.range(500).select(F.col("id").cast("string").alias("_row_key"), *[
+        F.col("id").cast(f.dataType).alias(f.name) for f in RAW_SCHEMA.fields])
+    lines = keyed_documents(raw, 100, 500)._jdf.queryExecution().executedPlan().toString().splitlines()
+    shuffles = [i for i, x in enumerate(lines) if "Exchange hashpartitioning" in x]
+    collects = [i for i, x in enumerate(lines) if "collect_list" in x and "Aggregate" in x]
+    assert len(shuffles) == 1 and collects and max(collects) < shuffles[0]
+
+
+def test_compressed_documents_are_the_same_records(spark, tmp):
+    year = B.FILE_NAMED_YEAR
+    raw = spark.range(900).select(F.col("id").cast("string").alias("_row_key"), *[
+        (F.when(F.col("id") % 2 == 0, f"{year}JJ00").otherwise("2001JJ00") if f.name == "Perioden"
+         else F.col("id").cast(f.dataType)).alias(f.name) for f in RAW_SCHEMA.fields])
+    write_keyed_json(raw, tmp, 100, 900, compression="gzip")
+    names = [p.rsplit("/", 1)[-1] for p in spark.read.option("recursiveFileLookup", True).text(tmp).inputFiles()]
+    assert f"immigration_{year}.json.gz" in names and all(n.endswith(".json.gz") for n in names)
+    for back in (read_keyed_json(spark, tmp, RAW_SCHEMA, keep_year=True),
+                 read_keyed_json_ranges(spark, tmp, RAW_SCHEMA, keep_year=True)):
+        got = {(r["key"], r["ID"], r["Immigratie_1"], r["Year"]) for r in back.collect()}
+        assert got == {(str(k), str(k), k, 2001 if k % 2 else year) for k in range(900)}
+
+
 def test_one_document_for_a_whole_year(spark, local_tmp):
     doc = {"value": {str(k): {"ID": str(k % 7), "Immigratie_1": k} for k in range(5000)}}
     open(f"{local_tmp}/immigration_2019.json", "w").write(json.dumps(doc) + "\n")
