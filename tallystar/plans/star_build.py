@@ -133,7 +133,8 @@ def flagged_build(raw: DataFrame, dims: Mapping[str, DataFrame], translation: Da
     many records of the ID each file holds (at most one entry a file), for
     ``file_counts``. They are counted by ID and file first, so a second shuffle
     carries one row of each."""
-    keys, fields = ["reject", *book.dedup_key], [c for c in RAW_FIELDS if c not in book.dedup_key]
+    # the ID first: sorts compare its first bytes, which nearly always differ
+    keys, fields = [*book.dedup_key, "reject"], [c for c in RAW_FIELDS if c not in book.dedup_key]
     flagged = flag_records(raw, book)
     by_file = FILE in flagged.columns
     if by_file:

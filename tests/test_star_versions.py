@@ -1,6 +1,7 @@
 """One plan for fact and rejects, checks on the write, and versions that appear whole."""
 import json
 import os
+import re
 from pathlib import Path
 
 import pytest
@@ -49,6 +50,15 @@ def test_fact_and_rejects_come_from_one_scan(spark, local_tmp):
     assert dropped["decode_country"] == "L9" and built.where("step = 'fact' and record is not null").count() == 0
 
 
+
+def test_the_dedup_of_the_build_sorts_by_id_first(spark):
+    built = flagged_build(raw(spark, GOOD), dims(spark), translation(spark), REFERENCE_BOOK)
+    plan = built._jdf.queryExecution().sparkPlan().toString()
+    keys = re.findall(r"SortAggregate\(key=\[([^\]]*)\]", plan)
+    keys = [k for k in keys if "reject" in k]
+    assert keys and all(re.match(r"ID#\d+, reject#\d+$", k) for k in keys)
+
+
 def test_catalog_reads_one_build(spark):
     from tallystar.plans import catalog, landing
     sf = "/root/testdata/sf0.001"
