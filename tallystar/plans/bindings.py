@@ -81,18 +81,13 @@ def english_name(c: str) -> Column:
 
 
 # ---------------------------------------------------------------- raw records
-def raw_records(spark: SparkSession, sf_dir: str, with_row_key: bool = False) -> DataFrame:
-    """The reference's seven raw fields, one row per lineitem row.
-
-    ``with_row_key`` adds ``_row_key``: the lineitem file and row position,
-    unique and the same on every recomputation (unlike an id generated after
-    the joins), for use as a record key when landing."""
-    # two numbers through the joins' shuffles, a text behind them
-    row_key = [F.xxhash64("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_at")]
+def raw_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The reference's seven raw fields, one row per lineitem row."""
     li = table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_linenumber", "l_partkey", "l_returnflag", "l_quantity",
-        *(row_key if with_row_key else []))
-    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
+        "l_orderkey", "l_linenumber", "l_partkey", "l_returnflag", "l_quantity")
+    # the year alone goes through the join's shuffle, not the time
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", F.year("o_orderdate").alias("_year"),
+                                              "o_orderpriority")
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     p = table(spark, sf_dir, "part").select("p_partkey", "p_size")
     j = (li.join(o, li.l_orderkey == o.o_orderkey)
@@ -109,11 +104,9 @@ def raw_records(spark: SparkSession, sf_dir: str, with_row_key: bool = False) ->
         F.concat(F.col("o_orderpriority"), F.lit(MARITAL_PAD)).alias("BurgerlijkeStaat"),
         F.when(F.col("c_custkey") % 83 == 1, F.lit(UNKNOWN_COUNTRY))
         .otherwise(F.col("c_nationkey").cast("string")).alias("Geboorteland"),
-        F.concat(F.year("o_orderdate").cast("string"), F.lit("JJ00"),
+        F.concat(F.col("_year").cast("string"), F.lit("JJ00"),
                  F.when(F.col("c_custkey") % 79 == 2, F.lit("\u00a0")).otherwise(F.lit(""))).alias("Perioden"),
         (F.nullif(F.col("l_quantity").cast("int"), F.lit(50)) - 1).alias("Immigratie_1"),
-        *([F.concat_ws("-", F.col("_file").cast("string"), F.col("_at").cast("string")).alias("_row_key")]
-          if with_row_key else []),
     )
 
 

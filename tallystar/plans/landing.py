@@ -78,7 +78,15 @@ def _key(spark: SparkSession, sf_dir: str) -> tuple:
 # Files are kept small: Spark counts 4 MB for opening each when it packs files into tasks, so
 # a task's rows stay bounded however well they compress.
 DOCS_PER_TASK = 16
-RECORDS_PER_FILE = 200_000
+RECORDS_PER_FILE = 100_000
+CODEC = "zstd"  # of the landed and built Parquet
+
+
+def with_row_key(written: DataFrame) -> DataFrame:
+    """The records of a written table with ``_row_key``, a record's file and position in it:
+    unique, the same on every recomputation, and neither written nor carried through the joins."""
+    return written.withColumn("_row_key", F.concat_ws(
+        "-", F.xxhash64("_metadata.file_path").cast("string"), F.col("_metadata.row_index").cast("string")))
 
 
 def keyed_documents(raw: DataFrame, records_per_doc: int, n_records: int) -> DataFrame:
@@ -89,19 +97,18 @@ def keyed_documents(raw: DataFrame, records_per_doc: int, n_records: int) -> Dat
     holds at most about ``records_per_doc`` records (fewer where a year has
     few) even when one ID or one year holds a large share of the rows.
 
-    The records are shuffled as they are and collected behind the shuffle, by as many
+    The records are shuffled as they are (year, shard and nesting are made behind the
+    shuffle, so they take no bytes of it) and collected there, by as many
     tasks as keep ``DOCS_PER_TASK`` shards each. Collecting before it would save
     nothing, as no records combine, and sort a task's whole input, beyond memory
     where that is large."""
     n_docs = max(1, math.ceil(n_records / records_per_doc))
-    keyed = raw.select(
-        F.col("_row_key").alias("_key"),
-        strict_int(F.substring("Perioden", 1, 4)).alias("Year"),
-        F.struct(*RAW_FIELDS).alias("_rec"),
-    ).withColumn("_doc", F.pmod(F.xxhash64("_key"), F.lit(n_docs)))
+    year = strict_int(F.substring("Perioden", 1, 4))
+    doc = F.pmod(F.xxhash64("_row_key"), F.lit(n_docs))
     tasks = max(math.ceil(n_docs / DOCS_PER_TASK), min(n_docs, raw.sparkSession.sparkContext.defaultParallelism))
-    docs = keyed.repartition(tasks, "Year", "_doc").groupBy("Year", "_doc").agg(
-        F.map_from_entries(F.collect_list(F.struct("_key", "_rec"))).alias("value"))
+    docs = (raw.select("_row_key", *RAW_FIELDS).repartition(tasks, year, doc)
+            .select(year.alias("Year"), doc.alias("_doc"), F.struct("_row_key", F.struct(*RAW_FIELDS)).alias("_entry"))
+            .groupBy("Year", "_doc").agg(F.map_from_entries(F.collect_list("_entry")).alias("value")))
     return docs.select("Year", "value")
 
 
@@ -202,9 +209,9 @@ def _land_inputs(spark: SparkSession, sf_dir: str) -> Landing:
     def records() -> None:
         # the four-table join runs once: raw records are written as Parquet
         # and the keyed-JSON documents are built from that copy
-        (B.raw_records(spark, sf_dir, with_row_key=True).write.option("maxRecordsPerFile", RECORDS_PER_FILE)
-         .mode("overwrite").parquet(land.raw))
-        write_keyed_json(spark.read.parquet(land.raw), land.imm, B.RECORDS_PER_DOC, n_records,
+        (B.raw_records(spark, sf_dir).write.option("maxRecordsPerFile", RECORDS_PER_FILE)
+         .mode("overwrite").parquet(land.raw, compression=CODEC))
+        write_keyed_json(with_row_key(spark.read.parquet(land.raw)), land.imm, B.RECORDS_PER_DOC, n_records,
                          compression="gzip")
 
     _run_concurrently([
@@ -255,12 +262,13 @@ def _ensure_star(spark: SparkSession, sf_dir: str) -> Landing:
     if land.build is not None:
         return land
     build = flagged_build(landed_raw(spark, land), landed_code_lists(spark, land),
-                          read_csv_strings(spark, land.translation), B.STANDIN_BOOK)
+                          read_csv_strings(spark, land.translation), B.STANDIN_BOOK, clustered=True)
     obs, metrics = Observation("fact_checks"), fact_metrics(F.col("step") == FACT_STEP)
     watched = build.observe(obs, *metrics)
     build_path, dim_path = fresh_path(spark, "build"), fresh_path(spark, "dim")
     dim = landed_dimension(spark, land)
-    _run_concurrently([lambda: write_by_year(watched, build_path, above=["step"]), lambda: write_by_year(dim, dim_path)])
+    _run_concurrently([lambda: write_by_year(watched, build_path, above=["step"], spread=False, compression=CODEC),
+                       lambda: write_by_year(dim, dim_path)])
     land.build, land.dim, land.checks = build_path, dim_path, observed(obs, metrics, spark.read.schema(build.schema).parquet(build_path))
     return land
 

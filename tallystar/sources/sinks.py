@@ -10,6 +10,7 @@ K3 ``write_by_year(..., refresh=True)`` replaces only the years present in
 Rows are rebalanced by year before the write, so a year's rows meet in few
 files instead of one file per task and year. It is a hint that AQE splits by
 size: a year that holds a third of all rows is still written by many tasks.
+``spread=False`` writes rows that already lie together by year as they are.
 """
 
 from __future__ import annotations
@@ -30,11 +31,12 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 
 def write_by_year(df: DataFrame, path: str, year_col: str = "Year", refresh: bool = False,
-                  above: Sequence[str] = ()) -> None:
-    """``above``: columns whose folders come before those of the year."""
+                  above: Sequence[str] = (), spread: bool = True, compression: str | None = None) -> None:
+    """``above``: columns whose folders come before those of the year. ``spread``:
+    rebalance the rows before the write."""
     cols = [*above, year_col]
-    writer = (df.hint("rebalance", *[F.col(c) for c in cols]).write.partitionBy(*cols).mode("overwrite")
-              .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE))
+    rows = df.hint("rebalance", *[F.col(c) for c in cols]) if spread else df
+    writer = rows.write.partitionBy(*cols).mode("overwrite").option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
     if refresh:
         writer = writer.option("partitionOverwriteMode", "dynamic")
-    writer.parquet(path)
+    writer.parquet(path, compression=compression)

@@ -125,6 +125,26 @@ def test_records_are_collected_behind_their_one_shuffle(spark):
     assert len(shuffles) == 1 and collects and max(collects) < shuffles[0]
 
 
+def test_the_shuffle_of_the_documents_carries_the_record_alone(spark):
+    raw = spark.range(500).select(F.col("id").cast("string").alias("_row_key"), *[
+        F.col("id").cast(f.dataType).alias(f.name) for f in RAW_SCHEMA.fields])
+    lines = keyed_documents(raw, 100, 500)._jdf.queryExecution().executedPlan().toString().splitlines()
+    shuffles = [i for i, x in enumerate(lines) if "Exchange hashpartitioning" in x]
+    below = " ".join(lines[shuffles[0] + 1:])
+    assert "struct(" not in below and "xxhash64(" not in below and "Year" not in below
+
+
+def test_row_keys_come_from_the_landed_files(spark):
+    from tallystar.plans import landing
+    land = landing.land_inputs(spark, "/root/testdata/sf0.001")
+    written = spark.read.parquet(land.raw)
+    assert written.columns == RAW_SCHEMA.fieldNames()
+    keyed = landing.with_row_key(written)
+    keys = sorted(r["_row_key"] for r in keyed.select("_row_key").collect())
+    assert len(set(keys)) == len(keys) == written.count()
+    assert keys == sorted(r["key"] for r in read_keyed_json(spark, land.imm, RAW_SCHEMA).select("key").collect())
+
+
 def test_compressed_documents_are_the_same_records(spark, tmp):
     year = B.FILE_NAMED_YEAR
     raw = spark.range(900).select(F.col("id").cast("string").alias("_row_key"), *[

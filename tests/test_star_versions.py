@@ -15,6 +15,7 @@ from tallystar.plans.model import FACT_COLS, FACT_CONTRACT, LAYOUT_2018_COLUMNS,
 from tallystar.plans.star_build import build_dimension, build_fact, flagged_build, reject_counts, reject_report
 from tallystar.sources import versions
 from tallystar.sources.readers import csv_headers, read_keyed_json
+from tallystar.sources.sinks import write_by_year
 from tallystar.streaming.refresh import start_refresh
 from test_api import _inputs
 from test_lossless import GOOD, dims, happiness, raw, run, translation
@@ -59,6 +60,32 @@ def test_the_dedup_of_the_build_sorts_by_id_first(spark):
     assert keys and all(re.match(r"ID#\d+, reject#\d+$", k) for k in keys)
 
 
+def test_a_clustered_build_shuffles_before_it_is_decoded(spark, tmp):
+    source = raw(spark, GOOD, GOOD, ("T001038", *GOOD[1:]), (*GOOD[:3], "L9", *GOOD[4:]), GOOD[:5] + (None,))
+    plain = flagged_build(source, dims(spark), translation(spark), REFERENCE_BOOK)
+    built = flagged_build(source, dims(spark), translation(spark), REFERENCE_BOOK, clustered=True)
+    plan = built._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("RebalancePartitions") == 1 and "RebalancePartitions" not in plain._jdf.queryExecution().optimizedPlan().toString()
+    depth = {n: [x.index(n) for x in plan.splitlines() if n in x] for n in ("RebalancePartitions", "Join LeftOuter")}
+    assert len(depth["Join LeftOuter"]) == 6 and depth["RebalancePartitions"][0] > max(depth["Join LeftOuter"])
+    write_by_year(built, tmp, above=["step"], spread=False)
+    assert rows(spark.read.parquet(tmp).select(*plain.columns)) == rows(plain)
+
+
+def test_the_written_build_crosses_no_second_shuffle(spark, monkeypatch):
+    from tallystar.plans import landing
+    written = {}
+
+    def keep(df, path, **how):
+        written[path.rsplit("/", 1)[-1].split("-")[0]] = df, how
+        write_by_year(df, path, **how)
+    monkeypatch.setattr(landing, "write_by_year", keep)
+    monkeypatch.setattr(landing, "_LANDED", {})
+    landing.ensure_star(spark, "/root/testdata/sf0.001")
+    build, how = written["build"]
+    assert how["spread"] is False and build._jdf.queryExecution().optimizedPlan().toString().count("RebalancePartitions") == 1
+
+
 def test_catalog_reads_one_build(spark):
     from tallystar.plans import catalog, landing
     sf = "/root/testdata/sf0.001"
