@@ -145,6 +145,15 @@ def test_row_keys_come_from_the_landed_files(spark):
     assert keys == sorted(r["key"] for r in read_keyed_json(spark, land.imm, RAW_SCHEMA).select("key").collect())
 
 
+def test_records_that_a_join_repeats_keep_keys_of_their_own(spark, tmp):
+    from tallystar.plans import landing
+    one = spark.range(3).select(*[F.col("id").cast(f.dataType).alias(f.name) for f in RAW_SCHEMA.fields])
+    one.union(one).write.parquet(f"{tmp}/raw")
+    write_keyed_json(landing.with_row_key(spark.read.parquet(f"{tmp}/raw")), f"{tmp}/json", 2, 6)
+    back = read_keyed_json(spark, f"{tmp}/json", RAW_SCHEMA).collect()
+    assert sorted(r["ID"] for r in back) == list("001122") and len({r["key"] for r in back}) == 6
+
+
 def test_compressed_documents_are_the_same_records(spark, tmp):
     year = B.FILE_NAMED_YEAR
     raw = spark.range(900).select(F.col("id").cast("string").alias("_row_key"), *[
